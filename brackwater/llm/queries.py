@@ -7,6 +7,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import bpe
 from .common import table
+from .packing import pack
+from .pii import pii
+from .simhash import simhash_groups
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii(table(spark, sf_dir, "documents"))
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(table(spark, sf_dir, "documents"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,5 +29,5 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe(table(spark, sf_dir, "documents"), rank_file, public_tokenizers.PATTERN)
 
 
-QUERIES = {"op10_bpe": op10_bpe}
+QUERIES = {"op4_pii": op4_pii, "op8_simhash": op8_simhash, "op9_packing": op9_packing, "op10_bpe": op10_bpe}
 ORACLE_SQL: dict[str, str] = {}
