@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 #: Pieces kept per generation of a worker's cache; two generations are held, so memory is bounded.
-CACHE = 250_000
+CACHE = 600_000
 #: Bytes of pieces in one recursive query; longer pieces go alone.
 CHUNK_BYTES = 400_000
 #: Pieces above this many bytes contract all equal pairs in a step, not only the leftmost.
