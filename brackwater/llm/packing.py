@@ -14,6 +14,7 @@ no padding, so no token of padding arises at all.
 
 from __future__ import annotations
 
+import sys
 import zlib
 
 import numpy as np
@@ -26,75 +27,60 @@ from .common import runs, saved
 SHARD_TOKENS = 2_000_000
 #: A queue is served once it has this many tokens of credit, so that pieces don't get tiny.
 LEAST_PIECE = 256
-#: Pieces in a worker's cache.
-CACHE = 400_000
-
 _WORKER: dict[str, tuple] = {}
 
 
-def _tokenizer(path: str):
+def _tokenizer(path: str, rank_file: str, pattern: str) -> tuple:
+    """The tokenizer of a file, and a quicker encoder of the same vocabulary, given as ranks and a splitting pattern."""
     if path not in _WORKER:
+        import tiktoken
         from tokenizers import Tokenizer
 
-        _WORKER[path] = (Tokenizer.from_file(path), {})
+        from .bpe import load_ranks
+
+        quick = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=load_ranks(rank_file), special_tokens={})
+        _WORKER[path] = (Tokenizer.from_file(path), quick)
     return _WORKER[path]
 
 
-def tokenized(docs: DataFrame, tokenizer_file: str, pattern: str, end_id: int, id_col: str, text_col: str, source_col: str) -> DataFrame:
+def tokenized(docs: DataFrame, tokenizer_file: str, rank_file: str, pattern: str, end_id: int, id_col: str, text_col: str, source_col: str) -> DataFrame:
     """key (the id as text), source, place (a hash that deals rows out), n (ids with the end), ids (little-endian 16- or 32-bit binary).
 
-    Pieces between the pattern's cuts don't depend on each other, so each distinct piece is tokenized
-    once; a text that holds a special token's string goes to the tokenizer as a whole.
+    The encoder of the rank file gives the tokenizer's ids on any text without the string of a special
+    token (the tests compare them over all code points); the tokenizer itself takes the texts that have one.
     """
     schema = "key string, source string, place bigint, n bigint, ids binary"
 
     def encode(batches):
+        from array import array
+
         import pyarrow as pa
-        import regex
 
-        find = regex.compile(pattern).findall
-        tok, cache = _tokenizer(tokenizer_file)
-        dtype = np.dtype("<u2" if tok.get_vocab_size() <= 1 << 16 else "<u4")
+        tok, quick = _tokenizer(tokenizer_file, rank_file, pattern)
+        code, width = ("H", 2) if tok.get_vocab_size() <= 1 << 16 else ("I", 4)
         special = [t.content for t in tok.get_added_tokens_decoder().values()]
-        end = np.array([end_id], dtype).tobytes()
 
-        def whole(text: str) -> bytes:
-            return np.array(tok.encode(text, add_special_tokens=False).ids, dtype).tobytes()
+        def ids(text: str | None) -> bytes:
+            if not text:
+                own = []
+            elif any(s in text for s in special):
+                own = tok.encode(text, add_special_tokens=False).ids
+            else:
+                own = quick.encode_ordinary(text)
+            out = array(code, own)
+            out.append(end_id)
+            if sys.byteorder == "big":
+                out.byteswap()
+            return out.tobytes()
 
         for batch in batches:
-            rows = batch.column(1).to_pylist()
-            lo, size = 0, 0
-            for hi in range(1, len(rows) + 1):
-                size += len(rows[hi - 1] or "")
-                if size < 4_000_000 and hi < len(rows):
-                    continue
-                out, pieces = [], []
-                for text in rows[lo:hi]:
-                    direct = not text or any(s in text for s in special)
-                    pieces.append(None if direct else find(text))
-                    out.append((whole(text) if text else b"") if direct else b"")
-                fresh = list(set().union(*[p for p in pieces if p]) - cache.keys())
-                if len(cache) + len(fresh) > CACHE:
-                    cache.clear()
-                    fresh = list(set().union(*[p for p in pieces if p]))
-                for at in range(0, len(fresh), 20_000):
-                    part = fresh[at : at + 20_000]
-                    for piece, got in zip(part, tok.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                        cache[piece] = np.array(got.ids, dtype).tobytes()
-                get = cache.__getitem__
-                out = [(b"".join(map(get, p)) if p else done) + end for p, done in zip(pieces, out, strict=True)]
-                n = hi - lo
+            for lo in range(0, batch.num_rows, 1000):
+                part = batch.slice(lo, 1000)
+                out = [ids(t) for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(lo, n),
-                        batch.column(2).slice(lo, n),
-                        batch.column(3).slice(lo, n),
-                        pa.array([len(x) // dtype.itemsize for x in out], pa.int64()),
-                        pa.array(out, pa.binary()),
-                    ],
+                    [part.column(0), part.column(2), part.column(3), pa.array([len(x) // width for x in out], pa.int64()), pa.array(out, pa.binary())],
                     names=["key", "source", "place", "n", "ids"],
                 )
-                lo, size = hi, 0
 
     place = F.xxhash64(F.col(id_col), F.monotonically_increasing_id())
     source = F.coalesce(F.col(source_col).cast("string"), F.lit(""))
@@ -138,6 +124,7 @@ def deal_windows(lengths: dict[str, int], shares: dict[str, float], deficits: di
 def pack(
     docs: DataFrame,
     tokenizer_file: str,
+    rank_file: str,
     pattern: str,
     end_id: int = 1,
     window: int = 2048,
@@ -158,7 +145,7 @@ def pack(
     """
     if window & (window - 1):
         raise ValueError("window must be a power of two")
-    ids = saved(tokenized(docs, tokenizer_file, pattern, end_id, id_col, text_col, source_col), "ids")
+    ids = saved(tokenized(docs, tokenizer_file, rank_file, pattern, end_id, id_col, text_col, source_col), "ids")
     total = ids.agg(F.sum("n").alias("n")).first()["n"] or 0
     shards = max(1, -(-total // shard_tokens))
     dealt = ids.withColumn("shard", F.pmod("place", F.lit(shards)))

@@ -9,9 +9,14 @@ from .bpe import bpe
 from .common import table
 from .packing import pack
 from .pii import pii
+from .quality import quality
 from .simhash import simhash_groups
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii(table(spark, sf_dir, "documents"))
 
@@ -21,7 +26,8 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    files = [public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("json", "tiktoken")]
+    return pack(table(spark, sf_dir, "documents"), *files, public_tokenizers.PATTERN)
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,5 +35,5 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe(table(spark, sf_dir, "documents"), rank_file, public_tokenizers.PATTERN)
 
 
-QUERIES = {"op4_pii": op4_pii, "op8_simhash": op8_simhash, "op9_packing": op9_packing, "op10_bpe": op10_bpe}
+QUERIES = {"op1_quality": op1_quality, "op4_pii": op4_pii, "op8_simhash": op8_simhash, "op9_packing": op9_packing, "op10_bpe": op10_bpe}
 ORACLE_SQL: dict[str, str] = {}

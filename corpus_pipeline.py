@@ -1,12 +1,64 @@
-"""Corpus pipeline: quality classifier, near-duplicate removal, personal data, packing."""
+"""Corpus pipeline: quality classifier, SimHash near-duplicates, personal data, packing.
+
+STAGES are functions (spark, docs, sf_dir) -> DataFrame. Each works on all documents that the stage
+before it kept, and its result is written as Parquet and read again as the next one's docs. All but the
+last return the columns of documents.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from brackwater.llm.common import saved, table
+from brackwater.llm.packing import pack
+from brackwater.llm.pii import pii
+from brackwater.llm.quality import quality
+from brackwater.llm.simhash import simhash_groups
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return quality(docs, keep=docs.columns).where("kept").select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest doc_id stays.
+
+    Rows of one doc_id are one document and stay or go together; rows without a doc_id stay.
+    """
+    gone = simhash_groups(docs).where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and terms that disclose it are replaced by their class; n_chars follows the text."""
+    masked = pii(docs, sanitise=True, keep=[c for c in docs.columns if c not in ("text", "n_chars")])
+    out = masked.withColumn("text", F.col("sanitised")).withColumn("n_chars", F.length("sanitised").cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
+
+
+def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Windows of 2048 tokens with every source at its share."""
+    files = [public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("json", "tiktoken")]
+    return pack(docs, *files, public_tokenizers.PATTERN)
+
+
+STAGES = [
+    ("quality classifier", keep_quality),
+    ("simhash near-dedup", drop_near_duplicates),
+    ("personal data", mask_personal_data),
+    ("packing", pack_windows),
+]
 
-STAGES: list = []
+#: SQL expresses neither the fingerprints nor the classifier; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """All stages over the table documents."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = saved(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)
