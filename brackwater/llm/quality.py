@@ -1,7 +1,7 @@
 """Operator 1: quality classifier from weak labels.
 
 Overlapping heuristic labellers vote good, bad or nothing on every document. Votes are counted by
-pattern over the whole corpus (a pattern is one of 3^10, so the counts fit the driver whatever the
+pattern over the whole corpus (a pattern is one of 3^11, so the counts fit the driver whatever the
 input), and expectation-maximisation over the pattern counts estimates how accurate each labeller is
 and the posterior label of each pattern. Posteriors of a bounded sample train a linear scorer over
 hashed features, which then scores every document. Labels given by people are not used.
@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
+from operator import eq
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -24,7 +25,7 @@ BUCKETS = 1 << 16
 THRESHOLD = 0.5
 
 GOOD, NONE, BAD = 1, 0, -1
-LABELLERS = ("symbols", "capitals", "bars", "ends", "word_length", "sentences", "lines", "variety", "digits", "length")
+LABELLERS = ("symbols", "capitals", "bars", "ends", "word_length", "sentences", "lines", "variety", "repeats", "digits", "length")
 
 #: Byte classes: 0 beyond ASCII, 1 lower case, 2 capital, 3 digit, 4 white space, 5 plain punctuation, 6 symbol, 7 full stop.
 CLASSES = np.full(256, 6, np.uint8)
@@ -56,14 +57,15 @@ def votes(text: str, words: list[str], distinct: int) -> tuple[int, ...]:
     return (
         vote(by[6] / solid, 0.01, 0.06),
         vote(by[2] / letters, 0.15, 0.4),
-        vote(sum(w in ("|", "||", "*", "#", "=", "-") for w in words) / n, 0.01, 0.1),
+        vote(sum(w in ("|", "||", "*", "#") for w in words) / n, 0.01, 0.1),
         vote(sum(not (w[-1].isalnum() or w[-1] in ".,;:?'\")-") for w in words) / n, 0.02, 0.15),
         GOOD if 3 <= mean <= 9 else BAD if mean < 2 or mean > 14 else NONE,
         GOOD if 0.01 <= stops <= 0.35 else BAD if n > 40 and (stops < 0.002 or stops > 0.8) else NONE,
         vote(1 - len(set(lines)) / max(1, len(lines)), 0.1, 0.4) if len(lines) > 2 else NONE,
         NONE if n < 50 else BAD if distinct / n < 0.08 else GOOD if distinct / n > 0.15 else NONE,
+        vote(sum(map(eq, words, words[1:])) / n, 0.03, 0.15),
         vote(by[3] / solid, 0.1, 0.4),
-        GOOD if n >= 20 else BAD if n < 3 else NONE,
+        GOOD if n >= 20 else NONE,
     )
 
 
@@ -76,7 +78,7 @@ def pattern_of(vote_row: tuple[int, ...]) -> int:
 
 
 def label_model(patterns: np.ndarray, counts: np.ndarray, labellers: int, rounds: int = 200, smooth: float = 1.0) -> np.ndarray:
-    """Posterior of good by pattern: EM for a class prior and each labeller's chances of its three votes by class.
+    """Posterior of good by pattern: EM for a class prior and, by class, each labeller's chance of a good vote if it votes.
 
     It starts from the share of good votes among those given, so that the first class is the good one.
     """
@@ -84,7 +86,7 @@ def label_model(patterns: np.ndarray, counts: np.ndarray, labellers: int, rounds
     given = (digits != 1).sum(axis=1)
     good = np.where(given, (digits == 2).sum(axis=1) / np.maximum(given, 1), 0.5)
     post = np.clip(good, 0.05, 0.95)
-    hot = np.eye(3)[digits]  # pattern, labeller, vote
+    hot = np.eye(3)[digits][:, :, [0, 2]]  # pattern, labeller, vote given; no vote tells nothing
     for _ in range(rounds):
         weight = np.stack([post * counts, (1 - post) * counts])
         prior = (weight.sum(axis=1) + smooth) / (counts.sum() + 2 * smooth)

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import bpe
 from .common import table
+from .kneser_ney import held_out_scores
 from .packing import pack
 from .pii import pii
 from .quality import quality
@@ -21,6 +22,10 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii(table(spark, sf_dir, "documents"))
 
 
+def op7_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return held_out_scores(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
@@ -35,5 +40,5 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe(table(spark, sf_dir, "documents"), rank_file, public_tokenizers.PATTERN)
 
 
-QUERIES = {"op1_quality": op1_quality, "op4_pii": op4_pii, "op8_simhash": op8_simhash, "op9_packing": op9_packing, "op10_bpe": op10_bpe}
+QUERIES = {"op1_quality": op1_quality, "op4_pii": op4_pii, "op7_lm_scores": op7_lm_scores, "op8_simhash": op8_simhash, "op9_packing": op9_packing, "op10_bpe": op10_bpe}
 ORACLE_SQL: dict[str, str] = {}
