@@ -9,9 +9,8 @@ two of the differing bits together, so (nearest of the one, any key of the other
 of segments: at most 33 keys of 24 bits per fingerprint find every such pair. Candidates are verified
 by counting differing bits, so the links are exact: none is lost and none is wrong.
 
-Only distinct fingerprints are compared. Keys with one holder are dropped before anything is shuffled
-with its fingerprint; keys with many holders are split into blocks of bounded size, and each pair of
-blocks yields a star per connected group, never all pairs.
+Only distinct fingerprints are compared. Keys with many holders are split into blocks of bounded size,
+and each pair of blocks yields a star per connected group, never all pairs.
 """
 
 from __future__ import annotations
@@ -22,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, components, lower_ascii, runs, saved
+from .common import WORD, components, lower_ascii, saved
 
 #: Generator polynomial of the Golay code: x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1.
 GOLAY = 0b110001110101
@@ -31,6 +30,8 @@ SEGMENTS = ((0, 22), (22, 21), (43, 21))
 MAX_BITS = 4
 #: Fingerprints of one key that are compared in one block.
 BLOCK = 1024
+#: Up to so many fingerprints of a key, every linked pair is a row; among more, a star per group.
+FEW = 8
 
 
 @cache
@@ -128,32 +129,61 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(hashed, schema)
 
 
-def _stars(batches):
-    """Of each block pair, (u, v) with v the smallest fingerprint of u's group, for links within the pair of blocks."""
+def _star(fps: np.ndarray, blk: np.ndarray, across: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(u, v) with v the smallest fingerprint of u's group, for links among fingerprints (across: between two blocks)."""
+    order = np.argsort(fps)
+    fps, blk = fps[order], blk[order]
+    bits = fps.view(np.uint64)
+    near = np.bitwise_count(bits[:, None] ^ bits[None, :]) <= MAX_BITS
+    if across:
+        near &= blk[:, None] != blk[None, :]
+    np.fill_diagonal(near, True)
+    label = np.arange(len(fps))
+    while True:
+        new = label[np.where(near, label[None, :], len(fps)).min(axis=1)]
+        if (new == label).all():
+            break
+        label = new
+    linked = label != np.arange(len(fps))
+    return fps[linked], fps[label[linked]]
+
+
+def _links(batches):
+    """Links within each pair of blocks, from rows sorted by key and blocks: all pairs of a few, stars of more."""
     import pandas as pd
 
-    for group in runs(batches, ["key", "left", "right"]):
-        fps = group["fp"].to_numpy()
-        if len(fps) < 2:
-            continue
-        blk = group["blk"].to_numpy()
-        order = np.argsort(fps)
-        fps, blk = fps[order], blk[order]
-        bits = fps.view(np.uint64)
-        near = np.bitwise_count(bits[:, None] ^ bits[None, :]) <= MAX_BITS
-        if group["left"].iat[0] != group["right"].iat[0]:
-            near &= blk[:, None] != blk[None, :]
-        np.fill_diagonal(near, True)
-        if near.sum() == len(fps):
-            continue
-        label = np.arange(len(fps))
-        while True:
-            new = label[np.where(near, label[None, :], len(fps)).min(axis=1)]
-            if (new == label).all():
+    def found(rows: pd.DataFrame, cuts: np.ndarray) -> pd.DataFrame:
+        fps, blk = rows["fp"].to_numpy(), rows["blk"].to_numpy()
+        across = (rows["left"] != rows["right"]).to_numpy()
+        bits, run = fps.view(np.uint64), np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
+        size = np.diff(cuts)
+        few = ((size <= FEW) & ~across[cuts[:-1]])[run]
+        u, v = [], []
+        for lag in range(1, FEW):  # neighbours at each distance, over all short runs at once
+            if lag >= len(fps):
                 break
-            label = new
-        linked = label != np.arange(len(fps))
-        yield pd.DataFrame({"u": fps[linked], "v": fps[label[linked]]})
+            hit = few[lag:] & (run[lag:] == run[:-lag]) & (np.bitwise_count(bits[lag:] ^ bits[:-lag]) <= MAX_BITS)
+            u.append(fps[lag:][hit])
+            v.append(fps[:-lag][hit])
+        for r in np.flatnonzero((size > FEW) | across[cuts[:-1]] & (size > 1)):
+            at = slice(cuts[r], cuts[r + 1])
+            a, b = _star(fps[at], blk[at], across[cuts[r]])
+            u.append(a)
+            v.append(b)
+        return pd.DataFrame({"u": np.concatenate(u or [fps[:0]]), "v": np.concatenate(v or [fps[:0]])})
+
+    held = None
+    for pdf in batches:
+        rows = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+        if not len(rows):
+            continue
+        k = rows[["key", "left", "right"]].to_numpy()
+        cuts = np.concatenate(([0], np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1))
+        held = rows.iloc[cuts[-1] :]
+        if len(cuts) > 1:
+            yield found(rows.iloc[: cuts[-1]], cuts)
+    if held is not None and len(held):
+        yield found(held, np.array([0, len(held)]))
 
 
 def fingerprint_links(prints: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -168,16 +198,15 @@ def fingerprint_links(prints: DataFrame, block: int = BLOCK) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int32)), pa.array(fps[rows])], names=["key", "fp"])
 
     keys = prints.select("fp").mapInArrow(keyed, "key int, fp bigint")
-    held = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    blocks = F.ceil(F.col("n") / block).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    large = keys.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > block)
+    blocks = F.coalesce(F.ceil(F.col("n") / block).cast("int"), F.lit(1))
     cells = (
-        keys.join(held, "key")
+        keys.join(large, "key", "left")
         .select("key", "fp", blocks.alias("blocks"), F.pmod(F.hash("fp"), blocks).alias("blk"))
-        .select("key", "fp", "blk", other.alias("other"))
+        .select("key", "fp", "blk", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
         .select("key", "fp", "blk", F.least("blk", "other").alias("left"), F.greatest("blk", "other").alias("right"))
     )
-    return cells.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right").mapInPandas(_stars, "u bigint, v bigint")
+    return cells.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right").mapInPandas(_links, "u bigint, v bigint")
 
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
