@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import bpe
+from .caps import near_vectors
 from .common import table
 from .kneser_ney import held_out_scores
 from .packing import pack
@@ -18,6 +19,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"))
 
 
+def op2_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii(table(spark, sf_dir, "documents"))
 
@@ -40,5 +45,5 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe(table(spark, sf_dir, "documents"), rank_file, public_tokenizers.PATTERN)
 
 
-QUERIES = {"op1_quality": op1_quality, "op4_pii": op4_pii, "op7_lm_scores": op7_lm_scores, "op8_simhash": op8_simhash, "op9_packing": op9_packing, "op10_bpe": op10_bpe}
+QUERIES = {"op1_quality": op1_quality, "op2_near_vectors": op2_near_vectors, "op4_pii": op4_pii, "op7_lm_scores": op7_lm_scores, "op8_simhash": op8_simhash, "op9_packing": op9_packing, "op10_bpe": op10_bpe}
 ORACLE_SQL: dict[str, str] = {}
