@@ -9,10 +9,13 @@ from .bpe import bpe
 from .caps import near_vectors
 from .common import table
 from .kneser_ney import held_out_scores
+from .licences import licences
 from .packing import pack
 from .pii import pii
 from .quality import quality
 from .simhash import simhash_groups
+from .topk import top_products
+from .urls import judge_urls
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,10 +26,22 @@ def op2_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii(table(spark, sf_dir, "documents"))
 
 
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences(table(spark, sf_dir, "documents"))
+
+
+def op6_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_products(table(spark, sf_dir, "embeddings"))
+
+
 def op7_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return held_out_scores(table(spark, sf_dir, "documents"))
 
@@ -45,5 +60,16 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe(table(spark, sf_dir, "documents"), rank_file, public_tokenizers.PATTERN)
 
 
-QUERIES = {"op1_quality": op1_quality, "op2_near_vectors": op2_near_vectors, "op4_pii": op4_pii, "op7_lm_scores": op7_lm_scores, "op8_simhash": op8_simhash, "op9_packing": op9_packing, "op10_bpe": op10_bpe}
+QUERIES = {
+    "op1_quality": op1_quality,
+    "op2_near_vectors": op2_near_vectors,
+    "op3_urls": op3_urls,
+    "op4_pii": op4_pii,
+    "op5_licences": op5_licences,
+    "op6_top_products": op6_top_products,
+    "op7_lm_scores": op7_lm_scores,
+    "op8_simhash": op8_simhash,
+    "op9_packing": op9_packing,
+    "op10_bpe": op10_bpe,
+}
 ORACLE_SQL: dict[str, str] = {}
