@@ -1 +1 @@
-
+"""Column functions: nothing here reads data or shuffles."""

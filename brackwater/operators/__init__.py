@@ -1 +1 @@
-
+"""DataFrame operators: functions of DataFrames to DataFrames."""

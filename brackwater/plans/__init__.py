@@ -1 +1 @@
-
+"""Registered queries and their SQL."""

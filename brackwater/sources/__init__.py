@@ -1 +1 @@
-
+"""Readers, writers and the domain tables."""
