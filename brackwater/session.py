@@ -18,4 +18,4 @@ def session(master: str | None = None, **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName("brackwater")
     if master:
         builder = builder.master(master)
-    return builder.config(map=SETTINGS | {k.replace("_", "."): v for k, v in settings.items()}).getOrCreate()
+    return builder.config(map=SETTINGS | settings).getOrCreate()
