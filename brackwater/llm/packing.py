@@ -100,7 +100,7 @@ def deal_windows(lengths: dict[str, int], shares: dict[str, float], deficits: di
         room, parts = size, []
         for s in left:
             credit[s] += shares.get(s, 0.0) * size
-        for s in list(left):
+        for s in sorted(left, key=lambda s: (-credit[s], s)):  # those that are owed most come first
             take = min(int(credit[s]), left[s], room)
             if take >= min(least, left[s], room) and take > 0:
                 parts.append((s, take))

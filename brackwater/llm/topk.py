@@ -38,16 +38,13 @@ def _top(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
 
 
 def _products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Inner products of integer matrices held as doubles, exact; as an int64 matrix.
-
-    A product beyond 64 bits raises OverflowError.
-    """
+    """Inner products of integer matrices held as doubles, exact; as an int64 matrix, limited to its range."""
     if not queries.size or not vectors.size:
         return np.zeros((len(queries), len(vectors)), np.int64)
     if np.abs(queries).max() * np.abs(vectors).max() * queries.shape[1] < EXACT:
         return (queries @ vectors.T).astype(np.int64)
     exact = np.array([[int(x) for x in row] for row in queries], object) @ np.array([[int(x) for x in row] for row in vectors], object).T
-    return exact.astype(np.int64)
+    return np.maximum(np.minimum(exact, (1 << 63) - 1), -(1 << 63)).astype(np.int64)
 
 
 def _padded(m: np.ndarray, width: int) -> np.ndarray:
@@ -61,8 +58,8 @@ def top_products(vectors: DataFrame, every: int = 100, k: int = 10, scale: float
     query_id, rank (from 1), vec_id and score; all others, if fewer than k. Ties go to smaller ids. Rows
     with a null id and vectors that are null or hold null or non-finite components take no part. Of rows
     that repeat, each is a candidate, and each that is a query has its own result, against all rows but
-    itself. Vectors of different widths are multiplied as if zeros followed the shorter. No rows: no rows.
-    Other columns are not read.
+    itself. Vectors of different widths are multiplied as if zeros followed the shorter. Scores
+    beyond 64 bits count as the nearest 64-bit number. No rows: no rows. Other columns are not read.
     """
     vector = F.col(vector_col)
     rows = vectors.where(F.col(id_col).isNotNull() & finite(vector)).select(F.col(id_col).cast("long").alias("id"), vector.cast("array<double>").alias("vector"))
@@ -137,10 +134,10 @@ def top_products(vectors: DataFrame, every: int = 100, k: int = 10, scale: float
                 q_lead, q_rest, q_length = split(q)
                 lead_m, rest, length = split(m)
                 slack = 1e-9 * q_length.max(initial=0) * length.max(initial=0) + 1e-6
-                live = np.flatnonzero(q_length * length.max(initial=0) + slack >= bounds)
+                live = np.flatnonzero(~(q_length * length.max(initial=0) + slack < bounds))  # not a number rules nothing out
                 if not len(live):
                     continue
-                hope = q_lead[live] @ lead_m.T + q_rest[live, None] * rest[None, :] + slack >= bounds[live, None]
+                hope = ~(q_lead[live] @ lead_m.T + q_rest[live, None] * rest[None, :] + slack < bounds[live, None])
                 vec_any = np.flatnonzero(hope.any(axis=0))
                 if not len(vec_any):
                     continue

@@ -1,0 +1,29 @@
+"""The pipeline's stages on their own input, and as a whole."""
+
+import corpus_pipeline as pipeline
+from brackwater.llm import pii, simhash
+
+SF = "/root/testdata/sf0.001"
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def test_stages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select(*COLUMNS)
+    assert 4 <= len(pipeline.STAGES) <= 5
+    kept = pipeline.keep_quality(spark, docs, SF)
+    assert kept.schema == docs.schema and kept.exceptAll(docs).isEmpty() and 0 < kept.count() < docs.count()
+    groups = {r.doc_id: r.component_id for r in simhash.simhash_groups(docs).collect()}
+    alone = pipeline.drop_near_duplicates(spark, docs, SF)
+    assert alone.columns == COLUMNS and {r.doc_id for r in alone.collect()} == set(groups.values())
+    masked = pipeline.mask_personal_data(spark, docs, SF)
+    assert masked.schema.simpleString() == docs.schema.simpleString() and masked.count() == docs.count()
+    before = {r.doc_id: r.text for r in docs.collect()}
+    for r in masked.collect():
+        spans = pii.base_spans(before[r.doc_id])
+        assert all(before[r.doc_id][a:b] not in r.text for _, a, b in spans) and r.n_chars == len(r.text)
+        assert spans or r.text == before[r.doc_id]
+
+
+def test_run(spark):
+    rows = pipeline.run(spark, SF)
+    assert {"doc_id", "start", "length", "sequence_id", "offset"} <= set(rows.columns) and rows.count() > 0
