@@ -27,13 +27,13 @@ LONG_BYTES = 96
 LONG_STEPS = 24
 
 STEP_SHORT = """
-    select step + 1 as step, w, pos, case when hit then rank else id end as id from (
-        select *, coalesce(lag(hit) over (partition by w order by pos), false) as gone from (
-            select *, coalesce(key = min(key) over (partition by w), false) as hit, min(key) over (partition by w) as least from (
-                select p.*, m.rank, m.rank::bigint * 4294967296 + p.pos as key from (
-                    select step, w, pos, id, lead(id) over (partition by w order by pos) as next_id from t
-                ) p left join merges m on p.id = m.a and p.next_id = m.b)))
-    where least is not null and not gone
+    select * from (with pairs as materialized (
+        select p.*, m.rank, m.rank::bigint * 4294967296 + p.pos as key from (
+            select step, w, pos, id, lead(id) over win as next_id, lead(pos) over win as next_pos, lead(w) over win as next_w from t window win as (order by w, pos)
+        ) p left join merges m on p.id = m.a and p.next_id = m.b and p.w = p.next_w)
+    select p.step + 1 as step, p.w, p.pos, case when p.key = best.key then p.rank else p.id end as id
+    from pairs p join (select w, min(key) as key, arg_min(next_pos, key) as gone from pairs where key is not null group by w) best on p.w = best.w
+    where p.pos <> best.gone)
 """
 # Equal pairs that overlap form an island of neighbouring rows; every second row of it is a hit.
 STEP_LONG = """
@@ -51,7 +51,7 @@ STEP_LONG = """
 RECURSIVE = """
     create or replace temp table done as
     with recursive t(step, w, pos, id) as (select 0, w, pos, id from base union all {step})
-    select w, pos, id from (select *, max(step) over (partition by w) as last from t) where step = last
+    select t.w, t.pos, t.id from t join (select w, max(step) as last from t group by w) f on t.w = f.w and t.step = f.last
 """
 ORDERED = """
     select w, list(d.id order by pos) as ids, list(v.tok order by pos) as toks
