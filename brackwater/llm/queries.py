@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .bpe import bpe
 from .caps import near_vectors
 from .common import table
 from .kneser_ney import held_out_scores
 from .licences import licences
+from .oracle import ORACLE_SQL  # noqa: F401  handed on
 from .packing import pack
 from .pii import pii
 from .quality import quality
@@ -27,7 +29,7 @@ def op2_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge_urls(table(spark, sf_dir, "pages"))
+    return judge_urls(table(spark, sf_dir, "pages")).drop("purity")
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +37,7 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licences(table(spark, sf_dir, "documents"))
+    return licences(table(spark, sf_dir, "documents")).withColumn("probability", F.round("probability", 6))
 
 
 def op6_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,4 +74,3 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_bpe": op10_bpe,
 }
-ORACLE_SQL: dict[str, str] = {}
