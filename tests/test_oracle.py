@@ -12,7 +12,7 @@ import pytest
 from brackwater.plans import registry
 
 SF = "/root/testdata/sf0.001"
-TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE", "boolean": "BOOLEAN"}
+TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
 
 
 @pytest.fixture(scope="module")
