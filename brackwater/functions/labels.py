@@ -22,18 +22,13 @@ VEGETATED = (1, 2, 3, 4, 5)
 CLASSES = len(SUPERCLASS_RANGES)
 
 
-def _in_ranges(code: Column, ranges: list[tuple[int, int]]) -> Column:
-    out = F.lit(False)
-    for low, high in ranges:
-        out = out | code.between(low, high)
-    return out
-
-
 def _mapped(code: Column, classes: dict[int, list[tuple[int, int]]]) -> Column:
-    out = F.lit(None).cast("int")
+    """Class of a code by place in an array of 256, which is one literal in the plan; null for unmapped codes."""
+    by_code: list[int | None] = [None] * 256
     for name, ranges in classes.items():
-        out = F.when(_in_ranges(code, ranges), name).otherwise(out)
-    return out
+        for low, high in ranges:
+            by_code[low : high + 1] = [name] * (high + 1 - low)
+    return F.get(F.array(*[F.lit(c).cast("int") for c in by_code]), code)
 
 
 def superclass(code: Column) -> Column:

@@ -9,16 +9,17 @@ from ..functions.bands import stretch
 from ..functions.labels import CLASSES, weight_label
 
 
-def confusion(pixels: DataFrame, target: str = "target", pred: str = "pred", classes: int = CLASSES, by: str | None = None) -> DataFrame:
+def confusion(pixels: DataFrame, target: str = "target", pred: str = "pred", classes: int = CLASSES, by: str | None = None, count: str | None = None) -> DataFrame:
     """Counts by target and prediction, and by group too with `by`: its null row set is the whole.
 
-    Targets of 255, below 0 or beyond the classes are left out.
+    Targets of 255, below 0 or beyond the classes are left out. count names a column of counts if the rows are sums.
     """
+    n = (F.sum(count) if count else F.count("*")).alias("n")
     kept = pixels.where(F.col(target).between(0, classes - 1) & (F.col(target) != 255))
     if by is None:
-        return kept.groupBy(target, pred).agg(F.count("*").alias("n"))
+        return kept.groupBy(target, pred).agg(n)
     sets = kept.groupingSets([[F.col(by), F.col(target), F.col(pred)], [F.col(target), F.col(pred)]], F.col(by), F.col(target), F.col(pred))
-    return sets.agg(F.count("*").alias("n"))
+    return sets.agg(n)
 
 
 def class_iou(counts: DataFrame, target: str = "target", pred: str = "pred") -> DataFrame:

@@ -159,17 +159,19 @@ TARGETS = f"(select sat, {_ranges_sql('code', '255')} as target, pred from label
 
 
 def _targets(spark, d):
-    return t.labels(spark, d).select("sat", lab.weight_label(F.col("code")).alias("target"), "pred")
+    """Counts by satellite, label and prediction first, so that labels are mapped once per group."""
+    counts = t.labels(spark, d).groupBy("sat", "code", "pred").agg(F.count("*").alias("k"))
+    return counts.select("sat", lab.weight_label(F.col("code")).alias("target"), "pred", "k")
 
 
 @query(f"select target, pred, count(*) as n from {TARGETS} where target between 0 and 9 group by all", "label_pixels")
 def confusion_matrix(spark, d):
-    return metrics.confusion(_targets(spark, d))
+    return metrics.confusion(_targets(spark, d), count="k")
 
 
 @query(f"select sat, target, pred, count(*) as n from {TARGETS} where target between 0 and 9 group by grouping sets ((sat, target, pred), (target, pred))", "label_pixels")
 def confusion_rollup(spark, d):
-    return metrics.confusion(_targets(spark, d), by="sat")
+    return metrics.confusion(_targets(spark, d), by="sat", count="k")
 
 
 @query(
@@ -179,7 +181,7 @@ def confusion_rollup(spark, d):
     "label_pixels",
 )
 def miou(spark, d):
-    return metrics.mean_iou(metrics.confusion(_targets(spark, d))).select(F.round("miou", 9).alias("miou"))
+    return metrics.mean_iou(metrics.confusion(_targets(spark, d), count="k")).select(F.round("miou", 9).alias("miou"))
 
 
 @query(
