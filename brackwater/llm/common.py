@@ -12,6 +12,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.graph import linked
+
 #: A word is a run of anything but ASCII white space.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: str.translate table that lower-cases A-Z only.
@@ -92,24 +94,6 @@ def runs(batches: Iterator, keys: list[str]) -> Iterator:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """Connected components: edges (u, v long) to (node, root long), root being the smallest node reachable.
-
-    Each round takes the smallest label among the neighbours (a sum with map-side combine) and then
-    follows the label's own label, so that paths halve; rounds grow with the logarithm of the diameter.
-    Every round is written to the shared folder. No edges: no rows.
-    """
-    both = saved(edges.where("u <> v").select("u", "v").union(edges.where("u <> v").select("v", "u")).distinct(), "edges")
-    labels = both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.col("u")).alias("root"))
-    labels = saved(labels, "labels")
-    while True:
-        near = (
-            both.join(labels.withColumnRenamed("node", "v"), "v")
-            .groupBy(F.col("u").alias("node"))
-            .agg(F.min("root").alias("near"))
-        )
-        step = labels.join(near, "node").select("node", F.col("root").alias("was"), F.least("root", "near").alias("next"))
-        jump = labels.select(F.col("node").alias("next"), F.col("root").alias("beyond"))
-        new = saved(step.join(jump, "next").select("node", "was", F.least("next", "beyond").alias("root")), "labels")
-        labels = new.select("node", "root")
-        if new.where("was <> root").isEmpty():
-            return labels
+    """Connected components: edges (u, v long) to (node, root long) of the nodes that have edges, root being the smallest node reachable. No edges: no rows."""
+    found = linked(edges.select(F.col("u").alias("a"), F.col("v").alias("b")))
+    return found.select("node", F.col("component").alias("root"))
