@@ -97,7 +97,7 @@ def blob_name(uri: Column, bucket: str) -> Column:
 
 def comma_list(text: Column) -> Column:
     """Trimmed items of a comma-separated list, empty ones dropped."""
-    return F.filter(F.transform(F.split(text, ","), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(text, ","), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def parse_box(text: Column) -> Column:
