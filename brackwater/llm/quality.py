@@ -125,10 +125,10 @@ def features(words: list[str], vote_row: tuple[int, ...]) -> dict[int, float]:
     return out
 
 
-def train(rows: list[tuple[list[int], list[float], float]], rounds: int = 150, rate: float = 0.5, decay: float = 1e-5) -> np.ndarray:
+def train(rows: list[tuple[np.ndarray, np.ndarray, float]], rounds: int = 150, rate: float = 0.5, decay: float = 1e-5) -> np.ndarray:
     """Logistic regression with Adagrad on (buckets, values, probability of good); the last weight is the bias."""
-    idx = np.concatenate([np.array(i, np.int64) for i, _, _ in rows] or [np.zeros(0, np.int64)])
-    val = np.concatenate([np.array(v) for _, v, _ in rows] or [np.zeros(0)])
+    idx = np.concatenate([i for i, _, _ in rows] or [np.zeros(0, np.int32)])
+    val = np.concatenate([v for _, v, _ in rows] or [np.zeros(0, np.float32)])
     row = np.repeat(np.arange(len(rows)), [len(i) for i, _, _ in rows])
     target = np.array([q for _, _, q in rows])
     weights, seen = np.zeros(BUCKETS + 1), np.full(BUCKETS + 1, 1e-8)
@@ -177,16 +177,16 @@ def quality(
                 words = text.split() if text else []
                 row = votes(text or "", words, len(set(words)))
                 f = features(words, row)
-                got.append((list(f), list(f.values()), pattern_of(row)))
+                got.append((np.fromiter(f, "<i4", len(f)).tobytes(), np.fromiter(f.values(), "<f4", len(f)).tobytes(), pattern_of(row)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([g[0] for g in got], pa.list_(pa.int32())), pa.array([g[1] for g in got], pa.list_(pa.float32())), pa.array([g[2] for g in got], pa.int64())],
+                [pa.array([g[0] for g in got], pa.binary()), pa.array([g[1] for g in got], pa.binary()), pa.array([g[2] for g in got], pa.int64())],
                 names=["buckets", "shares", "pattern"],
             )
 
     share = sample / max(float(counts.sum()), 1.0)
     drawn = rows.where(F.pmod(F.xxhash64(F.col(id_col), F.monotonically_increasing_id()), F.lit(1_000_000)) < int(min(1.0, share) * 1_000_000)).limit(sample)
-    chosen = drawn.select("_text").mapInArrow(featured, "buckets array<int>, shares array<float>, pattern bigint").collect()
-    weights = train([(r["buckets"], r["shares"], posterior.get(r["pattern"], 0.5)) for r in chosen])
+    chosen = drawn.select("_text").mapInArrow(featured, "buckets binary, shares binary, pattern bigint").collect()
+    weights = train([(np.frombuffer(r["buckets"], "<i4"), np.frombuffer(r["shares"], "<f4"), posterior.get(r["pattern"], 0.5)) for r in chosen])
 
     names = [f.name for f in rows.schema if f.name != "_text"]
     fixed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text")
@@ -197,7 +197,7 @@ def quality(
         class Weights(dict):
             def __missing__(self, word: str) -> float:
                 got = float(weights[bucket(word.lower())] + weights[bucket(shape(word))])
-                if len(self) < 500_000:
+                if len(self) < 250_000:
                     self[word] = got
                 return got
 
