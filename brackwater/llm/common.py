@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -14,12 +13,6 @@ from pyspark.sql import functions as F
 
 from ..operators.graph import linked
 
-#: A word is a run of anything but ASCII white space.
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
-#: str.translate table that lower-cases A-Z only.
-ASCII_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -52,19 +45,12 @@ def local_path(uri: str) -> str | None:
     return parsed.path if parsed.scheme in ("", "file") else None
 
 
-def lower_ascii(text: str) -> str:
-    """A-Z to a-z and nothing else; the quick way where the text is ASCII."""
-    return text.lower() if text.isascii() else text.translate(ASCII_LOWER)
-
+def words_of(text: str | None) -> list[bytes]:
+    """The words of a text, runs of anything but ASCII white space, with A-Z lower-cased, in UTF-8; None counts as empty.
 
-def words_of(text: str | None) -> list[str]:
-    """Lower-cased (A-Z) words of a text; None counts as empty."""
-    return WORD.findall(lower_ascii(text)) if text else []
-
-
-def columns_of(batch) -> dict[str, list]:
-    """Python lists by column name of an Arrow batch."""
-    return {n: batch.column(i).to_pylist() for i, n in enumerate(batch.schema.names)}
+    Bytes lower-case and split by exactly those rules.
+    """
+    return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
 def runs(batches: Iterator, keys: list[str]) -> Iterator:

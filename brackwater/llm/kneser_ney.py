@@ -103,11 +103,11 @@ class Ids(dict):
         super().__init__()
         self.hashes = array("Q", [int(START), int(END)])  # 0 and 1
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         import xxhash
 
         got = self[word] = len(self.hashes)
-        self.hashes.append(xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), 7))
+        self.hashes.append(xxhash.xxh64_intdigest(word, 7))
         return got
 
 
@@ -316,12 +316,12 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
             for text in batch.column(0).to_pylist():
                 said.update(words_of(text))
         top = said.most_common(4 * shards)
-        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64()), pa.array([said.total()] * len(top), pa.int64())], names=["word", "n", "total"])
+        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.binary()), pa.array([n for _, n in top], pa.int64()), pa.array([said.total()] * len(top), pa.int64())], names=["word", "n", "total"])
 
     drawn = texts.where(F.pmod(F.xxhash64("text", F.monotonically_increasing_id()), F.lit(1_000_000)) < int(share * 1_000_000)).limit(SAMPLE)
-    often = drawn.coalesce(1).mapInArrow(sampled, "word string, n bigint, total bigint").where(F.col("n") * 4 * shards > F.col("total")).collect()
+    often = drawn.coalesce(1).mapInArrow(sampled, "word binary, n bigint, total bigint").where(F.col("n") * 4 * shards > F.col("total")).collect()
     ids = Ids()
-    common = np.array([ids.hashes[ids[r["word"]]] for r in often] + [int(START)], np.uint64)
+    common = np.array([ids.hashes[ids[bytes(r["word"])]] for r in often] + [int(START)], np.uint64)
 
     store = Store(shared_path(spark, "model"))
     blocks = texts.mapInArrow(_bigram_blocks(common, shards), "shard int, contexts binary, spans binary, words binary, counts binary")

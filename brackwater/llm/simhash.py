@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, components, lower_ascii, saved
+from .common import components, saved, words_of
 
 #: Generator polynomial of the Golay code: x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1.
 GOLAY = 0b110001110101
@@ -89,10 +89,9 @@ def text_fingerprint(text: str | None, shingle: int = 4) -> int:
     """SimHash of the word shingles, repeats included: a bit is set if over half the XXH64 hashes have it."""
     import xxhash
 
-    words = WORD.findall(lower_ascii(text)) if text else []
-    if not words:
+    parts = words_of(text)
+    if not parts:
         return 0
-    parts = [w.encode("utf-8", "surrogatepass") for w in words]
     if len(parts) <= shingle:
         return xxhash.xxh64_intdigest(b" ".join(parts), 42)
     joined = b" ".join(parts)
