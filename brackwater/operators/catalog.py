@@ -7,6 +7,7 @@ descending puts nulls first.
 from __future__ import annotations
 
 import datetime as dt
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -139,9 +140,19 @@ def scenes_near_casts(scenes: DataFrame, casts: DataFrame, radius_km: float = 50
 
 
 def scenes_near_cast(scenes: DataFrame, casts: DataFrame, cast: str, radius_km: float = 50.0, days: int = 30) -> DataFrame:
-    """J1 for one cast, by date."""
-    one = casts.where(F.col("cast_id") == cast)
-    return scenes_near_casts(scenes, one, radius_km, days).orderBy("acquisition_date", "scene_id")
+    """J1 for one cast, by date. The cast is looked up first, so that its box and dates are constants that reach the scan of scenes."""
+    out = ("scene_id", "sensor", "acquisition_date", "minx", "miny", "maxx", "maxy")
+    row = casts.where(F.col("cast_id") == cast).select("sample_date", "lon", "lat").first()
+    if row is None or None in row:
+        return scenes.where(F.lit(False)).select(F.lit(cast).alias("cast_id"), *out[:3], F.lit(0.0).alias("distance_km"))
+    reach = radius_km / 110.0
+    wide = reach / max(math.cos(math.radians(min(abs(row["lat"]) + reach, 89.0))), 0.01)
+    box = (row["lon"] - wide, row["lat"] - reach, row["lon"] + wide, row["lat"] + reach)
+    dates = F.col("acquisition_date").between(row["sample_date"] - dt.timedelta(days), row["sample_date"] + dt.timedelta(days))
+    near = scenes.where((F.col("status") == "active") & dates & boxes_meet(box))
+    distance = km_to_box(F.lit(row["lon"]), F.lit(row["lat"]), *[F.col(c) for c in out[3:]])
+    found = near.select(F.lit(cast).alias("cast_id"), *out[:3], distance.alias("distance_km")).where(F.col("distance_km") <= radius_km)
+    return found.orderBy("acquisition_date", "scene_id")
 
 
 def unprocessed_scenes(scenes: DataFrame, products: DataFrame, task: str, parameters: dict | None = None) -> DataFrame:

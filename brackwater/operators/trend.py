@@ -19,9 +19,20 @@ def yearly_fraction(masks: DataFrame, keys: list[str], class_value: float = 1.0,
     own = masks.groupBy(*keys, year).agg(F.avg(F.when(F.col(value) == class_value, 1.0).otherwise(0.0)).alias("fraction"))
     if not dense:
         return own
-    spans = own.groupBy(*keys).agg(F.min(year).alias("_a"), F.max(year).alias("_b"))
-    spine = spans.select(*keys, F.explode(F.sequence("_a", "_b")).alias(year))
-    return spine.join(own, [*keys, year], "left")
+    years = _by_year(own, keys, year)
+    return years.select(*keys, F.explode("_years").alias(year), "_m").select(*keys, year, F.try_element_at("_m", F.col(year)).alias("fraction"))
+
+
+def _by_year(fractions: DataFrame, keys: list[str], year: str) -> DataFrame:
+    """keys, all years between a key's first and last (_years) and its values by year (_m): one shuffle, no join with a spine."""
+    held = F.map_from_entries(F.collect_list(F.struct(year, "fraction"))).alias("_m")
+    return fractions.groupBy(*keys).agg(held, F.sequence(F.min(year), F.max(year)).alias("_years"))
+
+
+def yearly_series(masks: DataFrame, keys: list[str], class_value: float = 1.0, year: str = "year", value: str = "value") -> DataFrame:
+    """keys and series, the yearly fractions in order with gaps as nulls."""
+    own = yearly_fraction(masks, keys, class_value, year, value, dense=False)
+    return _by_year(own, keys, year).select(*keys, F.transform("_years", lambda y: F.try_element_at("_m", y)).alias("series"))
 
 
 def series(fractions: DataFrame, keys: list[str], year: str = "year", value: str = "fraction") -> DataFrame:
@@ -115,10 +126,14 @@ def mann_kendall(df: DataFrame, ys: str = "series", longest: int = EXACT) -> Dat
 
 def pixel_trend(fractions: DataFrame, keys: list[str], year: str = "year", value: str = "fraction", alpha: float = 0.05) -> DataFrame:
     """keys, n, slope, pval and significant of each key's yearly series (A4, A5): one shuffle by key."""
-    out = mann_kendall(series(fractions, keys, year, value))
+    return _tested(series(fractions, keys, year, value), keys, alpha)
+
+
+def _tested(df: DataFrame, keys: list[str], alpha: float) -> DataFrame:
+    out = mann_kendall(df)
     return out.select(*keys, F.size("series").alias("n"), theil_sen(F.col("series")).alias("slope"), "pval", (F.col("pval") < alpha).alias("significant"))
 
 
 def trend_heatmap(masks: DataFrame, keys: list[str], class_value: float = 1.0, alpha: float = 0.05) -> DataFrame:
     """Masks (keys, year, value) to a table that a heatmap draws."""
-    return pixel_trend(yearly_fraction(masks, keys, class_value), keys, alpha=alpha)
+    return _tested(yearly_series(masks, keys, class_value), keys, alpha)

@@ -26,24 +26,20 @@ KENDALL = f"""kendall as (select pixel, sum(s) as s from pairs group by pixel),
     tested as (select *, case when gaps > 0 then 1.0::double else least(1.0::double, coalesce(exact_p, case when variance > 0 then (select {ERFC} from (select abs(s) / sqrt(variance) / sqrt(2.0::double) as x)) end, 1.0::double)) end as pval from joined)"""
 
 
-def _fractions(spark, d):
-    return trend.yearly_fraction(t.masks(spark, d), ["pixel"])
-
-
 @query(f"with {FRACTIONS} select pixel, year, round(fraction, 9) as fraction from f", "masks")
 def yearly_fraction(spark, d):
-    return _fractions(spark, d).select("pixel", "year", F.round("fraction", 9).alias("fraction"))
+    return trend.yearly_fraction(t.masks(spark, d), ["pixel"]).select("pixel", "year", F.round("fraction", 9).alias("fraction"))
 
 
 @query(f"with {FRACTIONS}, {SERIES}, {SLOPES} select w.pixel, case when gaps = 0 and high > low then round(slope, 9) end as slope from whole w left join slopes using (pixel)", "masks")
 def theil_sen(spark, d):
-    out = trend.series(_fractions(spark, d), ["pixel"])
+    out = trend.yearly_series(t.masks(spark, d), ["pixel"])
     return out.select("pixel", F.round(trend.theil_sen(F.col("series")), 9).alias("slope"))
 
 
 @query(f"with {FRACTIONS}, {SERIES}, {KENDALL} select pixel, s::double as s, round(pval, 6) as pval from tested", "masks")
 def mann_kendall(spark, d):
-    return trend.mann_kendall(trend.series(_fractions(spark, d), ["pixel"])).select("pixel", "s", F.round("pval", 6).alias("pval"))
+    return trend.mann_kendall(trend.yearly_series(t.masks(spark, d), ["pixel"])).select("pixel", "s", F.round("pval", 6).alias("pval"))
 
 
 @query(
