@@ -18,6 +18,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import short_batches
+
 #: Pieces kept per generation of a worker's cache; two generations are held, so memory is bounded.
 CACHE = 600_000
 #: Bytes of pieces in one recursive query; longer pieces go alone.
@@ -184,6 +186,7 @@ def bpe(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", t
     executor. A null text counts as empty: no tokens. Repeated rows and null ids give a row each; other
     columns of docs, whatever their names, are not read.
     """
+    short_batches(docs)
     id_type = docs.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {id_type}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     if keep_ids:

@@ -27,6 +27,13 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def short_batches(df: DataFrame, rows: int = 1_000) -> None:
+    """Have Arrow hand texts over in short batches, unless the session says otherwise: texts are long, and a batch is held on both sides."""
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+
+
 def shared_path(spark: SparkSession, kind: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"

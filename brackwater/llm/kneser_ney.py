@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import local_path, runs, saved, shared_path, words_of
+from .common import local_path, runs, saved, shared_path, short_batches, words_of
 
 #: Hashes of the start (a context only) and the end of a text, which are no words.
 START, END = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -302,6 +302,7 @@ class Model:
 
 def train(docs: DataFrame, text_col: str = "text") -> Model:
     """Count the model over all texts of docs. Null texts count as empty. No rows: every word is equally likely."""
+    short_batches(docs)
     texts = docs.select(F.col(text_col).alias("text"))
     spark = docs.sparkSession
     size = texts.agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars")).first()
@@ -353,22 +354,30 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     def scored(batches):
         import pyarrow as pa
 
+        held: list = []  # batches whose texts wait for their block to fill
+        ids, tokens, size = Ids(), [], 0
+
+        def flush():
+            known, base, own = model.score(tokens, np.frombuffer(ids.hashes, np.uint64))
+            whole = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            n = np.array([len(t) for t in tokens], np.int64)
+            return pa.RecordBatch.from_arrays(
+                [whole.column(0), whole.column(1), pa.array(n), pa.array(known), pa.array(base), pa.array(own)],
+                names=[id_col, "_flag", "n_tokens", "n_known", "base_score", "score"],
+            )
+
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            ids, tokens, size, lo = Ids(), [], 0, 0
-            for hi, text in enumerate(texts, 1):
-                tokens.append(_numbers(text, ids))
-                size += len(tokens[-1])
-                if size < SCORE_TOKENS and hi < len(texts):
-                    continue
-                known, base, own = model.score(tokens, np.frombuffer(ids.hashes, np.uint64))
-                n = np.array([len(t) for t in tokens], np.int64)
-                part = batch.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(2), pa.array(n), pa.array(known), pa.array(base), pa.array(own)],
-                    names=[id_col, "_flag", "n_tokens", "n_known", "base_score", "score"],
-                )
-                ids, tokens, size, lo = Ids(), [], 0, hi
+            for lo in range(0, batch.num_rows, 100):
+                part = batch.slice(lo, 100)
+                held.append(part.select([0, 2]))
+                new = [_numbers(text, ids) for text in part.column(1).to_pylist()]
+                tokens += new
+                size += sum(map(len, new))
+                if size >= SCORE_TOKENS:
+                    yield flush()
+                    held, ids, tokens, size = [], Ids(), [], 0
+        if held:
+            yield flush()
 
     out = rows.mapInArrow(scored, f"{fixed}, _flag boolean, n_tokens bigint, n_known bigint, base_score double, score double")
     return out.select(

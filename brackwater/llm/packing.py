@@ -21,50 +21,56 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import runs, saved
+from .bpe import load_ranks
+from .common import runs, saved, short_batches
 
 #: Tokens that a shard holds on average; a task holds one shard's ids in memory.
 SHARD_TOKENS = 2_000_000
 #: A queue is served once it has this many tokens of credit, so that pieces don't get tiny.
 LEAST_PIECE = 256
-_WORKER: dict[str, tuple] = {}
+_WORKER: dict[str, object] = {}
 
 
-def _tokenizer(path: str, rank_file: str, pattern: str) -> tuple:
-    """The tokenizer of a file, and a quicker encoder of the same vocabulary, given as ranks and a splitting pattern."""
+def _tokenizer(path: str):
     if path not in _WORKER:
-        import tiktoken
         from tokenizers import Tokenizer
 
-        from .bpe import load_ranks
-
-        quick = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=load_ranks(rank_file), special_tokens={})
-        _WORKER[path] = (Tokenizer.from_file(path), quick)
+        _WORKER[path] = Tokenizer.from_file(path)
     return _WORKER[path]
 
 
+def _encoder(rank_file: str, pattern: str):
+    if rank_file not in _WORKER:
+        import tiktoken
+
+        _WORKER[rank_file] = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=load_ranks(rank_file), special_tokens={})
+    return _WORKER[rank_file]
+
+
 def tokenized(docs: DataFrame, tokenizer_file: str, rank_file: str, pattern: str, end_id: int, id_col: str, text_col: str, source_col: str) -> DataFrame:
     """key (the id as text), source, place (a hash that deals rows out), n (ids with the end), ids (little-endian 16- or 32-bit binary).
 
     The encoder of the rank file gives the tokenizer's ids on any text without the string of a special
     token (the tests compare them over all code points); the tokenizer itself takes the texts that have one.
     """
+    short_batches(docs)
     schema = "key string, source string, place bigint, n bigint, ids binary"
+    whole = _tokenizer(tokenizer_file)
+    code, width = ("H", 2) if whole.get_vocab_size() <= 1 << 16 else ("I", 4)
+    special = [t.content for t in whole.get_added_tokens_decoder().values()]
 
     def encode(batches):
         from array import array
 
         import pyarrow as pa
 
-        tok, quick = _tokenizer(tokenizer_file, rank_file, pattern)
-        code, width = ("H", 2) if tok.get_vocab_size() <= 1 << 16 else ("I", 4)
-        special = [t.content for t in tok.get_added_tokens_decoder().values()]
+        quick = _encoder(rank_file, pattern)
 
         def ids(text: str | None) -> bytes:
             if not text:
                 own = []
             elif any(s in text for s in special):
-                own = tok.encode(text, add_special_tokens=False).ids
+                own = _tokenizer(tokenizer_file).encode(text, add_special_tokens=False).ids
             else:
                 own = quick.encode_ordinary(text)
             out = array(code, own)
@@ -74,13 +80,11 @@ def tokenized(docs: DataFrame, tokenizer_file: str, rank_file: str, pattern: str
             return out.tobytes()
 
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1000):
-                part = batch.slice(lo, 1000)
-                out = [ids(t) for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(2), part.column(3), pa.array([len(x) // width for x in out], pa.int64()), pa.array(out, pa.binary())],
-                    names=["key", "source", "place", "n", "ids"],
-                )
+            out = [ids(t) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(2), batch.column(3), pa.array([len(x) // width for x in out], pa.int64()), pa.array(out, pa.binary())],
+                names=["key", "source", "place", "n", "ids"],
+            )
 
     place = F.xxhash64(F.col(id_col), F.monotonically_increasing_id())
     source = F.coalesce(F.col(source_col).cast("string"), F.lit(""))

@@ -24,7 +24,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import saved, short_batches
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -46,7 +46,7 @@ TERM_CHARS = 64
 #: At most so many disclosing terms are sent to every task; more reach the texts by a join.
 SENT_TERMS = 100_000
 #: Terms counted in a task before their partial sums go out.
-PARTIAL = 300_000
+PARTIAL = 150_000
 
 
 def luhn(digits: str) -> bool:
@@ -104,6 +104,7 @@ def surroundings(text: str, start: int, end: int, words: int) -> list[str]:
 
 def disclosing_terms(docs: DataFrame, text_col: str = "text", context: int = CONTEXT_WORDS, support: int = SUPPORT, threshold: float = THRESHOLD) -> DataFrame:
     """term, entity, disclosure: what discloses a protected entity of the corpus. Counts are over all documents."""
+    short_batches(docs)
     schema = "entity string, term string, context bigint, n bigint"
 
     def counted(batches):

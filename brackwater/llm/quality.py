@@ -17,6 +17,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import short_batches
+
 #: Documents that train the scorer, at most (drawn by a hash over all rows); the label model counts all.
 SAMPLE = 6_000
 #: Buckets of the hashed features.
@@ -150,6 +152,7 @@ def quality(
     kept (score >= threshold); keep names further columns of docs to carry along. Null and texts without
     words have score 0 and are not kept. Null ids and repeated rows give a row each. No rows: no rows.
     """
+    short_batches(docs)
     carried = [c for c in (keep or []) if c != id_col]
     rows = docs.select(F.col(id_col), *[F.col(c).alias(f"_keep_{i}") for i, c in enumerate(carried)], F.col(text_col).alias("_text"))
 
@@ -197,7 +200,7 @@ def quality(
         class Weights(dict):
             def __missing__(self, word: str) -> float:
                 got = float(weights[bucket(word.lower())] + weights[bucket(shape(word))])
-                if len(self) < 250_000:
+                if len(self) < 150_000:
                     self[word] = got
                 return got
 

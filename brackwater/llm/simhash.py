@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, saved, words_of
+from .common import components, saved, short_batches, words_of
 
 #: Generator polynomial of the Golay code: x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1.
 GOLAY = 0b110001110101
@@ -116,6 +116,7 @@ def majority(hashes: np.ndarray) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
     """id_col and fp (long: the fingerprint's 64 bits as a signed number) for every row."""
+    short_batches(docs)
     schema = f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, fp bigint"
 
     def hashed(batches):
