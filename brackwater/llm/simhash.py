@@ -9,6 +9,10 @@ two of the differing bits together, so (nearest of the one, any key of the other
 of segments: at most 33 keys of 24 bits per fingerprint find every such pair. Candidates are verified
 by counting differing bits, so the links are exact: none is lost and none is wrong.
 
+near_copies() also links texts whose word shingles are similar although their fingerprints are further apart:
+at a Jaccard similarity of 0.8 some ten of the 64 bits differ, with a tail beyond any radius that has selective
+keys. Min-hash bands bring such texts together, and the shingle sets themselves decide.
+
 Only distinct fingerprints are compared. Keys with many holders are split into blocks of bounded size,
 and each pair of blocks yields a star per connected group, never all pairs.
 """
@@ -21,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, saved, short_batches, words_of
+from .common import components, runs, saved, short_batches, words_of
 
 #: Generator polynomial of the Golay code: x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1.
 GOLAY = 0b110001110101
@@ -32,6 +36,12 @@ MAX_BITS = 4
 BLOCK = 1024
 #: Up to so many fingerprints of a key, every linked pair is a row; among more, a star per group.
 FEW = 8
+#: near_copies: words of a shingle and least Jaccard similarity of their sets.
+SHINGLE, LEAST = 5, 0.8
+#: Min-hash bands that bring near copies together, and hashes of each: a pair at 0.8 shares none with a chance of 5e-8.
+BANDS, BAND_HASHES = 32, 4
+#: Shingle sets of one band key that are compared in one block.
+SETS = 256
 
 
 @cache
@@ -85,24 +95,26 @@ def fingerprint_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(keys)
 
 
-def text_fingerprint(text: str | None, shingle: int = 4) -> int:
-    """SimHash of the word shingles, repeats included: a bit is set if over half the XXH64 hashes have it."""
+def shingle_hashes(parts: list[bytes], shingle: int) -> np.ndarray:
+    """XXH64 hashes of the word shingles, repeats included; fewer words than a shingle has are one."""
     import xxhash
 
-    parts = words_of(text)
-    if not parts:
-        return 0
+    digest = xxhash.xxh64_intdigest
     if len(parts) <= shingle:
-        return xxhash.xxh64_intdigest(b" ".join(parts), 42)
+        return np.array([digest(b" ".join(parts), 42)] if parts else [], np.uint64)
     joined = b" ".join(parts)
     ends = np.cumsum([len(p) + 1 for p in parts]) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     n = len(parts) - shingle + 1
-    digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter(
+    return np.fromiter(
         [digest(joined[a:b], 42) for a, b in zip(starts[:n].tolist(), ends[shingle - 1 :].tolist(), strict=True)], np.uint64, n
     )
-    return majority(hashes)
+
+
+def text_fingerprint(text: str | None, shingle: int = 4) -> int:
+    """SimHash of the word shingles, repeats included: a bit is set if over half the XXH64 hashes have it."""
+    hashes = shingle_hashes(words_of(text), shingle)
+    return majority(hashes) if len(hashes) else 0
 
 
 def majority(hashes: np.ndarray) -> int:
@@ -226,3 +238,145 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return prints.join(by_print, "fp").select(
         F.col(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+@cache
+def _mixers() -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(80)
+    return tuple(rng.integers(0, 1 << 64, BANDS * BAND_HASHES, np.uint64, endpoint=False) | np.uint64(1) for _ in range(2))
+
+
+def band_keys(hashes: np.ndarray) -> np.ndarray:
+    """BANDS keys of a set of shingle hashes, each of BAND_HASHES minima; none for the empty set."""
+    if not len(hashes):
+        return np.empty(0, np.int64)
+    times, plus = _mixers()
+    least = np.full(len(times), np.iinfo(np.uint64).max, np.uint64)
+    for lo in range(0, len(hashes), 1 << 12):  # bounded memory whatever the text's length
+        part = hashes[None, lo : lo + (1 << 12)]
+        least = np.minimum(least, (part * times[:, None] + plus[:, None]).min(axis=1))
+    key = np.arange(1, BANDS + 1, dtype=np.uint64)
+    for column in least.reshape(BANDS, BAND_HASHES).T:
+        key = (key ^ column) * np.uint64(0x9E3779B97F4A7C15)
+        key ^= key >> np.uint64(29)
+    return key.view(np.int64)
+
+
+def _similar(least: float):
+    """Links (u, v) between groups known so far, from rows sorted by band key and blocks."""
+    import pandas as pd
+
+    def run(batches):
+        for group in runs(batches, ["key", "left", "right"]):
+            unit, label, blk = (group[c].to_numpy().copy() for c in ("unit", "root", "blk"))
+            across = group["left"].iat[0] != group["right"].iat[0]
+            sets = [np.asarray(x) for x in group["shingles"]]
+            size = np.array([len(x) for x in sets])
+            words, place = np.unique(np.concatenate(sets), return_inverse=True)
+            starts = np.concatenate(([0], np.cumsum(size)[:-1]))
+            mark = np.zeros(len(words), np.int64)
+            u, v = [], []
+            for i in range(len(unit)):
+                todo = (label != label[i]) & (np.minimum(size, size[i]) >= least * np.maximum(size, size[i]))
+                todo[:i] = False
+                if across:
+                    todo &= blk != blk[i]
+                if not todo.any():
+                    continue
+                own = place[starts[i] : starts[i] + size[i]]
+                mark[own] = 1
+                both = np.add.reduceat(mark[place], starts)
+                mark[own] = 0
+                for j in np.flatnonzero(todo & (both >= least * (size + size[i] - both))):
+                    if label[j] != label[i]:
+                        u.append(unit[i])
+                        v.append(unit[j])
+                        label[label == label[j]] = label[i]
+            if u:
+                yield pd.DataFrame({"u": u, "v": v})
+
+    return run
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, least: float = LEAST) -> DataFrame:
+    """Group documents that simhash_groups() links or whose sets of word shingles have at least this Jaccard similarity, directly or over others.
+
+    Returns a row per row of docs: id_col and component_id, as simhash_groups() does. Texts are compared by their
+    words, so texts of the same words are one unit; each unit of a band key is compared with the key's smallest,
+    and where that leaves several groups in a key, all with all in blocks.
+    """
+    short_batches(docs)
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def unit_of(parts: list[bytes]) -> int:
+        import xxhash
+
+        return int(np.uint64(xxhash.xxh64_intdigest(b" ".join(parts), 7)).view(np.int64))
+
+    def sketched(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            unit, prints, bands = [], [], []
+            for text in batch.column(1).to_pylist():
+                parts = words_of(text)
+                unit.append(unit_of(parts))
+                prints.append(text_fingerprint(text))
+                bands.append(band_keys(np.unique(shingle_hashes(parts, shingle))))
+            prints = np.array(prints, np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(unit, pa.int64()), pa.array(prints), pa.array(bands, pa.list_(pa.int64()))], names=[id_col, "unit", "fp", "bands"])
+
+    def united(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            texts = batch.column(0)
+            yield pa.RecordBatch.from_arrays([pa.array([unit_of(words_of(t)) for t in texts.to_pylist()], pa.int64()), texts], names=["unit", "text"])
+
+    def shingled(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(words_of(t), shingle)).view(np.int64) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["unit", "shingles"])
+
+    texts = docs.select(F.col(id_col), F.col(text_col).alias("text"))
+    sketches = saved(texts.mapInArrow(sketched, f"`{id_col}` {kind}, unit bigint, fp bigint, bands array<bigint>"), "sketches")
+    units = saved(sketches.groupBy("unit").agg(F.min(id_col).alias("least_id"), F.first("fp").alias("fp"), F.first("bands").alias("bands")), "units")
+
+    reps = saved(units.groupBy("fp").agg(F.min("unit").alias("rep")), "distinct")
+    same = units.join(reps, "fp").where("unit <> rep").select(F.col("unit").alias("u"), F.col("rep").alias("v"))
+    close = fingerprint_links(reps).toDF("fp", "other").join(reps, "fp").select("other", F.col("rep").alias("u"))
+    close = close.join(reps.toDF("other", "v"), "other").select("u", "v")
+
+    keys = units.select("unit", F.explode("bands").alias("key"))
+    shared = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("unit").alias("rep")).where("n > 1")
+    held = saved(keys.join(shared, "key").select("key", "unit", "rep"), "bands")
+    wanted = held.select("unit").distinct()
+    named = texts.select("text").mapInArrow(united, "unit bigint, text string").join(wanted, "unit", "left_semi")
+    sets = saved(named.dropDuplicates(["unit"]).select("unit", "text").mapInArrow(shingled, "unit bigint, shingles array<bigint>"), "shingles")
+
+    pairs = held.where("unit <> rep").select(F.col("unit").alias("u"), F.col("rep").alias("v")).distinct()
+    pairs = pairs.join(sets.toDF("u", "a"), "u").join(sets.toDF("v", "b"), "v")
+    both = F.size(F.array_intersect("a", "b"))
+    first = pairs.where(both >= least * (F.size("a") + F.size("b") - both)).select("u", "v")
+    first = saved(same.union(close).union(first), "links")
+    roots = components(first)
+    rest = held.join(roots, held.unit == roots.node, "left").select("key", "unit", F.coalesce("root", "unit").alias("root"))
+    mixed = rest.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+    blocks = F.ceil(F.col("n") / SETS).cast("int")
+    cells = (
+        rest.join(mixed.select("key", blocks.alias("blocks")), "key")
+        .withColumn("blk", F.pmod(F.hash("unit"), F.col("blocks")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("key", F.least("blk", "other").alias("left"), F.greatest("blk", "other").alias("right"), "blk", "unit", "root")
+        .join(sets, "unit")
+    )
+    cells = cells.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right")
+    second = cells.mapInPandas(_similar(least), "u bigint, v bigint")
+
+    roots = components(first.union(second))
+    grouped = units.join(roots, units.unit == roots.node, "left").select("unit", "least_id", F.coalesce("root", "unit").alias("root"))
+    smallest = grouped.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    by_unit = grouped.join(smallest, "root").select("unit", "component_id")
+    return sketches.join(by_unit, "unit").select(F.col(id_col), "component_id")

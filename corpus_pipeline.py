@@ -15,7 +15,7 @@ from brackwater.llm.common import saved, table
 from brackwater.llm.packing import pack
 from brackwater.llm.pii import pii
 from brackwater.llm.quality import quality
-from brackwater.llm.simhash import simhash_groups
+from brackwater.llm.simhash import near_copies
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,9 +26,11 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest doc_id stays.
 
+    Near-duplicates are texts whose fingerprints differ in at most four bits, and texts whose sets of five-word
+    shingles have a Jaccard similarity of 0.8 or more.
     Rows of one doc_id are one document and stay or go together; rows without a doc_id stay.
     """
-    gone = simhash_groups(docs).where("doc_id <> component_id").select("doc_id").distinct()
+    gone = near_copies(docs).where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 

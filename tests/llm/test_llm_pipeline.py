@@ -1,5 +1,8 @@
 """The pipeline's stages on their own input, and as a whole."""
 
+import numpy as np
+import pytest
+
 import corpus_pipeline as pipeline
 from brackwater.llm import pii, simhash
 
@@ -27,3 +30,55 @@ def test_stages(spark):
 def test_run(spark):
     rows = pipeline.run(spark, SF)
     assert {"doc_id", "start", "length", "sequence_id", "offset"} <= set(rows.columns) and rows.count() > 0
+
+
+def shingle_set(text):
+    words = (text or "").lower().split()
+    return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+
+
+def survivors(rows):
+    """Ids of the smallest of each group over links at Jaccard 0.8 of five-word shingles or four bits, all pairs compared."""
+    sets, prints = {i: shingle_set(t) for i, t in rows}, {i: simhash.text_fingerprint(t) for i, t in rows}
+    root = {i: i for i in sets}
+    for i in sorted(sets):
+        for j in sorted(sets):
+            if j < i and root[i] != root[j]:
+                a, b = sets[i], sets[j]
+                if a == b or len(a & b) >= 0.8 * len(a | b) or (prints[i] ^ prints[j]).bit_count() <= 4:
+                    x, y = sorted((root[i], root[j]))
+                    root = {k: x if r == y else r for k, r in root.items()}
+    return set(root.values())
+
+
+def edited(words, rng, share):
+    out = list(words)
+    for at in rng.choice(len(out), max(1, round(share * len(out))), replace=False):
+        out[at] = f"new{rng.integers(1 << 40)}"
+    return out
+
+
+@pytest.mark.parametrize("sets", [256, 4])
+def test_near_copies_beyond_four_bits_go(spark, monkeypatch, sets):
+    monkeypatch.setattr(simhash, "SETS", sets)
+    rng = np.random.default_rng(5)
+    rows = []
+    for group in range(12):  # chains of copies on both sides of 0.8, some with a common passage
+        words = [f"g{group}w{rng.integers(1000)}" for _ in range(120)]
+        if group % 2:
+            words[:90] = [f"passage{k}" for k in range(90)]
+        for _ in range(6):
+            rows.append((len(rows), " ".join(words)))
+            words = edited(words, rng, rng.choice([0.01, 0.02, 0.03]))
+    rows += [(len(rows), None), (len(rows) + 1, ""), (len(rows) + 2, "a b"), (len(rows) + 3, "A  b")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    want = survivors(rows)
+    assert {r.doc_id for r in pipeline.drop_near_duplicates(spark, docs, SF).collect()} == want
+    narrow = {r.component_id for r in simhash.simhash_groups(docs).collect()}
+    assert want < narrow
+
+
+def test_near_copies_of_the_table(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select(*COLUMNS)
+    left = {r.doc_id for r in pipeline.drop_near_duplicates(spark, docs, SF).collect()}
+    assert left == survivors([(r.doc_id, r.text) for r in docs.collect()])
