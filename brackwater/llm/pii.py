@@ -94,12 +94,17 @@ def entity(kind: str, value: str) -> str:
     return kind + ":" + (value.lower() if kind in ("email", "ip") else "".join(c for c in value if c.isdigit()))
 
 
+def terms_of(text: str) -> set[str]:
+    """The distinct terms of a text, lower-cased one by one: what counts, what meets the texts and what is marked are the same."""
+    return {t.lower() for t in set(TERM.findall(text))}
+
+
 def surroundings(text: str, start: int, end: int, words: int) -> list[str]:
     """The terms within so many words of a span."""
     reach = words * (TERM_CHARS + 8)
-    left = TERM.findall(text[max(0, start - reach) : start].lower())[-words:]
-    right = TERM.findall(text[end : end + reach].lower())[:words]
-    return [t for t in left + right if len(t) <= TERM_CHARS]
+    left = TERM.findall(text[max(0, start - reach) : start])[-words:]
+    right = TERM.findall(text[end : end + reach])[:words]
+    return [t for t in map(str.lower, left + right) if len(t) <= TERM_CHARS]
 
 
 def disclosing_terms(docs: DataFrame, text_col: str = "text", context: int = CONTEXT_WORDS, support: int = SUPPORT, threshold: float = THRESHOLD) -> DataFrame:
@@ -134,7 +139,7 @@ def disclosing_terms(docs: DataFrame, text_col: str = "text", context: int = CON
             for text in batch.column(0).to_pylist():
                 if not text:
                     continue
-                terms.update({t for t in set(TERM.findall(text.lower())) if len(t) <= TERM_CHARS})
+                terms.update(t for t in terms_of(text) if len(t) <= TERM_CHARS)
                 near: dict[str, dict[str, int]] = {}
                 for kind, a, b in base_spans(text):
                     around = surroundings(text, a, b, context)
@@ -202,12 +207,21 @@ def pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", terms:
     few = terms.limit(SENT_TERMS + 1).count() <= SENT_TERMS
     sent = frozenset(r["term"] for r in terms.collect()) if few else frozenset()
     own = F.lit(None).cast("array<string>")
+
+    def said_terms(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            said = [[t for t in terms_of(text) if len(t) <= TERM_CHARS] if text else [] for text in batch.column("_text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_hash"), pa.array(said, pa.list_(pa.string()))], names=["_id", "_hash", "_terms"])
+
     rows = docs.select(F.col(id_col), *[F.col(c).alias(f"_keep_{i}") for i, c in enumerate(carried)], F.col(text_col).alias("_text"))
     if few:
         rows = rows.withColumn("_terms", own)
     else:  # terms meet the texts by (id, hash of the text), which tells repeated ids apart
         hashed = rows.withColumn("_hash", F.xxhash64("_text"))
-        said = hashed.select(F.col(id_col).alias("_id"), "_hash", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("_text"), F.lit(r"(?U)(\w+)"), F.lit(1)))).alias("term"))
+        split = hashed.select(F.col(id_col).alias("_id"), "_hash", "_text").mapInArrow(said_terms, f"_id {docs.schema[id_col].dataType.simpleString()}, _hash bigint, _terms array<string>")
+        said = split.select("_id", "_hash", F.explode("_terms").alias("term"))
         hits = said.join(terms, "term").groupBy("_id", "_hash").agg(F.collect_set("term").alias("_terms"))
         rows = hashed.join(hits, hashed[id_col].eqNullSafe(hits["_id"]) & hashed["_hash"].eqNullSafe(hits["_hash"]), "left").select(*rows.columns, "_terms")
 
@@ -227,7 +241,7 @@ def pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", terms:
                 base = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
                 look = set(mine) if mine else sent
                 extra = []
-                if look and text and not look.isdisjoint(TERM.findall(text.lower())):
+                if look and text and not look.isdisjoint(terms_of(text)):
                     taken = sorted((a, b) for _, a, b in spans)
                     for m in TERM.finditer(text):
                         if m.group().lower() in look and not any(a < m.end() and m.start() < b for a, b in taken):

@@ -428,6 +428,22 @@ def test_disclosing_terms(spark, monkeypatch, few):
     assert got[401].sanitised is None and got[7].sanitised == rows[7][1]
 
 
+@pytest.mark.parametrize("few", [True, False])
+def test_disclosing_terms_are_split_alike(spark, monkeypatch, few):
+    """Combining marks, superscripts and letters whose lower case depends on their neighbours, sent and joined."""
+    if not few:
+        monkeypatch.setattr(pii, "SENT_TERMS", 0)
+    texts = ["हिन्दी here", "area m² here", "ΟΔΟΣ.Α and ΟΔΟΣ", "İstanbul here", "plain", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    names = ["हिन्दी", "m²", "οδος", "İstanbul"]
+    terms = spark.createDataFrame([(t.lower(),) for n in names for t in pii.TERM.findall(n)], "term string")
+    got = {r.doc_id: r.spans for r in pii.pii(df, terms=terms).collect()}
+    for i, t in enumerate(texts):
+        words = {x.lower() for n in names for x in pii.TERM.findall(n)}
+        assert got[i] == ",".join(f"term:{m.start()}:{m.end()}" for m in pii.TERM.finditer(t or "") if m.group().lower() in words)
+    assert got[0] and got[1] and got[2].count("term") == 2 and got[3]
+
+
 # 5: licences
 
 
