@@ -1,13 +1,13 @@
 """Operator 4: personal data by patterns, and terms that disclose it by corpus co-occurrence.
 
 The patterns find e-mail addresses, IP addresses, payment cards and phone numbers; each distinct value
-is a protected entity e. A term t within a few words of e discloses it as far as their pointwise mutual
+is a protected entity e. A term t of the documents that hold e discloses it as far as their pointwise mutual
 information comes near e's own information content:
 
     PMI(e, t) / IC(e)  =  log(n(e,t) N / (n(e) n(t))) / log(N / n(e))  >=  threshold
 
-with counts of documents over the whole corpus. Support counts different surroundings, so that copies
-of one text don't make its words disclosing. Disclosing terms are spans too: generalised to a class.
+with counts of documents over the whole corpus, wherever in a document they stand. Copies of one text count
+once, and a pair must be significant over all pairs tested. Disclosing terms are spans too: generalised to a class.
 
 Two scans. The first counts (partial sums in the tasks, then one shuffle of counts); the second marks
 spans, with no shuffle while the disclosing terms are few enough to send to every task, which is
@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import saved, short_batches
+from .simhash import near_copies
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -35,10 +36,8 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TERM = re.compile(r"\w+")
 
-#: Words on either side of an entity that count as its surroundings.
-CONTEXT_WORDS = 6
-#: Different surroundings in which a term must stand with an entity.
-SUPPORT = 3
+#: Chance, over all pairs tested together, at which any pair is taken for disclosing that stands together by accident.
+CHANCE = 0.01
 #: Least share of the entity's information that a term must disclose.
 THRESHOLD = 0.9
 #: Longer terms are not looked at as disclosing ones, so that those sent to the tasks have bounded size.
@@ -99,76 +98,77 @@ def terms_of(text: str) -> set[str]:
     return {t.lower() for t in set(TERM.findall(text))}
 
 
-def surroundings(text: str, start: int, end: int, words: int) -> list[str]:
-    """The terms within so many words of a span."""
-    reach = words * (TERM_CHARS + 8)
-    left = TERM.findall(text[max(0, start - reach) : start])[-words:]
-    right = TERM.findall(text[end : end + reach])[:words]
-    return [t for t in map(str.lower, left + right) if len(t) <= TERM_CHARS]
+def distinct_texts(docs: DataFrame, text_col: str) -> DataFrame:
+    """Column text: every non-empty text once. Only texts that have copies are shuffled, by hash."""
+    texts = docs.select(F.col(text_col).alias("text")).where("text <> ''").withColumn("hash", F.xxhash64("text"))
+    copied = saved(texts.groupBy("hash").count().where("count > 1").select("hash"), "copied")
+    once = texts.join(copied, "hash", "left_anti")
+    more = texts.join(copied, "hash", "left_semi").groupBy("hash").agg(F.first("text").alias("text"))
+    return once.select("text").union(more.select("text"))
 
 
-def disclosing_terms(docs: DataFrame, text_col: str = "text", context: int = CONTEXT_WORDS, support: int = SUPPORT, threshold: float = THRESHOLD) -> DataFrame:
-    """term, entity, disclosure: what discloses a protected entity of the corpus. Counts are over all documents."""
+def disclosing_terms(docs: DataFrame, text_col: str = "text", chance: float = CHANCE, threshold: float = THRESHOLD) -> DataFrame:
+    """term, entity, disclosure: what discloses a protected entity of the corpus. Counts are over all distinct texts.
+
+    Of texts with entities that are near copies, one counts. A text's terms for its entities are all its distinct terms outside of entities. Chance is bounded by Hoeffding:
+    n(e,t) or more of n(e) texts hold t by accident with at most exp(-n(e) KL(n(e,t)/n(e) || n(t)/N)), which has to
+    stay below chance over the number of pairs tested. One text alone never is evidence: such entities aren't tested.
+    """
     short_batches(docs)
-    schema = "entity string, term string, context bigint, n bigint"
+    schema = "text string, entities array<string>, terms array<string>, term string, n bigint"
 
     def counted(batches):
         import pyarrow as pa
-        import xxhash
 
         terms: Counter = Counter()
+        strings = pa.list_(pa.string())
 
         def rows(found: list, final: bool):
-            if found or terms and (final or len(terms) > PARTIAL):
-                sums = list(terms.items()) if final or len(terms) > PARTIAL else []
-                if sums:
-                    terms.clear()
-                cols = list(zip(*found, strict=True)) if found else [[], [], [], []]
+            sums = list(terms.items()) if final or len(terms) > PARTIAL else []
+            if sums:
+                terms.clear()
+            if found or sums:
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([*cols[0], *[None] * len(sums)], pa.string()),
-                        pa.array([*cols[1], *[t for t, _ in sums]], pa.string()),
-                        pa.array([*cols[2], *[None] * len(sums)], pa.int64()),
-                        pa.array([*cols[3], *[n for _, n in sums]], pa.int64()),
+                        pa.array([*[x for x, _, _ in found], *[None] * len(sums)], pa.string()),
+                        pa.array([*[e for _, e, _ in found], *[None] * len(sums)], strings),
+                        pa.array([*[t for _, _, t in found], *[None] * len(sums)], strings),
+                        pa.array([*[None] * len(found), *[t for t, _ in sums]], pa.string()),
+                        pa.array([*[None] * len(found), *[n for _, n in sums]], pa.int64()),
                     ],
-                    names=["entity", "term", "context", "n"],
+                    names=["text", "entities", "terms", "term", "n"],
                 )
 
         for batch in batches:
             found: list = []
             for text in batch.column(0).to_pylist():
-                if not text:
-                    continue
                 terms.update(t for t in terms_of(text) if len(t) <= TERM_CHARS)
-                near: dict[str, dict[str, int]] = {}
-                for kind, a, b in base_spans(text):
-                    around = surroundings(text, a, b, context)
-                    mark = xxhash.xxh64_intdigest(" ".join(around).encode("utf-8", "replace")) >> 1
-                    own = near.setdefault(entity(kind, text[a:b]), {})
-                    for t in around:
-                        own.setdefault(t, mark)
-                for e, own in near.items():
-                    found.append((e, None, None, 1))
-                    found += [(e, t, mark, 1) for t, mark in own.items()]
+                spans = base_spans(text)
+                if spans:
+                    rest = _sanitised(text, [("", a, b) for _, a, b in spans]).replace("<>", " ")
+                    found.append((text, list({entity(k, text[a:b]) for k, a, b in spans}), [t for t in terms_of(rest) if len(t) <= TERM_CHARS]))
             yield from rows(found, False)
         yield from rows([], True)
 
-    counts = docs.select(text_col).mapInArrow(counted, schema).groupBy("entity", "term", "context").agg(F.sum("n").alias("n"))
-    counts = saved(counts, "terms")
-    total = docs.count()
-    pairs = (
-        counts.where("entity is not null and term is not null")
-        .groupBy("entity", "term")
-        .agg(F.sum("n").alias("both"), F.count("*").alias("contexts"))
-        .where(F.col("contexts") >= support)
-    )
-    entities = counts.where("entity is not null and term is null").select("entity", F.col("n").alias("n_entity"))
-    terms = counts.where("entity is null").select("term", F.col("n").alias("n_term"))
-    share = F.log(F.col("both") * F.lit(float(total)) / (F.col("n_entity") * F.col("n_term"))) / F.log(F.lit(float(total)) / F.col("n_entity"))
+    texts = distinct_texts(docs, text_col)
+    counts = saved(texts.mapInArrow(counted, schema), "terms")
+    total = float(docs.where(F.col(text_col) != "").select(F.xxhash64(text_col).alias("hash")).distinct().count())
+    holders = saved(counts.where("entities is not null").select(F.monotonically_increasing_id().alias("holder"), "text", "entities", "terms"), "holders")
+    alone = near_copies(holders, "holder").where("holder = component_id").select("holder")
+    holders = holders.join(alone, "holder", "left_semi").select("entities", "terms")
+    entities = saved(holders.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity")).where(f"n_entity > 1 and n_entity < {total}"), "entities")
+    pairs = holders.select(F.explode("entities").alias("entity"), "terms").join(entities.select("entity"), "entity").select("entity", F.explode("terms").alias("term"))
+    pairs = saved(pairs.groupBy("entity", "term").agg(F.count("*").alias("both")), "pairs")
+    tested = float(max(pairs.count(), 1))
+    terms = counts.where("term is not null").groupBy("term").agg(F.sum("n").alias("n_term"))
+    share = F.log(F.col("both") * F.lit(total) / (F.col("n_entity") * F.col("n_term"))) / F.log(F.lit(total) / F.col("n_entity"))
+    x, q = F.col("both") / F.col("n_entity"), F.col("n_term") / F.lit(total)
+    apart = x * F.log(x / q) + F.when(x < 1, (1 - x) * F.log((1 - x) / (1 - q))).otherwise(0.0)
     return (
-        pairs.join(entities, "entity")
-        .where(F.col("n_entity") < total)
+        pairs.where("both > 1")
+        .join(entities, "entity")
         .join(terms, "term")
+        .where((x > q) & (F.col("n_entity") * apart >= F.log(F.lit(tested / chance))))
         .select("term", "entity", share.alias("disclosure"))
         .where(F.col("disclosure") >= threshold)
     )

@@ -444,6 +444,21 @@ def test_disclosing_terms_are_split_alike(spark, monkeypatch, few):
     assert got[0] and got[1] and got[2].count("term") == 2 and got[3]
 
 
+def test_disclosing_terms_of_whole_documents(spark):
+    """A name at the head of a letter whose address stands far below, an entity of two documents, and copies."""
+    far = "plain words of a letter that goes on and on and on " * 20
+    rows = [f"Dear Quillfeather, {far} number{i} write to quill@x.org" for i in range(4)]
+    rows += [f"Brandywhistle {far} case{i} call +1 (168) 555-5254" for i in range(2)]
+    rows += [f"Copyname {far} mail copy@x.org"] * 9  # one text is no evidence
+    long = " ".join(f"nearname{i}" for i in range(400))
+    rows += [f"{long} mail near@x.org {'and so on ' * i}" for i in range(5)]  # nor are near copies of one
+    rows += [f"{far} other{i}" for i in range(2000)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(rows)], "doc_id long, text string")
+    terms = {(r.term, r.entity) for r in pii.disclosing_terms(df).collect()}
+    assert {("quillfeather", "email:quill@x.org"), ("brandywhistle", "phone:11685555254")} <= terms
+    assert not {"copyname", "nearname7", "plain", "number1", "case1"} & {t for t, _ in terms}
+
+
 # 5: licences
 
 
