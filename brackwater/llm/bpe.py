@@ -5,13 +5,17 @@ and encodes those in one recursive query: the rows are (piece, position, id), th
 table, and every step contracts the leftmost pair of least rank until no pair joins. An ordered
 aggregation puts the bytes of the ids together again. Pieces that are tokens as a whole are that
 token. No shuffle: texts stay in the partition that read them.
+
+Long pieces are encoded in chunks. A sequence of tokens is what the merges make of its bytes exactly if
+every two neighbours are what they make of those two's bytes: the first merge across a border of tokens
+would have been made among these two alone as well. So encoded stretches can be joined wherever
+the tokens on both sides of the joint stood next to each other in some encoded stretch over it.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-import tempfile
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -22,14 +26,12 @@ from .common import short_batches
 
 #: Pieces kept per generation of a worker's cache; two generations are held, so memory is bounded.
 CACHE = 600_000
-#: Bytes of pieces in one recursive query; longer pieces go alone.
+#: Bytes of chunks in one recursive query.
 CHUNK_BYTES = 400_000
-#: Pieces above this many bytes contract all equal pairs in a step, not only the leftmost.
-LONG_BYTES = 96
-#: Steps of one recursive query over long pieces; the next query goes on from its last step.
-LONG_STEPS = 24
+#: Pieces above this many bytes are encoded in chunks of so many, which are stitched where their tokens agree.
+CHUNK = 48
 
-STEP_SHORT = """
+STEP = """
     select * from (with pairs as materialized (
         select p.*, m.rank, m.rank::bigint * 4294967296 + p.pos as key from (
             select step, w, pos, id, lead(id) over win as next_id, lead(pos) over win as next_pos, lead(w) over win as next_w from t window win as (order by w, pos)
@@ -38,24 +40,11 @@ STEP_SHORT = """
     from pairs p join (select w, min(key) as key, arg_min(next_pos, key) as gone from pairs where key is not null group by w) best on p.w = best.w
     where p.pos <> best.gone)
 """
-# Equal pairs that overlap form an island of neighbouring rows; every second row of it is a hit.
-STEP_LONG = """
-    select step + 1 as step, w, pos, case when hit then rank else id end as id from (
-        select *, coalesce(lag(hit) over (partition by w order by pos), false) as gone from (
-            select *, least is not null and equal and (case when grows then (row_number() over (partition by w, equal, island order by pos)) % 2 = 1 else key = least end) as hit from (
-                select *, idx - row_number() over (partition by w, equal order by pos) as island from (
-                    select *, coalesce(rank = least // 4294967296, false) as equal from (
-                        select *, min(key) over (partition by w) as least from (
-                            select p.*, m.rank, m.grows, m.rank::bigint * 4294967296 + p.pos as key from (
-                                select step, w, pos, id, row_number() over (partition by w order by pos) as idx, lead(id) over (partition by w order by pos) as next_id from t
-                            ) p left join merges m on p.id = m.a and p.next_id = m.b))))))
-    where least is not null and not gone and step < {steps}
-"""
 RECURSIVE = """
     create or replace temp table done as
     with recursive t(step, w, pos, id) as (select 0, w, pos, id from base union all {step})
     select t.w, t.pos, t.id from t join (select w, max(step) as last from t group by w) f on t.w = f.w and t.step = f.last
-"""
+""".format(step=STEP)
 ORDERED = """
     select w, list(d.id order by pos) as ids, list(v.tok order by pos) as toks
     from done d join vocab v on d.id = v.id group by w
@@ -77,42 +66,38 @@ class DuckBpe:
             for i in range(1, len(tok))
             if tok[:i] in ranks and tok[i:] in ranks
         ]
-        merges = pd.DataFrame(rows, columns=["a", "b", "rank"])
-        # A merge grows if no pair with its result ranks lower: then equal pairs can be contracted together.
-        lower = set()
-        for a, b, rank in rows:
-            lower |= {x for x in (a, b) if rank < x}
-        merges["grows"] = ~merges["rank"].isin(lower)
+        merges = pd.DataFrame(rows, columns=["a", "b", "rank"])  # noqa: F841  read by the query below
         vocab = pd.DataFrame({"id": list(ranks.values()), "tok": list(ranks)})  # noqa: F841  read by the query below
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": tempfile.gettempdir()})
-        self.db.execute("create table merges as select a::int as a, b::int as b, rank::int as rank, grows from merges")
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        self.db.execute("create table merges as select a::int as a, b::int as b, rank::int as rank from merges")
         self.db.execute("create table vocab as select id::int as id, tok::blob as tok from vocab")
 
     def encode(self, pieces: list[str]) -> Iterator[tuple[str, bytes, bytes]]:
         """(piece, ids as little-endian 32-bit, bytes decoded from the ids) for each distinct piece."""
-        short: list[tuple[str, bytes]] = []
-        size = 0
+        short: dict[bytes, str] = {}
+        long: dict[bytes, str] = {}
         for piece in pieces:
             raw = piece.encode("utf-8", "surrogatepass")
             rank = self.ranks.get(raw)
             if rank is not None:
                 yield piece, rank.to_bytes(4, "little"), raw
-            elif len(raw) > LONG_BYTES:
-                yield from self._contract([(piece, raw)], long=True)
             else:
-                short.append((piece, raw))
-                size += len(raw)
-                if size >= CHUNK_BYTES:
-                    yield from self._contract(short, long=False)
-                    short, size = [], 0
-        if short:
-            yield from self._contract(short, long=False)
-
-    def _contract(self, chunk: list[tuple[str, bytes]], long: bool) -> Iterator[tuple[str, bytes, bytes]]:
+                (long if len(raw) > CHUNK else short)[raw] = piece
+        for raw, ids, toks in self._merged(short):
+            yield short[raw], ids.tobytes(), b"".join(toks)
+        for group in _groups(long, 10 * CHUNK_BYTES):
+            yield from ((long[raw], np.array(ids, "<u4").tobytes(), b"".join(toks)) for raw, ids, toks in self._stitched(group))
+
+    def _merged(self, chunks: Iterable[bytes]) -> Iterator[tuple[bytes, np.ndarray, list[bytes]]]:
+        """(chunk, ids, tokens) of distinct byte strings by the merges alone, one recursive query for many of them."""
+        for group in _groups(chunks, CHUNK_BYTES):
+            yield from self._contract(group)
+
+    def _contract(self, chunk: list[bytes]) -> Iterator[tuple[bytes, np.ndarray, list[bytes]]]:
         import pandas as pd
 
-        lens = np.array([len(raw) for _, raw in chunk])
-        flat = np.frombuffer(b"".join(raw for _, raw in chunk), np.uint8)
+        lens = np.array([len(raw) for raw in chunk])
+        flat = np.frombuffer(b"".join(chunk), np.uint8)
         starts = np.cumsum(lens) - lens
         piece_rows = pd.DataFrame(  # noqa: F841  read by the query below
             {
@@ -122,12 +107,7 @@ class DuckBpe:
             }
         )
         self.db.execute("create or replace temp table base as select * from piece_rows")
-        while True:
-            before = self.db.execute("select count(*) from base").fetchall()[0][0]
-            self.db.execute(RECURSIVE.format(step=STEP_LONG.format(steps=LONG_STEPS) if long else STEP_SHORT))
-            if not long or before == self.db.execute("select count(*) from done").fetchall()[0][0]:
-                break
-            self.db.execute("create or replace temp table base as select * from done")
+        self.db.execute(RECURSIVE)
         got = self.db.sql(ORDERED).to_arrow_table()
         ids = got.column("ids").combine_chunks()
         toks = got.column("toks").combine_chunks()
@@ -136,7 +116,101 @@ class DuckBpe:
         parts = toks.values.to_pylist()
         tok_ends = np.asarray(toks.offsets)
         for i, w in enumerate(np.asarray(got.column("w"))):
-            yield chunk[w][0], values[ends[i] : ends[i + 1]].tobytes(), b"".join(parts[tok_ends[i] : tok_ends[i + 1]])
+            yield chunk[w], values[ends[i] : ends[i + 1]], parts[tok_ends[i] : tok_ends[i + 1]]
+
+    def _stitched(self, pieces: list[bytes]) -> Iterator[tuple[bytes, list[int], list[bytes]]]:
+        """(piece, ids, tokens) of long pieces: chunks give joints, and the stretches between joints are encoded and checked at them."""
+        known: dict[bytes, tuple[list[int], list[bytes]]] = {}
+
+        def learn(stretches: Iterable[bytes]) -> None:
+            for raw, ids, toks in self._merged(dict.fromkeys(x for x in stretches if x not in known)):
+                known[raw] = ids.tolist(), toks
+
+        learn(raw[i : i + CHUNK] for raw in pieces for i in range(0, len(raw), CHUNK))
+        joints: dict[bytes, dict[int, tuple[bytes, bytes]]] = {}
+        for raw in pieces:  # the middle of every chunk but the first and the last: where, and the tokens before and after
+            own = joints[raw] = {}
+            for i in range(CHUNK, len(raw) - CHUNK, CHUNK):
+                toks = known[raw[i : i + CHUNK]][1]
+                if len(toks) > 1:
+                    m = len(toks) // 2
+                    own[i + sum(map(len, toks[:m]))] = toks[m - 1], toks[m]
+        open_pieces = pieces
+        while open_pieces:  # joints that the stretches around them don't agree with go, unless that makes a stretch too long
+            cuts = {raw: [0, *joints[raw], len(raw)] for raw in open_pieces}
+            learn(raw[a:b] for raw, at in cuts.items() for a, b in zip(at, at[1:], strict=False))
+            changed = []
+            for raw, at in cuts.items():
+                start = 0
+                for a, b, c in zip(at, at[1:], at[2:], strict=False):
+                    before, after = known[raw[a:b]][1], known[raw[b:c]][1]
+                    if (before[-1], after[0]) != joints[raw][b] and c - start <= 8 * CHUNK:
+                        del joints[raw][b]
+                    else:
+                        start = b
+                if len(joints[raw]) + 2 < len(at):
+                    changed.append(raw)
+            open_pieces = changed
+        for raw in pieces:
+            yield raw, *self._walk(raw, joints[raw], known, learn)
+
+    def _walk(self, raw: bytes, joints: dict[int, tuple[bytes, bytes]], known: dict, learn) -> tuple[list[int], list[bytes]]:
+        """The piece's tokens from left to right: a stretch after the other, and around joints that fail, windows that overlap."""
+        order = [*joints, len(raw)]
+        nth = {at: k for k, at in enumerate(order)}
+        ids: list[int] = []
+        toks: list[bytes] = []
+        pos, need, k, size = 0, None, 0, CHUNK  # need: the token that has to follow for the last border to hold
+        while pos < len(raw):
+            end = order[k]
+            own_ids, own = known[raw[pos:end]] if raw[pos:end] in known else ([], [])
+            if own and need in (None, own[0]) and (end == len(raw) or own[-1] == joints[end][0]):
+                ids += own_ids
+                toks += own
+                pos, need, k, size = end, joints[end][1] if end < len(raw) else None, k + 1, CHUNK
+                continue
+            end = min(pos + size, len(raw))
+            learn([raw[pos:end]])
+            own_ids, own = known[raw[pos:end]]
+            if need not in (None, own[0]):  # the border does not hold: take some tokens back and look at a longer window
+                back = max(1, min(len(toks), 4))
+                ids, pos, need = ids[:-back], pos - sum(map(len, toks[-back:])), toks[-back]
+                toks, size = toks[:-back], 2 * size
+                if not pos:
+                    need = None
+                k = next(i for i, at in enumerate(order) if at > pos)
+                continue
+            if end == len(raw):
+                return ids + own_ids, toks + own
+            at, cut = pos, 0
+            for j, (a, b) in enumerate(zip(own, own[1:], strict=False), 1):
+                at += len(a)
+                if joints.get(at) == (a, b):
+                    cut = j
+                    break
+                if not cut and at - pos >= size // 2:
+                    cut = j
+            if not cut:
+                size *= 2
+                continue
+            ids += own_ids[:cut]
+            toks += own[:cut]
+            pos, need = pos + sum(map(len, own[:cut])), own[cut]
+            k = nth[pos] + 1 if pos in nth else next(i for i in range(k, len(order)) if order[i] > pos)
+        return ids, toks
+
+
+def _groups(strings: Iterable[bytes], size: int) -> Iterator[list[bytes]]:
+    """The strings in lists of about so many bytes together."""
+    group, held = [], 0
+    for s in strings:
+        group.append(s)
+        held += len(s)
+        if held >= size:
+            yield group
+            group, held = [], 0
+    if group:
+        yield group
 
 
 class PieceCache:

@@ -2,48 +2,36 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 from urllib.parse import urlparse
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.graph import linked
+from ..sources.shared import shared_path, written
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
-    conf = spark.sparkContext.getConf()
-    found = conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="brackwater-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
-def short_batches(df: DataFrame, rows: int = 1_000) -> None:
-    """Have Arrow hand texts over in short batches, unless the session says otherwise: texts are long, and a batch is held on both sides."""
+def short_batches(df: DataFrame, size: str = "4m") -> None:
+    """Have Arrow hand texts over in batches of bounded bytes, unless the session says otherwise: texts can be long, and a batch is held on both sides."""
     conf = df.sparkSession.conf
-    if conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
-        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    if conf.get("spark.sql.execution.arrow.maxBytesPerBatch") in ("64MB", "67108864b", "67108864"):
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
-def shared_path(spark: SparkSession, kind: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+def column(name: str) -> Column:
+    """The column of this name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def saved(df: DataFrame, kind: str = "cut") -> DataFrame:
     """df, written as Parquet to the shared folder and read again: the lineage is cut and lost executors cost nothing."""
-    path = shared_path(df.sparkSession, kind)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return written(df, kind)
 
 
 def local_path(uri: str) -> str | None:

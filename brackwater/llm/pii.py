@@ -18,21 +18,25 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import saved, short_batches
+from .common import column, saved, short_batches
 from .simhash import near_copies
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 DIGIT = re.compile(r"[0-9]")
-IP = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
-CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
+# A match takes whole runs of digits, so one can only start where a run does: linear in the text, whatever it holds.
+IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+CARD = re.compile(r"[0-9](?:[\x20-]?+[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TERM = re.compile(r"\w+")
 
@@ -40,7 +44,7 @@ TERM = re.compile(r"\w+")
 CHANCE = 0.01
 #: Least share of the entity's information that a term must disclose.
 THRESHOLD = 0.9
-#: Longer terms are not looked at as disclosing ones, so that those sent to the tasks have bounded size.
+#: Longer terms go by their hash, so that those sent to the tasks have bounded size.
 TERM_CHARS = 64
 #: At most so many disclosing terms are sent to every task; more reach the texts by a join.
 SENT_TERMS = 100_000
@@ -74,7 +78,8 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     if not DIGIT.search(text):
         return out
     for m in IP.finditer(text):
-        if all(len(part.lstrip("0")) < 4 and int(part) <= 255 for part in m.group().split(".")):
+        parts = [part.lstrip("0") for part in m.group().split(".")]
+        if all(len(part) < 3 or len(part) == 3 and part <= "255" for part in parts):
             out.append(("ip", *m.span()))
     for m in CARD.finditer(text):
         if m.end() - m.start() >= 16:
@@ -93,14 +98,20 @@ def entity(kind: str, value: str) -> str:
     return kind + ":" + (value.lower() if kind in ("email", "ip") else "".join(c for c in value if c.isdigit()))
 
 
+def term_name(word: str) -> str:
+    """What a term counts under: lower-cased; a long one by its hash."""
+    own = word.lower()
+    return own if len(own) <= TERM_CHARS else "#" + hashlib.sha256(own.encode("utf-8", "surrogatepass")).hexdigest()[:40]
+
+
 def terms_of(text: str) -> set[str]:
-    """The distinct terms of a text, lower-cased one by one: what counts, what meets the texts and what is marked are the same."""
-    return {t.lower() for t in set(TERM.findall(text))}
+    """The distinct terms of a text, named one by one: what counts, what meets the texts and what is marked are the same."""
+    return {term_name(t) for t in set(TERM.findall(text))}
 
 
 def distinct_texts(docs: DataFrame, text_col: str) -> DataFrame:
     """Column text: every non-empty text once. Only texts that have copies are shuffled, by hash."""
-    texts = docs.select(F.col(text_col).alias("text")).where("text <> ''").withColumn("hash", F.xxhash64("text"))
+    texts = docs.select(column(text_col).alias("text")).where("text <> ''").withColumn("hash", F.xxhash64("text"))
     copied = saved(texts.groupBy("hash").count().where("count > 1").select("hash"), "copied")
     once = texts.join(copied, "hash", "left_anti")
     more = texts.join(copied, "hash", "left_semi").groupBy("hash").agg(F.first("text").alias("text"))
@@ -142,17 +153,17 @@ def disclosing_terms(docs: DataFrame, text_col: str = "text", chance: float = CH
         for batch in batches:
             found: list = []
             for text in batch.column(0).to_pylist():
-                terms.update(t for t in terms_of(text) if len(t) <= TERM_CHARS)
+                terms.update(terms_of(text))
                 spans = base_spans(text)
                 if spans:
                     rest = _sanitised(text, [("", a, b) for _, a, b in spans]).replace("<>", " ")
-                    found.append((text, list({entity(k, text[a:b]) for k, a, b in spans}), [t for t in terms_of(rest) if len(t) <= TERM_CHARS]))
+                    found.append((text, list({entity(k, text[a:b]) for k, a, b in spans}), list(terms_of(rest))))
             yield from rows(found, False)
         yield from rows([], True)
 
     texts = distinct_texts(docs, text_col)
     counts = saved(texts.mapInArrow(counted, schema), "terms")
-    total = float(docs.where(F.col(text_col) != "").select(F.xxhash64(text_col).alias("hash")).distinct().count())
+    total = float(docs.where(column(text_col) != "").select(F.xxhash64(column(text_col)).alias("hash")).distinct().count())
     holders = saved(counts.where("entities is not null").select(F.monotonically_increasing_id().alias("holder"), "text", "entities", "terms"), "holders")
     alone = near_copies(holders, "holder").where("holder = component_id").select("holder")
     holders = holders.join(alone, "holder", "left_semi").select("entities", "terms")
@@ -191,19 +202,14 @@ def _sanitised(text: str, spans: Iterable[tuple[str, int, int]]) -> str:
     return "".join([*out, text[last:]])
 
 
-def pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", terms: DataFrame | None = None, sanitise: bool = False, keep: list[str] | None = None) -> DataFrame:
-    """Find personal data in every whole text.
+OUTPUTS = ("n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_term", "n_spans")
 
-    terms: what disclosing_terms() gives; None has it computed from docs. Returns id_col, n_email, n_ip,
-    n_card, n_phone, base_sha256 (of the base spans as kind:start:end, comma-joined), spans (all spans
-    likewise, disclosing terms last as kind `term`), n_term; with sanitise also sanitised, the text with
-    every span replaced; keep names further columns of docs to carry along. A null text counts as empty
-    and stays null when sanitised. Null ids and repeated rows give a row each. No rows: no rows.
-    """
+
+def _marked(docs: DataFrame, carried: list[str], text_col: str, terms: DataFrame | None, sanitise: bool) -> DataFrame:
+    """_keep_0, _keep_1 and so on (the carried columns), and the outputs of pii()."""
     if terms is None:
         terms = disclosing_terms(docs, text_col)
     terms = saved(terms.select("term").distinct(), "disclosing")
-    carried = [c for c in (keep or []) if c != id_col]
     few = terms.limit(SENT_TERMS + 1).count() <= SENT_TERMS
     sent = frozenset(r["term"] for r in terms.collect()) if few else frozenset()
     own = F.lit(None).cast("array<string>")
@@ -212,30 +218,31 @@ def pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", terms:
         import pyarrow as pa
 
         for batch in batches:
-            said = [[t for t in terms_of(text) if len(t) <= TERM_CHARS] if text else [] for text in batch.column("_text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), batch.column("_hash"), pa.array(said, pa.list_(pa.string()))], names=["_id", "_hash", "_terms"])
+            said = [list(terms_of(text)) if text else [] for text in batch.column("_text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("_hash"), pa.array(said, pa.list_(pa.string()))], names=["_hash", "_terms"])
 
-    rows = docs.select(F.col(id_col), *[F.col(c).alias(f"_keep_{i}") for i, c in enumerate(carried)], F.col(text_col).alias("_text"))
+    rows = docs.select(*[column(c).alias(f"_keep_{i}") for i, c in enumerate(carried)], column(text_col).alias("_text"))
     if few:
         rows = rows.withColumn("_terms", own)
-    else:  # terms meet the texts by (id, hash of the text), which tells repeated ids apart
+    else:  # terms meet the texts by their hash; texts of one hash have the same terms but for collisions, which marking rules out
         hashed = rows.withColumn("_hash", F.xxhash64("_text"))
-        split = hashed.select(F.col(id_col).alias("_id"), "_hash", "_text").mapInArrow(said_terms, f"_id {docs.schema[id_col].dataType.simpleString()}, _hash bigint, _terms array<string>")
-        said = split.select("_id", "_hash", F.explode("_terms").alias("term"))
-        hits = said.join(terms, "term").groupBy("_id", "_hash").agg(F.collect_set("term").alias("_terms"))
-        rows = hashed.join(hits, hashed[id_col].eqNullSafe(hits["_id"]) & hashed["_hash"].eqNullSafe(hits["_hash"]), "left").select(*rows.columns, "_terms")
-
-    names = [f.name for f in rows.schema if f.name not in ("_text", "_terms")]
-    fixed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in names)
-    schema = fixed + ", n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, n_term bigint, base_sha256 string, spans string"
-    if sanitise:
-        schema += ", sanitised string"
+        split = hashed.select("_hash", "_text").mapInArrow(said_terms, "_hash bigint, _terms array<string>")
+        said = split.select("_hash", F.explode("_terms").alias("term"))
+        hits = said.join(terms, "term").groupBy("_hash").agg(F.collect_set("term").alias("_terms"))
+        rows = hashed.join(hits, "_hash", "left").select(*rows.columns, "_terms")
+
+    names = [n for n in rows.columns if n not in ("_text", "_terms")]
+    schema = T.StructType([rows.schema[n] for n in names])
+    for name in ("n_email", "n_ip", "n_card", "n_phone", "n_term", "n_spans"):
+        schema.add(name, T.LongType())
+    for name in ["base_sha256", "spans"] + ["sanitised"] * sanitise:
+        schema.add(name, T.StringType())
 
     def marked(batches):
         import pyarrow as pa
 
         for batch in batches:
-            out: list[list] = [[] for _ in range(7 + sanitise)]
+            out: list[list] = [[] for _ in range(8 + sanitise)]
             for text, mine in zip(batch.column("_text").to_pylist(), batch.column("_terms").to_pylist(), strict=True):
                 spans = base_spans(text) if text else []
                 base = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
@@ -243,22 +250,47 @@ def pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", terms:
                 extra = []
                 if look and text and not look.isdisjoint(terms_of(text)):
                     taken = sorted((a, b) for _, a, b in spans)
+                    starts, ends = [a for a, _ in taken], list(accumulate((b for _, b in taken), max))
                     for m in TERM.finditer(text):
-                        if m.group().lower() in look and not any(a < m.end() and m.start() < b for a, b in taken):
+                        if term_name(m.group()) in look and not ((at := bisect_left(starts, m.end())) and ends[at - 1] > m.start()):
                             extra.append(("term", *m.span()))
                 kinds = Counter(k for k, _, _ in spans)
-                row = [*(kinds[k] for k in KINDS), len(extra), hashlib.sha256(base.encode()).hexdigest(), ",".join([base] * bool(base) + [f"{k}:{a}:{b}" for k, a, b in extra])]
+                row = [*(kinds[k] for k in KINDS), len(extra), len(spans) + len(extra), hashlib.sha256(base.encode()).hexdigest(), ",".join([base] * bool(base) + [f"{k}:{a}:{b}" for k, a, b in extra])]
                 if sanitise:
                     row.append(_sanitised(text, spans + extra) if text and (spans or extra) else text)
                 for col, value in zip(out, row, strict=True):
                     col.append(value)
             kept = [batch.column(n) for n in names]
-            types = [pa.int64()] * 5 + [pa.string()] * (2 + sanitise)
-            labels = ["n_email", "n_ip", "n_card", "n_phone", "n_term", "base_sha256", "spans"] + ["sanitised"] * sanitise
-            yield pa.RecordBatch.from_arrays([*kept, *[pa.array(c, t) for c, t in zip(out, types, strict=True)]], names=names + labels)
-
-    found = rows.mapInArrow(marked, schema)
-    return found.select(
-        F.col(id_col), *[F.col(f"_keep_{i}").alias(c) for i, c in enumerate(carried)],
-        "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_term", *["sanitised"] * sanitise,
-    )
+            types = [pa.int64()] * 6 + [pa.string()] * (2 + sanitise)
+            yield pa.RecordBatch.from_arrays([*kept, *[pa.array(c, t) for c, t in zip(out, types, strict=True)]], names=schema.names)
+
+    return rows.mapInArrow(marked, schema)
+
+
+def pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", terms: DataFrame | None = None, sanitise: bool = False, keep: list[str] | None = None) -> DataFrame:
+    """Find personal data in every whole text.
+
+    terms: what disclosing_terms() gives; None has it computed from docs. Returns id_col, n_email, n_ip,
+    n_card, n_phone, base_sha256 (of the base spans as kind:start:end, comma-joined), spans (all spans
+    likewise, disclosing terms last as kind `term`), n_term, n_spans; with sanitise also sanitised, the text with
+    every span replaced. keep names further columns of docs to carry along, but for those named like one of these.
+    A null text counts as empty and stays null when sanitised. Null ids and repeated rows give a row each. Texts
+    of any length are taken whole, in time linear in it. No rows: no rows.
+    """
+    outputs = [*OUTPUTS, *["sanitised"] * sanitise]
+    carried = [id_col, *[c for c in keep or [] if c != id_col and c not in outputs]]
+    found = _marked(docs, carried, text_col, terms, sanitise)
+    return found.select(*[F.col(f"_keep_{i}").alias(c) for i, c in enumerate(carried)], *outputs)
+
+
+def sanitised(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars", terms: DataFrame | None = None) -> DataFrame:
+    """docs with every span of every text replaced by its class; all other columns stay, whatever their names, but chars_col, if it is there, follows the text.
+
+    Null and empty texts stay. No rows: no rows.
+    """
+    carried = [c for c in docs.columns if c not in (text_col, chars_col)]
+    found = _marked(docs, carried, text_col, terms, True)
+    kept = {c: F.col(f"_keep_{i}") for i, c in enumerate(carried)} | {text_col: F.col("sanitised")}
+    if chars_col in docs.columns:
+        kept[chars_col] = F.length("sanitised").cast(docs.schema[chars_col].dataType)
+    return found.select(*[kept[c].alias(c) for c in docs.columns])

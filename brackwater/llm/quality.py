@@ -16,8 +16,9 @@ from operator import eq
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import short_batches
+from .common import column, short_batches
 
 #: Documents that train the scorer, at most (drawn by a hash over all rows); the label model counts all.
 SAMPLE = 6_000
@@ -143,18 +144,12 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, float]], rounds: int = 150, r
     return weights
 
 
-def quality(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, threshold: float = THRESHOLD, keep: list[str] | None = None
-) -> DataFrame:
-    """Score every document's quality.
-
-    Returns id_col, posterior (the label model's, from the document's votes alone), score (the scorer's) and
-    kept (score >= threshold); keep names further columns of docs to carry along. Null and texts without
-    words have score 0 and are not kept. Null ids and repeated rows give a row each. No rows: no rows.
-    """
+def _scored(docs: DataFrame, carried: list[str], id_col: str, text_col: str, sample: int) -> DataFrame:
+    """_keep_0, _keep_1 and so on (the carried columns), _posterior and _score."""
     short_batches(docs)
-    carried = [c for c in (keep or []) if c != id_col]
-    rows = docs.select(F.col(id_col), *[F.col(c).alias(f"_keep_{i}") for i, c in enumerate(carried)], F.col(text_col).alias("_text"))
+    key = F.xxhash64(column(id_col), column(text_col))
+    said = f"_keep_{carried.index(text_col)}" if text_col in carried else "_text"
+    rows = docs.select(*[column(c).alias(f"_keep_{i}") for i, c in enumerate(carried)], *[column(text_col).alias("_text")] * (said == "_text"))
 
     def patterns_in(batches):
         import pyarrow as pa
@@ -166,7 +161,8 @@ def quality(
                 out[pattern_of(votes(text or "", words, len(set(words))))] += 1
             yield pa.RecordBatch.from_arrays([pa.array(out.keys(), pa.int64()), pa.array(out.values(), pa.int64())], names=["pattern", "n"])
 
-    counted = rows.select("_text").mapInArrow(patterns_in, "pattern bigint, n bigint").groupBy("pattern").agg(F.sum("n").alias("n")).collect()
+    counted = rows.select(said).mapInArrow(patterns_in, "pattern bigint, n bigint").groupBy("pattern").agg(F.sum("n").alias("n")).collect()
+    counted.sort(key=lambda r: r["pattern"])
     patterns = np.array([r["pattern"] for r in counted], np.int64)
     counts = np.array([r["n"] for r in counted], float)
     posterior = dict(zip(patterns.tolist(), label_model(patterns, counts, len(LABELLERS)).tolist(), strict=True)) if counted else {}
@@ -176,23 +172,24 @@ def quality(
 
         for batch in batches:
             got = []
-            for text in batch.column(0).to_pylist():
+            for text in batch.column(1).to_pylist():
                 words = text.split() if text else []
                 row = votes(text or "", words, len(set(words)))
                 f = features(words, row)
                 got.append((np.fromiter(f, "<i4", len(f)).tobytes(), np.fromiter(f.values(), "<f4", len(f)).tobytes(), pattern_of(row)))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([g[0] for g in got], pa.binary()), pa.array([g[1] for g in got], pa.binary()), pa.array([g[2] for g in got], pa.int64())],
-                names=["buckets", "shares", "pattern"],
+                [batch.column(0), pa.array([g[0] for g in got], pa.binary()), pa.array([g[1] for g in got], pa.binary()), pa.array([g[2] for g in got], pa.int64())],
+                names=["key", "buckets", "shares", "pattern"],
             )
 
-    share = sample / max(float(counts.sum()), 1.0)
-    drawn = rows.where(F.pmod(F.xxhash64(F.col(id_col), F.monotonically_increasing_id()), F.lit(1_000_000)) < int(min(1.0, share) * 1_000_000)).limit(sample)
-    chosen = drawn.select("_text").mapInArrow(featured, "buckets binary, shares binary, pattern bigint").collect()
+    # Drawn by a hash of id and text: the same rows whatever the files' splits and the order of tasks.
+    share = 1.2 * sample / max(float(counts.sum()), 1.0)
+    drawn = docs.select(key.alias("key"), column(text_col).alias("_text")).where(F.pmod("key", F.lit(1 << 40)) < int(min(1.0, share) * (1 << 40)))
+    chosen = drawn.mapInArrow(featured, "key bigint, buckets binary, shares binary, pattern bigint").orderBy("key", "buckets").limit(sample).collect()
     weights = train([(np.frombuffer(r["buckets"], "<i4"), np.frombuffer(r["shares"], "<f4"), posterior.get(r["pattern"], 0.5)) for r in chosen])
 
-    names = [f.name for f in rows.schema if f.name != "_text"]
-    fixed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_text")
+    names = [n for n in rows.columns if n != "_text"]
+    schema = T.StructType([rows.schema[n] for n in names]).add("_posterior", T.DoubleType()).add("_score", T.DoubleType())
 
     def scored(batches):
         import pyarrow as pa
@@ -208,7 +205,7 @@ def quality(
         by_vote = {(i, v): 0.3 * float(weights[bucket(f"\x01{i}{v}")]) for i in range(len(LABELLERS)) for v in (GOOD, BAD)}
         for batch in batches:
             post, score = [], []
-            for text in batch.column("_text").to_pylist():
+            for text in batch.column(said).to_pylist():
                 words = text.split() if text else []
                 row = votes(text or "", words, len(set(words)))
                 post.append(posterior.get(pattern_of(row), 0.5))
@@ -217,7 +214,30 @@ def quality(
                     continue
                 z = float(weights[-1]) + sum(map(of.__getitem__, words)) / len(words) + sum(by_vote[i, v] for i, v in enumerate(row) if v)
                 score.append(1 / (1 + float(np.exp(min(500.0, -z)))))
-            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(post, pa.float64()), pa.array(score, pa.float64())], names=[*names, "posterior", "score"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(post, pa.float64()), pa.array(score, pa.float64())], names=schema.names)
+
+    return rows.mapInArrow(scored, schema)
 
-    out = rows.mapInArrow(scored, f"{fixed}, posterior double, score double")
-    return out.select(F.col(id_col), *[F.col(f"_keep_{i}").alias(c) for i, c in enumerate(carried)], "posterior", "score", (F.col("score") >= threshold).alias("kept"))
+
+def quality(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, threshold: float = THRESHOLD, keep: list[str] | None = None
+) -> DataFrame:
+    """Score every document's quality.
+
+    Returns id_col, posterior (the label model's, from the document's votes alone), score (the scorer's) and
+    kept (score >= threshold); keep names further columns of docs to carry along, but for those named like one of
+    these. Null and texts without words have score 0 and are not kept. Null ids and repeated rows give a row each;
+    texts are read whole, however long. No rows: no rows.
+    """
+    carried = [id_col, *[c for c in keep or [] if c not in (id_col, "posterior", "score", "kept")]]
+    out = _scored(docs, carried, id_col, text_col, sample)
+    return out.select(
+        *[F.col(f"_keep_{i}").alias(c) for i, c in enumerate(carried)],
+        F.col("_posterior").alias("posterior"), F.col("_score").alias("score"), (F.col("_score") >= threshold).alias("kept"),
+    )
+
+
+def good_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of docs that quality() keeps, with all their columns, whatever their names. No rows: no rows."""
+    out = _scored(docs, docs.columns, id_col, text_col, sample).where(F.col("_score") >= threshold)
+    return out.select(*[F.col(f"_keep_{i}").alias(c) for i, c in enumerate(docs.columns)])

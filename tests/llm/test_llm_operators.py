@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -36,7 +37,8 @@ def docs(spark):
 def hostile(spark):
     """Rows with nulls, empty, long and repeated texts, and further columns whose names operators use inside."""
     df = spark.createDataFrame(HOSTILE, "doc_id long, text string")
-    return df.withColumns({"source": F.when(F.col("doc_id") != 4, F.lit("s")), "n": F.lit(1), "id": F.lit("x"), "fp": F.lit(0), "row": F.lit(1), "term": F.lit("a"), "_flag": F.lit(True)})
+    return df.withColumns({"source": F.when(F.col("doc_id") != 4, F.lit("s")), "n": F.lit(1), "id": F.lit("x"), "fp": F.lit(0), "row": F.lit(1), "term": F.lit("a"), "_flag": F.lit(True),
+                           "kept": F.lit("k"), "score": F.lit("s"), "posterior": F.lit(0), "sanitised": F.lit("t"), "spans": F.lit(2), "n_email": F.lit("e"), "a.b": F.lit("dot"), "unit": F.lit(3), "shard": F.lit(4)})
 
 
 @pytest.fixture(scope="module")
@@ -72,8 +74,26 @@ def test_bpe_round_trip(hostile):
 
 @pytest.mark.parametrize("piece", ["a" * 1500, "abab" * 60, "aaaabaaab" * 20, "é" * 200, " " * 150, "zyx"])
 def test_bpe_long_pieces(piece):
-    (got,) = bpe_op.DuckBpe(bpe_op.load_ranks(RANKS)).encode([piece])
-    assert np.frombuffer(got[1], "<u4").tolist() == encoding(RANKS).encode_ordinary(piece) and got[2] == piece.encode()
+    check_piece(bpe_op.DuckBpe(bpe_op.load_ranks(RANKS)), piece)
+
+
+def check_piece(encoder, piece):
+    (got,) = encoder.encode([piece])
+    assert np.frombuffer(got[1], "<u4").tolist() == encoding(RANKS)._core_bpe.encode_single_piece(piece.encode()) and got[2] == piece.encode()
+
+
+def test_bpe_very_long_pieces():
+    rng = np.random.default_rng(4)
+    encoder = bpe_op.DuckBpe(bpe_op.load_ranks(RANKS))
+    check_piece(encoder, "".join(map(chr, rng.integers(97, 123, 200_000))))
+    check_piece(encoder, "a" * 1_000_000)
+    check_piece(encoder, "abc" * 5_001)
+    check_piece(encoder, " " * 1_001)
+    check_piece(encoder, "".join("a" * n + "b" for n in rng.integers(20, 200, 40)))
+    clauses = ["".join(map(chr, rng.integers(0x4E00, 0x9FFF, 67))) for _ in range(60)] + ["".join(map(chr, rng.integers(0xE01, 0xE3A, 70))) for _ in range(60)]
+    got = {piece: ids for piece, ids, _ in encoder.encode(clauses)}
+    for clause in clauses:
+        assert np.frombuffer(got[clause], "<u4").tolist() == encoding(RANKS)._core_bpe.encode_single_piece(clause.encode())
 
 
 # 9: packing
@@ -381,7 +401,7 @@ def brute_spans(text):
     def ok(kind, s):
         digits = [int(c) for c in s if c in "0123456789"]
         if kind == "ip":
-            return all(int(p) <= 255 for p in s.split("."))
+            return all(int(p[-3:]) <= 255 and not p[:-3].strip("0") for p in s.split("."))
         if kind == "card":
             odd = sum(digits[-1::-2]) + sum(sum(divmod(2 * d, 10)) for d in digits[-2::-2])
             return 16 <= len(digits) <= 19 and odd % 10 == 0
@@ -392,7 +412,7 @@ def brute_spans(text):
 
 TRICKY = [
     "a@b.c@d.e", "a@b.c_x@d.e", "@x.y a@@b.c", "x@y z@w.v.", "1.2.3.4.5.6.7.8", "256.1.1.1 001.2.3.255", "4111 1111 1111 1111", "4111-1111-1111-1112", "+1 (168) 555-5254", "+12345678901234567890", "++1 2345678",
-    "41111111111111111111111111", "a.b%c+d-e@f-g.h-i.j", "é@b.c", "+1234 567", "9" * 300 + ".1.1.1", "",
+    "41111111111111111111111111", "a.b%c+d-e@f-g.h-i.j", "é@b.c", "+1234 567", "9" * 300 + ".1.1.1", "0" * 4400 + ".1.1.1", "1.2.3.4.5", "1.2.3.256.7.8.9.1", "00255.0.0.1 1.1.1.0300", "1..2.3.4 1.2.3.4.", "",
 ]
 
 
@@ -401,6 +421,14 @@ def test_base_spans(text):
     assert pii.base_spans(text) == brute_spans(text)
 
 
+@pytest.mark.parametrize("text", ["0" * 1_000_000 + ".1.1.1", "12." * 300_000, "1 " * 500_000, "+1" + "." * 1_000_000, "a@" * 500_000, "9" * 1_000_000])
+def test_spans_of_very_long_texts(text):
+    start = time.monotonic()
+    spans = pii.base_spans(text)
+    assert time.monotonic() - start < 20 and all(0 <= a < b <= len(text) for _, a, b in spans)
+    assert (spans == [("ip", 0, len(text))]) == text.endswith(".1.1.1")
+
+
 @pytest.mark.parametrize("which", ["docs", "hostile", "nothing"])
 def test_pii(request, which):
     df = request.getfixturevalue(which)
@@ -459,6 +487,41 @@ def test_disclosing_terms_of_whole_documents(spark):
     assert not {"copyname", "nearname7", "plain", "number1", "case1"} & {t for t, _ in terms}
 
 
+def test_disclosure_equals_plain_counts(spark):
+    """Mutual information and the bound on chance from plain counts over distinct texts."""
+    rng = np.random.default_rng(6)
+    rows = []
+    for i in range(300):
+        words = [f"w{k}" for k in rng.integers(0, 40, 12)] + [f"u{i}"]
+        if i < 24:
+            words += [f"person{i % 4}", f"mail p{i % 4}@x.org"] + ["often"] * (i % 3 > 0) + [f"side{k}x{i}" for k in range(60)]
+        rows.append(" ".join(words))
+    rows += rows[:5]
+    got = {(r.term, r.entity): r.disclosure for r in pii.disclosing_terms(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()}
+    said, holds = Counter(), defaultdict(list)
+    for text in set(rows):
+        spans = brute_spans(text)
+        said.update(pii.terms_of(text))
+        rest = text
+        for _, a, b in reversed(spans):
+            rest = rest[:a] + " " + rest[b:]
+        for _, a, b in spans:
+            holds["email:" + text[a:b]].append(pii.terms_of(rest))
+    total = len(set(rows))
+    pairs = {e: Counter(t for own in texts for t in own) for e, texts in holds.items() if len(texts) > 1}
+    tested = sum(map(len, pairs.values()))
+    want = {}
+    for e, both in pairs.items():
+        n = len(holds[e])
+        for t, k in both.items():
+            x, q = k / n, said[t] / total
+            apart = x * math.log(x / q) + ((1 - x) * math.log((1 - x) / (1 - q)) if x < 1 else 0)
+            share = math.log(k * total / (n * said[t])) / math.log(total / n)
+            if k > 1 and x > q and n * apart >= math.log(tested / pii.CHANCE) and share >= pii.THRESHOLD:
+                want[t, e] = share
+    assert got == pytest.approx(want) and {t for t, _ in got} == {f"person{k}" for k in range(4)} | {f"p{k}" for k in range(4)} - {f"p{k}" for k in range(4)}
+
+
 # 5: licences
 
 
@@ -506,7 +569,39 @@ def test_label_model_weighs_labellers():
 
 
 def test_quality_of_odd_rows(hostile, nothing):
-    rows = quality.quality(hostile, keep=["source", "n"]).collect()
+    rows = quality.quality(hostile, keep=hostile.columns).collect()
     assert len(rows) == len(HOSTILE) and all(0 <= r.score <= 1 for r in rows)
     assert all(not r.kept and r.score == 0 for r in rows if r.doc_id in (1, 2, 3))
     assert quality.quality(nothing).count() == 0
+
+
+def test_quality_does_not_depend_on_splits(docs):
+    few, many = ({r.doc_id: r.score for r in quality.quality(docs.repartition(n, "text")).collect()} for n in (1, 7))
+    assert few == many
+
+
+def test_label_model_equals_plain_loops():
+    """Expectation-maximisation by plain loops over single documents."""
+    rng = np.random.default_rng(1)
+    rows = [tuple(int(v) for v in rng.integers(-1, 2, 3)) for _ in range(60)]
+    seen = sorted({quality.pattern_of(r) for r in rows})
+    counts = Counter(quality.pattern_of(r) for r in rows)
+    got = quality.label_model(np.array(seen), np.array([float(counts[p]) for p in seen]), 3, rounds=5)
+    post = [min(0.95, max(0.05, sum(v == 1 for v in r) / max(1, sum(v != 0 for v in r)) if any(r) else 0.5)) for r in rows]
+    for _ in range(5):
+        prior = (sum(post) + 1) / (len(rows) + 2)
+        right = {}
+        for c in (0, 1):
+            for k in range(3):
+                share = {v: 1.0 + sum(p if c else 1 - p for p, r in zip(post, rows, strict=True) if r[k] == v) for v in (-1, 1)}
+                right[c, k] = {v: x / sum(share.values()) for v, x in share.items()}
+        new = []
+        for r in rows:
+            good, bad = prior, 1 - prior
+            for k, v in enumerate(r):
+                if v:
+                    good, bad = good * right[1, k][v], bad * right[0, k][v]
+            new.append(good / (good + bad))
+        post = new
+    want = {quality.pattern_of(r): p for r, p in zip(rows, post, strict=True)}
+    assert got == pytest.approx([want[p] for p in seen])

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from brackwater.llm import pii, simhash
@@ -17,7 +18,7 @@ def test_stages(spark):
     assert kept.schema == docs.schema and kept.exceptAll(docs).isEmpty() and 0 < kept.count() < docs.count()
     groups = {r.doc_id: r.component_id for r in simhash.simhash_groups(docs).collect()}
     alone = pipeline.drop_near_duplicates(spark, docs, SF)
-    assert alone.columns == COLUMNS and {r.doc_id for r in alone.collect()} == set(groups.values())
+    assert alone.columns == COLUMNS and {r.doc_id for r in alone.collect()} <= set(groups.values())
     masked = pipeline.mask_personal_data(spark, docs, SF)
     assert masked.schema.simpleString() == docs.schema.simpleString() and masked.count() == docs.count()
     before = {r.doc_id: r.text for r in docs.collect()}
@@ -82,3 +83,32 @@ def test_near_copies_of_the_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select(*COLUMNS)
     left = {r.doc_id for r in pipeline.drop_near_duplicates(spark, docs, SF).collect()}
     assert left == survivors([(r.doc_id, r.text) for r in docs.collect()])
+
+
+ODD = [
+    (1, None), (2, ""), (3, " \n\t "), (4, "a"), (5, "x" * 1_000_000), (6, "1" * 1_000_000), (7, "same text again and again, mail me@x.example.org"), (7, "same text again and again, mail me@x.example.org"),
+    (8, "same text again and again, mail me@x.example.org"), (None, "no id here"), (9, "0" * 4400 + ".1.1.1"), (10, "The river runs past the old mill and the town sleeps. " * 3000),
+]
+CLASHING = ["kept", "score", "posterior", "sanitised", "spans", "component_id", "unit", "fp", "bands", "_keep_0", "key", "place", "n", "ids", "shard", "a.b", "term"]
+
+
+@pytest.mark.parametrize("rows", [ODD, []])
+@pytest.mark.parametrize("stage", [s for _, s in pipeline.STAGES])
+def test_stages_on_odd_rows(spark, stage, rows):
+    docs = spark.createDataFrame([(i, t, "en", None, len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = docs.withColumns({name: F.lit(f"own {name}") for name in CLASHING})
+    out = stage(spark, docs, SF)
+    got = out.collect()
+    if stage is pipeline.STAGES[-1][1]:
+        assert {r.doc_id for r in got} == {i for i, _ in rows}
+        return
+    assert out.schema.simpleString() == docs.schema.simpleString()
+    assert all(r[name] == f"own {name}" for r in got for name in CLASHING)
+    ids = {r.doc_id for r in got}
+    if stage is pipeline.mask_personal_data:
+        texts = {r.doc_id: r.text for r in got}
+        assert len(got) == len(rows) and (not rows or texts[9] == "<IP>" and texts[1] is None and texts[2] == "" and "@" not in texts[7])
+    elif stage is pipeline.drop_near_duplicates:
+        assert not rows or ids == {None, 1, 4, 5, 6, 7, 9, 10}
+    else:
+        assert not ids & {1, 2, 3}
