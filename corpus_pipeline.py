@@ -9,18 +9,17 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from brackwater.llm.common import saved, table
+from brackwater.llm.common import column, saved, table
 from brackwater.llm.packing import pack
-from brackwater.llm.pii import pii
-from brackwater.llm.quality import quality
+from brackwater.llm.pii import sanitised
+from brackwater.llm.quality import good_documents
 from brackwater.llm.simhash import near_copies
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go."""
-    return quality(docs, keep=docs.columns).where("kept").select(*docs.columns)
+    """Documents that the quality classifier rejects go, and with them null texts and texts without words. No rows: no rows."""
+    return good_documents(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,21 +27,20 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Near-duplicates are texts whose fingerprints differ in at most four bits, and texts whose sets of five-word
     shingles have a Jaccard similarity of 0.8 or more.
-    Rows of one doc_id are one document and stay or go together; rows without a doc_id stay.
+    Rows of one doc_id are one document and stay or go together; rows without a doc_id stay. Null and empty texts are
+    near-duplicates of each other. No rows: no rows.
     """
     gone = near_copies(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(gone, "doc_id", "left_anti").select(*map(column, docs.columns))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data and terms that disclose it are replaced by their class; n_chars follows the text."""
-    masked = pii(docs, sanitise=True, keep=[c for c in docs.columns if c not in ("text", "n_chars")])
-    out = masked.withColumn("text", F.col("sanitised")).withColumn("n_chars", F.length("sanitised").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    """Personal data and terms that disclose it are replaced by their class; n_chars, if there is one, follows the text. Null and empty texts stay. No rows: no rows."""
+    return sanitised(docs)
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Windows of 2048 tokens with every source at its share."""
+    """Windows of 2048 tokens with every source at its share. Every row is packed: null and empty texts as the end id alone, repeated rows each. No rows: no rows."""
     files = [public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("json", "tiktoken")]
     return pack(docs, *files, public_tokenizers.PATTERN)
 
