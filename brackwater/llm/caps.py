@@ -3,13 +3,16 @@
 A filter is a direction; its cap holds the vectors whose product with it reaches a threshold. The
 directions are a structured random product code: after a seeded rotation the dimensions fall into two
 blocks, each block has a code of random unit vectors, and every pair of a word of the first and a word
-of the second is a direction. A vector's filters are list-decoded: from the best word of the first
-block downward, as long as the second block can still make up the rest. Near vectors exceed the same
-filters with high chance; they meet there, and their cosine is checked in double precision.
-
-Vectors that are equal component by component are one vector with a count. Filters with many vectors
-are split into blocks, and pairs of blocks are compared as matrices, so no task holds an unbounded
-filter. A pair counts in the least filter that it shares, and a group yields a star, not its pairs.
+of the second is a direction. A vector's filters are list-decoded: the words of either block that can still
+reach the threshold with the best of the other, and of those the pairs that do. The threshold is a margin below
+the vector's best score, which leaves no vector without filters and few with many; the margin is fitted, for the code
+in use, so that a set share of pairs at exactly the least cosine has a filter in common: a larger code gives more
+filters to a vector.
+
+Vectors meet in their filters as short sign sketches, which bring those together that may be near. Groups that
+are found so are small as a rule; their vectors, shipped once, are compared all with all. Large
+groups are compared filter by filter in blocks, a pair counting in the least filter that it shares. Cosines are in
+double precision. Equal vectors are one vector with a count, and groups yield stars, not their pairs.
 """
 
 from __future__ import annotations
@@ -18,15 +21,21 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, runs, saved
-from .vectors import finite, matrix, unpacked
-
-#: Filters that a vector exceeds on average, and best filters that it gets in any case.
-FILTERS, BEST = 8, 4
-#: Vectors of a filter that are compared in one block; also the vectors aimed at per filter.
-BLOCK, AIM = 512, 64
-#: Vectors that set the threshold, at most (it is a fitted constant; every vector is decoded).
-SAMPLE = 2_048
+from .common import column, components, runs, saved
+from .vectors import finite, matrix
+
+#: Share of pairs at the least cosine that have a filter in common.
+RECALL = 0.99
+#: Vectors aimed at per filter, and the words of a code at most (beyond, filters hold more vectors and are split into blocks).
+AIM, MOST_WORDS = 64, 1 << 15
+#: Vectors that are compared in one block.
+BLOCK = 1_024
+#: Bits of a sketch. Bits of near vectors differ with a known chance; a pair is looked at up to so many deviations above that.
+BITS, DEVIATIONS = 256, 5.5
+#: One vector in so many is counted to find filters that need several blocks.
+COUNTED = 16
+#: Vectors that the margin is fitted on, at most (every vector is decoded).
+SAMPLE = 1_024
 SEED = 20_240
 
 
@@ -44,40 +53,67 @@ class ProductCode:
         self.size = words_per_block
 
     def scores(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What the words of either block fall short of the best one by: a filter's score less the vector's best is the sum of two."""
         turned = units @ self.turn
-        right = turned[:, self.half :]
-        return turned[:, : self.half] @ self.blocks[0].T, right @ self.blocks[1].T if right.shape[1] else np.zeros((len(units), self.size))
-
-    def decode(self, units: np.ndarray, threshold: float, best: int = BEST) -> list[np.ndarray]:
-        """For each vector the sorted filters at or above the threshold, and its best ones in any case."""
-        first, second = self.scores(units)
-        by_first, by_second = np.argsort(-first, axis=1), np.argsort(-second, axis=1)
-        s1, s2 = np.take_along_axis(first, by_first, 1), np.take_along_axis(second, by_second, 1)
-        rows, filters = [], []
-        for i in range(self.size):
-            rest = threshold - s1[:, i]
-            open_rows = np.flatnonzero(s2[:, 0] >= rest)
-            if not len(open_rows):
-                break
-            for j in range(self.size):
-                open_rows = open_rows[s2[open_rows, j] >= rest[open_rows]]
-                if not len(open_rows):
-                    break
-                rows.append(open_rows)
-                filters.append(by_first[open_rows, i] * self.size + by_second[open_rows, j])
-        k = min(best, self.size)
-        for i in range(k):  # the best filters lie among the first few words of both blocks
-            for j in range(k // (i + 1)):
-                rows.append(np.arange(len(units)))
-                filters.append(by_first[:, i] * self.size + by_second[:, j])
-        row, fil = np.concatenate(rows), np.concatenate(filters)
-        pairs = np.unique(row * self.size**2 + fil)
-        row, fil = pairs // self.size**2, pairs % self.size**2
-        return np.split(fil, np.searchsorted(row, np.arange(1, len(units))))
-
-
-def _compare(least_cosine: float):
-    """Of each pair of blocks of a filter: rid, links counted here, and the root of its group."""
+        left, right = turned[:, : self.half] @ self.blocks[0].T, turned[:, self.half :] @ self.blocks[1][:, : units.shape[1] - self.half].T
+        return left - left.max(axis=1, keepdims=True), right - right.max(axis=1, keepdims=True)
+
+    def rows_at_once(self) -> int:
+        """Vectors whose scores take some tens of megabytes."""
+        return max(16, (1 << 21) // self.size)
+
+    def decode(self, units: np.ndarray, margin: float) -> list[np.ndarray]:
+        """For each vector the sorted filters whose score is at most the margin below its best one's."""
+        out: list[np.ndarray] = []
+        for lo in range(0, len(units), step := self.rows_at_once()):
+            for a, b in zip(*self.scores(units[lo : lo + step]), strict=True):
+                i, j = np.flatnonzero(a >= -margin), np.flatnonzero(b >= -margin)
+                x, y = np.nonzero(a[i][:, None] + b[j][None, :] >= -margin)
+                out.append(i[x] * self.size + j[y])
+        return out
+
+    def margin_for(self, units: np.ndarray, cosine: float, recall: float = RECALL, tries: int = 24) -> float:
+        """The margin at which this share of pairs at this cosine, one of each taken from units, has a common filter."""
+        rng = np.random.default_rng(self.size)
+        z = rng.standard_normal(units.shape)
+        z -= (z * units).sum(axis=1, keepdims=True) * units
+        z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-12)
+        others = cosine * units + np.sqrt(max(0.0, 1 - cosine**2)) * z
+        best = []  # the least margin at which a pair shares a filter, among the likeliest words of both blocks
+        for lo in range(0, len(units), step := self.rows_at_once()):
+            (a1, b1), (a2, b2) = self.scores(units[lo : lo + step]), self.scores(others[lo : lo + step])
+            k = min(tries, self.size)
+            i, j = (np.argpartition(-np.minimum(x, y), k - 1, axis=1)[:, :k] for x, y in ((a1, a2), (b1, b2)))
+            sums = [np.take_along_axis(a, i, 1)[:, :, None] + np.take_along_axis(b, j, 1)[:, None, :] for a, b in ((a1, b1), (a2, b2))]
+            best.append(-np.minimum(*sums).max(axis=(1, 2)))
+        return float(np.quantile(np.concatenate(best), recall))
+
+
+def fitted_code(width: int, count: int, sample: np.ndarray, cosine: float) -> tuple[ProductCode, float]:
+    """The smallest code whose filters hold AIM of count vectors or fewer on average, and its margin."""
+    words = 8
+    while True:
+        code = ProductCode(width, words)
+        margin = code.margin_for(sample, cosine)
+        filters = np.mean([len(f) for f in code.decode(sample[:256], margin)])
+        if words >= MOST_WORDS or words**2 * AIM >= count * filters:
+            return code, margin
+        words *= 2
+
+
+def _joined(near: np.ndarray) -> np.ndarray:
+    """For each row of a symmetric matrix the least row that it reaches."""
+    label = np.arange(len(near))
+    while True:
+        new = np.minimum(label, np.where(near, label[None, :], len(near)).min(axis=1))
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
+def _meet(most: int):
+    """Of each pair of blocks of a filter: stars (u, v) of vectors whose sketches differ in at most so many bits."""
     import pandas as pd
 
     def run(batches):
@@ -85,28 +121,43 @@ def _compare(least_cosine: float):
             n = len(group)
             if n < 2:
                 continue
-            units = unpacked(group["vector"])
-            near = units @ units.T >= least_cosine
+            bits = np.frombuffer(b"".join(group["sketch"]), np.uint64).reshape(n, -1)
+            near = np.empty((n, n), bool)
+            for lo in range(0, n, 128):
+                near[lo : lo + 128] = np.bitwise_count(bits[lo : lo + 128, None, :] ^ bits[None, :, :]).sum(axis=2) <= most
+            np.fill_diagonal(near, False)
+            at = np.flatnonzero(near.any(axis=1))
+            if not len(at):
+                continue
+            rid, label = group["rid"].to_numpy()[at], _joined(near[np.ix_(at, at)])
+            yield pd.DataFrame({"u": rid, "v": rid[label]})
+
+    return run
+
+
+def _compare(least_cosine: float, units):
+    """Of each group, or pair of blocks of one in a filter: rid, links counted here, and the root of those linked."""
+    import pandas as pd
+
+    def run(batches):
+        for group in runs(batches, ["root", "filter", "left", "right"]):
+            if len(group) < 2:
+                continue
+            own = int(group["filter"].iat[0])
+            u = units(group["vector"])
+            near = u @ u.T >= least_cosine
             np.fill_diagonal(near, False)
-            blk = group["blk"].to_numpy()
             if group["left"].iat[0] != group["right"].iat[0]:
+                blk = group["blk"].to_numpy()
                 near &= blk[:, None] != blk[None, :]
-            if not near.any():
-                continue
-            rid, copies = group["rid"].to_numpy(), group["copies"].to_numpy()
             at = np.flatnonzero(near.any(axis=1))
-            near, rid, copies = near[np.ix_(at, at)], rid[at], copies[at]
-            label = np.argsort(np.argsort(rid))
-            while True:
-                new = np.minimum(label, np.where(near, label[None, :], n).min(axis=1))
-                if (new == label).all():
-                    break
-                label = new
-            root = np.sort(rid)[label]
-            own = group["filter"].iat[0]
-            lists = [f[f < own] for f in (np.asarray(x) for x in group["filters"].iloc[at])]
-            lesser = np.unique(np.concatenate(lists))
-            if len(lesser):  # pairs that share a lesser filter count there
+            if not len(at):
+                continue
+            near, rid, copies = near[np.ix_(at, at)], group["rid"].to_numpy()[at], group["copies"].to_numpy()[at]
+            root = rid[_joined(near)]
+            if own >= 0:  # pairs that share a lesser filter count there
+                lists = [f[f < own] for f in (np.asarray(x) for x in group["filters"].iloc[at])]
+                lesser = np.unique(np.concatenate(lists))
                 holds = np.zeros((len(at), len(lesser)), np.float32)
                 for i, f in enumerate(lists):
                     holds[i, np.searchsorted(lesser, f)] = 1
@@ -116,6 +167,16 @@ def _compare(least_cosine: float):
     return run
 
 
+def _blocks(n: str):
+    return F.greatest(F.lit(1), F.ceil(F.col(n) / BLOCK)).cast("int")
+
+
+def _dealt(cells: DataFrame, *more: str) -> DataFrame:
+    """Rows with filter, rid and blocks, once for each pair of blocks that their own is in."""
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    return cells.withColumn("blk", F.pmod(F.hash("rid"), F.col("blocks"))).withColumn("other", other).select("filter", F.least("blk", "other").alias("left"), F.greatest("blk", "other").alias("right"), "blk", "rid", *more)
+
+
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", least_cosine: float = 0.95) -> DataFrame:
     """Link vectors of at least this cosine and group them over links.
 
@@ -125,31 +186,30 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     kept only if its group has no id. Repeated rows are vectors that link with each other. Vectors of different
     widths are compared as if zeros followed the shorter. No rows: no rows. Other columns are not read.
     """
-    vector = F.col(vector_col)
-    rows = vectors.select(F.col(id_col).alias("id"), vector.cast("array<double>").alias("vector"), (finite(vector) & F.exists(vector.cast("array<double>"), lambda x: x != 0)).alias("ok"))
-    distinct = rows.where("ok").groupBy("vector").agg(F.count("*").alias("copies"), F.min("id").alias("least_id"))
+    vector = column(vector_col)
+    if vectors.schema[vector_col].dataType.simpleString() != "array<float>":
+        vector = vector.cast("array<double>")
+    rows = vectors.select(column(id_col).alias("id"), vector.alias("vector"), (finite(vector) & F.exists(vector, lambda x: x != 0)).alias("ok"))
+    rows = rows.withColumns({"h1": F.xxhash64("vector"), "h2": F.xxhash64(F.lit(SEED), "vector")})  # equal vectors have equal 128 bits, and others don't
+    distinct = rows.where("ok").groupBy("h1", "h2").agg(F.count("*").alias("copies"), F.min("id").alias("least_id"), F.first("vector").alias("vector"))
     distinct = saved(distinct.withColumn("rid", F.monotonically_increasing_id()), "vectors")
-    count, width = distinct.agg(F.count("*"), F.coalesce(F.max(F.size("vector")), F.lit(0))).first()
-    words = 8
-    while words < 1 << 15 and words**2 * AIM < count * FILTERS:
-        words *= 2
-    code = ProductCode(max(width, 2), words)
+    count, width = distinct.agg(F.count("*"), F.coalesce(F.max(F.size("vector")), F.lit(2))).first()
+    width = max(width, 2)
 
     def units(values) -> np.ndarray:
         m = matrix(values)
-        m = np.pad(m, ((0, 0), (0, max(width, 2) - m.shape[1])))
+        m = np.pad(m, ((0, 0), (0, width - m.shape[1])))
         m = m / np.abs(m).max(axis=1, keepdims=True)
         return m / np.linalg.norm(m, axis=1, keepdims=True)
 
-    sample = distinct.select("vector").orderBy(F.xxhash64("rid")).limit(SAMPLE).collect()
-    threshold = 0.0
-    if sample:
-        # As many scores of the sample reach the threshold as FILTERS per vector make; found from evenly drawn words.
-        first, second = code.scores(units([r["vector"] for r in sample]))
-        sums = np.sort(first, axis=1)[:, :, None][:, -64:] + np.sort(second, axis=1)[:, None, :][:, :, -64:]
-        flat = sums.reshape(-1)
-        k = min(len(flat) - 1, FILTERS * len(sample))
-        threshold = float(np.partition(flat, len(flat) - 1 - k)[len(flat) - 1 - k])
+    sample = distinct.select("vector").orderBy("h1", "h2").limit(SAMPLE).collect()
+    drawn = units([r["vector"] for r in sample]) if sample else np.eye(width)
+    if len(drawn) < SAMPLE:
+        drawn = np.tile(drawn, (-(-SAMPLE // len(drawn)), 1))[:SAMPLE]
+    code, margin = fitted_code(width, count, drawn, least_cosine)
+    planes = np.random.default_rng(SEED).standard_normal((width, BITS))
+    differ = np.arccos(min(1.0, max(-1.0, least_cosine))) / np.pi
+    most = int(BITS * differ + DEVIATIONS * np.sqrt(BITS * differ * (1 - differ))) + 1
 
     def decoded(batches):
         import pandas as pd
@@ -158,28 +218,33 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
             for lo in range(0, len(pdf), 2_000):
                 part = pdf.iloc[lo : lo + 2_000]
                 u = units(part["vector"])
-                yield pd.DataFrame({"rid": part["rid"], "copies": part["copies"], "vector": [x.astype("<f8").tobytes() for x in u], "filters": code.decode(u, threshold)})
-
-    capped = distinct.select("rid", "copies", "vector").mapInPandas(decoded, "rid bigint, copies bigint, vector binary, filters array<bigint>")
-    capped = saved(capped, "caps")
-    held = capped.select(F.explode("filters").alias("filter")).groupBy("filter").agg(F.count("*").alias("n")).where("n > 1")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    cells = (
-        capped.select("*", F.explode("filters").alias("filter"))
-        .join(held.select("filter", blocks.alias("blocks")), "filter")
-        .withColumn("blk", F.pmod(F.hash("rid"), F.col("blocks")))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("filter", F.least("blk", "other").alias("left"), F.greatest("blk", "other").alias("right"), "blk", "rid", "copies", "vector", "filters")
-    )
-    cells = cells.repartition("filter", "left", "right").sortWithinPartitions("filter", "left", "right")
-    found = saved(cells.mapInPandas(_compare(least_cosine), "rid bigint, links bigint, root bigint"), "links")
+                sketch = np.packbits(u @ planes > 0, axis=1)
+                yield pd.DataFrame({"rid": part["rid"], "sketch": [x.tobytes() for x in sketch], "filters": [f.astype(np.int32) for f in code.decode(u, margin)]})
+
+    caps = saved(distinct.select("rid", "vector").mapInPandas(decoded, "rid bigint, sketch binary, filters array<int>"), "caps")
+    counted = caps.where(F.pmod(F.xxhash64("rid"), F.lit(COUNTED)) == 0).select(F.explode("filters").alias("filter")).groupBy("filter").agg((F.count("*") * COUNTED).alias("n"))
+    heavy = saved(counted.where(F.col("n") > BLOCK // 2), "heavy")  # a written table, so that its size decides how it is joined
+    cells = caps.select("rid", "sketch", F.explode("filters").alias("filter")).join(heavy, "filter", "left").withColumn("blocks", F.coalesce(_blocks("n"), F.lit(1)))
+    cells = _dealt(cells, "sketch").repartition("filter", "left", "right").sortWithinPartitions("filter", "left", "right")
+    groups = saved(components(cells.mapInPandas(_meet(most), "u bigint, v bigint")).select(F.col("node").alias("rid"), "root"), "groups")
+
+    large = saved(groups.groupBy("root").agg(F.count("*").alias("size")).where(F.col("size") > BLOCK).select("root"), "large")
+    spot = F.lit(0)
+    small = groups.join(large, "root", "left_anti").select("root", F.lit(-1).alias("filter"), spot.alias("left"), spot.alias("right"), spot.alias("blk"), "rid", F.lit(None).cast("array<int>").alias("filters"))
+    own = saved(groups.join(large, "root").join(caps.select("rid", "filters"), "rid"), "large-caps").withColumn("filter", F.explode("filters"))
+    held = saved(own.groupBy("root", "filter").agg(F.count("*").alias("n")).where("n > 1"), "large-filters")
+    big = _dealt(own.join(held, ["root", "filter"]).withColumn("blocks", _blocks("n")), "root", "filters").select(*small.columns)
+    met = small.union(big).join(distinct.select("rid", "copies", "vector"), "rid")
+    met = met.repartition("root", "filter", "left", "right").sortWithinPartitions("root", "filter", "left", "right")
+    found = saved(met.mapInPandas(_compare(least_cosine, units), "rid bigint, links bigint, root bigint"), "links")
+
     links = found.groupBy("rid").agg(F.sum("links").alias("links"))
     roots = components(found.select(F.col("rid").alias("u"), F.col("root").alias("v")))
-    grouped = distinct.select("vector", "rid", "copies", "least_id").join(links, "rid", "left").join(roots, distinct.rid == roots.node, "left").select(
-        "vector", "least_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "rid").alias("root")
+    grouped = distinct.select("h1", "h2", "rid", "copies", "least_id").join(links, "rid", "left").join(roots, F.col("rid") == F.col("node"), "left").select(
+        "h1", "h2", "least_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "rid").alias("root")
     )
     smallest = grouped.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    by_vector = grouped.join(smallest, "root").select("vector", "n_links", "component_id")
-    good = rows.where("ok").join(by_vector, "vector").select("id", "n_links", "component_id")
+    by_vector = grouped.join(smallest, "root").select("h1", "h2", "n_links", "component_id")
+    good = rows.where("ok").select("id", "h1", "h2").join(by_vector, ["h1", "h2"]).select("id", "n_links", "component_id")
     rest = rows.where("not ok").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     return good.union(rest).select(F.col("id").alias(id_col), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))

@@ -343,6 +343,32 @@ def test_near_vectors_in_blocks(spark, monkeypatch):
     assert 0.99 * there <= found <= there and {r[2] for r in got} == {r[2] for r in want}
 
 
+@pytest.mark.parametrize("words", [8, 32, 128, 512, 2048, 4096])
+def test_filters_find_near_pairs_whatever_the_code(words):
+    rng = np.random.default_rng(9)
+    x, z, sample = (m / np.linalg.norm(m, axis=1, keepdims=True) for m in rng.standard_normal((3, 1000, 64)))
+    z -= (z * x).sum(axis=1, keepdims=True) * x
+    y = 0.95 * x + np.sqrt(1 - 0.95**2) * z / np.linalg.norm(z, axis=1, keepdims=True)
+    code = caps.ProductCode(64, words)
+    margin = code.margin_for(sample, 0.95)
+    pairs = list(zip(code.decode(x, margin), code.decode(y, margin), strict=True))
+    assert np.mean([len(np.intersect1d(a, b)) > 0 for a, b in pairs]) >= 0.97
+    assert np.mean([len(a) for a, _ in pairs]) < 40
+    whole = [a[:, None] + b[None, :] for a, b in zip(*code.scores(x[:20]), strict=True)]
+    assert all((np.flatnonzero(w.ravel() >= -margin) == f).all() for w, (f, _) in zip(whole, pairs, strict=False))
+
+
+def test_near_vectors_against_brute_force_at_size(spark):
+    rng = np.random.default_rng(12)
+    base = rng.standard_normal((6000, 64))
+    near = base[rng.integers(0, 3000, 3000)] + rng.standard_normal((3000, 64)) * rng.choice([0.1, 0.2, 0.3, 0.33], (3000, 1))
+    rows = np.concatenate([base, near]).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rows)], "vec_id long, embedding array<float>")
+    units = rows.astype(float) / np.linalg.norm(rows.astype(float), axis=1, keepdims=True)
+    there = (units @ units.T >= 0.95).sum() - len(rows)
+    assert 0.985 * there <= sum(r.n_links for r in caps.near_vectors(df).collect()) <= there
+
+
 def test_near_vectors_of_odd_rows(spark):
     nan = float("nan")
     rows = [(1, None), (2, [0.0, 0.0]), (3, [nan, 1.0]), (4, [1.0, 2.0]), (4, [1.0, 2.0]), (None, [1.0, 2.0]), (5, [2.0, 4.0]), (6, [None, 1.0]), (None, [-1.0, 5.0]), (7, [1e200, 2e200]), (8, [])]
