@@ -31,18 +31,18 @@ def clean(value: Column) -> Column:
 
 def normalised_difference(a: Column, b: Column) -> Column:
     """(a - b) / (a + b), 0 where the denominator is 0."""
-    return F.when(a + b != 0, (a - b) / (a + b)).otherwise(F.when(a.isNotNull() & b.isNotNull(), 0.0))
+    return F.coalesce(F.try_divide(a - b, a + b), (a - b) * 0.0 + 0.0)
 
 
 def ratio(a: Column, b: Column) -> Column:
     """a / b, 0 where b is 0."""
-    return F.when(b != 0, a / b).otherwise(F.when(a.isNotNull() & b.isNotNull(), 0.0))
+    return F.coalesce(F.try_divide(a, b), a * b + 0.0)
 
 
 def clip(value: Column, low: float, high: float | None = None) -> Column:
     """Limited to [low, high]; null stays null."""
-    limited = F.when(value < low, low).otherwise(value)
-    return limited if high is None else F.when(value > high, high).otherwise(limited)
+    raised = F.greatest(value, F.lit(low))
+    return F.when(value.isNotNull(), raised if high is None else F.least(raised, F.lit(high)))
 
 
 def ndwi_mask(green: Column, nir: Column, sensor: Column, threshold: float = 0.0) -> Column:
@@ -61,8 +61,9 @@ def ndwi_mask(green: Column, nir: Column, sensor: Column, threshold: float = 0.0
 
 def spectral_indices(df: DataFrame, proxy_scale: float = 1.2) -> DataFrame:
     """Indices and ratios of reflectance bands."""
-    b = {n: clean(F.col(n)) for n in BANDS}
-    return df.withColumns(
+    b = {n: F.col(f"_{n}") for n in BANDS}
+    cleaned = df.withColumns({f"_{n}": clean(F.col(n)) for n in BANDS}).withColumn("_swir", clip(F.col("_swir1") + F.col("_swir2"), 0.0))
+    return cleaned.withColumns(
         {
             "ndwi": normalised_difference(b["green"], b["nir"]),
             "mndwi": normalised_difference(b["green"], b["swir1"]),
@@ -70,17 +71,17 @@ def spectral_indices(df: DataFrame, proxy_scale: float = 1.2) -> DataFrame:
             "ndti": normalised_difference(b["green"], b["blue"]),
             "turbidity_ratio": ratio(b["red"], b["green"]),
             "chlorophyll_ratio": ratio(b["green"], b["blue"]),
-            "salinity_proxy": clip(b["swir1"] + b["swir2"], 0.0),
-            "salinity_proxy_norm": clip(clip(b["swir1"] + b["swir2"], 0.0) / proxy_scale, 0.0, 1.0),
+            "salinity_proxy": F.col("_swir"),
+            "salinity_proxy_norm": clip(F.col("_swir") / proxy_scale, 0.0, 1.0),
         }
-    )
+    ).drop("_swir", *[f"_{n}" for n in BANDS])
 
 
 def require_bands(df: DataFrame) -> None:
     """ValueError that names the bands a frame lacks (P20)."""
     missing = sorted(set(BANDS) - set(df.columns))
     if missing:
-        raise ValueError(f"missing required keys: {missing}")
+        raise ValueError(f"pixels lack the bands {missing}")
 
 
 def classify_salinity(
@@ -92,6 +93,7 @@ def classify_salinity(
     """
     require_bands(df)
     out = spectral_indices(df, proxy_scale)
+    # Weights, scales and cuts of the classifier, in this expression and the names below.
     ndwi, mndwi, proxy = F.col("ndwi"), F.col("mndwi"), F.col("salinity_proxy_norm")
     water = (ndwi > water_threshold) | (mndwi > water_threshold) | ((proxy > proxy_threshold) & ((ndwi > 0) | (mndwi > 0)))
     score = clip(

@@ -80,8 +80,10 @@ def box_wkt(minx: Column, miny: Column, maxx: Column, maxy: Column) -> Column:
 
 def wkt_points(wkt: Column) -> Column:
     """array<struct<x, y>> of the coordinate pairs in a WKT."""
-    pairs = F.regexp_extract_all(wkt, F.lit(r"(-?\d+(?:\.\d+)?\s+-?\d+(?:\.\d+)?)"), F.lit(1))
-    return F.transform(pairs, lambda p: F.struct(F.split(p, r"\s+")[0].cast("double").alias("x"), F.split(p, r"\s+")[1].cast("double").alias("y")))
+    number = r"-?\d+(?:\.\d+)?(?:[eE][-+]?\d+)?"
+    pairs = F.regexp_extract_all(wkt, F.lit(rf"({number}\s+{number})"), F.lit(1))
+    parts = F.transform(pairs, lambda p: F.split(p, r"\s+"))
+    return F.transform(parts, lambda p: F.struct(p[0].cast("double").alias("x"), p[1].cast("double").alias("y")))
 
 
 def tile_choice(width_deg: Column, height_deg: Column, scale_m: Column, bands: Column, sensor: Column) -> tuple[Column, Column]:

@@ -42,10 +42,10 @@ def profile_levels(profiles: DataFrame) -> DataFrame:
 
 
 def surface_levels(levels: DataFrame, keys: list[str], depth: float = 1.0) -> DataFrame:
-    """keys, surface_salinity (of the first level no deeper than depth) and max_depth, from level rows; keys without such a level are left out."""
+    """keys, surface_salinity (of the first level no deeper than depth) and max_depth, from level rows; keys without such a level are left out. Of levels with one number the shallowest counts, then the one with the least salinity."""
     shallow = F.col("depth_m") <= depth
     out = levels.groupBy(*keys).agg(
-        F.min_by(F.when(shallow, F.col("salinity")), F.when(shallow, F.col("level"))).alias("surface_salinity"),
+        F.min_by("salinity", F.when(shallow, F.struct("level", "depth_m", F.col("salinity").isNull().alias("without"), "salinity"))).alias("surface_salinity"),
         F.max(F.when(~F.isnan("depth_m"), F.col("depth_m"))).alias("max_depth"), F.bool_or(shallow).alias("_any"),
     )
     return out.where("_any").drop("_any")

@@ -60,11 +60,17 @@ def pick_for_points(points: DataFrame, meta: DataFrame, buffer_km: float = 1.0,
 def nearest_year(labels: DataFrame, wanted: DataFrame, year: str = "year", order: str = "position") -> DataFrame:
     """For each wanted year (column wanted) the label row of the nearest year, the first listed of equals.
 
-    labels is a short list of coverages and is sent to every task while Spark's own threshold allows.
+    The first label of every year, of which there are as many as years, makes one list in order of years; a wanted year
+    looks at the last entry up to it and the first one after it.
     """
-    pairs = wanted.crossJoin(labels)
-    best = F.min_by(F.struct(*labels.columns), F.struct(F.abs(F.col(year) - F.col("wanted")), F.col(order)))
-    return pairs.groupBy("wanted").agg(best.alias("l")).select("wanted", *[F.col(f"l.{c}").alias(c) for c in labels.columns])
+    first = labels.groupBy(year).agg(F.min_by(F.struct(*labels.columns), F.struct(order)).alias("l"), F.min(order).alias("o"))
+    listed = first.agg(F.array_sort(F.collect_list(F.struct(F.col(year).alias("y"), "o", "l"))).alias("_all"))
+    upto = F.try_element_at(F.filter("_all", lambda x: x["y"] <= F.col("wanted")), F.lit(-1))
+    after = F.get(F.filter("_all", lambda x: x["y"] > F.col("wanted")), F.lit(0))
+    found = wanted.select("wanted").distinct().join(F.broadcast(listed)).select("wanted", F.when(F.size("_all") > 0, F.col("_all")).alias("_all"))
+    found = found.where("_all is not null").select("wanted", F.array_compact(F.array(upto, after)).alias("two"))
+    best = F.array_min(F.transform("two", lambda x: F.struct(F.abs(x["y"] - F.col("wanted")).alias("gap"), x["o"].alias("o"), x["y"].alias("y"), x["l"].alias("l"))))
+    return found.select("wanted", best.alias("b")).select("wanted", *[F.col(f"b.l.{c}").alias(c) for c in labels.columns])
 
 
 def coverage_names(names: DataFrame) -> DataFrame:
@@ -157,8 +163,8 @@ def align_labels(pixels: DataFrame, labels: DataFrame, x0: float, y0: float, cel
 
 
 def stitch(tiles: DataFrame) -> DataFrame:
-    """One value per cell of overlapping tiles (tile, row, col, value): the first tile with a value wins."""
-    return tiles.where("value is not null").groupBy("row", "col").agg(F.min_by("value", "tile").alias("value"))
+    """One value per cell of overlapping tiles (tile, row, col, value): the first tile with a value wins, and within it the least value."""
+    return tiles.where("value is not null").groupBy("row", "col").agg(F.min_by("value", F.struct("tile", "value")).alias("value"))
 
 
 def pair_labels(files: DataFrame) -> DataFrame:
@@ -167,7 +173,7 @@ def pair_labels(files: DataFrame) -> DataFrame:
     return files.where(~F.col("name").startswith("aligned_cdl_")).join(mask, "name").select(F.col("name").alias("image"), "mask")
 
 
-def near_coast(points: DataFrame, segments: DataFrame, buffer_deg: float, cell_deg: float = 0.5) -> DataFrame:
+def near_coast(points: DataFrame, segments: DataFrame, buffer_deg: float, cell_deg: float = 0.1) -> DataFrame:
     """points (point_id, lon, lat) with their least distance in degrees to segments (x1, y1, x2, y2), where at most buffer_deg (G8, SRC12).
 
     Segments go to the cells that their box, grown by the buffer, meets; points to their own.

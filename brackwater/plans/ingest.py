@@ -84,10 +84,20 @@ def mission_parse(spark, d):
     return got.withColumn("dataset_id", s.dataset_id(F.col("mission")))
 
 
-@query(f"with {PATHS} select path, try_strptime(regexp_extract(path, '_(\\d{{8}})_multiband', 1), '%Y%m%d')::date as day from paths where path not like '%/unknown%' and path not like '%sentinel%'", "scenes")
+NAMES = """names as (select scene_key, case when scene_key % 11 = 0 then 'unknown_' || scene_id when sensor = 'sentinel-2' and scene_key % 2 = 0 then 'sentinel-2_' || strftime(acquisition_date, '%Y%m%d') || 'T154911_tile'
+    when sensor = 'sentinel-2' then 'sentinel-2_' || scene_id else sensor || '_' || scene_id end as name from scenes)"""
+
+
+@query(
+    f"""with {NAMES} select scene_key, case when name like 'sentinel%' then try_strptime(regexp_extract(name, '(\\d{{8}})T\\d{{6}}', 1), '%Y%m%d')::date else try_strptime(split_part(name, '_', 4), '%Y%m%d')::date end as day from names""",
+    "scenes",
+)
 def filename_date(spark, d):
-    kept = _paths(spark, d).where(~F.col("path").contains("/unknown") & ~F.col("path").contains("sentinel"))
-    return kept.select("path", s.date_from_name(F.col("path")).alias("day"))
+    """Names of all missions, Sentinel's with and without a time, and names of no mission."""
+    day, key = F.date_format("acquisition_date", "yyyyMMdd"), F.col("scene_key")
+    sentinel = F.when(key % 2 == 0, F.concat(F.lit("sentinel-2_"), day, F.lit("T154911_tile"))).otherwise(F.concat(F.lit("sentinel-2_"), "scene_id"))
+    name = F.when(key % 11 == 0, F.concat(F.lit("unknown_"), "scene_id")).when(F.col("sensor") == "sentinel-2", sentinel).otherwise(F.concat_ws("_", "sensor", "scene_id"))
+    return t.scenes(spark, d).select("scene_key", s.date_from_name(F.concat(F.lit("mosaics/"), name, F.lit("_multiband.tif"))).alias("day"))
 
 
 @query("select event_id, md5('S' || event_id::varchar || ':water_mask:' || props) as product_id from events")
@@ -110,15 +120,12 @@ def record_validation(spark, d):
 
 
 @query(
-    """select cast_id, profile, round(arg_min(salinity, level), 6) as surface_salinity, max(max_depth) as max_depth from
-    (select *, max(depth_m) over (partition by cast_id, profile) as max_depth from levels) where depth_m <= 1.0 group by cast_id, profile having count(distinct level) = count(*)""",
+    """select cast_id, profile, round(first(salinity order by level, depth_m, salinity), 6) as surface_salinity, max(max_depth) as max_depth from
+    (select *, max(depth_m) over (partition by cast_id, profile) as max_depth from levels) where depth_m <= 1.0 group by cast_id, profile""",
     "levels",
 )
 def surface_salinity(spark, d):
-    """Profiles whose shallow levels are all different, so that the first is one row."""
-    lv = t.levels(spark, d)
-    clear = lv.where("depth_m <= 1.0").groupBy("cast_id", "profile").agg(F.count("*").alias("n"), F.countDistinct("level").alias("k")).where("n = k")
-    out = op_casts.surface_levels(lv, ["cast_id", "profile"]).join(clear.select("cast_id", "profile"), ["cast_id", "profile"])
+    out = op_casts.surface_levels(t.levels(spark, d), ["cast_id", "profile"])
     return out.select("cast_id", "profile", F.round("surface_salinity", 6).alias("surface_salinity"), "max_depth")
 
 
