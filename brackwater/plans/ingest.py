@@ -115,7 +115,7 @@ def product_id(spark, d):
 def record_validation(spark, d):
     from ..functions.geo import box_wkt
 
-    rows = t.scenes(spark, d).withColumn("location", box_wkt(*[F.col(c) for c in ("minx", "miny", "maxx", "maxy")]))
+    rows = t.spread(t.scenes(spark, d)).withColumn("location", box_wkt(*[F.col(c) for c in ("minx", "miny", "maxx", "maxy")]))
     return rows.select("scene_id", F.concat_ws(",", op.violations(today=dt.date(2000, 1, 1))).alias("broken"))
 
 

@@ -17,7 +17,8 @@ KEY_SQL = "scene, row, col, year"
 
 
 def reflectances(df: DataFrame) -> DataFrame:
-    return df.withColumns({n: b.reflectance(F.col(n), F.col("sensor")) for n in BANDS})
+    """Reflectance of all bands: what follows is work per pixel, so a table of few splits is spread first."""
+    return t.spread(df).withColumns({n: b.reflectance(F.col(n), F.col("sensor")) for n in BANDS})
 
 
 def r6(*names: str):

@@ -65,7 +65,7 @@ def wkt_round_trip(spark, d):
     """Boxes written as WKT and read again, and 'a,b,c,d' boxes of which every second lacks a number."""
     wkt = geo.box_wkt(*[F.col(c) for c in ("minx", "miny", "maxx", "maxy")])
     text = F.concat_ws(",", "minx", "miny", "maxx", F.when(F.col("scene_key") % 2 == 0, F.col("maxy").cast("string")))
-    read = t.scenes(spark, d).select("scene_key", geo.wkt_points(wkt).alias("points"), s.parse_box(text).isNotNull().alias("boxed"))
+    read = t.spread(t.scenes(spark, d)).select("scene_key", geo.wkt_points(wkt).alias("points"), s.parse_box(text).isNotNull().alias("boxed"))
     corners = F.size(F.array_distinct("points"))
     return read.select("scene_key", F.array_min("points.x").alias("x0"), F.array_max("points.y").alias("y1"), corners.alias("corners"), "boxed")
 

@@ -17,6 +17,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df dealt to all cores where it comes in fewer splits than there are, as one small file does; inputs of many splits stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def pick(index: Column, *values: str) -> Column:
     """The value of a place (from 0)."""
     out = F.lit(values[-1])
