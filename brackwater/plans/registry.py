@@ -25,4 +25,4 @@ def query(sql: str | None = None, *tables: str) -> Callable[[Query], Query]:
     return register
 
 
-from . import catalog, ingest, raster, scalars, selection, streams, trends  # noqa: E402, F401  they register themselves
+from . import catalog, ingest, raster, scalars, selection, stages, streams, trends  # noqa: E402, F401  they register themselves
