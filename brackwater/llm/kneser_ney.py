@@ -17,7 +17,7 @@ import os
 import tempfile
 import uuid
 from array import array
-from collections import Counter
+from collections import Counter, OrderedDict
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -33,19 +33,21 @@ SHARD_CHARS = 8_000_000
 BLOCK_TOKENS = 2_000_000
 #: Tokens scored together.
 SCORE_TOKENS = 1_000_000
+#: Arrays that a process keeps mapped, each with one file descriptor.
+MAPPED = 64
 #: Documents of the sample that tells common contexts.
 SAMPLE = 2_000
 
 
 class Store:
-    """Arrays in the shared folder: put() writes one whole or not at all, get() maps one into memory."""
+    """Arrays in the shared folder: put() writes one whole or not at all, get() maps one into memory. At most MAPPED stay mapped, the last used ones."""
 
     def __init__(self, uri: str):
         self.uri = uri
-        self._open: dict[str, np.ndarray] = {}
+        self._open: OrderedDict[str, np.ndarray] = OrderedDict()
 
     def __getstate__(self):
-        return {"uri": self.uri, "_open": {}}
+        return {"uri": self.uri, "_open": OrderedDict()}
 
     def put(self, name: str, values: np.ndarray) -> None:
         data = io.BytesIO()
@@ -84,6 +86,9 @@ class Store:
                 self._open[name] = np.load(f"{folder}/{name}.npy", mmap_mode="r")
             else:
                 return None
+        self._open.move_to_end(name)
+        while len(self._open) > MAPPED:
+            self._open.popitem(last=False)
         return self._open[name]
 
 
@@ -135,6 +140,13 @@ def shard_of(context: np.ndarray, word: np.ndarray, common: np.ndarray, shards:
     return own.astype(np.int64)
 
 
+def _by_shard(own: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    """The shards that are there, in order, and the places of each: work and rows follow what is there, not the number of shards."""
+    order = np.argsort(own, kind="stable")
+    present, first = np.unique(own[order], return_index=True)
+    return list(zip(present.tolist(), np.split(order, first[1:]), strict=True)) if len(own) else []
+
+
 def _sums(keys: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, ...]:
     """Distinct keys in order, and the columns' sums for each."""
     order = np.argsort(keys, kind="stable")
@@ -157,16 +169,12 @@ def _bigram_blocks(common: np.ndarray, shards: int):
             keys, counts = np.unique((before.astype(np.int64) << 32) | word, return_counts=True)
             context, word = keys >> 32, keys & 0xFFFFFFFF
             own = shard_of(hashes[context], hashes[word], common, shards)
-            order = np.argsort(own, kind="stable")
-            edges = np.searchsorted(own[order], np.arange(shards + 1))
             rows = []
-            for s in range(shards):
-                at = order[edges[s] : edges[s + 1]]
-                if len(at):
-                    c = context[at]
-                    first = np.flatnonzero(np.concatenate(([True], c[1:] != c[:-1])))
-                    spans = np.diff(np.append(first, len(c))).astype("<u4")
-                    rows.append((s, hashes[c[first]].tobytes(), spans.tobytes(), hashes[word[at]].tobytes(), counts[at].astype("<u4").tobytes()))
+            for s, at in _by_shard(own):
+                c = context[at]
+                first = np.flatnonzero(np.concatenate(([True], c[1:] != c[:-1])))
+                spans = np.diff(np.append(first, len(c))).astype("<u4")
+                rows.append((s, hashes[c[first]].tobytes(), spans.tobytes(), hashes[word[at]].tobytes(), counts[at].astype("<u4").tobytes()))
             cols = list(zip(*rows, strict=True))
             return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[1:]]], names=["shard", "contexts", "spans", "words", "counts"])
 
@@ -197,9 +205,8 @@ def _word_rows(shards: int, context: np.ndarray, word: np.ndarray, counts: np.nd
     table[:n, :4] = np.stack(as_context[1:], axis=1)
     table[n:, 4:] = np.stack(as_word[1:], axis=1)
     own = (keys % np.uint64(shards)).astype(np.int64)
-    order = np.argsort(own, kind="stable")
-    edges = np.searchsorted(own[order], np.arange(shards + 1))
-    rows = [(s, keys[at].tobytes(), table[at].astype("<u4" if table.size == 0 or table.max() < 1 << 32 else "<u8").tobytes()) for s in range(shards) if len(at := order[edges[s] : edges[s + 1]])]
+    width = "<u4" if table.size == 0 or table.max() < 1 << 32 else "<u8"
+    rows = [(s, keys[at].tobytes(), table[at].astype(width).tobytes()) for s, at in _by_shard(own)]
     return pd.DataFrame(rows, columns=["shard", "keys", "sums"])
 
 
@@ -265,10 +272,8 @@ class Model:
 
     def _find(self, kind: str, shard: np.ndarray, keys: np.ndarray, values: str, width: int) -> np.ndarray:
         out = np.zeros((len(keys), width), np.int64)
-        order = np.lexsort((keys, shard))
-        edges = np.searchsorted(shard[order], np.arange(self.shards + 1))
-        for s in np.flatnonzero(np.diff(edges)):
-            at = order[edges[s] : edges[s + 1]]
+        for s, at in _by_shard(shard):
+            at = at[np.argsort(keys[at])]
             held = self.store.get(f"{kind}-{s}-key")
             if held is None or not len(held):
                 continue
@@ -319,7 +324,7 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
         top = said.most_common(4 * shards)
         yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in top], pa.binary()), pa.array([n for _, n in top], pa.int64()), pa.array([said.total()] * len(top), pa.int64())], names=["word", "n", "total"])
 
-    drawn = texts.where(F.pmod(F.xxhash64("text", F.monotonically_increasing_id()), F.lit(1_000_000)) < int(share * 1_000_000)).limit(SAMPLE)
+    drawn = texts.where(F.pmod(F.xxhash64("text"), F.lit(1 << 40)) < int(share * (1 << 40))).limit(SAMPLE)
     often = drawn.coalesce(1).mapInArrow(sampled, "word binary, n bigint, total bigint").where(F.col("n") * 4 * shards > F.col("total")).collect()
     ids = Ids()
     common = np.array([ids.hashes[ids[bytes(r["word"])]] for r in often] + [int(START)], np.uint64)
@@ -381,7 +386,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     out = rows.mapInArrow(scored, f"{fixed}, _flag boolean, n_tokens bigint, n_known bigint, base_score double, score double")
     return out.select(
-        F.col(id_col), *[F.col("_flag").alias(flag_col)] * bool(flag_col), "n_tokens", "n_known",
+        F.col(id_col), *[F.col("_flag").alias(flag_col or "_flag")] * bool(flag_col), "n_tokens", "n_known",
         F.lit(model.totals["tokens"]).cast("long").alias("train_tokens"), "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"),
     )
 

@@ -76,10 +76,13 @@ def _licences() -> str:
         each = ", ".join(f"len(list_intersect(grams, [{', '.join(map(_quoted, t))}])) / {len(t)}.0::double" for t in own)
         shares.append(f"when {_quoted(name)} then greatest({each})")
     names = ", ".join(map(_quoted, licences.CLASSES))
+    keys = ", ".join(map(_quoted, licences.KEYS))
     return f"""with weights(gram, {", ".join(f"w{k}" for k in classes)}) as (values {table}),
-    docs as (select row_number() over () as row, doc_id, list_filter(string_split(coalesce(text, ''), chr(10)), lambda s: regexp_matches(s, '{licences.ANCHORS}')) as lines from documents),
-    par as (select row, unnest(range(len(lines))) as line, unnest(lines) as text from docs),
-    worded as (select *, regexp_extract_all(lower(text), '{licences.WORDS}') as w from par),
+    pars as (select row_number() over () as row, doc_id, list_transform(string_split_regex(coalesce(text, ''), '{licences.BLANK}'),
+        lambda p: list_filter(string_split_regex(translate(p, '{licences.CAPITALS}', '{licences.SMALL}'), '{licences.BETWEEN}'), lambda w: w <> '')) as pars from documents),
+    docs as (select row, doc_id, list_filter(flatten(list_transform(pars, lambda w: list_transform(range(1, 2 + ceil(greatest(len(w) - {licences.SPAN}, 0) / {licences.STRIDE})::int * {licences.STRIDE}, {licences.STRIDE}), lambda i: w[i:i + {licences.SPAN - 1}]))),
+        lambda w: list_has_any(w, [{keys}])) as lines from pars),
+    worded as (select row, unnest(range(len(lines))) as line, unnest(lines) as w from docs),
     grammed as (select *, list_distinct(list_concat(w, list_transform(range(1, len(w)), lambda i: array_to_string(w[i:i + 1], ' ')), list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')))) as grams from worded),
     sums as (select row, line, {", ".join(f"sum(w{k}) as z{k}" for k in classes)} from (select row, line, unnest(grams) as gram from grammed) join weights using (gram) group by row, line),
     scored as (select g.*, [{z}] as z from grammed g left join sums using (row, line)),

@@ -274,6 +274,21 @@ def test_model_beats_unigrams_on_held_out_text(docs):
     assert sums[1] > sums[0]
 
 
+def test_open_files_do_not_grow_with_shards(spark, docs, monkeypatch, tmp_path):
+    import os
+
+    store = kneser_ney.Store(f"file://{tmp_path}/model")
+    for k in range(300):
+        store.put(f"word-{k}-key", np.arange(k + 1, dtype=np.uint64))
+    before = len(os.listdir("/proc/self/fd"))
+    assert all(store.get(f"word-{k}-key")[-1] == k for k in range(300)) and store.get("word-3-key")[1] == 1
+    assert len(os.listdir("/proc/self/fd")) - before <= kneser_ney.MAPPED
+    whole = {r.doc_id: r.score for r in kneser_ney.held_out_scores(docs).collect()}
+    monkeypatch.setattr(kneser_ney, "SHARD_CHARS", 5_000)  # many shards, few tokens each
+    model = kneser_ney.train(docs.where("crc32(cast(doc_id as string)) % 5 <> 1"))
+    assert model.shards > 40 and {r.doc_id: r.score for r in kneser_ney.score(docs, model).collect()} == pytest.approx(whole, rel=1e-9)
+
+
 def test_kneser_ney_without_text(nothing):
     assert kneser_ney.held_out_scores(nothing).count() == 0
 
@@ -564,8 +579,41 @@ def test_licences(spark):
 
 
 def test_licence_probabilities_are_calibrated():
-    weights, bias, temperature = licences.model()
-    assert 0.25 <= temperature <= 4 and len(weights) < 3000 and len(bias) == len(licences.CLASSES)
+    """Of texts left out of training: where a class is named, probabilities keep what they say, and few are wrong."""
+    weights, bias, temperature, held = licences.calibrated()
+    assert len(weights) < 6000 and len(bias) == len(licences.CLASSES)
+    named = [(p, right) for p, right in held if p >= licences.NAMED]
+    assert len(named) > 0.6 * len(held) and np.mean([right for _, right in named]) > 0.65
+    gap = sum(abs(sum(p - right for p, right in part)) for lo in np.arange(0, 1, 0.2) if (part := [x for x in held if lo <= x[0] < lo + 0.2 or (lo > 0.7 and x[0] == 1)]))
+    assert gap / len(held) < 0.12
+
+
+WRAPPED = {
+    "GPL": "/*\n * This program is free software: you can redistribute it\n * and/or modify it under the terms of the GNU General\n * Public License as published by the Free Software\n * Foundation, either version 3 of the License, or\n * (at your option) any later version.\n */",
+    "MIT": "# Permission is hereby granted, free of charge, to any person\n# obtaining a copy of this software and associated documentation\n# files (the \"Software\"), to deal in the Software without\n# restriction, including without limitation the rights to use",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.",
+    "AGPL": "you can redistribute it and/or modify it under\nthe terms of the GNU Affero General Public License as\npublished by the Free Software Foundation",
+    "CC BY-SA": "This work is licensed under a Creative Commons\nAttribution-ShareAlike 4.0 International License.",
+    "MPL": "// This Source Code Form is subject to the terms of the\n// Mozilla Public License, v. 2.0.",
+    "Apache": "Project notes\n\nReleased under Apache 2.0 license.",
+    "LGPL": "Distributed under the GNU LGPL 2.1 license",
+}
+
+
+def test_wrapped_and_unseen_wordings(spark):
+    others = ["Licensed under the Zlorp License 3.0.", "the licence of the boat costs a lot", "This file is subject to the Quux Public License", "x " * 200_000]
+    rows = [(i, "some words before.\n\n" + t + "\n\nand after") for i, t in enumerate(WRAPPED.values())] + [(100 + i, t) for i, t in enumerate(others)]
+    rows += [(200, "plain words " * 150 + "Released under the MIT License. " + "more plain words " * 150), (201, "Released under the MIT License.\n\nLicensed under CC BY 4.0.")]
+    got = {r.doc_id: r for r in licences.licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i].licences for i in range(len(WRAPPED))] == list(WRAPPED)
+    assert all(got[100 + i].licences == "" for i in range(len(others)))
+    assert got[200].licences == "MIT" and got[201].licences == "CC BY,MIT"
+
+
+def test_spans_without_key_words_are_unknown():
+    """What is not looked at could not have been named: without features the bias alone speaks, for unknown."""
+    weights, bias, _ = licences.model()
+    assert all(set(g.split()) & set(licences.KEYS) for g in weights) and bias.argmax() == 0
 
 
 def test_licences_run_no_python(spark, docs):
