@@ -48,11 +48,26 @@ def _urls() -> str:
     weight = f"{urls.WEIGHT}::double"
     parts += [
         f"placed as (select host, shape, n, labelled, blocked, template || case when len(shape) > {urls.DEPTH} then '/**' else '' end as template from t{urls.DEPTH})",
-        r"own as (select host, template, sum(labelled) as labelled, sum(blocked) as blocked, regexp_replace(template, '/[^/*]+((?:/\*+)*)$', '/~\1') as branch from placed group by host, template)",
-        "pool as (select host, branch, sum(labelled) as pn, sum(blocked) as pb from own group by all)",
-        "rated as (select *, case when pn > 0 then pb / pn::double else 0.0::double end as rate from own join pool using (host, branch))",
-        f"""marked as (select host, template, labelled, blocked, case when abs(case when labelled > 0 then blocked / labelled::double else rate end - rate) <= {urls.APART} * sqrt(rate * (1 - rate) / greatest(labelled, 1))
-        then branch else template end as branch, regexp_extract(host, '([^.]+\\.[^.]+)$', 1) as domain from rated)""",
+        f"b{urls.DEPTH + 2} as (select host, template, list_filter(string_split(template, '/'), lambda s: s <> '') as segs, sum(labelled)::bigint as labelled, sum(blocked)::bigint as blocked, '' as below from placed group by host, template)",
+    ]
+    for k in range(urls.DEPTH + 1, 0, -1):
+        parts += [
+            f"""places{k} as (select host, array_to_string(segs[1:{k - 1}], '/') as prefix, segs[{k}] as seg, below, sum(labelled)::bigint as n, sum(blocked)::bigint as bad
+            from b{k + 1} where len(segs) >= {k} and segs[{k}] not in ('*', '**') group by all)""",
+            f"wholes{k} as (select host, prefix, seg, sum(n)::bigint as n, sum(bad)::bigint as bad from places{k} group by all having sum(n) > 0)",
+            f"""all{k} as (select p.host, p.prefix, p.seg, p.below, p.n, p.bad, w.n as size from places{k} p join wholes{k} w using (host, prefix, seg) where p.n > 0
+            union all select host, prefix, seg, '=', n, bad, n from wholes{k})""",
+            f"""pairs{k} as (select a.host, a.prefix, a.seg, b.seg as root, b.size, (a.bad + b.bad) / (a.n + b.n)::double as p,
+            abs(a.bad / a.n::double - b.bad / b.n::double) > {urls.APART} * sqrt(p * (1 - p) * (1 / a.n::double + 1 / b.n::double)) as differ
+            from all{k} a join all{k} b on a.host = b.host and a.prefix = b.prefix and a.below = b.below and (b.size > a.size or (b.size = a.size and b.seg < a.seg)))""",
+            f"alike{k} as (select host, prefix, seg, root, size from pairs{k} group by all having not bool_or(differ))",
+            f"""roots{k} as (select host, prefix, seg, root from alike{k} l where not exists (select 1 from alike{k} r where r.host = l.host and r.prefix = l.prefix and r.seg = l.root)
+            qualify row_number() over (partition by host, prefix, seg order by size desc, root) = 1)""",
+            f"""b{k} as (select b.host, b.template, b.segs, b.labelled, b.blocked, case when len(segs) < {k} then '' else '/' || coalesce(r.root, segs[{k}]) || below end as below
+            from b{k + 1} b left join roots{k} r on r.host = b.host and r.prefix = array_to_string(segs[1:{k - 1}], '/') and r.seg = segs[{k}])""",
+        ]
+    parts += [
+        "marked as (select host, template, labelled, blocked, below as branch, regexp_extract(host, '([^.]+\\.[^.]+)$', 1) as domain from b1)",
         "sums as (select host, branch, sum(labelled) as n, sum(blocked) as bad from marked group by all)",
         "near as (select domain, template, sum(labelled) as nn, sum(blocked) as nb from marked group by all)",
         "far as (select template, sum(labelled) as fn, sum(blocked) as fb from marked group by all)",

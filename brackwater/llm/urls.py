@@ -1,15 +1,17 @@
 """Operator 3: URL filter rules, and a path-template tree for what no rule fits.
 
 Per host, a path is a walk down a tree of segments. Segments that vary (numbers, hashes, dates, and
-children of a node with many rare values) become wildcards, so paths fall into templates. Sibling
-branches of a host whose labelled shares of blocked URLs don't differ significantly are merged.
+children of a node with many rare values) become wildcards, so paths fall into templates. From the deepest
+level up, sibling branches are merged whose labelled shares of blocked URLs don't differ significantly,
+neither over the whole branch nor at any place below that both have; what is merged is pooled before the next level up.
 A template's purity is its labelled share of blocked URLs, smoothed towards the same template under the
 domain, that towards the same template anywhere, and that towards the share overall; templates that
 are pure enough are rejected. Labels are the verdicts of the rules: the tree carries them over to the
 URLs that no rule fits.
 
 Everything is a sum by key with map-side combine over distinct (host, path shape); rows meet their
-template in one join.
+template in one join. A node keeps at most 20 children besides the wildcard (FAN, RARE), which bounds the
+siblings that are compared. Each level is written out, so that no plan holds another level's twice.
 """
 
 from __future__ import annotations
@@ -81,9 +83,48 @@ def templates(shapes: DataFrame, depth: int = DEPTH, fan: int = FAN, rare: float
         wild = busy.select("host", "template", "segment", F.lit(True).alias("wild"))
         part = F.when(F.col("segment").isNull(), "").otherwise(F.concat(F.lit("/"), F.when(F.col("wild"), "*").otherwise(F.col("segment"))))
         out = out.join(wild, ["host", "template", "segment"], "left").withColumn("template", F.concat("template", part)).drop("wild", "segment")
+        out = saved(out, "level")
     return out.withColumn("template", F.concat("template", F.when(F.size("shape") > depth, "/**").otherwise("")))
 
 
+def _differ(n: Column, bad: Column, other_n: Column, other_bad: Column, apart: float) -> Column:
+    """Whether two shares are significantly apart (two proportions, pooled error)."""
+    p = (bad + other_bad) / (n + other_n)
+    return F.abs(bad / n - other_bad / other_n) > apart * F.sqrt(p * (1 - p) * (1 / n + 1 / other_n))
+
+
+def merged_branches(own: DataFrame, apart: float = APART) -> DataFrame:
+    """host, template, labelled and blocked counts to the same with branch: the path of the branch that the template's was merged into, or its own.
+
+    At each level, from the deepest up, a node's children by labelled URLs (ties by name): a child that is unlike all
+    before it stands for itself, any other joins the first of those that it is like. Children without labels
+    and wildcards join none. Branches below are known by the names they were merged under, and their counts are pooled.
+    """
+    segments = F.filter(F.split("template", "/"), lambda s: s != "")
+    out = saved(own.withColumn("segments", segments).withColumn("branch", F.lit("")), "branches")
+    deepest = out.agg(F.coalesce(F.max(F.size("segments")), F.lit(0))).first()[0]
+    at = ["host", "prefix", "segment"]
+    for level in range(deepest, 0, -1):
+        out = out.withColumn("segment", F.try_element_at("segments", F.lit(level))).withColumn("prefix", F.concat_ws("/", F.slice("segments", 1, level - 1)))
+        places = out.where("segment not in ('*', '**')").groupBy(*at, F.col("branch").alias("below")).agg(F.sum("labelled").alias("n"), F.sum("blocked").alias("bad"))
+        wholes = places.groupBy(*at).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).where("n > 0")
+        wholes = wholes.select(*at, F.lit("=").alias("below"), "n", "bad", F.col("n").alias("size"))  # no place below is called '='
+        rows = places.where("n > 0").join(wholes.select(*at, "size"), at).unionByName(wholes)
+        first, then = rows.alias("a"), rows.alias("b")
+        before = (F.col("b.size") > F.col("a.size")) | ((F.col("b.size") == F.col("a.size")) & (F.col("b.segment") < F.col("a.segment")))
+        same_place = (F.col("a.host") == F.col("b.host")) & (F.col("a.prefix") == F.col("b.prefix")) & (F.col("a.below") == F.col("b.below"))
+        pairs = first.join(then, same_place & before).select(
+            "a.host", "a.prefix", "a.segment", F.col("b.segment").alias("root"), F.col("b.size").alias("size"),
+            _differ(F.col("a.n"), F.col("a.bad"), F.col("b.n"), F.col("b.bad"), apart).alias("differ"),
+        )
+        alike = pairs.groupBy(*at, "root", "size").agg(F.max("differ").alias("differ")).where("not differ").drop("differ")
+        joined = alike.select("host", "prefix", F.col("segment").alias("root")).distinct()
+        roots = alike.join(joined, ["host", "prefix", "root"], "left_anti").groupBy(*at).agg(F.min(F.struct(-F.col("size"), F.col("root").alias("root"))).alias("best"))
+        name = F.when(F.col("segment").isNull(), "").otherwise(F.concat(F.lit("/"), F.coalesce("best.root", "segment"), F.col("branch")))
+        out = saved(out.join(roots, at, "left").withColumn("branch", name).drop("best", "prefix", "segment"), "branches")
+    return out.drop("segments")
+
+
 def _smoothed(bad: Column, n: Column, prior: Column, weight: float) -> Column:
     return (bad + prior * weight) / (n + weight)
 
@@ -91,14 +132,7 @@ def _smoothed(bad: Column, n: Column, prior: Column, weight: float) -> Column:
 def template_purity(counted: DataFrame, weight: float = WEIGHT, apart: float = APART) -> DataFrame:
     """host, template, labelled and blocked counts to host, template, branch (merged or own) and purity."""
     own = counted.groupBy("host", "template").agg(F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked"))
-    # Siblings differ in one last segment that is no wildcard: /en/*, /fr/* and /de/* are branches of /~/*.
-    own = own.withColumn("branch", F.regexp_replace("template", r"/[^/*]+((?:/\*+)*)$", "/~$1"))
-    pool = own.groupBy("host", "branch").agg(F.sum("labelled").alias("pool_n"), F.sum("blocked").alias("pool_bad"))
-    rate = F.when(F.col("pool_n") > 0, F.col("pool_bad") / F.col("pool_n")).otherwise(0.0)
-    error = F.sqrt(rate * (1 - rate) / F.greatest(F.col("labelled"), F.lit(1)))
-    gap = F.abs(F.when(F.col("labelled") > 0, F.col("blocked") / F.greatest(F.col("labelled"), F.lit(1))).otherwise(rate) - rate)
-    marked = own.join(pool, ["host", "branch"]).withColumn("merged", gap <= apart * error)
-    marked = marked.withColumn("branch", F.when(F.col("merged"), F.col("branch")).otherwise(F.col("template")))
+    marked = merged_branches(own, apart)
     sums = marked.groupBy("host", "branch").agg(F.sum("labelled").alias("n"), F.sum("blocked").alias("bad"))
     domain = F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1)
     both = marked.withColumn("domain", domain)

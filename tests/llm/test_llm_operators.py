@@ -430,6 +430,60 @@ def test_url_tree(spark):
     assert {got[i].verdict for i in range(60)} == {"allow"} and {got[i].verdict for i in range(60, 90)} == {"allow"}
 
 
+def plain_branches(counts, apart):
+    """Branch of each (host, template) by plain loops over a nested walk of the tree."""
+    def differ(a, b):
+        p = (a[1] + b[1]) / (a[0] + b[0])
+        return abs(a[1] / a[0] - b[1] / b[0]) > apart * (p * (1 - p) * (1 / a[0] + 1 / b[0])) ** 0.5
+
+    def walk(leaves):
+        """Leaves (segments, key, n, bad) under one node to {key: branch below}."""
+        out, children = {}, {}
+        for segments, key, n, bad in leaves:
+            if segments:
+                children.setdefault(segments[0], []).append((segments[1:], key, n, bad))
+            else:
+                out[key] = ""
+        below = {c: walk(found) for c, found in children.items()}
+        places = {}
+        for c, found in children.items():
+            for _, key, n, bad in found:
+                for place in (below[c][key], "whole"):
+                    was = places.setdefault(c, {}).get(place, (0, 0))
+                    places[c][place] = (was[0] + n, was[1] + bad)
+        ranked = sorted((c for c in children if c not in ("*", "**") and places[c]["whole"][0]), key=lambda c: (-places[c]["whole"][0], c))
+        alike = {c: [d for d in ranked[:i] if not any(places[c][x][0] and places[d].get(x, (0, 0))[0] and differ(places[c][x], places[d][x]) for x in places[c])] for i, c in enumerate(ranked)}
+        for c, found in below.items():
+            root = next((d for d in alike.get(c, []) if not alike[d]), c)
+            out |= {key: f"/{root}{rest}" for key, rest in found.items()}
+        return out
+
+    hosts = {}
+    for (host, template), (n, bad) in counts.items():
+        hosts.setdefault(host, []).append((template.split("/")[1:] if template else [], (host, template), n, bad))
+    return {key: branch for leaves in hosts.values() for key, branch in walk(leaves).items()}
+
+
+def test_branches_merge_as_by_plain_loops(spark):
+    counts = {
+        ("h", "/en/news/*"): (40, 38), ("h", "/fr/news/*"): (30, 28), ("h", "/de/news/*"): (30, 1),  # de is another kind
+        ("h", "/en/help"): (40, 2), ("h", "/fr/help"): (20, 1), ("h", "/es/help"): (9, 9),  # es is unlike where both have something
+        ("h", "/it/news/*"): (0, 0), ("h", ""): (3, 0), ("h", "/*"): (50, 25),
+    }
+    rng = np.random.default_rng(3)
+    for _ in range(400):
+        template = "".join(f"/{rng.choice(['a', 'b', 'c', 'd', '*'])}" for _ in range(rng.integers(0, 5)))
+        n = int(rng.integers(0, 40))
+        counts["r", template] = counts["s", template[:4]] = (n, int(rng.binomial(n, rng.choice([0.1, 0.3, 0.8]))))
+    df = spark.createDataFrame([(*key, *value) for key, value in counts.items()], "host string, template string, labelled long, blocked long")
+    got = {(r.host, r.template): r.branch for r in urls.merged_branches(df).collect()}
+    assert got == plain_branches(counts, urls.APART)
+    assert got["h", "/fr/news/*"] == "/en/news/*" and got["h", "/fr/help"] == "/en/help" and got["h", "/de/news/*"] == "/de/news/*"
+    assert got["h", "/es/help"] == "/es/help" and got["h", "/it/news/*"] == "/it/news/*"
+    assert sum(a != b for (_, a), b in got.items()) > 20
+    assert urls.merged_branches(df.limit(0)).count() == 0
+
+
 # 4: personal data
 
 BRUTE = {
