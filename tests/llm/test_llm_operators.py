@@ -321,6 +321,27 @@ def test_top_products_of_odd_rows(spark):
     assert topk.top_products(df.where("vec_id = 5")).count() == 0
 
 
+def test_top_products_over_many_bands_and_slices(spark, monkeypatch):
+    """Lengths over five powers of ten, groups of equal vectors, slices of several blocks: bands out of reach are never met."""
+    monkeypatch.setattr(topk, "SLICE", 64)
+    monkeypatch.setattr(topk, "BLOCK", 16)
+    monkeypatch.setattr(topk, "QUERIES", 8)
+    monkeypatch.setattr(topk, "SEEDS", 40)
+    saved, kept = topk.saved, {}
+    monkeypatch.setattr(topk, "saved", lambda df, kind: kept.setdefault(kind, saved(df, kind)))
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(900, 12)) * 10 ** rng.uniform(-3, 2, size=(900, 1))
+    vectors[300:340] = vectors[299]
+    vectors[600:] = vectors[600:] / np.linalg.norm(vectors[600:], axis=1, keepdims=True)  # a third has one length
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.top_products(df, every=10)
+    assert Counter(tuple(r) for r in got.collect()) == Counter(brute_top(rows, every=10))
+    levels = [r.level for r in kept["slices"].select("level").collect()]
+    met = sum(sum(level >= r.least for level in levels) for r in kept["queries"].select("least").collect())
+    assert 0 < met < 0.7 * len(levels) * kept["queries"].count()
+
+
 # 2: near-duplicate vectors
 
 
