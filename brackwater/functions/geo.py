@@ -6,12 +6,16 @@ without loss and their filters reach the Parquet scan.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 EARTH_KM = 6371.0088
 KM_PER_DEGREE = 111.0
 MERCATOR_RADIUS = 6378137.0
+FLATTENING = 1 / 298.257223563
+UTM_SCALE, UTM_EAST = 0.9996, 500000.0
 
 Box = tuple[float, float, float, float]
 
@@ -61,6 +65,53 @@ def unmercator(x: Column, y: Column) -> tuple[Column, Column]:
     return F.degrees(x / MERCATOR_RADIUS), F.degrees(2 * F.atan(F.exp(y / MERCATOR_RADIUS)) - F.lit(3.141592653589793) / 2)
 
 
+def utm_series() -> dict[str, list[float]]:
+    """Coefficients of the transverse Mercator series to the fourth power of the third flattening n, for multiples 1 to 4 of an angle.
+
+    alpha: sphere to plane, beta: plane to sphere, delta: conformal to geographic latitude. What is left out is below a micrometre within a zone.
+    """
+    n = FLATTENING / (2 - FLATTENING)
+    # The series' coefficients, from the power of n that equals the multiple up to the fourth.
+    powers = {
+        "alpha": [[1 / 2, -2 / 3, 5 / 16, 41 / 180], [13 / 48, -3 / 5, 557 / 1440], [61 / 240, -103 / 140], [49561 / 161280]],
+        "beta": [[1 / 2, -2 / 3, 37 / 96, -1 / 360], [1 / 48, 1 / 15, -437 / 1440], [17 / 480, -37 / 840], [4397 / 161280]],
+        "delta": [[2, -2 / 3, -2, 116 / 45], [7 / 3, -8 / 5, -227 / 45], [56 / 15, -136 / 35], [4279 / 630]],
+    }
+    return {k: [sum(c * n ** (j + i) for i, c in enumerate(row)) for j, row in enumerate(rows, 1)] for k, rows in powers.items()}
+
+
+def utm_radius() -> float:
+    """Metres of a radian along the central meridian, on the average, with the scale of UTM."""
+    n = FLATTENING / (2 - FLATTENING)
+    return UTM_SCALE * MERCATOR_RADIUS / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+
+
+def utm(lon: Column, lat: Column, zone: Column | int) -> tuple[Column, Column]:
+    """Easting and northing in metres of a northern UTM zone, which need not be the place's own."""
+    e = math.sqrt(FLATTENING * (2 - FLATTENING))
+    angle, sine = F.radians(lon - (zone * 6.0 - 183.0)), F.sin(F.radians(lat))
+    t = F.sinh(F.atanh(sine) - e * F.atanh(e * sine))
+    up, along = F.atan2(t, F.cos(angle)), F.atanh(F.sin(angle) / F.sqrt(1 + t * t))
+    x, y = along, up
+    for j, c in enumerate(utm_series()["alpha"], 1):
+        x, y = x + c * F.cos(2 * j * up) * F.sinh(2 * j * along), y + c * F.sin(2 * j * up) * F.cosh(2 * j * along)
+    return UTM_EAST + utm_radius() * x, utm_radius() * y
+
+
+def unutm(x: Column, y: Column, zone: Column | int) -> tuple[Column, Column]:
+    """Degrees from metres of a northern UTM zone."""
+    up, along = y / utm_radius(), (x - UTM_EAST) / utm_radius()
+    series = utm_series()
+    a, b = along, up
+    for j, c in enumerate(series["beta"], 1):
+        a, b = a - c * F.cos(2 * j * up) * F.sinh(2 * j * along), b - c * F.sin(2 * j * up) * F.cosh(2 * j * along)
+    chi = F.asin(F.sin(b) / F.cosh(a))
+    lat = chi
+    for j, c in enumerate(series["delta"], 1):
+        lat = lat + c * F.sin(2 * j * chi)
+    return zone * 6.0 - 183.0 + F.degrees(F.atan2(F.sinh(a), F.cos(b))), F.degrees(lat)
+
+
 def segment_distance(px: Column, py: Column, x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
     """Plane distance of a point to a segment."""
     dx, dy = x2 - x1, y2 - y1

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geo import KM_PER_DEGREE, Box, boxes_meet, mercator, segment_distance
+from ..functions.geo import KM_PER_DEGREE, Box, boxes_meet, mercator, segment_distance, utm
 from ..functions.sensors import MISSIONS, in_lifetime, mission
 from ..functions.text import period
 from .graph import connected
@@ -187,6 +187,46 @@ def near_coast(points: DataFrame, segments: DataFrame, buffer_deg: float, cell_d
     return p.join(s, ["cx", "cy"]).groupBy("point_id").agg(F.min(d).alias("distance")).where(F.col("distance") <= buffer_deg)
 
 
+def in_coastal_band(points: DataFrame, segments: DataFrame, box: Box, buffer_km: float = 2.0, offshore_km: float | None = None, cell_m: float = 5000.0) -> DataFrame:
+    """point_id and distance in metres of the points (point_id, lon, lat) in the band around coast lines, clipped to a box.
+
+    segments: line, seq and lon1, lat1, lon2, lat2, in order along their line. Distances are in the UTM zone of the box's
+    western side. Lines count whose own box meets the box grown by ten kilometres at 111 a degree; none of them: no rows.
+    Caps are flat: what lies beyond the open end of a line is outside, bends and closed lines are round.
+    The band has one width on both sides; with offshore_km, that is its width to the right of a segment's direction and buffer_km
+    that to its left, and by a bend a point may count for either segment. Segments without a line are dropped, points without a place are outside.
+    """
+    zone = int((box[0] + 180.0) // 6.0) + 1
+    inland, offshore = buffer_km * 1000.0, (buffer_km if offshore_km is None else offshore_km) * 1000.0
+    reach, margin = max(inland, offshore), 10.0 / KM_PER_DEGREE
+    low, high = F.struct(F.min_by("lon1", "seq").alias("x"), F.min_by("lat1", "seq").alias("y")), F.struct(F.max_by("lon2", "seq").alias("x"), F.max_by("lat2", "seq").alias("y"))
+    lines = segments.groupBy("line").agg(
+        F.min("seq").alias("_first"), F.max("seq").alias("_last"), (low == high).alias("_closed"),
+        F.min(F.least("lon1", "lon2")).alias("minx"), F.min(F.least("lat1", "lat2")).alias("miny"),
+        F.max(F.greatest("lon1", "lon2")).alias("maxx"), F.max(F.greatest("lat1", "lat2")).alias("maxy"),
+    )
+    lines = lines.where(boxes_meet((box[0] - margin, box[1] - margin, box[2] + margin, box[3] + margin))).select("line", "_first", "_last", "_closed")
+    (x1, y1), (x2, y2) = utm(F.col("lon1"), F.col("lat1"), zone), utm(F.col("lon2"), F.col("lat2"), zone)
+    s = segments.join(lines, "line").select(
+        x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2"),
+        (F.col("_closed") | (F.col("seq") > F.col("_first"))).alias("_round1"), (F.col("_closed") | (F.col("seq") < F.col("_last"))).alias("_round2"),
+    )
+
+    def cells(a: str, b: str) -> Column:
+        return F.explode(F.sequence(F.floor((F.least(a, b) - reach) / cell_m), F.floor((F.greatest(a, b) + reach) / cell_m)))
+
+    s = s.withColumn("_cx", cells("x1", "x2")).withColumn("_cy", cells("y1", "y2"))
+    x, y = utm(F.col("lon"), F.col("lat"), zone)
+    p = points.where(F.col("lon").between(box[0], box[2]) & F.col("lat").between(box[1], box[3])).select("point_id", x.alias("x"), y.alias("y"))
+    p = p.withColumn("_cx", F.floor(F.col("x") / cell_m)).withColumn("_cy", F.floor(F.col("y") / cell_m))
+    met = p.join(s, ["_cx", "_cy"]).withColumn("distance", segment_distance(*[F.col(c) for c in ("x", "y", "x1", "y1", "x2", "y2")]))
+    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
+    ahead = (F.col("x") - F.col("x1")) * dx + (F.col("y") - F.col("y1")) * dy
+    beside = dx * (F.col("y") - F.col("y1")) - dy * (F.col("x") - F.col("x1"))
+    capped = (F.col("_round1") | (ahead >= 0)) & (F.col("_round2") | (ahead <= dx * dx + dy * dy))
+    return met.where(capped & (F.col("distance") <= F.when(beside >= 0, inland).otherwise(offshore))).groupBy("point_id").agg(F.min("distance").alias("distance"))
+
+
 def regions(pixels: DataFrame) -> DataFrame:
     """pixels (row, col, value) with region: the 4-connected area of equal value, named by its smallest pixel number."""
     numbered = pixels.withColumn("node", F.col("row").cast("long") * (1 << 31) + F.col("col"))

@@ -107,8 +107,8 @@ def kendall_tails(n: int) -> list[float]:
 def mann_kendall(df: DataFrame, ys: str = "series", longest: int = EXACT) -> DataFrame:
     """df with s and pval: Kendall's test of a series against time, two-sided (A3).
 
-    Exact where no values are equal and the series has at most `longest` values, else normal with tie
-    correction. A constant series and one with a gap have p = 1.
+    Exact where no values are equal and the series has at most `longest` values, or is longer and at most one pair
+    is out of a single order; else normal with tie correction. A constant series and one with a gap have p = 1.
     """
     spark = df.sparkSession
     rows = [(n, s, p) for n in range(2, longest + 1) for s, p in enumerate(kendall_tails(n))]
@@ -120,7 +120,11 @@ def mann_kendall(df: DataFrame, ys: str = "series", longest: int = EXACT) -> Dat
     out = out.join(tails, (F.col("_size") == F.col("_n")) & (F.abs("s").cast("int") == F.col("_abs")) & (F.col("_ties") == 0), "left")
     variance = (F.col("_size") * (F.col("_size") - 1) * (2 * F.col("_size") + 5) - F.col("_ties")) / 18.0
     normal = F.when(variance > 0, erfc(F.abs("s") / F.sqrt(F.when(variance > 0, variance)) / F.sqrt(F.lit(2.0))))
-    p = F.least(F.coalesce("_exact", normal, F.lit(1.0)), F.lit(1.0))
+    # Of n! orders one has no pair out of order and n - 1 have one, and the same again from the other end.
+    odd = ((F.col("_size") * (F.col("_size") - 1) / 2 - F.abs("s")) / 2).cast("int")
+    orders = F.aggregate(F.sequence(F.lit(1), F.col("_size") - odd), F.lit(1.0), lambda acc, k: acc * k)
+    ordered = F.when((F.col("_size") > longest) & (F.col("_ties") == 0) & (odd <= 1), 2.0 / orders)
+    p = F.least(F.coalesce("_exact", ordered, normal, F.lit(1.0)), F.lit(1.0))
     return out.withColumn("pval", p).drop("_ties", "_size", "_n", "_abs", "_exact")
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
@@ -194,3 +197,55 @@ def tile_stitch(spark, d):
     """Every scene is a tile; its pixels without near infrared are no data."""
     value = F.when(F.col("nir") != 0, F.col("green"))
     return op.stitch(t.pixels(spark, d).select(F.col("scene").alias("tile"), "row", "col", value.alias("value"))).select("row", "col", "value")
+
+
+def _utm_sql(source: str, lon: str, lat: str, x: str, y: str, zone: int = 18) -> str:
+    """SELECT of a source's columns and its places as x, y of a UTM zone."""
+    e = math.sqrt(geo.FLATTENING * (2 - geo.FLATTENING))
+    alpha, radius = geo.utm_series()["alpha"], geo.utm_radius()
+    east = " + ".join(f"{c!r}::double * cos({2 * j} * _up) * sinh({2 * j} * _along)" for j, c in enumerate(alpha, 1))
+    north = " + ".join(f"{c!r}::double * sin({2 * j} * _up) * cosh({2 * j} * _along)" for j, c in enumerate(alpha, 1))
+    angles = f"select *, radians({lon} - ({zone * 6 - 183})) as _angle, sinh(atanh(sin(radians({lat}))) - {e!r}::double * atanh({e!r}::double * sin(radians({lat})))) as _t from {source}"
+    sphere = f"select *, atan2(_t, cos(_angle)) as _up, atanh(sin(_angle) / sqrt(1 + _t * _t)) as _along from ({angles})"
+    return f"select * exclude (_angle, _t, _up, _along), 500000 + {radius!r}::double * (_along + {east}) as {x}, {radius!r}::double * (_up + {north}) as {y} from ({sphere})"
+
+
+@query(f"select cast_id, round(x, 4) as x, round(y, 4) as y, round(lon, 9) as lon, round(lat, 9) as lat from ({_utm_sql('casts', 'lon', 'lat', 'x', 'y')})", "casts")
+def utm_round_trip(spark, d):
+    """Easting and northing, and the degrees that they give back."""
+    x, y = geo.utm(F.col("lon"), F.col("lat"), 18)
+    placed = t.casts(spark, d).select("cast_id", x.alias("x"), y.alias("y"))
+    lon, lat = geo.unutm(F.col("x"), F.col("y"), 18)
+    return placed.select("cast_id", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"), F.round(lon, 9).alias("lon"), F.round(lat, 9).alias("lat"))
+
+
+@query(
+    f"""with u as ({_utm_sql("casts", "lon", "lat", "x", "y")}), p as (select point_id, floor((x - 280000) / 20000)::bigint as gx, floor((y - 4150000) / 20000)::bigint as gy from u),
+    g as (select (l_partkey % 12)::bigint as gx, (l_suppkey % 11)::bigint as gy, max(l_partkey % 256)::int as label from lineitem group by 1, 2)
+    select point_id, label from p left join g using (gx, gy)""",
+    "casts",
+)
+def label_alignment_utm(spark, d):
+    """Places in degrees take the label of a grid in metres."""
+    grid = t.read(spark, d, "lineitem").groupBy((F.col("l_partkey") % 12).alias("gx"), (F.col("l_suppkey") % 11).alias("gy")).agg(F.max(F.col("l_partkey") % 256).cast("int").alias("label"))
+    x, y = geo.utm(F.col("lon"), F.col("lat"), 18)
+    return op.align_labels(_points(spark, d).select("point_id", x.alias("x"), y.alias("y")), grid, 280000.0, 4150000.0, 20000.0).select("point_id", "label")
+
+
+@query(
+    f"""with v as (select scene_key // 8 as line, scene_key as seq, minx + 0.003::double as lon, miny + 0.004::double as lat from scenes), u as ({_utm_sql("v", "lon", "lat", "x1", "y1")}),
+    s as (select line, seq, lon, lat, x1, y1, lead(x1) over w as x2, lead(y1) over w as y2, lead(lon) over w as lon2, lead(lat) over w as lat2 from u window w as (partition by line order by seq)),
+    whole as (select line, min(seq) as a, max(seq) as z, min(least(lon, lon2)) as minx, min(least(lat, lat2)) as miny, max(greatest(lon, lon2)) as maxx, max(greatest(lat, lat2)) as maxy from s where x2 is not null group by line),
+    seg as (select s.*, seq = a as open1, seq = z as open2 from s join whole using (line) where x2 is not null and maxx >= -76.8 - 10 / 111.0::double and minx <= -76.1 + 10 / 111.0::double and maxy >= 38.1 - 10 / 111.0::double and miny <= 38.9 + 10 / 111.0::double),
+    c as ({_utm_sql("casts", "lon", "lat", "x", "y")}),
+    d as (select point_id, x, y, x1, y1, x2, y2, open1, open2, ((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / ((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)) as t from c, seg where c.lon between -76.8 and -76.1 and c.lat between 38.1 and 38.9),
+    m as (select point_id, sqrt(pow(x - (x1 + least(greatest(t, 0.0::double), 1.0::double) * (x2 - x1)), 2) + pow(y - (y1 + least(greatest(t, 0.0::double), 1.0::double) * (y2 - y1)), 2)) as distance from d where (t >= 0 or not open1) and (t <= 1 or not open2))
+    select point_id, round(min(distance), 3) as distance from m where distance <= 700 group by point_id""",
+    "scenes", "casts",
+)
+def coastal_strip(spark, d):
+    """Casts in a flat-capped band of 700 m around lines through the corners of scenes, clipped to a box."""
+    w = Window.partitionBy("line").orderBy("seq")
+    v = t.scenes(spark, d).select(F.floor(F.col("scene_key") / 8).alias("line"), F.col("scene_key").alias("seq"), (F.col("minx") + 0.003).alias("lon1"), (F.col("miny") + 0.004).alias("lat1"))
+    lines = v.withColumn("lon2", F.lead("lon1").over(w)).withColumn("lat2", F.lead("lat1").over(w)).where("lon2 is not null")
+    return op.in_coastal_band(_points(spark, d), lines, (-76.8, 38.1, -76.1, 38.9), 0.7).select("point_id", F.round("distance", 3).alias("distance"))
