@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators: production parameters, whole tables."""
+"""The registered queries of the operators: production parameters, whole tables."""
 
 from __future__ import annotations
 
@@ -15,9 +15,12 @@ from .oracle import ORACLE_SQL  # noqa: F401  handed on
 from .packing import pack
 from .pii import pii
 from .quality import quality
+from .retrieval import ranked
 from .simhash import simhash_groups
 from .topk import top_products
+from .toxicity import toxicity
 from .urls import judge_urls
+from .whitening import whitened
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +65,18 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe(table(spark, sf_dir, "documents"), rank_file, public_tokenizers.PATTERN)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(table(spark, sf_dir, "embeddings"))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_near_vectors": op2_near_vectors,
@@ -73,4 +88,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_packing": op9_packing,
     "op10_bpe": op10_bpe,
+    "op11_whitening": op11_whitening,
+    "op12_toxicity": op12_toxicity,
+    "op13_ranked": op13_ranked,
 }
