@@ -12,7 +12,7 @@ TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "D
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "embeddings", "pages"):
+    for table in ("documents", "embeddings", "pages", "benchmark"):
         con.execute(f"create view {table} as select * from read_parquet('{SF}/{table}.parquet')")
     df = queries.QUERIES[name](spark, SF)
     columns = sorted(df.columns)
@@ -24,4 +24,4 @@ def test_query_equals_sql(spark, name):
 
 
 def test_every_operator_has_its_query():
-    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in queries.QUERIES] == list(range(1, 14))
