@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import column, runs, saved
-from .vectors import finite
 
 #: Entries c become floor(SCALE * c) + SHIFT; beyond LIMIT they count as LIMIT, so that doubles hold them exactly.
 SCALE, SHIFT, LIMIT = 64.0, 1_000_000, float(1 << 52)
@@ -97,15 +96,34 @@ def eigen(v: Pair) -> tuple[np.ndarray, Pair]:
             vectors = product((vectors[0].T, vectors[1].T), (own, none))
 
 
-def vectors_of(array, width: int) -> np.ndarray:
-    """An Arrow list column without nulls as rows of doubles; shorter ones are filled up with zeros."""
-    flat = np.asarray(array.flatten(), np.float64)
-    sizes = np.asarray(array.value_lengths(), np.int64)
+def usable(array) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows of an Arrow list column are there with all their entries, present and finite; and those as rows of doubles, shorter ones filled up with zeros."""
+    keep = np.asarray(array.is_valid())
+    sizes = np.asarray(array.value_lengths().fill_null(0), np.int64)
+    flat = array.flatten().to_numpy(zero_copy_only=False).astype(np.float64)  # missing entries are not a number
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    keep[row[~np.isfinite(flat)]] = False
+    if not keep.all():
+        flat, sizes = flat[keep[row]], sizes[keep]
+    width = int(sizes.max(initial=0))
     if (sizes == width).all():
-        return flat.reshape(-1, width)
+        return keep, flat.reshape(len(sizes), width)
     out = np.zeros((len(sizes), width))
     out[np.repeat(np.arange(len(sizes)), sizes), np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = flat
-    return out
+    return keep, out
+
+
+def filled(m: np.ndarray, width: int) -> np.ndarray:
+    """m with columns of zeros up to this width."""
+    return np.pad(m, [(0, 0)] * (m.ndim - 1) + [(0, max(width - m.shape[-1], 0))])
+
+
+def merged_pair(a: Pair | None, b: Pair) -> Pair:
+    """The sum of two double-doubles, the narrower filled up with zeros."""
+    if a is None:
+        return b
+    width = max(a[0].shape[-1], b[0].shape[-1])
+    return added((filled(a[0], width), filled(a[1], width)), (filled(b[0], width), filled(b[1], width)))
 
 
 def accumulated(rows: DataFrame, of: Callable[[object], np.ndarray], outer: Callable[[np.ndarray], tuple[Pair, Pair]]) -> Pair:
@@ -118,8 +136,8 @@ def accumulated(rows: DataFrame, of: Callable[[object], np.ndarray], outer: Call
         number = 0
 
         def multiply():
-            a, b = outer(np.concatenate(held))
-            return product(a, b)
+            width = max(m.shape[1] for m in held)
+            return product(*outer(np.concatenate([filled(m, width) for m in held])))
 
         for batch in batches:
             for lo in range(0, batch.num_rows, ROWS):
@@ -127,10 +145,10 @@ def accumulated(rows: DataFrame, of: Callable[[object], np.ndarray], outer: Call
                 size += len(held[-1])
                 number = batch.column(1)[0].as_py()
                 if size >= ROWS:
-                    total = multiply() if total is None else added(total, multiply())
+                    total = merged_pair(total, multiply())
                     held, size = [], 0
         if held:
-            total = multiply() if total is None else added(total, multiply())
+            total = merged_pair(total, multiply())
         if total is not None:
             n = len(total[0])
             yield pa.RecordBatch.from_arrays(
@@ -144,8 +162,7 @@ def accumulated(rows: DataFrame, of: Callable[[object], np.ndarray], outer: Call
         for block in runs(batches, ["part", "line"]):
             total = None
             for hi, lo in zip(block["hi"], block["lo"], strict=True):
-                one = np.frombuffer(hi), np.frombuffer(lo)
-                total = one if total is None else added(total, one)
+                total = merged_pair(total, (np.frombuffer(hi), np.frombuffer(lo)))
             yield pd.DataFrame([[block["part"].iat[0], block["line"].iat[0], *[x.tobytes() for x in total]]], columns=["part", "line", "hi", "lo"])
 
     fixed = "part int, line int, hi binary, lo binary"
@@ -158,11 +175,24 @@ def accumulated(rows: DataFrame, of: Callable[[object], np.ndarray], outer: Call
     return np.stack([np.frombuffer(r["hi"]) for r in found]), np.stack([np.frombuffer(r["lo"]) for r in found])
 
 
-def _mean(total: Pair, n: int) -> tuple[list[int | Fraction], Pair]:
-    """Exact sums of the columns, and the mean as double-doubles."""
-    sums = [Fraction(float(h)) + Fraction(float(low)) for h, low in zip(total[0][0], total[1][0], strict=True)]
-    hi = [float(s / n) for s in sums]
-    return sums, (np.array(hi), np.array([float(s / n - Fraction(h)) for s, h in zip(sums, hi, strict=True)]))
+def column_sums(rows: DataFrame, of: Callable[[object], np.ndarray]) -> tuple[int, list[Fraction]]:
+    """How many rows of() takes, and the exact sums of their columns."""
+
+    def counted(array):
+        m = of(array)
+        return np.c_[np.ones(len(m)), m]
+
+    def ones(m: np.ndarray):
+        return (np.ones((len(m), 1)), np.zeros((len(m), 1))), (m, np.zeros_like(m))
+
+    hi, lo = accumulated(rows, counted, ones)
+    n, *sums = [Fraction(h) + Fraction(x) for h, x in zip(hi.ravel().tolist(), lo.ravel().tolist(), strict=True)] or [0]
+    return int(n), sums
+
+
+def _double_doubles(values: list[Fraction]) -> Pair:
+    hi = [float(v) for v in values]
+    return np.array(hi), np.array([float(v - Fraction(h)) for v, h in zip(values, hi, strict=True)])
 
 
 def _centred(m: np.ndarray, mean: Pair) -> Pair:
@@ -170,22 +200,16 @@ def _centred(m: np.ndarray, mean: Pair) -> Pair:
     return two_sum(hi, lo - mean[1])
 
 
-def _covariance(rows: DataFrame, of: Callable[[object], np.ndarray], n: int) -> tuple[list, Pair, Pair]:
-    """Sums, mean and covariance (divisor n) of what of() takes from the rows: one pass for the mean, one for the centred products."""
-
-    def ones(m: np.ndarray):
-        return (np.ones((len(m), 1)), np.zeros((len(m), 1))), (m, np.zeros_like(m))
-
-    sums, mean = _mean(accumulated(rows, of, ones), n)
+def covariance(rows: DataFrame, of: Callable[[object], np.ndarray], mean: Pair, n: int) -> Pair:
+    """The covariance, divisor n, of what of() takes from the rows, centred at mean before multiplying."""
 
     def centred(m: np.ndarray):
         y = _centred(m, mean)
         return y, y
 
     hi, lo = accumulated(rows, of, centred)
-    share = hi / n
-    rest = [[float(Fraction(h) / n - Fraction(s) + Fraction(x) / n) for h, s, x in zip(*line, strict=True)] for line in zip(hi.tolist(), share.tolist(), lo.tolist(), strict=True)]
-    return sums, mean, (share, np.array(rest).reshape(share.shape))
+    share, rest = _double_doubles([(Fraction(h) + Fraction(x)) / n for h, x in zip(hi.ravel().tolist(), lo.ravel().tolist(), strict=True)])
+    return share.reshape(hi.shape), rest.reshape(hi.shape)
 
 
 def integers(m: np.ndarray) -> np.ndarray:
@@ -214,15 +238,22 @@ def whitened(vectors: DataFrame, components: int = 32, id_col: str = "vec_id", v
     number for each pair of dimensions.
     """
     vector = column(vector_col)
-    rows = vectors.where(finite(vector)).select(column(id_col).alias("_id"), vector.cast("array<double>").alias("vector"))
-    size = rows.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("width")).first()
-    n, width = size["n"], size["width"] or 0
+    if vectors.schema[vector_col].dataType.simpleString() not in ("array<float>", "array<double>"):
+        vector = vector.cast("array<double>")
+    rows = vectors.select(column(id_col).alias("_id"), vector.alias("vector"))
+    n, sums = column_sums(rows.select("vector"), lambda a: integers(usable(a)[1]) - SHIFT)
+    width = len(sums)
     fixed = f"_id {rows.schema['_id'].dataType.simpleString()}, deviation bigint, whitened array<double>"
-    if not n or not width:
-        sums, mean, explained, axes, scale = [], (np.zeros(0),) * 2, np.zeros(0), (np.zeros((0, 0)),) * 2, np.zeros(0)
-    else:
-        sums, mean, cov = _covariance(rows.select("vector"), lambda a: integers(vectors_of(a, width)), n)
-        sums = [int(s) for s in sums]
+    explained = scale = np.zeros(0)
+    sums = [int(s) + n * SHIFT for s in sums]
+    mean = _double_doubles([Fraction(s, n) for s in sums])
+
+    def entries(array):
+        keep, m = usable(array)
+        return keep, integers(filled(m, width))
+
+    if width:
+        cov = covariance(rows.select("vector"), lambda a: entries(a)[1], mean, n)
         values, axes = eigen(cov)
         k = min(components, width)
         live = values[:k] > NOTHING * max(values[0], 0)
@@ -237,16 +268,20 @@ def whitened(vectors: DataFrame, components: int = 32, id_col: str = "vec_id", v
         for batch in batches:
             for lo in range(0, batch.num_rows if k else 0, ROWS):
                 part = batch.slice(lo, ROWS)
-                x = integers(vectors_of(part.column(1), width))
+                keep, x = entries(part.column(1))
+                if not len(x):
+                    continue
                 hi, low = _centred(x, mean)
                 w = (sum(product((hi.T, low.T), axes)) * scale).reshape(-1)
                 lists = pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * k, pa.array(w))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(_deviations(x, n, sums)), lists], names=["_id", "deviation", "whitened"])
+                yield pa.RecordBatch.from_arrays([part.column(0).filter(pa.array(keep)), pa.array(_deviations(x, n, sums)), lists], names=["_id", "deviation", "whitened"])
 
     out = saved(rows.mapInArrow(projected, fixed), "whitened")
     error = 0.0
     if len(scale):
-        _, _, cov = _covariance(out.select("whitened"), lambda a: vectors_of(a, len(scale)), n)
+        own = out.select("whitened")
+        middle = _double_doubles([s / n for s in column_sums(own, lambda a: usable(a)[1])[1]])
+        cov = covariance(own, lambda a: usable(a)[1], middle, n)
         at = np.flatnonzero(scale)
         error = float(np.abs(sum(cov) - np.eye(len(scale)))[np.ix_(at, at)].max(initial=0.0))
     shares = F.array(*[F.lit(float(s)) for s in explained]) if len(explained) else F.array().cast("array<double>")
