@@ -48,14 +48,14 @@ def clip(value: Column, low: float, high: float | None = None) -> Column:
 def ndwi_mask(green: Column, nir: Column, sensor: Column, threshold: float = 0.0) -> Column:
     """Water mask 1.0 / 0.0 from digital numbers (B1).
 
-    Landsat numbers are scaled to reflectance, Sentinel's are not. No data in either band is 0. A zero
+    Landsat numbers are scaled to reflectance, Sentinel's are not. No data in either band (zero, null or NaN) is 0. A zero
     denominator compares as the sign of the numerator (infinity), and 0/0 as no water.
     """
     landsat = sensor.contains("landsat")
     g = F.when(landsat, green * 0.0000275 - 0.2).otherwise(green.cast("double"))
     n = F.when(landsat, nir * 0.0000275 - 0.2).otherwise(nir.cast("double"))
     water = F.when(g + n != 0, (g - n) / (g + n) > threshold).otherwise(g - n > 0)
-    valid = (green != 0) & (nir != 0)
+    valid = (green != 0) & (nir != 0) & ~F.isnan(g) & ~F.isnan(n)
     return F.when(water & valid, 1.0).otherwise(0.0)
 
 

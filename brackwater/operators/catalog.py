@@ -143,7 +143,7 @@ def scenes_near_cast(scenes: DataFrame, casts: DataFrame, cast: str, radius_km:
     """J1 for one cast, by date. The cast is looked up first, so that its box and dates are constants that reach the scan of scenes."""
     out = ("scene_id", "sensor", "acquisition_date", "minx", "miny", "maxx", "maxy")
     row = casts.where(F.col("cast_id") == cast).select("sample_date", "lon", "lat").first()
-    if row is None or None in row:
+    if row is None or None in tuple(row):  # Row.__contains__ asks for names
         return scenes.where(F.lit(False)).select(F.lit(cast).alias("cast_id"), *out[:3], F.lit(0.0).alias("distance_km"))
     reach = radius_km / 110.0
     wide = reach / max(math.cos(math.radians(min(abs(row["lat"]) + reach, 89.0))), 0.01)

@@ -9,6 +9,11 @@ from ..functions.bands import stretch
 from ..functions.labels import CLASSES, weight_label
 
 
+def missing(value: Column) -> Column:
+    """Whether a value is null or NaN; isnan alone is false for null."""
+    return value.isNull() | F.isnan(value.cast("double"))
+
+
 def confusion(pixels: DataFrame, target: str = "target", pred: str = "pred", classes: int = CLASSES, by: str | None = None, count: str | None = None) -> DataFrame:
     """Counts by target and prediction, and by group too with `by`: its null row set is the whole.
 
@@ -66,7 +71,7 @@ def image_qa(pixels: DataFrame, scene: str = "scene", bands: tuple[str, ...] = (
 
     Nulls count as NaN. NaN counts as non-zero and makes no variance. One pass: bands are summed side by side.
     """
-    gone = [F.coalesce(F.isnan(F.col(b).cast("double")), F.lit(True)) for b in bands]
+    gone = [missing(F.col(b)) for b in bands]
     values = [F.when(~g, F.col(b).cast("double")) for g, b in zip(gone, bands, strict=True)]
 
     def over(columns: list[Column]) -> Column:
@@ -75,7 +80,7 @@ def image_qa(pixels: DataFrame, scene: str = "scene", bands: tuple[str, ...] = (
     total = F.count("*") * len(bands)
     sums = pixels.groupBy(scene).agg(
         total.alias("values"), F.sum(over([g.cast("int") for g in gone])).alias("missing"),
-        F.sum(over([(g | (F.col(b) != 0)).cast("int") for g, b in zip(gone, bands, strict=True)])).alias("nonzero"),
+        F.sum(over([F.coalesce(g | (F.col(b) != 0), F.lit(True)).cast("int") for g, b in zip(gone, bands, strict=True)])).alias("nonzero"),
         *[F.count(v).alias(f"n_{b}") for v, b in zip(values, bands, strict=True)],
         *[F.avg(v).alias(f"m_{b}") for v, b in zip(values, bands, strict=True)],
         *[F.var_pop(v).alias(f"v_{b}") for v, b in zip(values, bands, strict=True)],
@@ -99,7 +104,7 @@ def center_has_nan(pixels: DataFrame, size: int, scene: str = "scene", row: str
     """Whether any value of the centred window is NaN or null, by scene (P17, SRC4): the window's bounds reach the scan."""
     top = max(0, (size - window) // 2)
     inside = pixels.where(F.col(row).between(top, top + window - 1) & F.col(col).between(top, top + window - 1))
-    return inside.groupBy(scene).agg(F.bool_or(F.coalesce(F.isnan(F.col(band).cast("double")), F.lit(True))).alias("has_nan"))
+    return inside.groupBy(scene).agg(F.bool_or(missing(F.col(band))).alias("has_nan"))
 
 
 def percentile_stretch(pixels: DataFrame, bands: tuple[str, ...], scene: str = "scene", low: float = 0.02, high: float = 0.98, exact: bool = True) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import catalog as op
+from ..operators import polygons as poly
 from ..sources import tables as t
 from .registry import query
 
@@ -117,3 +118,64 @@ def fk_violations(spark, d):
 @query("select profile as key, count(*) as n from levels group by profile having count(*) > 1", "levels")
 def repeated_keys(spark, d):
     return op.repeated_keys(t.levels(spark, d), "profile").withColumnRenamed("profile", "key")
+
+
+#: Rings around a place, in steps of the polygon's size: a shape with a notch, and a hole in it.
+RING = ((0.0, -1.0), (1.0, -1.0), (1.0, 1.0), (0.25, 0.125), (-0.5, 1.0), (-1.0, -0.375), (0.0, -1.0))
+HOLE = ((0.25, -0.625), (0.625, -0.625), (0.625, -0.25), (0.25, -0.25), (0.25, -0.625))
+SIDES = [(a, z) for ring in (RING, HOLE) for a, z in zip(ring, ring[1:], strict=False)]
+AREAS = f"""areas as (select point_id as area_id, lon as ax, lat as ay, 0.03125::double + (point_id % 7) * 0.015625::double as size from casts where point_id % 10 = 3),
+    sides as (select area_id, ax + a * size as x1, ay + b * size as y1, ax + c * size as x2, ay + d * size as y2 from areas, (values {", ".join(f"({a[0]}::double, {a[1]}::double, {z[0]}::double, {z[1]}::double)" for a, z in SIDES)}) v(a, b, c, d)),
+    spans as (select area_id, list({{x1: x1, y1: y1, x2: x2, y2: y2}}) as sides, min(x1) as x0, max(x1) as x9, min(y1) as y0, max(y1) as y9 from sides group by area_id)"""
+CROSSED = "len(list_filter(sides, lambda s: (s.y1 > {y}) <> (s.y2 > {y}) and {x} < s.x1 + (s.x2 - s.x1) * ({y} - s.y1) / (s.y2 - s.y1))) % 2 = 1"
+TOUCHED = """len(list_filter(sides, lambda s: (s.x2 - s.x1) * ({y} - s.y1) = (s.y2 - s.y1) * ({x} - s.x1) and {x} between least(s.x1, s.x2) and greatest(s.x1, s.x2)
+    and {y} between least(s.y1, s.y2) and greatest(s.y1, s.y2))) > 0"""
+INSIDE = f"({CROSSED} or {TOUCHED})"
+
+
+def _areas(spark, d):
+    """Polygons with holes as WKT around every tenth cast."""
+    c = t.casts(spark, d).where("point_id % 10 = 3")
+    size = F.lit(0.03125) + (F.col("point_id") % 7) * F.lit(0.015625)
+    rings = [F.concat(F.lit("("), F.concat_ws(", ", *[F.concat_ws(" ", (F.col("lon") + a * size).cast("string"), (F.col("lat") + b * size).cast("string")) for a, b in ring]), F.lit(")")) for ring in (RING, HOLE)]
+    return c.select(F.col("point_id").alias("area_id"), poly.polygon_rings(F.concat(F.lit("POLYGON("), F.concat_ws(", ", *rings), F.lit(")"))).alias("rings"))
+
+
+@query(
+    f"""with {AREAS} select cast_id, area_id from casts c join spans p on lon between x0 and x9 and lat between y0 and y9 where {INSIDE.format(x="lon", y="lat")}""",
+    "casts",
+)
+def casts_in_polygons(spark, d):
+    """Casts within polygons with notches and holes."""
+    return poly.points_in_polygons(t.casts(spark, d).select("cast_id", "lon", "lat"), _areas(spark, d), "cast_id", "area_id").select("cast_id", "area_id")
+
+
+@query(
+    f"""with {AREAS} select scene_id, area_id from scenes b join spans p on maxx >= x0 and minx <= x9 and maxy >= y0 and miny <= y9
+    where b.status = 'active' and b.acquisition_date < date '1996-01-01' and ({INSIDE.format(x="minx", y="miny")}
+    or len(list_filter(sides, lambda s: least(s.x1, s.x2) <= maxx and greatest(s.x1, s.x2) >= minx and least(s.y1, s.y2) <= maxy and greatest(s.y1, s.y2) >= miny
+        and least({", ".join(f"(s.x2 - s.x1) * ({y} - s.y1) - (s.y2 - s.y1) * ({x} - s.x1)" for x in ("minx", "maxx") for y in ("miny", "maxy"))}) <= 0
+        and greatest({", ".join(f"(s.x2 - s.x1) * ({y} - s.y1) - (s.y2 - s.y1) * ({x} - s.x1)" for x in ("minx", "maxx") for y in ("miny", "maxy"))}) >= 0)) > 0)""",
+    "casts", "scenes",
+)
+def scenes_meeting_polygons(spark, d):
+    """Active scenes before 1996 whose footprint meets a polygon."""
+    found = t.scenes(spark, d).where("status = 'active' and acquisition_date < date'1996-01-01'").select("scene_id", "minx", "miny", "maxx", "maxy")
+    return poly.boxes_meeting_polygons(found, _areas(spark, d), "scene_id", "area_id").select("scene_id", "area_id")
+
+
+SHORE = ((-77.0, 38.0), (-75.75, 38.25), (-75.5, 39.5), (-76.25, 38.75), (-77.0, 39.25))
+SHORE_SQL = ", ".join(f"{{x1: {a[0]}::double, y1: {a[1]}::double, x2: {z[0]}::double, y2: {z[1]}::double}}" for a, z in zip(SHORE, SHORE[1:] + SHORE[:1], strict=True))
+
+
+@query(
+    f"""with spans as (select [{SHORE_SQL}] as sides) select {SCENE_SQL} from scenes, spans where status = 'active' and ({INSIDE.format(x="minx", y="miny")}
+    or len(list_filter(sides, lambda s: least(s.x1, s.x2) <= maxx and greatest(s.x1, s.x2) >= minx and least(s.y1, s.y2) <= maxy and greatest(s.y1, s.y2) >= miny
+        and least({", ".join(f"(s.x2 - s.x1) * ({y} - s.y1) - (s.y2 - s.y1) * ({x} - s.x1)" for x in ("minx", "maxx") for y in ("miny", "maxy"))}) <= 0
+        and greatest({", ".join(f"(s.x2 - s.x1) * ({y} - s.y1) - (s.y2 - s.y1) * ({x} - s.x1)" for x in ("minx", "maxx") for y in ("miny", "maxy"))}) >= 0)) > 0)""",
+    "scenes",
+)
+def scenes_polygon(spark, d):
+    """Active scenes that meet a drawn area."""
+    wkt = "POLYGON((" + ", ".join(f"{x} {y}" for x, y in (*SHORE, SHORE[0])) + "))"
+    return poly.scenes_in_polygon(t.scenes(spark, d), wkt).select(*SCENE)

@@ -17,18 +17,14 @@ from ..streaming import events
 from . import raster, selection, streams, trends
 from .registry import query
 
-CHECKED = """v as (select scene, unnest([blue, green, red, nir, swir1, swir2])::double as x from pixels),
-    good as (select scene from v group by scene having var_pop(x) >= 1e-6 and count(*) filter (where x <> 0) / count(*)::double >= 0.01)"""
-
-
 def _scenes(spark: SparkSession, d: str) -> DataFrame:
-    """Pixels whose scenes a seventh of which fail the checks: all their bands are zero."""
-    px = t.pixels(spark, d).withColumnRenamed("scene", "scene_id")
-    return px.withColumns({b: F.when(F.col("scene_id") % 7 != 0, F.col(b)).otherwise(0) for b in raster.BANDS})
+    """Pixels whose scenes fail the checks in several ways: a seventh has zeros in all bands, others lack values."""
+    px = raster.gappy(t.pixels(spark, d)).withColumnRenamed("scene", "scene_id")
+    return px.withColumns({b: F.when(F.col("scene_id") % 7 != 0, F.col(b)).otherwise(0.0) for b in raster.BANDS})
 
 
-ZEROED = f"""zeroed as (select scene, sensor, row, col, year, {", ".join(f"case when scene % 7 <> 0 then {b} else 0 end as {b}" for b in raster.BANDS)} from pixels)"""
-OVER_ZEROED = CHECKED.replace("from pixels", "from zeroed")
+ZEROED = f"""{raster.GAPPY}, zeroed as (select scene, sensor, row, col, year, {", ".join(f"case when scene % 7 <> 0 then {b} else 0 end as {b}" for b in raster.BANDS)} from gappy)"""
+OVER_ZEROED = raster.CHECKED.replace("from gappy", "from zeroed")
 
 
 @query(f"with {ZEROED}, {OVER_ZEROED} select scene as scene_id, row, col, {raster.MASK.replace('from pixels', 'from zeroed where scene in (select scene from good)')}", "pixels")

@@ -68,7 +68,7 @@ def listing(spark: SparkSession, path: str) -> DataFrame:
 
 
 def geojson_rings(spark: SparkSession, path: str) -> DataFrame:
-    """Outer rings of a GeoJSON's polygons: feature, part and ring as array<array<double>>."""
+    """Rings of a GeoJSON's polygons: feature, part, hole (0 for the outer ring, from 1 for its holes) and ring as array<array<double>>."""
     geometry = T.StructType([T.StructField("type", T.StringType()), T.StructField("coordinates", T.StringType())])
     schema = T.StructType([T.StructField("features", T.ArrayType(T.StructType([T.StructField("geometry", geometry)]))), T.StructField("geometry", geometry), *geometry.fields])
     read = spark.read.schema(schema).option("multiLine", "true").json(path)
@@ -76,7 +76,14 @@ def geojson_rings(spark: SparkSession, path: str) -> DataFrame:
     rows = read.select(F.posexplode(F.coalesce("features", one)).alias("feature", "f")).select("feature", "f.geometry.*")
     single = F.array(F.from_json("coordinates", "array<array<array<double>>>"))
     parts = F.when(F.col("type") == "Polygon", single).otherwise(F.from_json("coordinates", "array<array<array<array<double>>>>"))
-    return rows.select("feature", F.posexplode(parts).alias("part", "p")).select("feature", "part", F.get("p", F.lit(0)).alias("ring"))
+    return rows.select("feature", F.posexplode(parts).alias("part", "p")).select("feature", "part", F.posexplode("p").alias("hole", "ring"))
+
+
+def geojson_polygons(spark: SparkSession, path: str) -> DataFrame:
+    """A GeoJSON's features: feature and rings, holes and parts included, as operators.polygons takes them. Features without polygons are left out."""
+    places = F.transform("ring", lambda p: F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y")))
+    rows = geojson_rings(spark, path).select("feature", F.struct("part", "hole", places.alias("ring")).alias("r"))
+    return rows.groupBy("feature").agg(F.sort_array(F.collect_list("r")).alias("r")).select("feature", F.transform("r", lambda r: r["ring"]).alias("rings"))
 
 
 def _shoelace(ring: Column) -> tuple[Column, Column, Column]:
@@ -93,9 +100,9 @@ def _shoelace(ring: Column) -> tuple[Column, Column, Column]:
 
 
 def aoi_centroid(spark: SparkSession, path: str) -> tuple[float, float]:
-    """(lat, lon) of the area-weighted centre of a GeoJSON's polygons (SRC13, G9). Polygons must not overlap."""
+    """(lat, lon) of the area-weighted centre of a GeoJSON's polygons, less their holes (SRC13, G9). Polygons must not overlap."""
     area, x, y = _shoelace(F.col("ring"))
-    side = F.signum(area)
+    side = F.signum(area) * F.when(F.col("hole") == 0, 1).otherwise(-1)
     sums = geojson_rings(spark, path).select((area * side).alias("a"), (x * side).alias("x"), (y * side).alias("y")).agg(F.sum("a").alias("a"), F.sum("x").alias("x"), F.sum("y").alias("y")).first()
     if not sums["a"]:
         raise ValueError(f"no polygon in {path}")
