@@ -39,13 +39,16 @@ RUN_LOG = "select 'R' || (event_id % 500)::varchar as product_id, event_id as se
 
 @query(f"select product_id, arg_max(status, seq) as status, count(*) filter (where false) + arg_max(seq, seq) as last_seq, last(error_message order by seq) as error_message from ({RUN_LOG}) group by product_id")
 def run_log_latest(spark, d):
+    return op.replay_runs(run_log(spark, d)).select("product_id", "status", F.col("output_paths").alias("last_seq"), "error_message")
+
+
+def run_log(spark, d):
     e, key = t.read(spark, d, "events"), F.col("event_id")
-    log = e.select(
+    return e.select(
         F.concat(F.lit("R"), (key % 500).cast("string")).alias("product_id"), key.alias("seq"), t.pick(F.pmod(key, F.lit(4)), "not_started", "running", "complete", "failed").alias("status"),
         F.col("ts").alias("at"), F.lit("x").alias("base_scene_id"), F.lit("water_mask").alias("task"), F.lit("{}").alias("parameters"), key.alias("output_paths"),
         F.when(F.col("event_type") == "error", F.col("props")).alias("error_message"),
     )
-    return op.replay_runs(log).select("product_id", "status", F.col("output_paths").alias("last_seq"), "error_message")
 
 
 @query(

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from ..sources.shared import shared_folder
 from ..sources.tables import pick, read
-from ..streaming import events
-from .registry import query
+from ..streaming import events, upserts
+from . import ingest
+from .registry import ORACLE_SQL, query
 
 CODED = """coded as (select event_id, 'S' || (event_id % 300)::varchar as scene_id, case event_id % 4 when 0 then 'landsat-5' when 1 then 'landsat-7' when 2 then 'sentinel-2' else 'zeppelin' end as sensor from events)"""
 
@@ -33,7 +34,7 @@ def _drained(out: DataFrame, mode: str = "append") -> DataFrame:
     path = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
 
     def keep(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("append" if mode == "append" else "overwrite").parquet(f"{path}/rows")
+        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(f"{path}/rows")
 
     out.writeStream.foreachBatch(keep).outputMode(mode).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(out.schema).parquet(f"{path}/rows")
@@ -58,3 +59,29 @@ def stream_windowed_counts(spark, d):
     """Tumbling windows with a watermark; complete mode gives them all."""
     counted = events.windowed_counts(_stream(spark, d).withColumn("ts", F.col("ts").cast("timestamp")), window="6 hours")
     return _drained(counted, "complete").select(F.col("window.start").cast("timestamp_ntz").alias("start"), "event_type", "n")
+
+
+def _batches(rows: DataFrame, part, parts: int) -> DataFrame:
+    """rows as a stream that comes in batches by the number in part: a file each, read one at a time, oldest first."""
+    spark, folder = rows.sparkSession, f"{shared_folder(rows.sparkSession)}/log-{uuid.uuid4().hex}"
+    for i in range(parts):
+        rows.where(part == i).coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+@query(ORACLE_SQL["scene_upsert_replay"])
+def stream_scene_upserts(spark, d):
+    """The upserts of scene_upsert_replay in three batches by line: the last change of each scene is its state."""
+    log = _batches(ingest._log(spark, d), F.least(F.floor((F.floor(F.col("seq") / 100_000_000_000) - 1) / 3), F.lit(2)), 3)
+    changes = _drained(upserts.scene_changes(log), "update")
+    last = changes.groupBy("scene_id").agg(F.max_by(F.struct("sensor", "acquisition_date", "file_hash", "status", "version_no"), "seq").alias("s"))
+    return last.select("scene_id", "s.*")
+
+
+@query(ORACLE_SQL["run_log_latest"])
+def stream_run_states(spark, d):
+    """The events of run_log_latest in four batches that are not in order: the last change of each run is its state."""
+    log = ingest.run_log(spark, d)
+    changes = _drained(upserts.run_changes(_batches(log, F.pmod(F.floor(F.col("seq") / 1000) * 3, F.lit(4)), 4)), "update")
+    last = changes.groupBy("product_id").agg(F.max_by(F.struct("status", F.col("output_paths").alias("last_seq"), "error_message"), "seq").alias("s"))
+    return last.select("product_id", "s.*")

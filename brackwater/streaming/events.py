@@ -6,7 +6,9 @@ once; a run's id comes from scene, task and parameters, so repeats change nothin
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +16,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.sensors import KNOWN_SENSORS
 from ..functions.text import canonical_json, product_id_column
+from ..sources.shared import written
+from .upserts import claimed
 
 ENVELOPE = "message struct<data:string,messageId:string,publishTime:string>, subscription string"
 PAYLOAD = "scene_id string, sensor string, acquisition_date string"
@@ -55,34 +59,36 @@ def fan_out(events: DataFrame, tasks: list[str], parameters: dict | None = None)
     return out.withColumn("parameters", text).withColumn("product_id", product_id_column(F.col("scene_id"), F.col("task"), text))
 
 
+LOG = "product_id string, message_id string, scene_id string, sensor string, acquisition_date string, task string, parameters string, status string, seq bigint"
+
+
 def run_incremental(
     messages: DataFrame, tasks: dict[str, Callable[[DataFrame], DataFrame]], out: str, checkpoint: str, dead_letters: str | None = None, parameters: dict | None = None
 ) -> StreamingQuery:
     """Run each task on the scenes of every batch that have no complete run yet, and append a run log at out (ST4, ST5).
 
     Each task maps a frame of its events to one with column status ('complete' or 'failed'). The log gets not_started
-    and final states in order of seq; the stream ends when it has read all there is.
+    and final states in order of seq; the stream ends when it has read all there is. The log is a stream as well:
+    what became of a run is kept in the state store, so a batch reads new log rows only, and writes once for all tasks.
     """
+    spark = messages.sparkSession
+    spark.createDataFrame([], LOG).write.mode("append").parquet(out)  # a stream's folder must be there
+    log = spark.readStream.schema(LOG).parquet(out)
+    wanted = claimed(fan_out(accepted(messages), list(tasks), parameters), log)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if dead_letters:
-            rejected(batch).withColumn("batch", F.lit(batch_id)).write.mode("append").json(dead_letters)
-        wanted = fan_out(accepted(batch), list(tasks), parameters).dropDuplicates(["product_id"])
-        try:
-            done = spark.read.parquet(out).where("status = 'complete'").select("product_id")
-        except Exception as e:  # the log doesn't exist before the first batch
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            done = spark.createDataFrame([], "product_id string")
-        todo = wanted.join(done, "product_id", "left_anti")
-        for name, task in tasks.items():
-            started = todo.where(F.col("task") == name)
-            log = started.withColumn("status", F.lit("not_started")).unionByName(task(started).select(*started.columns, "status"))
-            seq = F.lit(batch_id).cast("long") * 2 + (F.col("status") != "not_started").cast("long")
-            log.withColumn("seq", seq).write.mode("append").partitionBy("status").parquet(out)  # completed runs are read alone
-
-    return messages.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        todo = written(batch, "claims")
+        parts = [task(rows).select(*todo.columns, "status") for name, task in tasks.items() for rows in [todo.where(F.col("task") == name)]]
+        rows = reduce(DataFrame.unionByName, parts, todo.withColumn("status", F.lit("not_started")))
+        start = int(time.time() * 1e6) * 2  # later than all that earlier queries on this log gave
+        rows.withColumn("seq", F.lit(start) + (F.col("status") != "not_started").cast("long")).write.mode("append").parquet(out)
+
+    def bury(batch: DataFrame, batch_id: int) -> None:
+        rejected(batch).withColumn("batch", F.lit(batch_id)).write.mode("append").json(dead_letters)
+
+    if dead_letters:
+        messages.writeStream.foreachBatch(bury).option("checkpointLocation", f"{checkpoint}-dead").trigger(availableNow=True).start().awaitTermination()
+    return wanted.writeStream.foreachBatch(process).outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def windowed_counts(events: DataFrame, time: str = "ts", window: str = "1 hour", late: str = "2 hours", by: str = "event_type") -> DataFrame:
