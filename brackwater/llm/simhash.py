@@ -40,8 +40,8 @@ FEW = 8
 SHINGLE, LEAST = 5, 0.8
 #: Min-hash bands that bring near copies together, and hashes of each: a pair at 0.8 shares none with a chance of 5e-8.
 BANDS, BAND_HASHES = 32, 4
-#: Shingle sets of one band key that are compared in one block.
-SETS = 256
+#: Shingle sets of one band key that are compared in one block, and their shingles; shingles that one set is compared with at once.
+SETS, SHINGLES, PART = 256, 250_000, 500_000
 
 
 @cache
@@ -262,6 +262,11 @@ def band_keys(hashes: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def _parts(size: np.ndarray) -> list[np.ndarray]:
+    """The places in parts of about PART shingles, or of one set."""
+    return np.split(np.arange(len(size)), np.flatnonzero(np.diff(np.cumsum(size) // PART)) + 1)
+
+
 def _similar(least: float):
     """Links (u, v) between groups known so far, from rows sorted by band key and blocks."""
     import pandas as pd
@@ -270,28 +275,25 @@ def _similar(least: float):
         for group in runs(batches, ["key", "left", "right"]):
             unit, label, blk = (group[c].to_numpy().copy() for c in ("unit", "root", "blk"))
             across = group["left"].iat[0] != group["right"].iat[0]
-            sets = [np.asarray(x) for x in group["shingles"]]
+            sets = [np.asarray(x) for x in group["shingles"]]  # each in order, without repeats
             size = np.array([len(x) for x in sets])
-            words, place = np.unique(np.concatenate(sets), return_inverse=True)
-            starts = np.concatenate(([0], np.cumsum(size)[:-1]))
-            mark = np.zeros(len(words), np.int64)
             u, v = [], []
-            for i in range(len(unit)):
-                todo = (label != label[i]) & (np.minimum(size, size[i]) >= least * np.maximum(size, size[i]))
-                todo[:i] = False
-                if across:
-                    todo &= blk != blk[i]
-                if not todo.any():
-                    continue
-                own = place[starts[i] : starts[i] + size[i]]
-                mark[own] = 1
-                both = np.add.reduceat(mark[place], starts)
-                mark[own] = 0
-                for j in np.flatnonzero(todo & (both >= least * (size + size[i] - both))):
-                    if label[j] != label[i]:
-                        u.append(unit[i])
-                        v.append(unit[j])
-                        label[label == label[j]] = label[i]
+            for part in _parts(size):
+                flat = np.concatenate([sets[j] for j in part])
+                starts = np.cumsum(size[part]) - size[part]
+                for i in range(part[-1] + 1):
+                    todo = (part > i) & (label[part] != label[i]) & (np.minimum(size[part], size[i]) >= least * np.maximum(size[part], size[i]))
+                    if across:
+                        todo &= blk[part] != blk[i]
+                    if not todo.any():
+                        continue
+                    at = np.minimum(np.searchsorted(sets[i], flat), size[i] - 1)
+                    both = np.add.reduceat((sets[i][at] == flat).astype(np.int64), starts)
+                    for j in part[todo & (both >= least * (size[part] + size[i] - both))]:
+                        if label[j] != label[i]:
+                            u.append(unit[i])
+                            v.append(unit[j])
+                            label[label == label[j]] = label[i]
             if u:
                 yield pd.DataFrame({"u": u, "v": v})
 
@@ -364,7 +366,9 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     roots = components(first)
     rest = held.join(roots, held.unit == roots.node, "left").select("key", "unit", F.coalesce("root", "unit").alias("root"))
     mixed = rest.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
-    blocks = F.ceil(F.col("n") / SETS).cast("int")
+    sizes = rest.join(mixed.select("key"), "key", "left_semi").join(sets.select("unit", F.size("shingles").alias("size")), "unit").groupBy("key").agg(F.sum("size").alias("shingles"))
+    mixed = mixed.join(sizes, "key")
+    blocks = F.greatest(F.ceil(F.col("n") / SETS), F.ceil(F.col("shingles") / SHINGLES)).cast("int")
     cells = (
         rest.join(mixed.select("key", blocks.alias("blocks")), "key")
         .withColumn("blk", F.pmod(F.hash("unit"), F.col("blocks")))
