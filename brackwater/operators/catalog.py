@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geo import Box, box_around, boxes_meet, km_to_box
+from ..functions.geo import MOST_CURVED, Box, box_around, boxes_meet, geodesic_to_box, km_to_box
 from ..functions.text import contains_json
 
 Date = dt.date | str
@@ -107,8 +107,17 @@ def scenes_with_products(scenes: DataFrame, products: DataFrame) -> DataFrame:
     return scenes.join(products, scenes.scene_id == products.base_scene_id)
 
 
-def scenes_near_casts(scenes: DataFrame, casts: DataFrame, radius_km: float = 50.0, days: int = 30, cell_deg: float = 1.0) -> DataFrame:
-    """Active scenes within a distance and so many days of each cast.
+def _km(place: list[Column], radius_km: float, ellipsoid: bool) -> Column:
+    """Distance of a point to a box, null beyond the radius. Along the ellipsoid, the sphere only sets aside what is too far by its proved bound."""
+    sphere = km_to_box(*place)
+    if not ellipsoid:
+        return F.when(sphere <= radius_km, sphere)
+    exact = F.when(sphere <= radius_km / MOST_CURVED * (1 + 1e-9), geodesic_to_box(*place))
+    return F.when(exact <= radius_km, exact)
+
+
+def scenes_near_casts(scenes: DataFrame, casts: DataFrame, radius_km: float = 50.0, days: int = 30, cell_deg: float = 1.0, ellipsoid: bool = True) -> DataFrame:
+    """Active scenes within a distance, along the ellipsoid or a sphere, and so many days of each cast.
 
     Scenes go to every grid cell and month their box, grown by the radius, and their date, widened by the
     days, touch; casts go to their own. The equi-join on cell and month replaces a nested loop, and both
@@ -135,11 +144,11 @@ def scenes_near_casts(scenes: DataFrame, casts: DataFrame, radius_km: float = 50
         "cast_id", "sample_date", "lon", "lat", F.floor(F.col("lon") / cell_deg).alias("cx"), F.floor(F.col("lat") / cell_deg).alias("cy"), month(F.col("sample_date")).alias("cm")
     )
     near = spread.join(own, ["cx", "cy", "cm"]).where(F.abs(F.date_diff("acquisition_date", "sample_date")) <= days)
-    distance = km_to_box(F.col("lon"), F.col("lat"), F.col("minx"), F.col("miny"), F.col("maxx"), F.col("maxy"))
-    return near.withColumn("distance_km", distance).where(F.col("distance_km") <= radius_km).select("cast_id", "scene_id", "sensor", "acquisition_date", "distance_km")
+    distance = _km([F.col(c) for c in ("lon", "lat", "minx", "miny", "maxx", "maxy")], radius_km, ellipsoid)
+    return near.withColumn("distance_km", distance).where(F.col("distance_km").isNotNull()).select("cast_id", "scene_id", "sensor", "acquisition_date", "distance_km")
 
 
-def scenes_near_cast(scenes: DataFrame, casts: DataFrame, cast: str, radius_km: float = 50.0, days: int = 30) -> DataFrame:
+def scenes_near_cast(scenes: DataFrame, casts: DataFrame, cast: str, radius_km: float = 50.0, days: int = 30, ellipsoid: bool = True) -> DataFrame:
     """J1 for one cast, by date. The cast is looked up first, so that its box and dates are constants that reach the scan of scenes."""
     out = ("scene_id", "sensor", "acquisition_date", "minx", "miny", "maxx", "maxy")
     row = casts.where(F.col("cast_id") == cast).select("sample_date", "lon", "lat").first()
@@ -150,8 +159,8 @@ def scenes_near_cast(scenes: DataFrame, casts: DataFrame, cast: str, radius_km:
     box = (row["lon"] - wide, row["lat"] - reach, row["lon"] + wide, row["lat"] + reach)
     dates = F.col("acquisition_date").between(row["sample_date"] - dt.timedelta(days), row["sample_date"] + dt.timedelta(days))
     near = scenes.where((F.col("status") == "active") & dates & boxes_meet(box))
-    distance = km_to_box(F.lit(row["lon"]), F.lit(row["lat"]), *[F.col(c) for c in out[3:]])
-    found = near.select(F.lit(cast).alias("cast_id"), *out[:3], distance.alias("distance_km")).where(F.col("distance_km") <= radius_km)
+    distance = _km([F.lit(row["lon"]), F.lit(row["lat"]), *[F.col(c) for c in out[3:]]], radius_km, ellipsoid)
+    found = near.select(F.lit(cast).alias("cast_id"), *out[:3], distance.alias("distance_km")).where(F.col("distance_km").isNotNull())
     return found.orderBy("acquisition_date", "scene_id")
 
 

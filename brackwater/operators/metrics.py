@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.bands import stretch
 from ..functions.labels import CLASSES, weight_label
+from .quantiles import percentiles
 
 
 def missing(value: Column) -> Column:
@@ -110,10 +111,14 @@ def center_has_nan(pixels: DataFrame, size: int, scene: str = "scene", row: str
 def percentile_stretch(pixels: DataFrame, bands: tuple[str, ...], scene: str = "scene", low: float = 0.02, high: float = 0.98, exact: bool = True) -> DataFrame:
     """pixels with <band>_8bit: each scene's band stretched from its low to its high percentile (A12, B20, SNK14).
 
-    Percentiles are exact with linear interpolation; exact=False takes approximate ones, whose state stays small.
+    Percentiles are exact with linear interpolation, in bounded memory whatever a scene's size (operators.quantiles);
+    exact=False takes approximate ones in one pass.
     """
-    cut = F.percentile if exact else F.approx_percentile
-    cuts = pixels.groupBy(scene).agg(*[cut(b, F.array(F.lit(low), F.lit(high))).alias(f"_{b}") for b in bands])
+    if exact:
+        found = percentiles(pixels, scene, bands, (low, high))
+        cuts = found.groupBy(scene).agg(*[F.array(*[F.max(F.when((F.col("band") == b) & (F.col("share") == p), F.col("value"))) for p in (low, high)]).alias(f"_{b}") for b in bands])
+    else:
+        cuts = pixels.groupBy(scene).agg(*[F.approx_percentile(b, F.array(F.lit(low), F.lit(high))).alias(f"_{b}") for b in bands])
     joined = pixels.join(cuts, scene)
     return joined.withColumns({f"{b}_8bit": stretch(F.col(b), F.get(f"_{b}", F.lit(0)), F.get(f"_{b}", F.lit(1))) for b in bands}).drop(*[f"_{b}" for b in bands])
 

@@ -78,7 +78,7 @@ def runs_filter(spark, d):
     "scenes", "casts",
 )
 def imagery_near_cast(spark, d):
-    found = op.scenes_near_cast(t.scenes(spark, d), t.casts(spark, d), "CAST_00000042")
+    found = op.scenes_near_cast(t.scenes(spark, d), t.casts(spark, d), "CAST_00000042", ellipsoid=False)
     return found.select("scene_id", "sensor", "acquisition_date", F.round("distance_km", 4).alias("distance_km"))
 
 
@@ -88,7 +88,7 @@ def imagery_near_cast(spark, d):
     "scenes", "casts",
 )
 def imagery_near_all_casts(spark, d):
-    found = op.scenes_near_casts(t.scenes(spark, d), t.casts(spark, d), radius_km=20.0, days=5)
+    found = op.scenes_near_casts(t.scenes(spark, d), t.casts(spark, d), radius_km=20.0, days=5, ellipsoid=False)
     return found.select("cast_id", "scene_id", F.round("distance_km", 4).alias("distance_km"))
 
 
@@ -120,6 +120,39 @@ def repeated_keys(spark, d):
     return op.repeated_keys(t.levels(spark, d), "profile").withColumnRenamed("profile", "key")
 
 
+def _geodesic_sql(rounds: int = 8) -> str:
+    """Tables that end in arrived (km): the distance along the ellipsoid from lon, lat to nx, ny of the table near, by the same iteration."""
+    f, a = "(1 / 298.257223563::double)", "6378.137::double"
+    b = f"({a} * (1 - {f}))"
+    keys = "cast_id, scene_id, lon, lat, nx, ny, u1, u2, l"
+    parts = [f"r0 as (select *, l as lam from (select *, atan((1 - {f}) * tan(radians(lat))) as u1, atan((1 - {f}) * tan(radians(ny))) as u2, radians(nx - lon) as l from near))"]
+    for k in range(rounds + 1):
+        parts += [
+            f"""p{k} as (select *, sqrt(pow(cos(u2) * sin(lam), 2) + pow(cos(u1) * sin(u2) - sin(u1) * cos(u2) * cos(lam), 2)) as ss, sin(u1) * sin(u2) + cos(u1) * cos(u2) * cos(lam) as cs,
+            cos(u1) * cos(u2) * sin(lam) as m from r{k})""",
+            f"q{k} as (select *, atan2(ss, cs) as sigma, 1 - sa * sa as ca from (select *, case when ss > 0 then m / ss else 0 end as sa from p{k}))",
+            f"w{k} as (select *, case when ca > 1e-15 then cs - 2 * sin(u1) * sin(u2) / ca else 0 end as cm, {f} / 16 * ca * (4 + {f} * (4 - 3 * ca)) as c, ca * ({a} * {a} - {b} * {b}) / ({b} * {b}) as sq from q{k})",
+        ]
+        if k < rounds:
+            parts.append(f"r{k + 1} as (select {keys}, l + (1 - c) * {f} * sa * (sigma + c * ss * (cm + c * cs * (2 * cm * cm - 1))) as lam from w{k})")
+    parts.append(
+        f"""arrived as (select *, {b} * big * (sigma - small * ss * (cm + small / 4 * (cs * (2 * cm * cm - 1) - small / 6 * cm * (4 * ss * ss - 3) * (4 * cm * cm - 3)))) as km
+        from (select *, 1 + sq / 16384 * (4096 + sq * (-768 + sq * (320 - 175 * sq))) as big, sq / 1024 * (256 + sq * (-128 + sq * (74 - 47 * sq))) as small from w{rounds}))"""
+    )
+    return ", ".join(parts)
+
+
+@query(
+    f"""with near as (select c.cast_id, s.scene_id, c.lon, c.lat, {NEAR_X} as nx, {NEAR_Y} as ny from casts c join scenes s on s.acquisition_date between c.sample_date - 5 and c.sample_date + 5
+    where s.status = 'active' and {HAVERSINE} <= 20.2), {_geodesic_sql()} select cast_id, scene_id, round(km, 4) as distance_km from arrived where km <= 20""",
+    "scenes", "casts",
+)
+def imagery_near_all_casts_ellipsoid(spark, d):
+    """Distances along the ellipsoid."""
+    found = op.scenes_near_casts(t.scenes(spark, d), t.casts(spark, d), radius_km=20.0, days=5)
+    return found.select("cast_id", "scene_id", F.round("distance_km", 4).alias("distance_km"))
+
+
 #: Rings around a place, in steps of the polygon's size: a shape with a notch, and a hole in it.
 RING = ((0.0, -1.0), (1.0, -1.0), (1.0, 1.0), (0.25, 0.125), (-0.5, 1.0), (-1.0, -0.375), (0.0, -1.0))
 HOLE = ((0.25, -0.625), (0.625, -0.625), (0.625, -0.25), (0.25, -0.25), (0.25, -0.625))

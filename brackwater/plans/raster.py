@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import bands as b
 from ..functions import labels as lab
 from ..operators import metrics
+from ..operators.quantiles import percentiles
 from ..sources import tables as t
 from .registry import query
 
@@ -141,6 +142,18 @@ def rgb_stretch(spark, d):
     return metrics.percentile_stretch(t.pixels(spark, d), ("red",), scene="sensor").select(*KEY, "red_8bit")
 
 
+@query(
+    """with v as (select 'green' as band, green / 7.0::double as v from pixels union all select 'nir', ln(nir + 1.0::double) from pixels)
+    select band, share, round(case share when 0.02 then a when 0.5 then b else c end, 6) as value
+    from (select band, quantile_cont(v, 0.02) as a, quantile_cont(v, 0.5) as b, quantile_cont(v, 0.98) as c from v group by band), (values (0.02::double), (0.5::double), (0.98::double)) s(share)""",
+    "pixels",
+)
+def band_percentiles(spark, d):
+    """Percentiles of float bands over the whole table as one group, by selection."""
+    px = t.pixels(spark, d).select(F.lit("all").alias("whole"), (F.col("green") / 7.0).alias("green"), F.log(F.col("nir") + 1.0).alias("nir"))
+    return percentiles(px, "whole", ("green", "nir"), (0.02, 0.5, 0.98), limit=1_000).select("band", "share", *r6("value"))
+
+
 def _ranges_sql(code: str, default: str) -> str:
     parts = " ".join(f"when {' or '.join(f'{code} between {a} and {z}' for a, z in ranges)} then {c}" for c, ranges in lab.SUPERCLASS_RANGES.items())
     return f"case {parts} else {default} end"
