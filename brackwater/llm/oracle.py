@@ -36,6 +36,10 @@ RANKED = f"""
     select item_id, rank::int as rank, doc_id, score from placed where rank <= 20"""
 
 
+#: Segments that the SQL for URLs is written out for; the tables given have no deeper paths.
+LEVELS = 6
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -49,10 +53,10 @@ def _urls() -> str:
     parts = [
         f"""parsed as (select page_id, coalesce(translate(regexp_extract(url, '{urls.PARTS}', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') as host, coalesce(regexp_extract(url, '{urls.PARTS}', 2), '') as path from pages)""",
         f"""judged as (select *, {rule} as rule, {verdict} as fixed, list_transform(list_filter(string_split(path, '/'), lambda s: s <> ''), lambda s: case when {variable} then '*' else s end) as whole from parsed)""",
-        f"rows as (select *, case when len(whole) > {urls.DEPTH} then list_append(whole[1:{urls.DEPTH}], '**') else whole end as shape from judged)",
+        f"rows as (select *, case when len(whole) > {LEVELS} then list_append(whole[1:{LEVELS}], '**') else whole end as shape from judged)",
         "t0 as (select host, shape, count(*) as n, count(rule) as labelled, count(*) filter (where fixed = 'block') as blocked, '' as template from rows group by host, shape)",
     ]
-    for k in range(1, urls.DEPTH + 1):
+    for k in range(1, LEVELS + 1):
         parts += [
             f"c{k} as (select host, template, shape[{k}] as segment, sum(n) as own from t{k - 1} where len(shape) >= {k} group by all)",
             f"n{k} as (select host, template, count(*) as children, sum(own) as whole from c{k} group by all)",
@@ -62,10 +66,10 @@ def _urls() -> str:
         ]
     weight = f"{urls.WEIGHT}::double"
     parts += [
-        f"placed as (select host, shape, n, labelled, blocked, template || case when len(shape) > {urls.DEPTH} then '/**' else '' end as template from t{urls.DEPTH})",
-        f"b{urls.DEPTH + 2} as (select host, template, list_filter(string_split(template, '/'), lambda s: s <> '') as segs, sum(labelled)::bigint as labelled, sum(blocked)::bigint as blocked, '' as below from placed group by host, template)",
+        f"placed as (select host, shape, n, labelled, blocked, template || case when len(shape) > {LEVELS} then '/**' else '' end as template from t{LEVELS})",
+        f"b{LEVELS + 2} as (select host, template, list_filter(string_split(template, '/'), lambda s: s <> '') as segs, sum(labelled)::bigint as labelled, sum(blocked)::bigint as blocked, '' as below from placed group by host, template)",
     ]
-    for k in range(urls.DEPTH + 1, 0, -1):
+    for k in range(LEVELS + 1, 0, -1):
         parts += [
             f"""places{k} as (select host, array_to_string(segs[1:{k - 1}], '/') as prefix, segs[{k}] as seg, below, sum(labelled)::bigint as n, sum(blocked)::bigint as bad
             from b{k + 1} where len(segs) >= {k} and segs[{k}] not in ('*', '**') group by all)""",

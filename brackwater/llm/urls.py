@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import saved
@@ -33,8 +33,6 @@ RULES: tuple[Rule, ...] = (
     ("block", "com", "/de/"),
 )
 
-#: Segments looked at; what is deeper becomes one last segment '**'.
-DEPTH = 6
 #: A node's child is variable if the node has at least so many different children and the child at most this share.
 FAN, RARE = 20, 0.05
 #: Labelled URLs that prior knowledge weighs as much as.
@@ -64,27 +62,40 @@ def matching_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
     return out
 
 
-def path_shape(path: Column, depth: int = DEPTH) -> Column:
-    """The path's segments with variable ones as '*'; beyond depth one '**'."""
+def path_shape(path: Column) -> Column:
+    """The path's segments with variable ones as '*'."""
     parts = F.filter(F.split(path, "/"), lambda s: s != "")
-    shaped = F.transform(parts, lambda s: F.when(s.rlike(VARIABLE), "*").otherwise(s))
-    return F.when(F.size(shaped) > depth, F.concat(F.slice(shaped, 1, depth), F.array(F.lit("**")))).otherwise(shaped)
+    return F.transform(parts, lambda s: F.when(s.rlike(VARIABLE), "*").otherwise(s))
 
 
-def templates(shapes: DataFrame, depth: int = DEPTH, fan: int = FAN, rare: float = RARE) -> DataFrame:
-    """host, shape, n and more to the same with template: the shape with children of busy nodes as wildcards, level by level."""
-    out = shapes.withColumn("template", F.lit(""))
-    deepest = min(depth, shapes.agg(F.coalesce(F.max(F.size("shape")), F.lit(0))).first()[0])
-    for level in range(1, deepest + 1):
-        out = out.withColumn("segment", F.try_element_at("shape", F.lit(level)))
-        child = out.where("segment is not null").groupBy("host", "template", "segment").agg(F.sum("n").alias("own"))
+def templates(shapes: DataFrame, fan: int = FAN, rare: float = RARE) -> DataFrame:
+    """host, shape, n and more to the same with template: the shape with children of busy nodes as wildcards, level by level.
+
+    A node of fewer than `fan` shapes has no busy node at or below it, so its shapes are finished and set aside;
+    levels go on while a node holds more, however deep the paths are.
+    """
+    live, done, level = saved(shapes.withColumn("template", F.lit("")), "level"), [], 0
+    while True:
+        nodes = live.groupBy("host", "template").agg(F.count("*").alias("shapes")).where(F.col("shapes") >= fan)
+        live = live.join(nodes.select("host", "template", F.lit(True).alias("open")), ["host", "template"], "left")
+        ends = F.col("open").isNull() | (F.size("shape") <= level)
+        rest = F.when(F.size("shape") > level, F.concat(F.lit("/"), F.array_join(F.slice("shape", level + 1, F.size("shape")), "/"))).otherwise("")
+        done.append(saved(live.where(ends).withColumn("template", F.concat("template", rest)).drop("open"), "finished"))
+        live, level = live.where(~ends).drop("open"), level + 1
+        if live.isEmpty():
+            break
+        out = live.withColumn("segment", F.element_at("shape", level))
+        child = out.groupBy("host", "template", "segment").agg(F.sum("n").alias("own"))
         node = child.groupBy("host", "template").agg(F.count("*").alias("children"), F.sum("own").alias("all"))
         busy = child.join(node.where(F.col("children") >= fan), ["host", "template"]).where(F.col("own") <= rare * F.col("all"))
         wild = busy.select("host", "template", "segment", F.lit(True).alias("wild"))
-        part = F.when(F.col("segment").isNull(), "").otherwise(F.concat(F.lit("/"), F.when(F.col("wild"), "*").otherwise(F.col("segment"))))
+        part = F.concat(F.lit("/"), F.when(F.col("wild"), "*").otherwise(F.col("segment")))
         out = out.join(wild, ["host", "template", "segment"], "left").withColumn("template", F.concat("template", part)).drop("wild", "segment")
-        out = saved(out, "level")
-    return out.withColumn("template", F.concat("template", F.when(F.size("shape") > depth, "/**").otherwise("")))
+        live = saved(out, "level")
+    out = done[0]
+    for more in done[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def _differ(n: Column, bad: Column, other_n: Column, other_bad: Column, apart: float) -> Column:
@@ -99,14 +110,25 @@ def merged_branches(own: DataFrame, apart: float = APART) -> DataFrame:
     At each level, from the deepest up, a node's children by labelled URLs (ties by name): a child that is unlike all
     before it stands for itself, any other joins the first of those that it is like. Children without labels
     and wildcards join none. Branches below are known by the names they were merged under, and their counts are pooled.
+    Where a template has no other beside it any more, nothing merges: levels begin at the deepest that two share.
     """
     segments = F.filter(F.split("template", "/"), lambda s: s != "")
-    out = saved(own.withColumn("segments", segments).withColumn("branch", F.lit("")), "branches")
+    by_host = Window.partitionBy("host").orderBy("segments")
+
+    def shared(other: Column) -> Column:
+        same = F.zip_with("segments", other, lambda a, b: a.eqNullSafe(b))
+        return F.coalesce(F.array_position(same, F.lit(False)) - 1, F.lit(0))
+
+    out = own.withColumn("segments", segments)
+    keep = F.least(F.greatest(shared(F.lag("segments").over(by_host)), shared(F.lead("segments").over(by_host))) + 1, F.size("segments")).cast("int")
+    out = out.withColumn("keep", keep)
+    tail = F.when(F.size("segments") > F.col("keep"), F.concat(F.lit("/"), F.array_join(F.slice("segments", F.col("keep") + 1, F.size("segments")), "/"))).otherwise("")
+    out = saved(out.withColumn("branch", tail).withColumn("segments", F.slice("segments", F.lit(1), F.col("keep"))).drop("keep"), "branches")
     deepest = out.agg(F.coalesce(F.max(F.size("segments")), F.lit(0))).first()[0]
     at = ["host", "prefix", "segment"]
     for level in range(deepest, 0, -1):
         out = out.withColumn("segment", F.try_element_at("segments", F.lit(level))).withColumn("prefix", F.concat_ws("/", F.slice("segments", 1, level - 1)))
-        places = out.where("segment not in ('*', '**')").groupBy(*at, F.col("branch").alias("below")).agg(F.sum("labelled").alias("n"), F.sum("blocked").alias("bad"))
+        places = out.where("segment <> '*'").groupBy(*at, F.col("branch").alias("below")).agg(F.sum("labelled").alias("n"), F.sum("blocked").alias("bad"))
         wholes = places.groupBy(*at).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).where("n > 0")
         wholes = wholes.select(*at, F.lit("=").alias("below"), "n", "bad", F.col("n").alias("size"))  # no place below is called '='
         rows = places.where("n > 0").join(wholes.select(*at, "size"), at).unionByName(wholes)
@@ -120,7 +142,7 @@ def merged_branches(own: DataFrame, apart: float = APART) -> DataFrame:
         alike = pairs.groupBy(*at, "root", "size").agg(F.max("differ").alias("differ")).where("not differ").drop("differ")
         joined = alike.select("host", "prefix", F.col("segment").alias("root")).distinct()
         roots = alike.join(joined, ["host", "prefix", "root"], "left_anti").groupBy(*at).agg(F.min(F.struct(-F.col("size"), F.col("root").alias("root"))).alias("best"))
-        name = F.when(F.col("segment").isNull(), "").otherwise(F.concat(F.lit("/"), F.coalesce("best.root", "segment"), F.col("branch")))
+        name = F.when(F.col("segment").isNull(), F.col("branch")).otherwise(F.concat(F.lit("/"), F.coalesce("best.root", "segment"), F.col("branch")))
         out = saved(out.join(roots, at, "left").withColumn("branch", name).drop("best", "prefix", "segment"), "branches")
     return out.drop("segments")
 
@@ -152,7 +174,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule] = RULES, id_col: str = "p
     Returns a row per row: id_col, host, path, rule (null if none fits), verdict ('allow' or 'block'),
     template and purity (of the tree; null where the table has no other rows to learn from). Null URLs
     and those without '://' have an empty host and path, fit no rule, and are judged by the template of
-    such. Null ids and repeated rows give a row each. No rows: no rows. Other columns are not read.
+    such. Paths may have any number of segments. Null ids and repeated rows give a row each. No rows: no rows. Other columns are not read.
     """
     host, path = host_and_path(F.col(url_col))
     rows = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"))

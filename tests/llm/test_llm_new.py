@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from brackwater.llm import retrieval, toxicity, whitening
+from brackwater.llm import retrieval, toxicity, urls, whitening
 
 SF = "/root/testdata/sf0.001"
 SF1 = "/root/testdata/sf0.1"
@@ -217,3 +217,18 @@ def test_ranked_prunes_terms(spark):
     kth, top = weight * 400_000, weight * 600_000
     items = retrieval.Items(np.zeros(4, np.int64), np.arange(4), np.ones(4, np.int64), weight, kth, top)
     assert np.diff(items.term_start).tolist() == [1, 1, 0, 0] and items.rest.tolist() == [15 * 600_000] and items.bound.tolist() == [5000 * 400_000]
+
+
+# 3: paths of any depth
+
+
+def test_urls_deep_templates_have_verdicts_of_their_own(spark):
+    """Two templates that part at the ninth segment, one blocked and one allowed, and paths without a rule below each; a path of 10,000 segments ends."""
+    deep = "/a/b/c/d/e/f/g/h"
+    rows = [(i, f"http://x.com{deep}/bad/{i}") for i in range(40)] + [(100 + i, f"http://x.com{deep}/good/{i}") for i in range(40)]
+    rows += [(300, f"http://x.com{deep}/bad/new/page"), (301, "http://y.com/" + "/".join(f"s{i}" for i in range(10_000))), (302, "http://y.com/" + "s/" * 10_000), (303, "http://z.com/" + "x" * 1_000_000)]
+    rules = [("block", "x.com", f"{deep}/bad/1"), ("block", "x.com", f"{deep}/bad/2"), ("block", "x.com", f"{deep}/bad/3"), ("allow", "x.com", f"{deep}/good/1"), ("allow", "x.com", f"{deep}/good/2")]
+    out = {r.page_id: r for r in urls.judge_urls(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()}
+    assert len(out) == len(rows)
+    assert {out[i].verdict for i in (4, 5, 6, 7)} == {"block"} and {out[i].verdict for i in (103, 104, 105)} == {"allow"}
+    assert out[4].template == f"{deep}/bad/*" and out[301].template.count("/") == 10_000 and out[303].template == "/" + "x" * 1_000_000
