@@ -85,10 +85,15 @@ def work_list(spark, missions: list[str], lats: list[float], lons: list[float],
     """mission, lat, lon, date of a download: places are zipped, missions and dates crossed; Sentinel-2 steps by 7 days."""
     if len(lats) != len(lons):
         raise ValueError("as many latitudes as longitudes are needed")
-    rows = [(mission(m).slug, 7 if m == "sentinel-2" else step) for m in missions]
-    base = spark.createDataFrame(rows, "mission string, step int").withColumn("place", F.explode(F.array(*[F.struct(F.lit(a).alias("lat"), F.lit(o).alias("lon")) for a, o in zip(lats, lons, strict=True)])))
+    return work_for_places(spark.createDataFrame(list(zip(lats, lons, strict=True)), "lat double, lon double"), missions, start, end, step)
+
+
+def work_for_places(places: DataFrame, missions: list[str], start: str, end: str, step: int) -> DataFrame:
+    """mission, lat, lon, date for every row of a table of places."""
+    steps = [F.struct(F.lit(mission(m).slug).alias("mission"), F.lit(7 if m == "sentinel-2" else step).alias("step")) for m in missions]
+    each = places.select("lat", "lon", F.explode(F.array(*steps)).alias("m")).select("lat", "lon", "m.*")
     dates = F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"), F.make_dt_interval(days="step"))
-    return base.select("mission", "place.lat", "place.lon", F.explode(dates).alias("date"))
+    return each.select("mission", "lat", "lon", F.explode(dates).alias("date"))
 
 
 def tile_grid(boxes: DataFrame, tiles: int) -> DataFrame:

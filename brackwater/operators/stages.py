@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DownloadConfig, SalinityConfig, TrendConfig
@@ -102,3 +102,9 @@ def predict_scenes(pixels: DataFrame, predict: Callable, schema: str, columns: l
 def channel_ids(sensor_order: tuple[str, ...] = tuple(m.slug for m in MISSIONS)) -> dict[str, list[int]]:
     """Channel numbers of each mission's bands, missions one after another."""
     return {slug: [i * len(BANDS) + k for k in range(len(BANDS))] for i, slug in enumerate(sensor_order)}
+
+
+def channels_of(sensor: Column) -> Column:
+    """channel_ids() of a sensor column; null for an unknown sensor."""
+    ids = channel_ids()
+    return F.coalesce(*[F.when(sensor == slug, F.array(*[F.lit(i) for i in own])) for slug, own in ids.items()])

@@ -96,10 +96,12 @@ def cluster_dedup(spark, d):
 
 @query(
     """select mission, lat, lon, unnest(generate_series(timestamp '2018-06-01', timestamp '2018-08-01', to_days(step)))::date as date
-    from (values ('sentinel-2', 7), ('landsat-7', 16)) m(mission, step), (values (38.5::double, -76.0::double), (38.0::double, -75.5::double)) p(lat, lon)"""
+    from (values ('sentinel-2', 7), ('landsat-7', 16)) m(mission, step), casts""",
+    "casts",
 )
 def download_worklist(spark, d):
-    return op.work_list(spark, ["sentinel-2", "landsat-7"], [38.5, 38.0], [-76.0, -75.5], "2018-06-01", "2018-08-01", 16)
+    """What to look for around every cast."""
+    return op.work_for_places(t.casts(spark, d), ["sentinel-2", "landsat-7"], "2018-06-01", "2018-08-01", 16)
 
 
 @query(

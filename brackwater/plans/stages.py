@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +12,7 @@ from ..operators import select as op
 from ..sources import readers, shared, writers
 from ..sources import tables as t
 from ..streaming import events
+from . import catalog as areas
 from . import raster, selection, streams, trends
 from .registry import query
 
@@ -97,14 +96,24 @@ def predict_scenes(spark, d):
     return stages.predict_scenes(t.pixels(spark, d), largest, "scene bigint, row int, col int, predicted int", ["scene", "row", "col", "red", "green", "nir"])
 
 
-@query("select sensor, unnest(range(6))::int + 6 * place as channel from (values ('sentinel-2', 0), ('landsat-5', 1), ('landsat-7', 2)) m(sensor, place)")
+@query("select sensor, unnest(range(6))::int + 6 * case sensor when 'sentinel-2' then 0 when 'landsat-5' then 1 else 2 end as channel, count(*) as n from scenes group by sensor", "scenes")
 def channel_ids(spark, d):
-    return spark.createDataFrame([(slug, c) for slug, ids in stages.channel_ids().items() for c in ids], "sensor string, channel int")
+    """How many scenes fill each channel."""
+    each = t.scenes(spark, d).groupBy("sensor").agg(F.count("*").alias("n"))
+    return each.select("sensor", F.explode(stages.channels_of(F.col("sensor"))).alias("channel"), "n")
 
 
-@query("select sensor, mission_id, scale_m from (values ('sentinel-2', 0, 10), ('landsat-5', 1, 30), ('landsat-7', 2, 30)) m(sensor, mission_id, scale_m)")
+@query(
+    """select sensor, mission_id, scale_m, count(*) as scenes, count(*) filter (where acquisition_date between a and z) as in_life from scenes
+    join (values ('sentinel-2', 0, 10, date '2015-06-23', date '2099-12-31'), ('landsat-5', 1, 30, date '1984-03-01', date '2013-01-01'), ('landsat-7', 2, 30, date '1999-04-15', date '2022-03-31')) m(sensor, mission_id, scale_m, a, z) using (sensor)
+    group by all""",
+    "scenes",
+)
 def sensor_table(spark, d):
-    return sensors.sensor_table(spark).select("sensor", "mission_id", "scale_m")
+    """Scenes of each mission, and those within its life."""
+    found = t.scenes(spark, d).join(sensors.sensor_table(spark), "sensor")
+    alive = F.col("acquisition_date").between(F.col("valid_from"), F.coalesce("valid_to", F.lit("2099-12-31").cast("date")))
+    return found.groupBy("sensor", "mission_id", "scale_m").agg(F.count("*").alias("scenes"), F.count(F.when(alive, 1)).alias("in_life"))
 
 
 @query("select scene_key, case sensor when 'sentinel-2' then 10 else 30 end as scale_m, case sensor when 'sentinel-2' then 'CLOUDY_PIXEL_PERCENTAGE' else 'CLOUD_COVER' end as cloud_field from scenes", "scenes")
@@ -113,9 +122,14 @@ def sensor_lookup(spark, d):
     return t.scenes(spark, d).select("scene_key", sensors.by_sensor(sensor, "scale_m").alias("scale_m"), sensors.by_sensor(sensor, "cloud_field").alias("cloud_field"))
 
 
-@query("select month::date as month from (select unnest(generate_series(timestamp '2018-01-15', timestamp '2019-03-15', interval 1 month)) as month)")
+@query(
+    "select sensor, unnest(generate_series(date_trunc('month', min(acquisition_date))::timestamp, date_trunc('month', max(acquisition_date))::timestamp, interval 1 month))::date as month from scenes group by sensor",
+    "scenes",
+)
 def months(spark, d):
-    return readers.months(spark, "2018-01-15", "2019-03-15")
+    """The months from each sensor's first scene to its last."""
+    ends = t.scenes(spark, d).groupBy("sensor").agg(F.trunc(F.min("acquisition_date"), "month").alias("a"), F.trunc(F.max("acquisition_date"), "month").alias("z"))
+    return ends.select("sensor", F.explode(readers.months_between(F.col("a"), F.col("z"))).alias("month"))
 
 
 @query("select count(*) as scenes, sum((scene_id in (select scene_id from scenes where status = 'active'))::int)::bigint as there from scenes", "scenes")
@@ -142,12 +156,14 @@ def truth_csv(spark, d):
     return readers.truth(spark, path).select(F.col("source_file").alias("cast_id"), "salinity", F.col("latitude").alias("lat"), F.col("longitude").alias("lon"))
 
 
-@query("select scene, count(*) as pixels, sum(green)::bigint as green from pixels group by scene", "pixels")
+@query("select scene, count(*) as pixels, sum(green)::bigint as green from pixels where scene % 3 = 1 group by scene", "pixels")
 def raster_round_trip(spark, d):
-    """Pixels written by row ranges and read again under the schema of a raster."""
+    """Pixels through the raster sink and source, and those of a third of the scenes read again."""
     path = shared.shared_path(spark, "raster")
-    t.pixels(spark, d).sortWithinPartitions("scene", "row", "col").write.parquet(path)
-    return spark.read.parquet(path).groupBy("scene").agg(F.count("*").alias("pixels"), F.sum("green").alias("green"))
+    bands = [F.col(b).cast("float") for b in raster.BANDS]
+    writers.raster(t.pixels(spark, d).select(F.col("scene").cast("string").alias("scene_id"), "row", "col", *bands), path)
+    read = readers.table(spark, path, "pixels").where(F.col("scene_id").cast("long") % 3 == 1)
+    return read.groupBy(F.col("scene_id").cast("long").alias("scene")).agg(F.count("*").alias("pixels"), F.sum("green").cast("long").alias("green"))
 
 
 @query("select scene_id || '.tif' as name from scenes where scene_key % 3 <> 0", "scenes")
@@ -159,16 +175,25 @@ def listing(spark, d):
     return readers.listing(spark, path)
 
 
-@query("select * from (values (1.0::double, 3.0::double, 0.0::double, 0.0::double, 6.0::double, 2.0::double)) v(lat, lon, minx, miny, maxx, maxy)")
+RING_SIDES = ", ".join(f"({i}, {a[0]}::double, {a[1]}::double, {z[0]}::double, {z[1]}::double)" for i, ring in enumerate((areas.RING, areas.HOLE)) for a, z in zip(ring, ring[1:], strict=False))
+
+
+@query(
+    f"""with {areas.AREAS}, turned as (select area_id, hole, ax + a * size as x1, ay + b * size as y1, ax + c * size as x2, ay + d * size as y2 from areas, (values {RING_SIDES}) v(hole, a, b, c, d)),
+    rings as (select area_id, hole, sum(x1 * y2 - x2 * y1) as area, sum((x1 + x2) * (x1 * y2 - x2 * y1)) as sx, sum((y1 + y2) * (x1 * y2 - x2 * y1)) as sy, min(x1) as x0, min(y1) as y0, max(x1) as x9, max(y1) as y9 from turned group by all),
+    signed as (select *, sign(area) * case hole when 0 then 1 else -1 end as side from rings)
+    select area_id, round(sum(sy * side) / (3 * sum(area * side)), 5) as lat, round(sum(sx * side) / (3 * sum(area * side)), 5) as lon, round(min(x0), 6) as minx, round(min(y0), 6) as miny, round(max(x9), 6) as maxx, round(max(y9), 6) as maxy
+    from signed group by area_id""",
+    "casts",
+)
 def aoi_shape(spark, d):
-    """Centre and bounds of an area of two polygons, one wound each way."""
-    path = shared.shared_path(spark, "aoi")
-    left = {"type": "Polygon", "coordinates": [[[0, 0], [2, 0], [2, 2], [0, 2], [0, 0]]]}
-    right = {"type": "MultiPolygon", "coordinates": [[[[2, 0], [2, 2], [6, 2], [6, 0], [2, 0]]]]}
-    body = json.dumps({"type": "FeatureCollection", "features": [{"geometry": left}, {"geometry": right}]})
-    spark.createDataFrame([(body,)], "value string").coalesce(1).write.text(path)
-    (lat, lon), bounds = readers.aoi_centroid(spark, path), readers.aoi_bounds(spark, path)
-    return spark.createDataFrame([(lat, lon, *bounds)], "lat double, lon double, minx double, miny double, maxx double, maxy double")
+    """Centres and bounds of areas with holes, from GeoJSON."""
+    c = t.casts(spark, d).where("point_id % 10 = 3")
+    size = F.lit(0.03125) + (F.col("point_id") % 7) * F.lit(0.015625)
+    rings = [F.array(*[F.array(F.col("lon") + a * size, F.col("lat") + b * size) for a, b in ring]) for ring in (areas.RING, areas.HOLE)]
+    text = F.to_json(F.struct(F.lit("Polygon").alias("type"), F.array(*rings).alias("coordinates")))
+    found = readers.shape_summary(readers.rings_of_geojson(c.select(F.col("point_id").alias("area_id"), text.alias("value"))), "area_id")
+    return found.select("area_id", *[F.round(n, 5).alias(n) for n in ("lat", "lon")], *[F.round(n, 6).alias(n) for n in ("minx", "miny", "maxx", "maxy")])
 
 
 @query("select scene_id, sensor, acquisition_date from scenes where scene_key % 11 <> 0 and sensor <> 'sentinel-2'", "scenes")

@@ -67,16 +67,22 @@ def listing(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).where((line != "") & ~line.startswith("#")).select(line.alias("name"))
 
 
-def geojson_rings(spark: SparkSession, path: str) -> DataFrame:
-    """Rings of a GeoJSON's polygons: feature, part, hole (0 for the outer ring, from 1 for its holes) and ring as array<array<double>>."""
+def rings_of_geojson(rows: DataFrame, text: str = "value") -> DataFrame:
+    """rows with a GeoJSON's text to its polygons' rings: the other columns, feature, part, hole (0 for the outer ring, from 1 for its holes) and ring as array<array<double>>."""
     geometry = T.StructType([T.StructField("type", T.StringType()), T.StructField("coordinates", T.StringType())])
     schema = T.StructType([T.StructField("features", T.ArrayType(T.StructType([T.StructField("geometry", geometry)]))), T.StructField("geometry", geometry), *geometry.fields])
-    read = spark.read.schema(schema).option("multiLine", "true").json(path)
-    one = F.array(F.struct(F.coalesce("geometry", F.struct("type", "coordinates")).alias("geometry")))
-    rows = read.select(F.posexplode(F.coalesce("features", one)).alias("feature", "f")).select("feature", "f.geometry.*")
+    keys = [c for c in rows.columns if c != text]
+    read = rows.select(*keys, F.from_json(text, schema).alias("j"))
+    one = F.array(F.struct(F.coalesce("j.geometry", F.struct("j.type", "j.coordinates")).alias("geometry")))
+    features = read.select(*keys, F.posexplode(F.coalesce("j.features", one)).alias("feature", "f")).select(*keys, "feature", "f.geometry.*")
     single = F.array(F.from_json("coordinates", "array<array<array<double>>>"))
     parts = F.when(F.col("type") == "Polygon", single).otherwise(F.from_json("coordinates", "array<array<array<array<double>>>>"))
-    return rows.select("feature", F.posexplode(parts).alias("part", "p")).select("feature", "part", F.posexplode("p").alias("hole", "ring"))
+    return features.select(*keys, "feature", F.posexplode(parts).alias("part", "p")).select(*keys, "feature", "part", F.posexplode("p").alias("hole", "ring"))
+
+
+def geojson_rings(spark: SparkSession, path: str) -> DataFrame:
+    """The rings of a GeoJSON file."""
+    return rings_of_geojson(spark.read.text(path, wholetext=True))
 
 
 def geojson_polygons(spark: SparkSession, path: str) -> DataFrame:
@@ -99,20 +105,31 @@ def _shoelace(ring: Column) -> tuple[Column, Column, Column]:
     return total(cross), total(lambda x1, y1, x2, y2: (x1 + x2) * cross(x1, y1, x2, y2)), total(lambda x1, y1, x2, y2: (y1 + y2) * cross(x1, y1, x2, y2))
 
 
-def aoi_centroid(spark: SparkSession, path: str) -> tuple[float, float]:
-    """(lat, lon) of the area-weighted centre of a GeoJSON's polygons, less their holes (SRC13, G9). Polygons must not overlap."""
+def shape_summary(rings: DataFrame, *keys: str) -> DataFrame:
+    """keys, lat and lon of the area-weighted centre of the polygons, less their holes, and their bounds minx, miny, maxx, maxy (SRC13, G9, A15). Polygons must not overlap; without area there is no centre."""
     area, x, y = _shoelace(F.col("ring"))
     side = F.signum(area) * F.when(F.col("hole") == 0, 1).otherwise(-1)
-    sums = geojson_rings(spark, path).select((area * side).alias("a"), (x * side).alias("x"), (y * side).alias("y")).agg(F.sum("a").alias("a"), F.sum("x").alias("x"), F.sum("y").alias("y")).first()
-    if not sums["a"]:
+
+    def edge(of, place: int) -> Column:
+        return of(F.transform("ring", lambda p: F.get(p, F.lit(place))))
+
+    each = rings.select(*keys, (area * side).alias("a"), (x * side).alias("x"), (y * side).alias("y"), *[edge(f, i).alias(n) for f, i, n in ((F.array_min, 0, "x0"), (F.array_min, 1, "y0"), (F.array_max, 0, "x1"), (F.array_max, 1, "y1"))])
+    sums = each.groupBy(*keys).agg(F.sum("a").alias("a"), F.sum("x").alias("x"), F.sum("y").alias("y"), F.min("x0").alias("minx"), F.min("y0").alias("miny"), F.max("x1").alias("maxx"), F.max("y1").alias("maxy"))
+    size = F.when(F.col("a") != 0, 3 * F.col("a"))
+    return sums.select(*keys, (F.col("y") / size).alias("lat"), (F.col("x") / size).alias("lon"), "minx", "miny", "maxx", "maxy")
+
+
+def aoi_centroid(spark: SparkSession, path: str) -> tuple[float, float]:
+    """(lat, lon) of the area-weighted centre of a GeoJSON's polygons, less their holes (SRC13, G9)."""
+    found = shape_summary(geojson_rings(spark, path)).first()
+    if found["lat"] is None:
         raise ValueError(f"no polygon in {path}")
-    return sums["y"] / (3 * sums["a"]), sums["x"] / (3 * sums["a"])
+    return found["lat"], found["lon"]
 
 
 def aoi_bounds(spark: SparkSession, path: str) -> tuple[float, float, float, float]:
     """minx, miny, maxx, maxy of a GeoJSON's polygons."""
-    points = geojson_rings(spark, path).select(F.explode("ring").alias("p"))
-    return tuple(points.agg(*[f(F.get("p", F.lit(i))) for f, i in ((F.min, 0), (F.min, 1), (F.max, 0), (F.max, 1))]).first())
+    return tuple(shape_summary(geojson_rings(spark, path)).first()[2:])
 
 
 def coast_segments(spark: SparkSession, path: str, bounds: tuple[float, float, float, float], margin_deg: float = 10 / 111) -> DataFrame:
@@ -131,9 +148,14 @@ def labels_of_year(labels: DataFrame, year: int, bbox: tuple[float, float, float
     return labels.where((F.col("year") == year) & F.col("x").between(bbox[0], bbox[2]) & F.col("y").between(bbox[1], bbox[3]))
 
 
+def months_between(start: Column, end: Column) -> Column:
+    """Dates a month apart, from start up to end (SRC16)."""
+    return F.sequence(start.cast("date"), end.cast("date"), F.expr("interval 1 month"))
+
+
 def months(spark: SparkSession, start: str, end: str) -> DataFrame:
-    """First days of the months from start to end (SRC16)."""
-    return spark.range(1).select(F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"), F.expr("interval 1 month"))).alias("month"))
+    """The months from start to end (SRC16)."""
+    return spark.range(1).select(F.explode(months_between(F.lit(start), F.lit(end))).alias("month"))
 
 
 def toml(path: str) -> dict:
