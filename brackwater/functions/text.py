@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -128,20 +129,37 @@ def json_of_map(parameters: Column) -> Column:
     return F.concat(F.lit("{"), F.concat_ws(", ", quoted), F.lit("}"))
 
 
+def _holds(held: Column, asked: object) -> Column:
+    """Whether a variant holds a JSON value: objects all its keys, lists for each of its values one that holds it, anything else an equal value."""
+    kind = F.schema_of_variant(held)
+    if isinstance(asked, dict):
+        inside = F.when(kind.startswith("OBJECT"), held)
+        return reduce(and_, [_holds(F.try_variant_get(inside, _path(key), "variant"), value) for key, value in asked.items()], kind.startswith("OBJECT"))
+    if isinstance(asked, (list, tuple)):
+        values = F.when(kind.startswith("ARRAY"), held).cast("array<variant>")
+        return reduce(and_, [_any_holds(values, value) for value in asked], kind.startswith("ARRAY"))
+    if asked is None:
+        return kind == "VOID"
+    if isinstance(asked, bool):
+        return (kind == "BOOLEAN") & (F.try_variant_get(held, "$", "boolean") == asked)
+    if isinstance(asked, (int, float)):
+        return kind.rlike("^(BIGINT|DECIMAL|DOUBLE)") & (F.try_variant_get(held, "$", "double") == float(asked))
+    return (kind == "STRING") & (F.try_variant_get(held, "$", "string") == str(asked))
+
+
+def _any_holds(values: Column, asked: object) -> Column:
+    return F.exists(values, lambda x: F.coalesce(_holds(x, asked), F.lit(False)))
+
+
+def _path(key: object) -> str:
+    """A variant's path to a key of any characters but both kinds of quotes."""
+    quote = "'" if '"' in str(key) else '"'
+    return f"$[{quote}{key}{quote}]"
+
+
 def contains_json(held: Column, asked: dict) -> Column:
-    """Whether JSON text holds all the asked keys with their values; {} fits any JSON."""
-    held_ok = held.isNotNull()
-    for key, value in asked.items():
-        got = F.get_json_object(held, f"$.{key}")
-        if isinstance(value, bool):
-            held_ok = held_ok & (got == str(value).lower())
-        elif isinstance(value, (int, float)):
-            held_ok = held_ok & (got.try_cast("double") == float(value))
-        elif isinstance(value, dict):
-            held_ok = held_ok & contains_json(got, value)
-        else:
-            held_ok = held_ok & (got == str(value))
-    return F.coalesce(held_ok, F.lit(False))
+    """Whether JSON text holds the asked value as a part (R4): keys with dots, lists in any order, nulls as values. {} fits any object; text that is no JSON holds nothing."""
+    return F.coalesce(_holds(F.try_parse_json(held), asked), F.lit(False))
 
 
 def payload(data: Column, schema: str) -> Column:

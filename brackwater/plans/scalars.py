@@ -152,3 +152,16 @@ def raster_regions(spark, d):
     """All pixels of the raster. Recursive SQL lists every pair of pixels of a region, so a test compares regions with a plain flood fill instead."""
     px = t.pixels(spark, d).groupBy("row", "col").agg((F.max("green") > 9000).cast("int").alias("value"))
     return op.regions(px).select("row", "col", "value", "region")
+
+
+@query("select event_id, user_id from events where json_extract_string(props, '$.k')::int < 50 and user_id % 5 = 3 and event_type in ('view', 'click')")
+def json_containment(spark, d):
+    """Events whose nested properties hold a list's values, a key with a dot and a null."""
+    e = t.read(spark, d, "events")
+    low = F.get_json_object("props", "$.k").cast("int") < 50
+    body = F.concat(
+        F.lit('{"seen": [{"type": "'), F.when(F.col("event_type").isin("view", "click"), "look").otherwise("act"), F.lit('", "low": '), low.cast("string"), F.lit("}, "),
+        (F.col("user_id") % 5).cast("string"), F.lit('], "by.user": {"id": '), F.col("user_id").cast("string"), F.lit(', "gone": null}}'),
+    )
+    asked = {"seen": [3, {"type": "look", "low": True}], "by.user": {"gone": None}}
+    return e.withColumn("body", body).where(s.contains_json(F.col("body"), asked)).select("event_id", "user_id")
