@@ -12,17 +12,23 @@ import pytest
 from brackwater.plans import registry
 
 SF = "/root/testdata/sf0.001"
+#: Where the small tables give no row, or a flag that never changes, a query could be wrong unseen: those run on this one.
+LARGER = "/root/testdata/sf0.01"
 TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
 
 
-@pytest.fixture(scope="module")
-def duck():
+def connected(folder):
     con = duckdb.connect()
-    for path in glob.glob(f"{SF}/*.parquet"):
+    for path in glob.glob(f"{folder}/*.parquet"):
         con.execute(f"create view {os.path.basename(path)[:-8]} as select * from read_parquet('{path}')")
     return con
 
 
+@pytest.fixture(scope="module")
+def ducks():
+    return {folder: connected(folder) for folder in (SF, LARGER)}
+
+
 def plain(v):
     if isinstance(v, decimal.Decimal):
         v = float(v)
@@ -36,10 +42,17 @@ def ordered(rows):
 
 
 @pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
-def test_query_equals_sql(spark, duck, name):
-    df = registry.QUERIES[name](spark, SF)
-    columns = sorted(df.columns)
+def test_query_equals_sql(spark, ducks, name):
     sql = registry.ORACLE_SQL[name]
+    for folder in (SF, LARGER):
+        duck = ducks[folder]
+        flags = [c[0] for c in duck.execute(f"describe {sql}").fetchall() if str(c[1]) == "BOOLEAN"]
+        seen = duck.execute(f"select count(*), {', '.join(f'count(distinct {c})' for c in flags) or 2} from ({sql})").fetchone()
+        if seen[0] and min(seen[1:]) > 1:
+            break
+    assert seen[0] > 0
+    df = registry.QUERIES[name](spark, folder)
+    columns = sorted(df.columns)
     kinds = {c[0]: c[1] for c in duck.execute(f"describe {sql}").fetchall()}
     assert sorted(kinds) == columns
     assert {c: TYPES[t] for c, t in df.dtypes} == {c: str(t) for c, t in kinds.items()}
