@@ -1,4 +1,4 @@
-"""Training-data operators: ten corpus operators, their queries and their SQL.
+"""Training-data operators: thirteen corpus operators, their queries and their SQL.
 
 Nothing outside this subpackage imports it.
 """

@@ -1,4 +1,4 @@
-"""The ten operators against brute force on small tables, and on hostile rows."""
+"""The first ten operators against brute force on small tables, and on hostile rows."""
 
 import hashlib
 import math
