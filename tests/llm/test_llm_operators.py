@@ -131,6 +131,29 @@ def test_packing(request, which):
     check_pieces(packing.pack(df, JSON, SAME_RANKS, PATTERN, shard_tokens=50_000).collect(), df)
 
 
+def test_packing_does_not_depend_on_splits(spark, docs, monkeypatch):
+    """Equal rows in one split and in several, null ids among them, are dealt alike whatever the splits."""
+    monkeypatch.setattr(packing, "COUNTED", 40)
+    copies = spark.range(300).select(F.lit(None).cast("bigint").alias("doc_id"), F.lit("one text of all").alias("text"), F.lit("hot").alias("source"))
+    rows = docs.limit(150).select("doc_id", "text", "source").union(copies)
+    rows = rows.union(rows.limit(40))
+    columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source"]
+    got = []
+    for n in (1, 7):
+        split = spark.createDataFrame(rows.collect(), rows.schema).repartition(n)
+        out = packing.pack(split, JSON, SAME_RANKS, PATTERN, shard_tokens=3_000).select(*columns).collect()
+        got.append(sorted(map(tuple, out), key=str))
+    assert got[0] == got[1]
+    assert len({r[5] >> 32 for r in got[0] if r[7] == "hot"}) > 5  # copies lie in many shards
+
+
+def test_sums_before_equal_plain_sums(spark):
+    rows = [(s, k, (s * 7 + k * 3) % 11) for s in range(200) for k in range(3) if (s + k) % 4]
+    got = packing.sums_before(spark.createDataFrame(rows, "shard int, source int, n int"), ["source"], "n", 200).collect()
+    assert len(got) == len(rows)
+    assert all(r.before == sum(n for s, k, n in rows if k == r.source and s < r.shard) for r in got)
+
+
 def test_mixture_reaches_targets():
     shares = {"a": 0.5, "b": 0.3, "c": 0.2}
     dealt = packing.deal_windows({"a": 500_000, "b": 300_000, "c": 200_000}, shares, {}, 2048, 64)
