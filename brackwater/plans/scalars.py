@@ -9,8 +9,10 @@ from ..functions import geo
 from ..functions import text as s
 from ..operators import casts as op_casts
 from ..operators import ingest as op_ingest
+from ..operators import outlines
 from ..operators import select as op
 from ..sources import tables as t
+from ..sources.shared import written
 from .registry import query
 
 ALIAS_PATHS = "paths as (select scene_id, case scene_key % 4 when 0 then 'Sentinel2/x_' when 1 then 'lt05/s2_' when 2 then 'a/LE07_' else 'b/other_' end || scene_id || '.tif' as path from scenes)"
@@ -154,6 +156,33 @@ def raster_regions(spark, d):
     return op.regions(px).select("row", "col", "value", "region")
 
 
+#: Bits say which of the four pixels around a corner have a value. One or three of them make a corner, two across a corner make two;
+#: a quarter of ones, less threes, and twice those across is the Euler number of the pixels joined by their sides.
+QUADS = """px as (select row, col, (max(green) > 9000)::int as value from pixels group by row, col),
+    quads as (select value, x, y, sum(bit) as bits from (select value, unnest([col, col + 1, col, col + 1]) as x, unnest([row, row, row + 1, row + 1]) as y, unnest([8, 4, 2, 1]) as bit from px) group by value, x, y),
+    kinds as (select value, count(*) filter (where bits in (1, 2, 4, 8)) as ones, count(*) filter (where bits in (7, 11, 13, 14)) as threes, count(*) filter (where bits in (6, 9)) as across from quads group by value),
+    sides as (select p.value, count(*) filter (where q.value is distinct from p.value) as perimeter from (select row, col, value, unnest([0, 0, 1, -1]) as dr, unnest([1, -1, 0, 0]) as dc from px) p
+        left join px q on q.row = p.row + p.dr and q.col = p.col + p.dc group by p.value)"""
+
+
+@query(
+    f"""with {QUADS} select value, (ones - threes + 2 * across) // 4 as euler, ones + threes + 2 * across as corners, perimeter,
+    (select count(*) from px where px.value = kinds.value) as area from kinds join sides using (value)""",
+    "pixels",
+)
+def region_outlines(spark, d):
+    px = t.pixels(spark, d).groupBy("row", "col").agg((F.max("green") > 9000).cast("int").alias("value"))
+    labelled = written(op.regions(px))
+    values = labelled.select("region", "value").distinct()
+    corners = written(outlines.ring_corners(labelled))
+    # Rings are simple, so holes that meet at a corner are two; the Euler number has them as one.
+    twice = corners.groupBy("region", "x", "y").agg(F.count("*").alias("n")).groupBy("region").agg(F.sum(F.col("n") - 1).alias("touching"))
+    signed = F.sum(F.when(F.col("hole"), -1).otherwise(1)).alias("outer_less_holes")
+    found = outlines.rings(corners).groupBy("region").agg(signed, *[F.sum(n).alias(n) for n in ("corners", "perimeter", "area")])
+    whole = found.join(twice, "region").join(values, "region").withColumn("euler", F.col("outer_less_holes") + F.col("touching"))
+    return whole.groupBy("value").agg(*[F.sum(n).alias(n) for n in ("euler", "corners", "perimeter", "area")])
+
+
 @query("select event_id, user_id from events where json_extract_string(props, '$.k')::int < 50 and user_id % 5 = 3 and event_type in ('view', 'click')")
 def json_containment(spark, d):
     """Events whose nested properties hold a list's values, a key with a dot and a null."""
