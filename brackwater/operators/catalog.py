@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import MOST_CURVED, Box, box_around, boxes_meet, geodesic_to_box, km_to_box
 from ..functions.text import contains_json
+from .cells import PAIRS, levels_down_to, met_in_cells
 
 Date = dt.date | str
 
@@ -116,34 +117,28 @@ def _km(place: list[Column], radius_km: float, ellipsoid: bool) -> Column:
     return F.when(exact <= radius_km, exact)
 
 
-def scenes_near_casts(scenes: DataFrame, casts: DataFrame, radius_km: float = 50.0, days: int = 30, cell_deg: float = 1.0, ellipsoid: bool = True) -> DataFrame:
+def scenes_near_casts(scenes: DataFrame, casts: DataFrame, radius_km: float = 50.0, days: int = 30, cell_deg: float = 1.0, ellipsoid: bool = True, pairs: int = PAIRS) -> DataFrame:
     """Active scenes within a distance, along the ellipsoid or a sphere, and so many days of each cast.
 
     Scenes go to every grid cell and month their box, grown by the radius, and their date, widened by the
     days, touch; casts go to their own. The equi-join on cell and month replaces a nested loop, and both
     sides shuffle by it; the exact distance and dates decide what is left. A cast has one cell and month,
-    so a pair comes up once. Returns cast_id, scene_id, sensor, acquisition_date, distance_km.
+    so a pair comes up once. A cell and month with more than so many pairs, as on a coast that everybody samples,
+    is split (operators.cells). Returns cast_id, scene_id, sensor, acquisition_date, distance_km.
     """
     reach_y = radius_km / 110.0
     farthest = F.least(F.greatest(F.abs("miny"), F.abs("maxy")) + reach_y, F.lit(89.0))
     reach_x = F.lit(radius_km / 110.0) / F.cos(F.radians(farthest))
 
-    def cells(low: Column, high: Column) -> Column:
-        return F.explode(F.sequence(F.floor(low / cell_deg), F.floor(high / cell_deg)))
-
     def month(day: Column) -> Column:
         return F.year(day) * 12 + F.month(day)
 
     active = scenes.where(F.col("status") == "active").select("scene_id", "sensor", "acquisition_date", "minx", "miny", "maxx", "maxy")
-    spread = (
-        active.withColumn("cx", cells(F.col("minx") - reach_x, F.col("maxx") + reach_x))
-        .withColumn("cy", cells(F.col("miny") - reach_y, F.col("maxy") + reach_y))
-        .withColumn("cm", F.explode(F.sequence(month(F.date_sub("acquisition_date", days)), month(F.date_add("acquisition_date", days)))))
-    )
-    own = casts.select(
-        "cast_id", "sample_date", "lon", "lat", F.floor(F.col("lon") / cell_deg).alias("cx"), F.floor(F.col("lat") / cell_deg).alias("cy"), month(F.col("sample_date")).alias("cm")
-    )
-    near = spread.join(own, ["cx", "cy", "cm"]).where(F.abs(F.date_diff("acquisition_date", "sample_date")) <= days)
+    spread = active.withColumn("cm", F.explode(F.sequence(month(F.date_sub("acquisition_date", days)), month(F.date_add("acquisition_date", days)))))
+    own = casts.select("cast_id", "sample_date", "lon", "lat", month(F.col("sample_date")).alias("cm"))
+    extent = (F.col("minx") - reach_x, F.col("miny") - reach_y, F.col("maxx") + reach_x, F.col("maxy") + reach_y)
+    met = met_in_cells(own, spread, ["cm"], (F.col("lon"), F.col("lat")), extent, cell_deg, levels_down_to(cell_deg, radius_km / 110.0), pairs)
+    near = met.where(F.abs(F.date_diff("acquisition_date", "sample_date")) <= days)
     distance = _km([F.col(c) for c in ("lon", "lat", "minx", "miny", "maxx", "maxy")], radius_km, ellipsoid)
     return near.withColumn("distance_km", distance).where(F.col("distance_km").isNotNull()).select("cast_id", "scene_id", "sensor", "acquisition_date", "distance_km")
 
