@@ -7,9 +7,15 @@ from functools import cache
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import written
+from .quantiles import percentiles
+
 #: Series up to this length without ties get the exact null distribution of Kendall's statistic.
 EXACT = 33
 
+#: Tasks that the pairs of one long series are dealt to.
+STRIPES = 64
+
 
 def yearly_fraction(masks: DataFrame, keys: list[str], class_value: float = 1.0, year: str = "year", value: str = "value", dense: bool = True) -> DataFrame:
     """Share of values of a class by key and year (A1); missing values count as another class.
@@ -64,19 +70,50 @@ def theil_sen(ys: Column) -> Column:
     return F.when(usable, median(slopes))
 
 
+def sen_slopes(df: DataFrame, keys: list[str], ys: str = "series") -> DataFrame:
+    """keys and slope: theil_sen() for series of any length, one row per key of df.
+
+    The slopes of a series are rows, made one after the other and never listed; the median is selected among them in
+    bounded memory (operators.quantiles). Keys are unique in df; null keys are keys.
+    """
+    col = F.col(ys)
+    usable = ~F.exists(col, lambda y: y.isNull()) & (F.array_max(col) > F.array_min(col))
+    # The places are dealt to STRIPES tasks, each with a copy of the series: one task would make all pairs of a key.
+    dealt = df.where(usable).select(F.struct(*keys).alias("_of"), col.alias("_ys"), F.explode(F.sequence(F.lit(0), F.least(F.lit(STRIPES), F.size(col) - 1) - 1)).alias("_stripe"))
+    places = F.sequence(F.col("_stripe"), F.size("_ys") - 2, F.lit(STRIPES))
+    tasks = max(STRIPES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # by number: the rows are few and small, their pairs are not
+    of = dealt.repartition(tasks, "_of", "_stripe").select("_of", "_ys", F.explode(places).alias("_i"))
+    later = F.sequence(F.col("_i") + 1, F.size("_ys") - 1)
+    slopes = of.select("_of", F.explode(F.transform(later, lambda j: (F.get("_ys", j) - F.get("_ys", F.col("_i"))) / (j - F.col("_i")))).alias("_slope"))
+    found = percentiles(slopes, "_of", ("_slope",), (0.5,)).select("_of", F.col("value").alias("slope"))
+    every = df.select(F.struct(*keys).alias("_key"))
+    return every.join(found, F.col("_key").eqNullSafe(F.col("_of")), "left").select("_key.*", "slope")
+
+
 def kendall_s(ys: Column) -> Column:
-    """Concordant less discordant pairs of a series with its order."""
-    signs = _pairs(ys, lambda a, b, d: F.signum(b - a))
-    return F.aggregate(signs, F.lit(0.0), lambda acc, v: acc + v)
+    """Concordant less discordant pairs of a series with its order. Pairs are added up as they are met, never listed."""
+    n = F.size(ys)
+
+    def with_later(acc: Column, i: Column) -> Column:
+        return acc + F.aggregate(F.sequence(i + 1, n - 1), F.lit(0.0), lambda own, j: own + F.signum(F.get(ys, j) - F.get(ys, i)))
+
+    return F.when(n >= 2, F.aggregate(F.sequence(F.lit(0), n - 2), F.lit(0.0), with_later)).otherwise(0.0)
 
 
 def tie_terms(ys: Column) -> Column:
     """Sum of t (t - 1) (2 t + 5) over the groups of t equal values."""
-    def term(v: Column) -> Column:
-        t = F.size(F.filter(ys, lambda y: y == v))
-        return (t * (t - 1) * (2 * t + 5)).cast("double")
+    def state(value: Column, run: Column, total: Column) -> Column:
+        return F.struct(value.cast("double").alias("value"), run.cast("double").alias("run"), total.cast("double").alias("total"))
+
+    def term(t: Column) -> Column:
+        return t * (t - 1) * (2 * t + 5)
 
-    return F.aggregate(F.transform(F.array_distinct(ys), term), F.lit(0.0), lambda acc, v: acc + v)
+    def step(acc: Column, y: Column) -> Column:  # values come in order: equal ones make a run
+        same = (acc["run"] > 0) & (acc["value"] == y.cast("double"))
+        return state(y, F.when(same, acc["run"] + 1).otherwise(1), F.when(same, acc["total"]).otherwise(acc["total"] + term(acc["run"])))
+
+    zero = F.lit(0.0)
+    return F.aggregate(F.array_sort(ys), state(zero, zero, zero), step, lambda acc: acc["total"] + term(acc["run"]))
 
 
 def erfc(x: Column) -> Column:
@@ -117,17 +154,26 @@ def mann_kendall(df: DataFrame, ys: str = "series", longest: int = EXACT) -> Dat
     n = F.size(col)
     gap = F.exists(col, lambda y: y.isNull())
     out = df.withColumn("s", F.when(~gap, kendall_s(col))).withColumn("_ties", F.when(~gap, tie_terms(col))).withColumn("_size", n)
-    out = out.join(tails, (F.col("_size") == F.col("_n")) & (F.abs("s").cast("int") == F.col("_abs")) & (F.col("_ties") == 0), "left")
-    variance = (F.col("_size") * (F.col("_size") - 1) * (2 * F.col("_size") + 5) - F.col("_ties")) / 18.0
+    out = out.join(tails, (F.col("_size") == F.col("_n")) & (F.abs("s").cast("long") == F.col("_abs")) & (F.col("_ties") == 0), "left")
+    size = F.col("_size").cast("double")  # its third power leaves 32 bits early
+    variance = (size * (size - 1) * (2 * size + 5) - F.col("_ties")) / 18.0
     normal = F.when(variance > 0, erfc(F.abs("s") / F.sqrt(F.when(variance > 0, variance)) / F.sqrt(F.lit(2.0))))
     # Of n! orders one has no pair out of order and n - 1 have one, and the same again from the other end.
-    odd = ((F.col("_size") * (F.col("_size") - 1) / 2 - F.abs("s")) / 2).cast("int")
+    odd = ((size * (size - 1) / 2 - F.abs("s")) / 2).cast("long")
     orders = F.aggregate(F.sequence(F.lit(1), F.col("_size") - odd), F.lit(1.0), lambda acc, k: acc * k)
     ordered = F.when((F.col("_size") > longest) & (F.col("_ties") == 0) & (odd <= 1), 2.0 / orders)
     p = F.least(F.coalesce("_exact", ordered, normal, F.lit(1.0)), F.lit(1.0))
     return out.withColumn("pval", p).drop("_ties", "_size", "_n", "_abs", "_exact")
 
 
+def long_trend(values: DataFrame, keys: list[str], year: str = "year", value: str = "fraction", alpha: float = 0.05) -> DataFrame:
+    """pixel_trend() for series of thousands of values, such as daily ones: no task lists the pairs of a series."""
+    rows = written(series(values, keys, year, value), "series")
+    tested = written(mann_kendall(rows), "tested").select(F.struct(*keys).alias("_key"), F.size("series").alias("n"), "s", "pval", (F.col("pval") < alpha).alias("significant"))
+    slopes = sen_slopes(rows, keys).select(F.struct(*keys).alias("_of"), "slope")
+    return tested.join(slopes, F.col("_key").eqNullSafe(F.col("_of"))).select("_key.*", "n", "s", "slope", "pval", "significant")
+
+
 def pixel_trend(fractions: DataFrame, keys: list[str], year: str = "year", value: str = "fraction", alpha: float = 0.05) -> DataFrame:
     """keys, n, slope, pval and significant of each key's yearly series (A4, A5): one shuffle by key."""
     return _tested(series(fractions, keys, year, value), keys, alpha)

@@ -50,3 +50,21 @@ def mann_kendall(spark, d):
 def pixel_trend(spark, d):
     out = trend.trend_heatmap(t.masks(spark, d), ["pixel"])
     return out.select("pixel", "n", F.round("slope", 9).alias("slope"), F.round("pval", 6).alias("pval"), "significant")
+
+
+#: Daily sums are whole numbers, so that both engines find the same ties.
+DAILY = """f as (select l_linenumber::int as line, l_shipdate::date as day, sum(l_quantity)::double as fraction from lineitem group by all),
+    numbered as (select line as pixel, fraction as y, (row_number() over (partition by line order by day)) as i from f),
+    whole as (select pixel, count(*) as n, 0 as gaps, min(y) as low, max(y) as high from numbered group by pixel),
+    pairs as (select a.pixel, (b.y - a.y) / (b.i - a.i) as slope, sign(b.y - a.y) as s from numbered a join numbered b on a.pixel = b.pixel and a.i < b.i)"""
+
+
+@query(
+    f"""with {DAILY}, {SLOPES}, {KENDALL} select k.pixel as line, k.n::int as n, k.s::double as s, round(slope, 9) as slope, round(pval, 6) as pval, pval < 0.05 as significant
+    from tested k left join slopes using (pixel)"""
+)
+def daily_trend(spark, d):
+    """Trends of what is shipped on each day, by line: series of about 2,500 values."""
+    own = t.read(spark, d, "lineitem").groupBy(F.col("l_linenumber").cast("int").alias("line"), F.col("l_shipdate").cast("date").alias("day")).agg(F.sum("l_quantity").cast("double").alias("fraction"))
+    out = trend.long_trend(own, ["line"], year="day")
+    return out.select("line", "n", "s", F.round("slope", 9).alias("slope"), F.round("pval", 6).alias("pval"), "significant")
