@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from ..functions.geo import KM_PER_DEGREE, Box, boxes_meet, mercator, segment_distance, utm
 from ..functions.sensors import MISSIONS, in_lifetime, mission
 from ..functions.text import period
+from ..sources.shared import written
+from .cells import levels_down_to, met_in_cells
 from .graph import connected
 
 
@@ -181,15 +183,21 @@ def pair_labels(files: DataFrame) -> DataFrame:
 def near_coast(points: DataFrame, segments: DataFrame, buffer_deg: float, cell_deg: float = 0.1) -> DataFrame:
     """points (point_id, lon, lat) with their least distance in degrees to segments (x1, y1, x2, y2), where at most buffer_deg (G8, SRC12).
 
-    Segments go to the cells that their box, grown by the buffer, meets; points to their own.
+    Places and segments that come up more than once are compared once. Segments go to the cells that their box, grown by
+    the buffer, meets; places to their own; crowded cells are split (operators.cells).
     """
-    def cells(low: Column, high: Column) -> Column:
-        return F.explode(F.sequence(F.floor((low - buffer_deg) / cell_deg), F.floor((high + buffer_deg) / cell_deg)))
+    places, lines = written(points.select("lon", "lat").distinct(), "places"), written(segments.select("x1", "y1", "x2", "y2").distinct(), "segments")
+    near = _least_distance(places, lines, ("lon", "lat"), buffer_deg, cell_deg).where(F.col("distance") <= buffer_deg).groupBy("lon", "lat").agg(F.min("distance").alias("distance"))
+    return points.select("point_id", "lon", "lat").join(near, ["lon", "lat"]).groupBy("point_id").agg(F.min("distance").alias("distance"))
 
-    s = segments.withColumn("cx", cells(F.least("x1", "x2"), F.greatest("x1", "x2"))).withColumn("cy", cells(F.least("y1", "y2"), F.greatest("y1", "y2")))
-    p = points.withColumn("cx", F.floor(F.col("lon") / cell_deg)).withColumn("cy", F.floor(F.col("lat") / cell_deg))
-    d = segment_distance(*[F.col(c) for c in ("lon", "lat", "x1", "y1", "x2", "y2")])
-    return p.join(s, ["cx", "cy"]).groupBy("point_id").agg(F.min(d).alias("distance")).where(F.col("distance") <= buffer_deg)
+
+def _least_distance(places: DataFrame, lines: DataFrame, place: tuple[str, str], reach: float, side: float) -> DataFrame:
+    """Places and lines (x1, y1, x2, y2) that a cell brings together, with their distance: all pairs within reach and some more."""
+    x, y = (F.col(c) for c in place)
+    slack = reach + side * 1e-9  # rounding may not part what is just within reach
+    extent = (F.least("x1", "x2") - slack, F.least("y1", "y2") - slack, F.greatest("x1", "x2") + slack, F.greatest("y1", "y2") + slack)
+    met = met_in_cells(places, lines, [], (x, y), extent, side, levels_down_to(side, reach))
+    return met.withColumn("distance", segment_distance(x, y, *[F.col(c) for c in ("x1", "y1", "x2", "y2")]))
 
 
 def in_coastal_band(points: DataFrame, segments: DataFrame, box: Box, buffer_km: float = 2.0, offshore_km: float | None = None, cell_m: float = 5000.0) -> DataFrame:
@@ -211,25 +219,21 @@ def in_coastal_band(points: DataFrame, segments: DataFrame, box: Box, buffer_km:
         F.max(F.greatest("lon1", "lon2")).alias("maxx"), F.max(F.greatest("lat1", "lat2")).alias("maxy"),
     )
     lines = lines.where(boxes_meet((box[0] - margin, box[1] - margin, box[2] + margin, box[3] + margin))).select("line", "_first", "_last", "_closed")
+    open1, open2 = F.col("_closed") | (F.col("seq") > F.col("_first")), F.col("_closed") | (F.col("seq") < F.col("_last"))
+    # Ends of the same degrees and places of the same degrees are one row each from here on.
+    s = segments.join(lines, "line").select("lon1", "lat1", "lon2", "lat2", open1.alias("_round1"), open2.alias("_round2")).distinct()
     (x1, y1), (x2, y2) = utm(F.col("lon1"), F.col("lat1"), zone), utm(F.col("lon2"), F.col("lat2"), zone)
-    s = segments.join(lines, "line").select(
-        x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2"),
-        (F.col("_closed") | (F.col("seq") > F.col("_first"))).alias("_round1"), (F.col("_closed") | (F.col("seq") < F.col("_last"))).alias("_round2"),
-    )
-
-    def cells(a: str, b: str) -> Column:
-        return F.explode(F.sequence(F.floor((F.least(a, b) - reach) / cell_m), F.floor((F.greatest(a, b) + reach) / cell_m)))
-
-    s = s.withColumn("_cx", cells("x1", "x2")).withColumn("_cy", cells("y1", "y2"))
+    s = written(s.select(x1.alias("x1"), y1.alias("y1"), x2.alias("x2"), y2.alias("y2"), "_round1", "_round2"), "segments")
+    within = points.where(F.col("lon").between(box[0], box[2]) & F.col("lat").between(box[1], box[3])).select("point_id", "lon", "lat")
     x, y = utm(F.col("lon"), F.col("lat"), zone)
-    p = points.where(F.col("lon").between(box[0], box[2]) & F.col("lat").between(box[1], box[3])).select("point_id", x.alias("x"), y.alias("y"))
-    p = p.withColumn("_cx", F.floor(F.col("x") / cell_m)).withColumn("_cy", F.floor(F.col("y") / cell_m))
-    met = p.join(s, ["_cx", "_cy"]).withColumn("distance", segment_distance(*[F.col(c) for c in ("x", "y", "x1", "y1", "x2", "y2")]))
+    p = written(within.select("lon", "lat").distinct().withColumns({"x": x, "y": y}), "places")
+    met = _least_distance(p, s, ("x", "y"), reach, cell_m)
     dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
     ahead = (F.col("x") - F.col("x1")) * dx + (F.col("y") - F.col("y1")) * dy
     beside = dx * (F.col("y") - F.col("y1")) - dy * (F.col("x") - F.col("x1"))
     capped = (F.col("_round1") | (ahead >= 0)) & (F.col("_round2") | (ahead <= dx * dx + dy * dy))
-    return met.where(capped & (F.col("distance") <= F.when(beside >= 0, inland).otherwise(offshore))).groupBy("point_id").agg(F.min("distance").alias("distance"))
+    near = met.where(capped & (F.col("distance") <= F.when(beside >= 0, inland).otherwise(offshore))).groupBy("lon", "lat").agg(F.min("distance").alias("distance"))
+    return within.join(near, ["lon", "lat"]).groupBy("point_id").agg(F.min("distance").alias("distance"))
 
 
 def regions(pixels: DataFrame) -> DataFrame:
