@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.shared import written
+
 #: A polygon's rings: array<array<struct<x: double, y: double>>>, first and last places equal.
 RINGS = "array<array<struct<x:double,y:double>>>"
 
@@ -96,29 +98,52 @@ def _meets_box(s: Column, minx: Column, miny: Column, maxx: Column, maxy: Column
     return bounds & (F.least(*side) <= 0) & (F.greatest(*side) >= 0)
 
 
+def _shapes(polygons: DataFrame, key: str, rings: str) -> tuple[DataFrame, DataFrame]:
+    """Shapes (_shape, rings), one for all polygons with the same rings, and the polygons (_area, _shape) that have them. Rows of one key are one polygon."""
+    whole = polygons.where(F.col(rings).isNotNull()).groupBy(F.col(key).alias("_area")).agg(F.sort_array(F.flatten(F.collect_list(rings))).alias("rings"))
+    whole = written(whole, "polygons")
+    shapes = written(whole.groupBy("rings").agg(F.struct(F.min("_area").alias("area")).alias("_shape")), "shapes")
+    return shapes, whole.join(shapes, "rings").select("_area", "_shape")
+
+
 def points_in_polygons(points: DataFrame, polygons: DataFrame, point_key: str, polygon_key: str, x: str = "lon", y: str = "lat", rings: str = "rings", cell_deg: float = 0.05) -> DataFrame:
-    """(point_key, polygon_key) of the points in each polygon, points on its rings included. Null places and polygons without rings match nothing."""
-    own = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(F.col(point_key), F.col(x).alias("_x"), F.col(y).alias("_y"), _cell(F.col(x), cell_deg).alias("cx"), _cell(F.col(y), cell_deg).alias("cy"))
-    met = own.join(cover(polygons, polygon_key, cell_deg, rings), ["cx", "cy"])
-    return met.where(F.col("row").isNull() | inside(F.col("_x"), F.col("_y"), F.col("row"))).select(point_key, F.col("_key").alias(polygon_key))
+    """(point_key, polygon_key) of the points in each polygon, points on its rings included. Null places and polygons without rings match nothing.
+
+    Places and shapes that come up more than once are compared once.
+    """
+    shapes, areas = _shapes(polygons, polygon_key, rings)
+    own = points.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(F.col(point_key).alias("_point"), F.col(x).alias("_x"), F.col(y).alias("_y"))
+    places = own.select("_x", "_y").distinct().withColumns({"cx": _cell(F.col("_x"), cell_deg), "cy": _cell(F.col("_y"), cell_deg)})
+    met = places.join(cover(shapes, "_shape", cell_deg), ["cx", "cy"])
+    hits = met.where(F.col("row").isNull() | inside(F.col("_x"), F.col("_y"), F.col("row"))).select("_x", "_y", F.col("_key").alias("_shape"))
+    hits = written(hits, "hits").join(areas, "_shape").select("_x", "_y", "_area")
+    return own.join(hits, ["_x", "_y"]).select(F.col("_point").alias(point_key), F.col("_area").alias(polygon_key))
 
 
 def boxes_meeting_polygons(
     boxes: DataFrame, polygons: DataFrame, box_key: str, polygon_key: str, box: tuple[str, str, str, str] = ("minx", "miny", "maxx", "maxy"), rings: str = "rings", cell_deg: float = 0.05
 ) -> DataFrame:
-    """(box_key, polygon_key) of the boxes that meet each polygon; touching counts.
+    """(box_key, polygon_key) of the boxes that meet each polygon, each pair once; touching counts.
 
     A box goes to the cells it touches. In an edge cell it meets the polygon if a segment of the row touches
     it, or if the corner of what box and cell share is inside: without a segment, all of that is on one side.
+    Boxes and shapes that come up more than once are compared once. Only keys with several boxes can give a pair twice.
     """
-    minx, miny, maxx, maxy = (F.col(c) for c in box)
-    own = boxes.select(box_key, *[F.col(c).alias(f"_b{i}") for i, c in enumerate(box)], F.explode(F.sequence(_cell(minx, cell_deg), _cell(maxx, cell_deg))).alias("cx"), _cell(miny, cell_deg).alias("_lo"), _cell(maxy, cell_deg).alias("_hi"))
-    own = own.withColumn("cy", F.explode(F.sequence("_lo", "_hi")))
-    met = own.join(cover(polygons, polygon_key, cell_deg, rings), ["cx", "cy"])
-    b = [F.col(f"_b{i}") for i in range(4)]
+    shapes, areas = _shapes(polygons, polygon_key, rings)
+    names = [f"_b{i}" for i in range(4)]
+    b = [F.col(n) for n in names]
+    own = boxes.select(F.col(box_key).alias("_box"), *[F.col(c).alias(n) for c, n in zip(box, names, strict=True)])
+    cells = own.select(*names).distinct().withColumn("cx", F.explode(F.sequence(_cell(b[0], cell_deg), _cell(b[2], cell_deg))))
+    cells = cells.withColumn("cy", F.explode(F.sequence(_cell(b[1], cell_deg), _cell(b[3], cell_deg))))
+    met = cells.join(cover(shapes, "_shape", cell_deg), ["cx", "cy"])
     corner = F.greatest(b[0], F.col("cx") * cell_deg), F.greatest(b[1], F.col("cy") * cell_deg)
     hit = F.col("row").isNull() | F.exists("row", lambda s: _meets_box(s, *b)) | inside(*corner, F.col("row"))
-    return met.where(hit).select(box_key, F.col("_key").alias(polygon_key)).distinct()
+    hits = written(met.where(hit).select(*names, F.col("_key").alias("_shape")).distinct(), "hits").join(areas, "_shape").select(*names, "_area")
+    again = written(own.groupBy("_box").agg(F.count("*").alias("_n")).where("_n > 1").select(F.col("_box").alias("_again"), F.lit(True).alias("_several")), "again")
+    if again.isEmpty():
+        return own.join(hits, names).select(F.col("_box").alias(box_key), F.col("_area").alias(polygon_key))
+    out = own.join(again, F.col("_box").eqNullSafe(F.col("_again")), "left").join(hits, names).select(F.col("_box").alias(box_key), F.col("_area").alias(polygon_key), "_several")
+    return out.where("_several is null").union(out.where("_several").distinct()).drop("_several")
 
 
 def scenes_in_polygon(scenes: DataFrame, wkt: str, cell_deg: float = 0.05) -> DataFrame:

@@ -54,3 +54,25 @@ def test_coastal_band_compares_a_place_once(spark, pairs):
     got = select.in_coastal_band(points, spark.createDataFrame(segments, "line int, seq int, lon1 double, lat1 double, lon2 double, lat2 double"), (-77.0, 37.0, -75.0, 39.0)).collect()
     assert len({r.point_id for r in got}) == len(got) == 600 and all(r.distance == pytest.approx(1110, abs=5) for r in got)
     assert 0 < seen[0] <= 3 * 2
+
+
+def test_polygons_compare_a_shape_and_a_place_once(spark, monkeypatch):
+    """Forty polygons of four shapes, one of them in two rows; points and boxes at few places; a box key with two boxes gives a pair once."""
+    square = lambda x, y, n: [(x, y), (x + n, y), (x + n, y + n), (x, y + n), (x, y)]
+    shapes = [[square(0.0, 0.0, 1.0)], [square(0.0, 0.0, 2.0), square(0.5, 0.5, 1.0)], [square(5.0, 5.0, 1.0)], [square(0.0, 0.0, 1.0), square(5.0, 5.0, 1.0)]]
+    rows = [(i, shapes[i % 4]) for i in range(40) if i % 4 != 3] + [(i, [r]) for i in range(40) if i % 4 == 3 for r in shapes[3]]
+    areas = spark.createDataFrame(rows, f"area int, rings {polygons.RINGS}")
+    covered, whole = [], polygons.cover
+    monkeypatch.setattr(polygons, "cover", lambda df, *a: covered.append(df.count()) or whole(df, *a))
+    places = [(0.25, 0.25), (1.0, 1.0), (1.75, 0.25), (5.5, 5.5), (9.0, 9.0)]
+    inside = [{0, 1, 3}, {0, 3}, {1}, {2, 3}, set()]
+    points = spark.createDataFrame([(i, *places[i % 5]) for i in range(50)] + [(0, *places[0])], "id int, lon double, lat double")
+    got = sorted(map(tuple, polygons.points_in_polygons(points, areas, "id", "area", cell_deg=0.3).collect()))
+    assert got == sorted((i, a) for i in [*range(50), 0] for a in range(40) if a % 4 in inside[i % 5])
+    boxes = [(i, x - 0.125, y - 0.125, x + 0.125, y + 0.125) for i, (x, y) in ((i, places[i % 5]) for i in range(50))]
+    met = [{0, 1, 3}, {0, 3}, {1}, {2, 3}, set()]  # the second place is a corner of shape 0 within the hole of shape 1
+    for more, want in ((boxes, met), (boxes + boxes[:3] + [(0, 5.25, 5.25, 5.5, 5.5)], met)):
+        found = sorted(map(tuple, polygons.boxes_meeting_polygons(spark.createDataFrame(more, "id int, minx double, miny double, maxx double, maxy double"), areas, "id", "area", cell_deg=0.3).collect()))
+        extra = {(0, a) for a in range(40) if a % 4 == 2} if more is not boxes else set()
+        assert found == sorted({(i, a) for i in range(50) for a in range(40) if a % 4 in want[i % 5]} | extra)
+    assert covered == [4, 4, 4]
