@@ -76,3 +76,12 @@ def test_polygons_compare_a_shape_and_a_place_once(spark, monkeypatch):
         extra = {(0, a) for a in range(40) if a % 4 == 2} if more is not boxes else set()
         assert found == sorted({(i, a) for i in range(50) for a in range(40) if a % 4 in want[i % 5]} | extra)
     assert covered == [4, 4, 4]
+
+
+def test_raster_round_trip_holds_all_scenes(spark):
+    from brackwater.plans import registry
+    from brackwater.sources import tables
+
+    sf = "/root/testdata/sf0.001"
+    got = {r.scene: r.pixels for r in registry.QUERIES["raster_round_trip"](spark, sf).collect()}
+    assert got == {r.scene: r["count"] for r in tables.pixels(spark, sf).groupBy("scene").count().collect()}
