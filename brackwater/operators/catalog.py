@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import MOST_CURVED, Box, box_around, boxes_meet, geodesic_to_box, km_to_box
 from ..functions.text import contains_json
+from ..sources.shared import written
 from .cells import PAIRS, levels_down_to, met_in_cells
 
 Date = dt.date | str
@@ -113,10 +114,15 @@ def _km(place: list[Column], radius_km: float, ellipsoid: bool) -> Column:
     sphere = km_to_box(*place)
     if not ellipsoid:
         return F.when(sphere <= radius_km, sphere)
-    exact = F.when(sphere <= radius_km / MOST_CURVED * (1 + 1e-9), geodesic_to_box(*place))
+    exact = F.when(_may_reach(sphere, radius_km), geodesic_to_box(*place))
     return F.when(exact <= radius_km, exact)
 
 
+def _may_reach(sphere: Column, radius_km: float) -> Column:
+    """Whether a distance along the ellipsoid can be within the radius, by the one on the sphere."""
+    return sphere <= radius_km / MOST_CURVED * (1 + 1e-9)
+
+
 def scenes_near_casts(scenes: DataFrame, casts: DataFrame, radius_km: float = 50.0, days: int = 30, cell_deg: float = 1.0, ellipsoid: bool = True, pairs: int = PAIRS) -> DataFrame:
     """Active scenes within a distance, along the ellipsoid or a sphere, and so many days of each cast.
 
@@ -124,23 +130,35 @@ def scenes_near_casts(scenes: DataFrame, casts: DataFrame, radius_km: float = 50
     days, touch; casts go to their own. The equi-join on cell and month replaces a nested loop, and both
     sides shuffle by it; the exact distance and dates decide what is left. A cast has one cell and month,
     so a pair comes up once. A cell and month with more than so many pairs, as on a coast that everybody samples,
-    is split (operators.cells). Returns cast_id, scene_id, sensor, acquisition_date, distance_km.
+    is split (operators.cells). Casts of one place and date are one row until then, and so are scenes of one box and date:
+    the pairs found are joined with both. The distance along the ellipsoid is computed once for a place and a box.
+    Returns cast_id, scene_id, sensor, acquisition_date, distance_km.
     """
     reach_y = radius_km / 110.0
     farthest = F.least(F.greatest(F.abs("miny"), F.abs("maxy")) + reach_y, F.lit(89.0))
     reach_x = F.lit(radius_km / 110.0) / F.cos(F.radians(farthest))
+    cast, box = ["lon", "lat"], ["minx", "miny", "maxx", "maxy"]
 
     def month(day: Column) -> Column:
         return F.year(day) * 12 + F.month(day)
 
-    active = scenes.where(F.col("status") == "active").select("scene_id", "sensor", "acquisition_date", "minx", "miny", "maxx", "maxy")
-    spread = active.withColumn("cm", F.explode(F.sequence(month(F.date_sub("acquisition_date", days)), month(F.date_add("acquisition_date", days)))))
-    own = casts.select("cast_id", "sample_date", "lon", "lat", month(F.col("sample_date")).alias("cm"))
+    active = scenes.where(F.col("status") == "active").select("scene_id", "sensor", "acquisition_date", *box)
+    spread = written(active.select("acquisition_date", *box).distinct(), "boxes")
+    spread = spread.withColumn("cm", F.explode(F.sequence(month(F.date_sub("acquisition_date", days)), month(F.date_add("acquisition_date", days)))))
+    own = written(casts.select("sample_date", *cast).distinct(), "places").withColumn("cm", month(F.col("sample_date")))
     extent = (F.col("minx") - reach_x, F.col("miny") - reach_y, F.col("maxx") + reach_x, F.col("maxy") + reach_y)
     met = met_in_cells(own, spread, ["cm"], (F.col("lon"), F.col("lat")), extent, cell_deg, levels_down_to(cell_deg, radius_km / 110.0), pairs)
-    near = met.where(F.abs(F.date_diff("acquisition_date", "sample_date")) <= days)
-    distance = _km([F.col(c) for c in ("lon", "lat", "minx", "miny", "maxx", "maxy")], radius_km, ellipsoid)
-    return near.withColumn("distance_km", distance).where(F.col("distance_km").isNotNull()).select("cast_id", "scene_id", "sensor", "acquisition_date", "distance_km")
+    near = met.where(F.abs(F.date_diff("acquisition_date", "sample_date")) <= days).select("sample_date", "acquisition_date", *cast, *box)
+    ends = [F.col(c) for c in (*cast, *box)]
+    if ellipsoid:
+        near = written(near.where(_may_reach(km_to_box(*ends), radius_km)), "near")
+        far = written(near.select(*cast, *box).distinct(), "ends")
+        far = written(far.withColumn("distance_km", geodesic_to_box(*ends)), "distances")  # written, so that nothing asks for it twice
+        near = near.join(far.where(F.col("distance_km") <= radius_km), [*cast, *box])
+    else:
+        near = near.withColumn("distance_km", _km(ends, radius_km, ellipsoid)).where(F.col("distance_km").isNotNull())
+    found = active.join(near, ["acquisition_date", *box]).select("scene_id", "sensor", "acquisition_date", "sample_date", *cast, "distance_km")
+    return casts.select("cast_id", "sample_date", *cast).join(found, ["sample_date", *cast]).select("cast_id", "scene_id", "sensor", "acquisition_date", "distance_km")
 
 
 def scenes_near_cast(scenes: DataFrame, casts: DataFrame, cast: str, radius_km: float = 50.0, days: int = 30, ellipsoid: bool = True) -> DataFrame:

@@ -85,3 +85,24 @@ def test_raster_round_trip_holds_all_scenes(spark):
     sf = "/root/testdata/sf0.001"
     got = {r.scene: r.pixels for r in registry.QUERIES["raster_round_trip"](spark, sf).collect()}
     assert got == {r.scene: r["count"] for r in tables.pixels(spark, sf).groupBy("scene").count().collect()}
+
+
+@pytest.mark.parametrize("ellipsoid", [False, True])
+def test_scenes_near_casts_compare_a_place_and_date_once(spark, pairs, ellipsoid):
+    day = dt.date(2020, 5, 20)
+    casts = [(f"c{i}", day + dt.timedelta(i % 2), 10.0 + 0.3 * (i % 3), 20.0) for i in range(300)]
+    scenes = [(f"s{j}", "landsat-5", day + dt.timedelta(j % 4 * 3), "active" if j % 5 else "archived", 10.0 + 0.2 * (j % 2), 20.1, 10.1 + 0.2 * (j % 2), 20.2) for j in range(200)]
+    seen = pairs(catalog)
+    got = catalog.scenes_near_casts(
+        spark.createDataFrame(scenes, "scene_id string, sensor string, acquisition_date date, status string, minx double, miny double, maxx double, maxy double"),
+        spark.createDataFrame(casts, "cast_id string, sample_date date, lon double, lat double"), 20.0, 5, ellipsoid=ellipsoid,
+    ).collect()
+    def km(c, s):
+        x, y = min(max(c[2], s[4]), s[6]), min(max(c[3], s[5]), s[7])
+        h = math.sin(math.radians(y - c[3]) / 2) ** 2 + math.cos(math.radians(y)) * math.cos(math.radians(c[3])) * math.sin(math.radians(x - c[2]) / 2) ** 2
+        return 2 * 6371.0088 * math.asin(math.sqrt(h))
+
+    want = {(c[0], s[0]): km(c, s) for c in casts for s in scenes if s[3] == "active" and abs((c[1] - s[2]).days) <= 5 and km(c, s) <= 20.0}
+    assert len(got) == len(want) > 1000
+    assert {(r.cast_id, r.scene_id): r.distance_km for r in got} == pytest.approx(want, rel=0.006)
+    assert 0 < seen[0] <= 6 * 8 * 2
