@@ -31,32 +31,51 @@ def month_number(day: Column) -> Column:
     return F.year(day) * 12 + F.month(day)
 
 
-def scenes_for_points(points: DataFrame, meta: DataFrame, buffer_km: float, days_before: int, days_after: int, max_cloud: float | None = None) -> DataFrame:
-    """Scenes whose footprint meets the box around a point and whose date lies in the window of its date.
+#: What of a point decides which scenes are found for it.
+PLACE = ["sensor", "lat", "lon", "date"]
 
-    points: point_id, lat, lon, date, sensor. The join is on sensor, one-degree cell and month; boxes and
-    dates decide what is left, and a pair that meets in several cells comes up in the first only.
-    """
+
+def _scenes_for_places(points: DataFrame, meta: DataFrame, buffer_km: float, days_before: int, days_after: int) -> DataFrame:
+    """scenes_for_points() for the distinct places, dates and sensors of points, without point_id."""
     reach = buffer_km / KM_PER_DEGREE
-    p = points.select(
-        "point_id", "sensor", "date", F.explode(F.sequence(F.floor(F.col("lon") - reach), F.floor(F.col("lon") + reach))).alias("cx"), "lat", "lon"
-    )
-    p = p.withColumn("cy", F.explode(F.sequence(F.floor(F.col("lat") - reach), F.floor(F.col("lat") + reach))))
+    p = written(points.select(*PLACE).distinct(), "places")
     p = p.withColumn("cm", F.explode(F.sequence(month_number(F.date_sub("date", days_before)), month_number(F.date_add("date", days_after)))))
-    kept = meta.where(F.col("cloud") <= max_cloud) if max_cloud else meta
-    s = kept.withColumn("cx", F.explode(F.sequence(F.floor("minx"), F.floor("maxx")))).withColumn("cy", F.explode(F.sequence(F.floor("miny"), F.floor("maxy"))))
-    s = s.withColumn("cm", month_number(F.col("date"))).withColumnRenamed("date", "scene_date")
-    met = p.join(s, ["sensor", "cx", "cy", "cm"])
+    s = meta.withColumn("cm", month_number(F.col("date"))).withColumnRenamed("date", "scene_date")
+    slack = reach + 1e-9  # rounding may not part what just touches
+    extent = (F.col("minx") - slack, F.col("miny") - slack, F.col("maxx") + slack, F.col("maxy") + slack)
+    met = met_in_cells(p, s, ["sensor", "cm"], (F.col("lon"), F.col("lat")), extent, 1.0, levels_down_to(1.0, max(reach, 0.05)))
     near = (F.col("minx") <= F.col("lon") + reach) & (F.col("maxx") >= F.col("lon") - reach) & (F.col("miny") <= F.col("lat") + reach) & (F.col("maxy") >= F.col("lat") - reach)
-    first = (F.col("cx") == F.greatest(F.floor("minx"), F.floor(F.col("lon") - reach))) & (F.col("cy") == F.greatest(F.floor("miny"), F.floor(F.col("lat") - reach)))
     dates = F.col("scene_date").between(F.date_sub("date", days_before), F.date_add("date", days_after))
-    return met.where(near & first & dates).drop("cx", "cy", "cm")
+    return met.where(near & dates).drop("cm")
+
+
+def scenes_for_points(points: DataFrame, meta: DataFrame, buffer_km: float, days_before: int, days_after: int, max_cloud: float | None = None) -> DataFrame:
+    """Scenes whose footprint meets the box around a point and whose date lies in the window of its date.
+
+    points: point_id, lat, lon, date, sensor. The join is on sensor, cell and month; boxes and dates decide what is
+    left. A point lies in one cell, so a pair comes up once; crowded cells are split (operators.cells). Points of the same
+    place, date and sensor are looked up once.
+    """
+    kept = meta.where(F.col("cloud") <= max_cloud) if max_cloud else meta
+    return points.select("point_id", *PLACE).join(_scenes_for_places(points, kept, buffer_km, days_before, days_after), PLACE)
+
+
+def _best_for_points(points: DataFrame, meta: DataFrame, buffer_km: float, days_before: int, days_after: int, max_cloud: float | None = None, samples: int = 1) -> DataFrame:
+    """point_id and sensor with the best scenes (scene_id, cloud, scene_date, rank) of scenes_for_points().
+
+    Of scenes with the same box, date and sensor only the best are looked at, as the same points meet them.
+    """
+    kept = meta.where(F.col("cloud") <= max_cloud) if max_cloud else meta
+    kept = best_scenes(kept, ["sensor", "date", "minx", "miny", "maxx", "maxy"], samples).select("scene_id", "sensor", "date", "cloud", "time_ms", "minx", "miny", "maxx", "maxy")
+    found = best_scenes(_scenes_for_places(points, written(kept, "kept"), buffer_km, days_before, days_after), PLACE, samples).drop("rank")
+    # A point_id that comes up at several places has the best of all of them.
+    return best_scenes(points.select("point_id", *PLACE).join(found, PLACE), ["point_id", "sensor"], samples).select("point_id", "sensor", "scene_id", "cloud", "scene_date", "rank")
 
 
 def pick_for_points(points: DataFrame, meta: DataFrame, buffer_km: float = 1.0, days_before: int = 7, days_after: int = 7, max_cloud: float | None = 30.0, samples: int = 1) -> DataFrame:
     """points with the scenes picked for them; points without a scene stay, with nulls."""
-    picked = best_scenes(scenes_for_points(points, meta, buffer_km, days_before, days_after, max_cloud), ["point_id", "sensor"], samples)
-    return points.join(picked.select("point_id", "sensor", "scene_id", "cloud", "scene_date", "rank"), ["point_id", "sensor"], "left")
+    picked = _best_for_points(points, meta, buffer_km, days_before, days_after, max_cloud, samples)
+    return points.join(picked, ["point_id", "sensor"], "left")
 
 
 def nearest_year(labels: DataFrame, wanted: DataFrame, year: str = "year", order: str = "position") -> DataFrame:
@@ -142,8 +161,9 @@ def coverage(clustered: DataFrame, meta: DataFrame, missions: list[str], buffer_
     rep = clustered.groupBy("cluster_key").agg(F.min_by(F.struct("lat", "lon", "date"), key).alias("r"))
     asked = rep.select(F.col("cluster_key").alias("point_id"), "r.*", F.posexplode(F.array(*[F.lit(m) for m in missions])).alias("place", "sensor"))
     asked = asked.where(in_lifetime(F.col("sensor"), F.col("date")))
-    hit = scenes_for_points(asked.drop("place"), meta, buffer_km, days_before, days_after).select("point_id", "sensor").distinct()
-    lists = asked.join(hit, ["point_id", "sensor"]).groupBy("point_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "sensor"))), lambda s: s["sensor"]).alias("covered_by"))
+    asked = written(asked, "asked")
+    hit = _scenes_for_places(asked, meta, buffer_km, days_before, days_after).select(*PLACE).distinct()
+    lists = asked.join(hit, PLACE).groupBy("point_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "sensor"))), lambda s: s["sensor"]).alias("covered_by"))
     out = clustered.join(lists.withColumnRenamed("point_id", "cluster_key"), "cluster_key", "left")
     return out.withColumn("covered_by", F.coalesce("covered_by", F.array().cast("array<string>")))
 
@@ -151,7 +171,8 @@ def coverage(clustered: DataFrame, meta: DataFrame, missions: list[str], buffer_
 def cluster_downloads(covered: DataFrame, meta: DataFrame, buffer_km: float = 0.1, max_cloud: float = 20.0, days: int = 7, key: str = "point_id") -> DataFrame:
     """One scene per mission and cluster, found for the cluster's first point that has one; all its rows share it."""
     asked = covered.where(F.size("covered_by") > 0).select(key, "cluster_key", "lat", "lon", "date", F.explode("covered_by").alias("sensor"))
-    found = best_scenes(scenes_for_points(asked.withColumn("point_id", F.col(key)).select("point_id", "lat", "lon", "date", "sensor"), meta, buffer_km, days, days, max_cloud), ["point_id", "sensor"])
+    asked = written(asked, "asked")
+    found = _best_for_points(asked.withColumn("point_id", F.col(key)), meta, buffer_km, days, days, max_cloud)
     own = asked.join(found.select(F.col("point_id").alias(key), "sensor", "scene_id"), [key, "sensor"])
     first = own.groupBy("sensor", "cluster_key").agg(F.min_by("scene_id", key).alias("scene_id"))
     return asked.select(key, "cluster_key", "sensor").join(first, ["sensor", "cluster_key"])

@@ -106,3 +106,25 @@ def test_scenes_near_casts_compare_a_place_and_date_once(spark, pairs, ellipsoid
     assert len(got) == len(want) > 1000
     assert {(r.cast_id, r.scene_id): r.distance_km for r in got} == pytest.approx(want, rel=0.006)
     assert 0 < seen[0] <= 6 * 8 * 2
+
+
+def test_points_pick_from_distinct_places_and_boxes(spark, pairs):
+    """Against plain loops; a point_id at two places has the best of both, a point without a scene stays."""
+    rng = random.Random(3)
+    day = dt.date(2020, 5, 20)
+    boxes = [(10.0 + 0.1 * k, 20.0 + 0.05 * k) for k in range(6)]
+    meta = [(f"s{j:03}", "landsat-5" if j % 3 else "landsat-7", day + dt.timedelta(j % 9), float(rng.randint(0, 9)), j % 7, *boxes[j % 6], boxes[j % 6][0] + 0.1, boxes[j % 6][1] + 0.1) for j in range(240)]
+    points = [(i % 290, 20.05 + 0.05 * (i % 5), 10.05 + 0.1 * (i % 4), day + dt.timedelta(i % 2), "landsat-5") for i in range(300)] + [(999, None, 10.0, day, "landsat-5"), (998, 50.0, 10.0, day, "landsat-5")]
+    seen = pairs(select)
+    p = spark.createDataFrame(points, "point_id int, lat double, lon double, date date, sensor string")
+    m = spark.createDataFrame(meta, "scene_id string, sensor string, date date, cloud double, time_ms int, minx double, miny double, maxx double, maxy double")
+    got = select.pick_for_points(p, m, 1.0, 2, 3, 8.0, samples=2).collect()
+    r = 1.0 / 111.0
+    want = []
+    for point in points:
+        own = [q for q in points if q[0] == point[0]]
+        met = sorted((s[3], -s[4], s[0]) for _, lat, lon, date, sensor in own if lat is not None for s in meta if s[1] == sensor and s[3] <= 8.0 and -2 <= (s[2] - date).days <= 3 and s[5] <= lon + r and s[7] >= lon - r and s[6] <= lat + r and s[8] >= lat - r)
+        want += [(point[0], s[2], s[0]) for s in met[:2]] or [(point[0], None, None)]
+    key = lambda row: tuple(map(str, row))
+    assert sorted(((g.point_id, g.scene_id, g.cloud) for g in got), key=key) == sorted(want, key=key)
+    assert 0 < seen[0] <= 20 * 9 * 6 * 2
