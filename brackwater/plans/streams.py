@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.shared import shared_folder
+from ..sources.shared import shared_path
 from ..sources.tables import pick, read
 from ..streaming import events, upserts
 from . import ingest
@@ -28,16 +28,20 @@ def _envelopes(rows: DataFrame) -> DataFrame:
     return rows.select(F.struct(F.base64(body.cast("binary")).alias("data"), key.cast("string").alias("messageId"), F.lit(None).cast("string").alias("publishTime")).alias("message"), F.lit("s").alias("subscription"))
 
 
-def _drained(out: DataFrame, mode: str = "append") -> DataFrame:
-    """All rows that a stream yields, by way of the shared folder."""
-    spark = out.sparkSession
-    path = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+def _run(out: DataFrame, mode: str, path: str) -> None:
+    """Runs a stream until all input is read; its rows are added below path, where its checkpoint is as well."""
 
     def keep(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite" if mode == "complete" else "append").parquet(f"{path}/rows")
 
     out.writeStream.foreachBatch(keep).outputMode(mode).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.schema(out.schema).parquet(f"{path}/rows")
+
+
+def _drained(out: DataFrame, mode: str = "append") -> DataFrame:
+    """All rows that a stream yields, by way of the shared folder."""
+    path = shared_path(out.sparkSession, "stream")
+    _run(out, mode, path)
+    return out.sparkSession.read.schema(out.schema).parquet(f"{path}/rows")
 
 
 @query(f"with {CODED} select event_id::varchar as message_id, scene_id, sensor, case when sensor = 'zeppelin' then 'sensor' end as error from coded")
@@ -61,19 +65,21 @@ def stream_windowed_counts(spark, d):
     return _drained(counted, "complete").select(F.col("window.start").cast("timestamp_ntz").alias("start"), "event_type", "n")
 
 
-def _batches(rows: DataFrame, part, parts: int) -> DataFrame:
-    """rows as a stream that comes in batches by the number in part: a file each, read one at a time, oldest first."""
-    spark, folder = rows.sparkSession, f"{shared_folder(rows.sparkSession)}/log-{uuid.uuid4().hex}"
+def _in_batches(rows: DataFrame, part: Column, parts: int, changes: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """All change rows of a stream that gets rows in batches by the number in part: it is started anew from its checkpoint for each, which may be of any number of files."""
+    spark = rows.sparkSession
+    folder, path = shared_path(spark, "log"), shared_path(spark, "stream")
     for i in range(parts):
-        rows.where(part == i).coalesce(1).write.mode("append").parquet(folder)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        rows.where(part == i).write.mode("append").parquet(folder)
+        out = changes(spark.readStream.schema(rows.schema).parquet(folder))
+        _run(out, "update", path)
+    return spark.read.schema(out.schema).parquet(f"{path}/rows")
 
 
 @query(ORACLE_SQL["scene_upsert_replay"])
 def stream_scene_upserts(spark, d):
     """The upserts of scene_upsert_replay in three batches by line: the last change of each scene is its state."""
-    log = _batches(ingest._log(spark, d), F.least(F.floor((F.floor(F.col("seq") / 100_000_000_000) - 1) / 3), F.lit(2)), 3)
-    changes = _drained(upserts.scene_changes(log), "update")
+    changes = _in_batches(ingest._log(spark, d), F.least(F.floor((F.floor(F.col("seq") / 100_000_000_000) - 1) / 3), F.lit(2)), 3, upserts.scene_changes)
     last = changes.groupBy("scene_id").agg(F.max_by(F.struct("sensor", "acquisition_date", "file_hash", "status", "version_no"), "seq").alias("s"))
     return last.select("scene_id", "s.*")
 
@@ -82,6 +88,6 @@ def stream_scene_upserts(spark, d):
 def stream_run_states(spark, d):
     """The events of run_log_latest in four batches that are not in order: the last change of each run is its state."""
     log = ingest.run_log(spark, d)
-    changes = _drained(upserts.run_changes(_batches(log, F.pmod(F.floor(F.col("seq") / 1000) * 3, F.lit(4)), 4)), "update")
+    changes = _in_batches(log, F.pmod(F.floor(F.col("seq") / 1000) * 3, F.lit(4)), 4, upserts.run_changes)
     last = changes.groupBy("product_id").agg(F.max_by(F.struct("status", F.col("output_paths").alias("last_seq"), "error_message"), "seq").alias("s"))
     return last.select("product_id", "s.*")

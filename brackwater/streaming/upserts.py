@@ -28,49 +28,58 @@ def _fields(schema: T.StructType, *names: str) -> T.StructType:
     return T.StructType([schema[n] for n in names if n in schema.names])
 
 
+#: Groups that scenes are dealt into by a hash. Python is called and state is read once for a group and batch, not for every scene.
+GROUPS = 1 << 12
+
+
 class SceneVersions(StatefulProcessor):
-    """The upserts of a scene, in order within a batch, onto its state."""
+    """The upserts of a group of scenes, in order within a batch, onto their state."""
 
     def __init__(self, first: T.StructType, last: T.StructType, order: str):
         self.first, self.last, self.order = first, last, order
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        kept = T.StructType([T.StructField("seq", T.LongType()), T.StructField("version", T.LongType()), *self.first.fields, *self.last.fields])
-        self.state = handle.getValueState("scene", kept)
+        scene = T.StructType([T.StructField("scene_id", T.StringType()), T.StructField("seq", T.LongType()), T.StructField("version", T.LongType()), *self.first.fields, *self.last.fields])
+        self.state = handle.getValueState("scenes", T.StructType([T.StructField("scenes", T.ArrayType(scene))]))
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         found = self.state.get()
-        state = list(found) if found else None
-        hash_at = 2 + len(self.first) + self.last.names.index("file_hash")
-        late = applied = 0
+        states = {scene[0]: list(scene[1:]) for scene in found[0]} if found else {}
+        hash_at, last_at = 2 + len(self.first) + self.last.names.index("file_hash"), 2 + len(self.first)
+        counts: dict[str, list[int]] = {}
         for row in sorted(rows, key=lambda r: r[self.order]):
+            scene = row["scene_id"]
+            state, count = states.get(scene), counts.setdefault(scene, [0, 0])
             if state is None:
-                state = [row[self.order], 1, *[row[n] for n in (*self.first.names, *self.last.names)]]
+                states[scene] = [row[self.order], 1, *[row[n] for n in (*self.first.names, *self.last.names)]]
             elif row[self.order] <= state[0]:
-                late += 1
+                count[1] += 1
                 continue
             else:
                 before, now = state[hash_at], row["file_hash"]
                 state[0], state[1] = row[self.order], state[1] + (before is not None and now is not None and before != now)
-                state[2 + len(self.first) :] = [row[n] for n in self.last.names]
-            applied += 1
-        if applied:
-            self.state.update(tuple(state))
-        out = ("scene_id", *self.first.names, *self.last.names, "status", "version_no", "seq", "applied", "late")
-        yield Row(*out)(key[0], *state[2:], "active", int(state[1]), int(state[0]), applied, late)
+                state[last_at:] = [row[n] for n in self.last.names]
+            count[0] += 1
+        if any(applied for applied, _ in counts.values()):
+            self.state.update(([(scene, *state) for scene, state in states.items()],))
+        out = Row("scene_id", *self.first.names, *self.last.names, "status", "version_no", "seq", "applied", "late")
+        for scene, (applied, late) in counts.items():
+            state = states[scene]
+            yield out(scene, *state[2:], "active", int(state[1]), int(state[0]), applied, late)
 
     def close(self) -> None:
         pass
 
 
-def scene_changes(log: DataFrame, order: str = "seq") -> DataFrame:
+def scene_changes(log: DataFrame, order: str = "seq", groups: int = GROUPS) -> DataFrame:
     """A stream of upserts to a stream of changed scenes (SNK1): as ingest.replay_scenes(), with seq (the last event applied), applied and late.
 
     The first upsert sets place, date, sensor, bands and crs, the last one files, hash and ingest time; the version
     grows at every hash that differs from the one before, unless one of them is null. Upserts of a scene must come in
     order over batches; within a batch they are sorted. One that is not behind the last applied is a repeat or late:
-    it changes nothing and is counted in late. A batch holds a scene's rows of that batch at a time, so bound a
-    batch by files per trigger. A null order or scene_id is refused by leaving the row out.
+    it changes nothing and is counted in late. Scenes are dealt into groups by a hash; a batch holds a group's rows of that batch
+    and the state of its scenes at a time, so bound a batch by files per trigger. The number of groups must stay as it is
+    for a checkpoint. A null order or scene_id is refused by leaving the row out.
     """
     keep_state_on_disk(log.sparkSession)
     rows = log.where(F.col("scene_id").isNotNull() & F.col(order).isNotNull()).withColumn(order, F.col(order).cast("long"))
@@ -78,7 +87,8 @@ def scene_changes(log: DataFrame, order: str = "seq") -> DataFrame:
     last = _fields(rows.schema, "file_locations", "file_hash", "ingest_timestamp")
     out = T.StructType([rows.schema["scene_id"], *first.fields, *last.fields])
     out = out.add("status", "string").add("version_no", "long").add("seq", "long").add("applied", "long").add("late", "long")
-    return rows.groupBy("scene_id").transformWithState(SceneVersions(first, last, order), out, "Update", "None")
+    dealt = rows.select(F.pmod(F.xxhash64("scene_id"), F.lit(groups)).alias("_group"), "scene_id", order, *first.names, *last.names)
+    return dealt.groupBy("_group").transformWithState(SceneVersions(first, last, order), out, "Update", "None")
 
 
 class RunStates(StatefulProcessor):
