@@ -21,8 +21,8 @@ def _stream(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _envelopes(rows: DataFrame) -> DataFrame:
-    """Push envelopes; a quarter names an unknown sensor."""
-    key = F.col("event_id")
+    """Push envelopes; a quarter names an unknown sensor. They are parsed row by row, so a file of one split is dealt to all cores."""
+    rows, key = rows.repartition(rows.sparkSession.sparkContext.defaultParallelism), F.col("event_id")
     sensor = pick(F.pmod(key, F.lit(4)), "landsat-5", "landsat-7", "sentinel-2", "zeppelin")
     body = F.to_json(F.struct(F.concat(F.lit("S"), (key % 300).cast("string")).alias("scene_id"), sensor.alias("sensor"), F.lit("2000-01-01").alias("acquisition_date")))
     return rows.select(F.struct(F.base64(body.cast("binary")).alias("data"), key.cast("string").alias("messageId"), F.lit(None).cast("string").alias("publishTime")).alias("message"), F.lit("s").alias("subscription"))

@@ -132,6 +132,26 @@ def run_changes(log: DataFrame, order: str = "seq") -> DataFrame:
     return rows.groupBy("product_id").transformWithState(RunStates(s, order), out, "Update", "None")
 
 
+def _foremost(batches: Iterator) -> Iterator:
+    """Of each Arrow batch, a run's first request by message_id and its last log row by seq: no other row decides anything in Claims."""
+    import pyarrow as pa
+
+    for batch in batches:
+        runs, status, message, seq = (batch.column(c).to_pylist() for c in ("product_id", "status", "message_id", "seq"))
+        asked: dict = {}
+        seen: dict = {}
+        for i, run in enumerate(runs):
+            if status[i] is None:
+                j = asked.setdefault(run, i)
+                if message[i] is not None and (message[j] is None or message[i] < message[j]):
+                    asked[run] = i
+            else:
+                j = seen.setdefault(run, i)
+                if seq[i] is not None and (seq[j] is None or seq[i] > seq[j]):
+                    seen[run] = i
+        yield batch.take(pa.array(sorted([*asked.values(), *seen.values()]), pa.int64()))
+
+
 class Claims(StatefulProcessor):
     """Requests of a run and what became of it: a request goes through unless the run is complete or in someone's hands."""
 
@@ -167,4 +187,5 @@ def claimed(requests: DataFrame, log: DataFrame) -> DataFrame:
     asked = requests.withColumns({"status": F.lit(None).cast("string"), "seq": F.lit(None).cast("long")})
     seen = log.where("status in ('complete', 'failed')").select("product_id", "status", "seq")
     both = asked.unionByName(seen, allowMissingColumns=True)
+    both = both.mapInArrow(_foremost, both.schema)  # before the shuffle: many requests ask for few runs
     return both.groupBy("product_id").transformWithState(Claims(), both.schema, "Update", "None").select(*requests.columns)

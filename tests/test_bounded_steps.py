@@ -1,5 +1,7 @@
 """Steps that could grow faster than their input: groups of scenes in state, claims before the shuffle, pixels that stay in place."""
 
+import pyarrow as pa
+
 from brackwater.operators import ingest
 from brackwater.streaming import upserts
 
@@ -17,3 +19,10 @@ def test_scenes_of_one_group_share_calls_and_state(spark, tmp_path):
     assert {(r.applied, r.late) for r in got[0]} == {(2, 0)} and {r.scene_id: (r.applied, r.late) for r in got[1] if r.scene_id in ("s1", "s2", "new")} == {"s1": (0, 1), "s2": (1, 0), "new": (1, 0)}
     want = {r.scene_id: (r.sensor, r.file_hash, r.version_no) for r in ingest.replay_scenes(spark.createDataFrame(first + [r for r in second if r[1] != "late"], schema)).collect()}
     assert {r.scene_id: (r.sensor, r.file_hash, r.version_no) for rows in got for r in sorted(rows, key=lambda r: r.seq)} == want
+
+
+def test_only_rows_that_decide_a_claim_are_shuffled():
+    rows = [("p", None, "2", None), ("p", None, None, None), ("p", None, "1", None), ("q", None, None, None), ("q", None, "9", None), ("p", "failed", "1", 5), ("p", "complete", "1", 2**60), ("p", "failed", "1", 2**60 - 1)]
+    batch = pa.RecordBatch.from_pylist([dict(zip(("product_id", "status", "message_id", "seq"), r, strict=True)) for r in rows], pa.schema([("product_id", pa.string()), ("status", pa.string()), ("message_id", pa.string()), ("seq", pa.int64())]))
+    (kept,) = upserts._foremost(iter([batch]))
+    assert [tuple(r.values()) for r in kept.to_pylist()] == [rows[2], rows[4], rows[6]]
