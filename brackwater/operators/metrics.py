@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.bands import stretch
 from ..functions.labels import CLASSES, weight_label
+from ..sources.shared import written
 from .quantiles import percentiles
 
 
@@ -117,6 +118,7 @@ def percentile_stretch(pixels: DataFrame, bands: tuple[str, ...], scene: str = "
     if exact:
         found = percentiles(pixels, scene, bands, (low, high))
         cuts = found.groupBy(scene).agg(*[F.array(*[F.max(F.when((F.col("band") == b) & (F.col("share") == p), F.col("value"))) for p in (low, high)]).alias(f"_{b}") for b in bands])
+        cuts = written(cuts, "cuts")  # few groups are known to be few then, and pixels stay where they are
     else:
         cuts = pixels.groupBy(scene).agg(*[F.approx_percentile(b, F.array(F.lit(low), F.lit(high))).alias(f"_{b}") for b in bands])
     joined = pixels.join(cuts, scene)

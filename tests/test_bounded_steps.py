@@ -1,8 +1,9 @@
 """Steps that could grow faster than their input: groups of scenes in state, claims before the shuffle, pixels that stay in place."""
 
 import pyarrow as pa
+from pyspark.sql import functions as F
 
-from brackwater.operators import ingest
+from brackwater.operators import ingest, metrics
 from brackwater.streaming import upserts
 
 
@@ -26,3 +27,11 @@ def test_only_rows_that_decide_a_claim_are_shuffled():
     batch = pa.RecordBatch.from_pylist([dict(zip(("product_id", "status", "message_id", "seq"), r, strict=True)) for r in rows], pa.schema([("product_id", pa.string()), ("status", pa.string()), ("message_id", pa.string()), ("seq", pa.int64())]))
     (kept,) = upserts._foremost(iter([batch]))
     assert [tuple(r.values()) for r in kept.to_pylist()] == [rows[2], rows[4], rows[6]]
+
+
+def test_stretched_pixels_are_not_shuffled_by_group(spark):
+    pixels = spark.range(1000).select(F.when(F.col("id") % 3 != 0, "a").otherwise("b").alias("scene"), F.col("id").alias("red"))
+    out = metrics.percentile_stretch(pixels, ("red",))
+    assert out.count() == 1000
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
