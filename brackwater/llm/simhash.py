@@ -365,7 +365,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     first = saved(same.union(close).union(first), "links")
     roots = components(first)
     rest = held.join(roots, held.unit == roots.node, "left").select("key", "unit", F.coalesce("root", "unit").alias("root"))
-    mixed = rest.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+    mixed = rest.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi and n > 2")  # of two units, one is the smallest: they have been compared
     sizes = rest.join(mixed.select("key"), "key", "left_semi").join(sets.select("unit", F.size("shingles").alias("size")), "unit").groupBy("key").agg(F.sum("size").alias("shingles"))
     mixed = mixed.join(sizes, "key")
     blocks = F.greatest(F.ceil(F.col("n") / SETS), F.ceil(F.col("shingles") / SHINGLES)).cast("int")
