@@ -22,7 +22,7 @@ from __future__ import annotations
 from functools import cache
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import components, runs, saved, short_batches, words_of
@@ -273,23 +273,24 @@ def _similar(least: float):
 
     def run(batches):
         for group in runs(batches, ["key", "left", "right"]):
-            unit, label, blk = (group[c].to_numpy().copy() for c in ("unit", "root", "blk"))
+            unit, label, blk, reach = (group[c].to_numpy().copy() for c in ("unit", "root", "blk", "reach"))
             across = group["left"].iat[0] != group["right"].iat[0]
-            sets = [np.asarray(x) for x in group["shingles"]]  # each in order, without repeats
+            sets = [np.asarray(x, np.int64).view(np.uint64) for x in group["shingles"]]  # each in order (of unsigned numbers), without repeats
             size = np.array([len(x) for x in sets])
             u, v = [], []
             for part in _parts(size):
-                flat = np.concatenate([sets[j] for j in part])
-                starts = np.cumsum(size[part]) - size[part]
                 for i in range(part[-1] + 1):
                     todo = (part > i) & (label[part] != label[i]) & (np.minimum(size[part], size[i]) >= least * np.maximum(size[part], size[i]))
+                    todo &= (1 + least) * np.minimum(reach[part], reach[i]) >= (1 - 1e-9) * least * (size[part] + size[i])
                     if across:
                         todo &= blk[part] != blk[i]
                     if not todo.any():
                         continue
+                    late = part[todo]
+                    flat = np.concatenate([sets[j] for j in late])
                     at = np.minimum(np.searchsorted(sets[i], flat), size[i] - 1)
-                    both = np.add.reduceat((sets[i][at] == flat).astype(np.int64), starts)
-                    for j in part[todo & (both >= least * (size[part] + size[i] - both))]:
+                    both = np.add.reduceat((sets[i][at] == flat).astype(np.int64), np.cumsum(size[late]) - size[late])
+                    for j in late[both >= least * (size[late] + size[i] - both)]:
                         if label[j] != label[i]:
                             u.append(unit[i])
                             v.append(unit[j])
@@ -300,12 +301,32 @@ def _similar(least: float):
     return run
 
 
+def _reaching(rows: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """rows (key, unit, root) that may have a link to another group of their key, with size, the unit's shingles, and reach, those that any unit of another group has too.
+
+    Sets a and b at a Jaccard similarity of least or more share at least least * (a + b) / (1 + least) shingles, and least times the larger's;
+    no more can be shared with other groups than reach. Shingles are counted over the units of all keys, once for each unit.
+    """
+    slack = 1 - 1e-9  # for rounding
+    units = rows.select("unit", "root").distinct().join(sets, "unit")
+    each = units.select("unit", "root", F.explode("shingles").alias("shingle"))
+    met = each.groupBy("shingle").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("shingle")
+    reach = each.select("unit", "shingle").join(met, "shingle", "left_semi").groupBy("unit").agg(F.count("*").alias("reach"))
+    sizes = units.select("unit", F.size("shingles").alias("size")).join(reach, "unit").where(F.col("reach") >= slack * least * F.col("size"))
+    found = saved(rows.join(sizes, "unit").select("key", "unit", "root", "size", "reach"), "reach")
+    sides = found.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.min("size").alias("smallest")).where("lo <> hi")
+    partner = F.greatest(F.col("smallest"), slack * least * F.col("size"))
+    near = found.join(sides, "key").where((1 + least) * F.col("reach") >= slack * least * (F.col("size") + partner))
+    return saved(near.select("key", "unit", "root", "size", "reach"), "near")
+
+
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, least: float = LEAST) -> DataFrame:
     """Group documents that simhash_groups() links or whose sets of word shingles have at least this Jaccard similarity, directly or over others.
 
     Returns a row per row of docs: id_col and component_id, as simhash_groups() does. Texts are compared by their
     words, so texts of the same words are one unit; each unit of a band key is compared with the key's smallest,
-    and where that leaves several groups in a key, all with all in blocks.
+    and where that leaves several groups in a key, all that may be similar to one of another group, in blocks:
+    a key's largest group is dealt, not sent to all blocks, so that only what is left outside of it meets all.
     """
     short_batches(docs)
     kind = docs.schema[id_col].dataType.simpleString()
@@ -366,18 +387,27 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     roots = components(first)
     rest = held.join(roots, held.unit == roots.node, "left").select("key", "unit", F.coalesce("root", "unit").alias("root"))
     mixed = rest.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi and n > 2")  # of two units, one is the smallest: they have been compared
-    sizes = rest.join(mixed.select("key"), "key", "left_semi").join(sets.select("unit", F.size("shingles").alias("size")), "unit").groupBy("key").agg(F.sum("size").alias("shingles"))
-    mixed = mixed.join(sizes, "key")
-    blocks = F.greatest(F.ceil(F.col("n") / SETS), F.ceil(F.col("shingles") / SHINGLES)).cast("int")
+    rest = _reaching(saved(rest.join(mixed, "key", "left_semi"), "mixed"), sets, least)
+    by_root = rest.groupBy("key", "root").agg(F.count("*").alias("n"), F.sum("size").alias("shingles"))
+    shape = by_root.groupBy("key").agg(F.sum("n").alias("n"), F.sum("shingles").alias("shingles"), F.max(F.struct("n", "root", "shingles")).alias("top"), F.count("*").alias("groups")).where("groups > 1")
+
+    def blocks(n: Column, shingles: Column) -> Column:
+        return F.greatest(F.ceil(n / SETS), F.ceil(shingles / SHINGLES)).cast("int")
+
+    # The largest group of a key takes the first `tops` blocks, which don't meet each other; a key that fits into one block is one.
+    whole = (F.col("n") <= SETS) & (F.col("shingles") <= SHINGLES)
+    tops = F.when(whole, 0).otherwise(blocks(F.col("top.n"), F.col("top.shingles")))
+    others = F.when(whole, 1).otherwise(blocks(F.col("n") - F.col("top.n"), F.col("shingles") - F.col("top.shingles")))
+    dealt = rest.join(shape.select("key", F.col("top.root").alias("top"), tops.alias("tops"), others.alias("others")), "key")
+    large = (F.col("tops") > 0) & (F.col("root") == F.col("top"))
     cells = (
-        rest.join(mixed.select("key", blocks.alias("blocks")), "key")
-        .withColumn("blk", F.pmod(F.hash("unit"), F.col("blocks")))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("key", F.least("blk", "other").alias("left"), F.greatest("blk", "other").alias("right"), "blk", "unit", "root")
+        dealt.withColumn("blk", F.when(large, F.pmod(F.hash("unit"), F.greatest("tops", F.lit(1)))).otherwise(F.col("tops") + F.pmod(F.hash("unit"), F.col("others"))))
+        .withColumn("other", F.explode(F.sequence(F.when(large, F.col("tops")).otherwise(0), F.col("tops") + F.col("others") - 1)))
+        .select("key", F.least("blk", "other").alias("left"), F.greatest("blk", "other").alias("right"), "blk", "unit", "root", "reach")
         .join(sets, "unit")
     )
     cells = cells.repartition("key", "left", "right").sortWithinPartitions("key", "left", "right")
-    second = cells.mapInPandas(_similar(least), "u bigint, v bigint")
+    second = saved(cells.mapInPandas(_similar(least), "u bigint, v bigint"), "links")  # read in both directions, compared once
 
     roots = components(first.union(second))
     grouped = units.join(roots, units.unit == roots.node, "left").select("unit", "least_id", F.coalesce("root", "unit").alias("root"))
