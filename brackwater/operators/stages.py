@@ -15,17 +15,25 @@ from ..functions.bands import classify_salinity, ndwi_mask, reflectance
 from ..functions.sensors import BANDS, MISSIONS
 from ..functions.text import processed_blob
 from ..sources.readers import aoi_centroid
+from ..sources.shared import written
 from .metrics import image_qa
 from .select import match_casts, pick_for_points, work_list
 from .trend import trend_heatmap
 
 Stage = Callable[[DataFrame], DataFrame]
 
+#: Passing scenes beyond which pixels are shuffled to hashed scenes.
+MANY = 250_000
+
 
 def passing_scenes(pixels: DataFrame, scene: str = "scene_id") -> DataFrame:
-    """Pixels of the scenes that pass the image checks."""
-    good = image_qa(pixels, scene, BANDS).where("passes").select(scene)
-    return pixels.join(good, scene, "left_semi")
+    """Pixels of the scenes that pass the image checks.
+
+    The scenes are written first, so no task holds their sums beside its pixels. Few of them are left to Spark's size check;
+    of many, a task hashes its own, and pixels stream past instead of being sorted.
+    """
+    good = written(image_qa(pixels, scene, BANDS).where("passes").select(scene), "passing")
+    return pixels.join(good.hint("shuffle_hash") if good.count() > MANY else good, scene, "left_semi")
 
 
 def water_masks(pixels: DataFrame, threshold: float = 0.0) -> DataFrame:
