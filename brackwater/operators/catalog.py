@@ -123,15 +123,44 @@ def _may_reach(sphere: Column, radius_km: float) -> Column:
     return sphere <= radius_km / MOST_CURVED * (1 + 1e-9)
 
 
-def scenes_near_casts(scenes: DataFrame, casts: DataFrame, radius_km: float = 50.0, days: int = 30, cell_deg: float = 1.0, ellipsoid: bool = True, pairs: int = PAIRS) -> DataFrame:
+#: Values that one list may hold, about.
+LIST = 4_096
+#: Hashes by which rows are counted to find long groups.
+HASHES = 1 << 20
+
+
+def _listed(rows: DataFrame, keys: list[str], value: str, kind: str, most: int = LIST) -> DataFrame:
+    """keys and <value>s: one row for the rows of equal keys, with the list of their values, nulls included; several rows where they are many.
+
+    Counts by a hash of the keys say where; a short group that shares its hash with a long one is dealt like it, which does no harm.
+    Rows are shuffled as they are, once.
+    """
+    hashed = F.pmod(F.xxhash64(*keys), F.lit(HASHES))
+    crowded = rows.groupBy(hashed.alias("_hash")).agg(F.count("*").alias("_n")).where(F.col("_n") > most)
+    crowded = written(crowded.select("_hash", F.ceil(F.col("_n") / most).alias("_parts")), "crowded")
+    on = keys
+    if not crowded.isEmpty():
+        rows = rows.withColumn("_hash", hashed).join(crowded, "_hash", "left").withColumn("_part", F.pmod(F.xxhash64(value), F.coalesce("_parts", F.lit(1))))
+        on = [*keys, "_part"]
+    dealt = rows.select(*on, value).repartition(*on)
+    values = F.collect_list(value)  # without nulls
+    nulls = F.array_repeat(F.lit(None).cast(rows.schema[value].dataType), (F.count("*") - F.size(values)).cast("int"))
+    return written(dealt.groupBy(*on).agg(F.concat(values, nulls).alias(f"{value}s")).drop("_part"), kind)
+
+
+def scenes_near_casts(
+    scenes: DataFrame, casts: DataFrame, radius_km: float = 50.0, days: int = 30, cell_deg: float = 1.0, ellipsoid: bool = True, pairs: int = PAIRS, digits: int | None = None, most: int = LIST,
+) -> DataFrame:
     """Active scenes within a distance, along the ellipsoid or a sphere, and so many days of each cast.
 
     Scenes go to every grid cell and month their box, grown by the radius, and their date, widened by the
     days, touch; casts go to their own. The equi-join on cell and month replaces a nested loop, and both
     sides shuffle by it; the exact distance and dates decide what is left. A cast has one cell and month,
     so a pair comes up once. A cell and month with more than so many pairs, as on a coast that everybody samples,
-    is split (operators.cells). Casts of one place and date are one row until then, and so are scenes of one box and date:
-    the pairs found are joined with both. The distance along the ellipsoid is computed once for a place and a box.
+    is split (operators.cells). Casts of one place and date are one row with the list of their ids, of `most` or so, and so are scenes of one
+    box and date: a place and a box are compared once, and the lists that met are paired where they met. So what is shuffled or written
+    grows with casts and scenes, not with the pairs, which are the result and may grow with the product of both.
+    digits rounds distances, before the lists are paired.
     Returns cast_id, scene_id, sensor, acquisition_date, distance_km.
     """
     reach_y = radius_km / 110.0
@@ -142,23 +171,22 @@ def scenes_near_casts(scenes: DataFrame, casts: DataFrame, radius_km: float = 50
     def month(day: Column) -> Column:
         return F.year(day) * 12 + F.month(day)
 
-    active = scenes.where(F.col("status") == "active").select("scene_id", "sensor", "acquisition_date", *box)
-    spread = written(active.select("acquisition_date", *box).distinct(), "boxes")
+    active = scenes.where(F.col("status") == "active")
+    spread = _listed(active, ["acquisition_date", "sensor", *box], "scene_id", "boxes", most)
     spread = spread.withColumn("cm", F.explode(F.sequence(month(F.date_sub("acquisition_date", days)), month(F.date_add("acquisition_date", days)))))
-    own = written(casts.select("sample_date", *cast).distinct(), "places").withColumn("cm", month(F.col("sample_date")))
+    own = _listed(casts, ["sample_date", *cast], "cast_id", "places", most).withColumn("cm", month(F.col("sample_date")))
     extent = (F.col("minx") - reach_x, F.col("miny") - reach_y, F.col("maxx") + reach_x, F.col("maxy") + reach_y)
     met = met_in_cells(own, spread, ["cm"], (F.col("lon"), F.col("lat")), extent, cell_deg, levels_down_to(cell_deg, radius_km / 110.0), pairs)
-    near = met.where(F.abs(F.date_diff("acquisition_date", "sample_date")) <= days).select("sample_date", "acquisition_date", *cast, *box)
+    near = met.where(F.abs(F.date_diff("acquisition_date", "sample_date")) <= days)
     ends = [F.col(c) for c in (*cast, *box)]
     if ellipsoid:
-        near = written(near.where(_may_reach(km_to_box(*ends), radius_km)), "near")
-        far = written(near.select(*cast, *box).distinct(), "ends")
-        far = written(far.withColumn("distance_km", geodesic_to_box(*ends)), "distances")  # written, so that nothing asks for it twice
-        near = near.join(far.where(F.col("distance_km") <= radius_km), [*cast, *box])
+        near = near.where(_may_reach(km_to_box(*ends), radius_km)).select("cast_ids", "scene_ids", "sensor", "acquisition_date", *cast, *box)
+        near = near.withColumn("distance_km", F.explode(F.array(geodesic_to_box(*ends)))).where(F.col("distance_km") <= radius_km)  # from a list of one, so that the condition doesn't compute it again
     else:
         near = near.withColumn("distance_km", _km(ends, radius_km, ellipsoid)).where(F.col("distance_km").isNotNull())
-    found = active.join(near, ["acquisition_date", *box]).select("scene_id", "sensor", "acquisition_date", "sample_date", *cast, "distance_km")
-    return casts.select("cast_id", "sample_date", *cast).join(found, ["sample_date", *cast]).select("cast_id", "scene_id", "sensor", "acquisition_date", "distance_km")
+    distance = F.col("distance_km") if digits is None else F.round("distance_km", digits).alias("distance_km")
+    found = near.select("cast_ids", "scene_ids", "sensor", "acquisition_date", distance)
+    return found.withColumn("cast_id", F.explode("cast_ids")).select("cast_id", F.explode("scene_ids").alias("scene_id"), "sensor", "acquisition_date", "distance_km")
 
 
 def scenes_near_cast(scenes: DataFrame, casts: DataFrame, cast: str, radius_km: float = 50.0, days: int = 30, ellipsoid: bool = True) -> DataFrame:

@@ -88,8 +88,8 @@ def imagery_near_cast(spark, d):
     "scenes", "casts",
 )
 def imagery_near_all_casts(spark, d):
-    found = op.scenes_near_casts(t.scenes(spark, d), t.casts(spark, d), radius_km=20.0, days=5, ellipsoid=False)
-    return found.select("cast_id", "scene_id", F.round("distance_km", 4).alias("distance_km"))
+    found = op.scenes_near_casts(t.scenes(spark, d), t.casts(spark, d), radius_km=20.0, days=5, ellipsoid=False, digits=4)
+    return found.select("cast_id", "scene_id", "distance_km")
 
 
 @query(
@@ -149,8 +149,8 @@ def _geodesic_sql(rounds: int = 8) -> str:
 )
 def imagery_near_all_casts_ellipsoid(spark, d):
     """Distances along the ellipsoid."""
-    found = op.scenes_near_casts(t.scenes(spark, d), t.casts(spark, d), radius_km=20.0, days=5)
-    return found.select("cast_id", "scene_id", F.round("distance_km", 4).alias("distance_km"))
+    found = op.scenes_near_casts(t.scenes(spark, d), t.casts(spark, d), radius_km=20.0, days=5, digits=4)
+    return found.select("cast_id", "scene_id", "distance_km")
 
 
 #: Rings around a place, in steps of the polygon's size: a shape with a notch, and a hole in it.
