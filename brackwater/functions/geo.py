@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EARTH_KM = 6371.0088
@@ -49,54 +49,101 @@ def _let(value: Column, then) -> Column:
     return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
+_F, _A = FLATTENING, MERCATOR_RADIUS / 1000
+_B = _A * (1 - _F)
+
+
+def _ends(lon1: Column, lat1: Column, lon2: Column, lat2: Column) -> dict[str, Column]:
+    """Sines and cosines of the reduced latitudes, and the longitude between the ends."""
+    u1, u2 = (F.atan((1 - _F) * F.tan(F.radians(x))) for x in (lat1, lat2))
+    return {"s1": F.sin(u1), "c1": F.cos(u1), "s2": F.sin(u2), "c2": F.cos(u2), "l": F.radians(lon2 - lon1 - 360.0 * F.round((lon2 - lon1) / 360.0))}
+
+
+def _arc(e, lam: Column) -> dict[str, Column]:
+    """The arc on the auxiliary sphere (its sine, cosine and angle), and the product of the end latitudes' cosines with the sine of lam."""
+    sine = F.sqrt(F.pow(e["c2"] * F.sin(lam), 2) + F.pow(e["c1"] * e["s2"] - e["s1"] * e["c2"] * F.cos(lam), 2))
+    cosine = e["s1"] * e["s2"] + e["c1"] * e["c2"] * F.cos(lam)
+    return {"ss": sine, "cs": cosine, "sigma": F.atan2(sine, cosine), "m": e["c1"] * e["c2"] * F.sin(lam)}
+
+
+def _course(e, p) -> dict[str, Column]:
+    """Sine of the geodesic's azimuth at the equator, its squared cosine, and the cosine of twice the arc's middle."""
+    return _bent(e, p, F.when(p["ss"] > 0, p["m"] / F.when(p["ss"] > 0, p["ss"])).otherwise(0.0))
+
+
+def _bent(e, p, sine: Column) -> dict[str, Column]:
+    square = 1 - sine * sine
+    middle = F.when(square > 1e-15, p["cs"] - 2 * e["s1"] * e["s2"] / F.when(square > 1e-15, square)).otherwise(0.0)
+    return {"sa": sine, "ca": square, "cm": middle}
+
+
+def _moved(e, p, q) -> Column:
+    c = _F / 16 * q["ca"] * (4 + _F * (4 - 3 * q["ca"]))
+    return e["l"] + (1 - c) * _F * q["sa"] * (p["sigma"] + c * p["ss"] * (q["cm"] + c * p["cs"] * (2 * q["cm"] * q["cm"] - 1)))
+
+
+def _length(p, q) -> Column:
+    square = q["ca"] * (_A * _A - _B * _B) / (_B * _B)
+    big = 1 + square / 16384 * (4096 + square * (-768 + square * (320 - 175 * square)))
+    small = square / 1024 * (256 + square * (-128 + square * (74 - 47 * square)))
+    twice = 2 * q["cm"] * q["cm"] - 1
+    inner = p["cs"] * twice - small / 6 * q["cm"] * (4 * p["ss"] * p["ss"] - 3) * (4 * q["cm"] * q["cm"] - 3)
+    return _B * big * (p["sigma"] - small * p["ss"] * (q["cm"] + small / 4 * inner))
+
+
+def _settled(move: Column, lam: Column) -> Column:
+    return (move < 1e-11) & (F.abs(lam) <= math.pi)
+
+
 def geodesic_km(lon1: Column, lat1: Column, lon2: Column, lat2: Column, rounds: int = 8) -> Column:
     """Distance along the ellipsoid WGS84 (G5): the inverse problem by iteration of the longitude on the auxiliary sphere.
 
     Each round adds two to three digits, so eight are more than doubles hold. Close to antipodes the iteration does not
     settle; there the distance on the sphere stands in, which is within 0.56 % of it. Null coordinates give null.
     """
-    f, a = FLATTENING, MERCATOR_RADIUS / 1000
-    b = a * (1 - f)
-    along = F.radians(lon2 - lon1 - 360.0 * F.round((lon2 - lon1) / 360.0))
-    u1, u2 = (F.atan((1 - f) * F.tan(F.radians(x))) for x in (lat1, lat2))
-    ends = F.struct(F.sin(u1).alias("s1"), F.cos(u1).alias("c1"), F.sin(u2).alias("s2"), F.cos(u2).alias("c2"), along.alias("l"))
-
-    def arc(e: Column, lam: Column) -> Column:
-        """The arc on the auxiliary sphere (its sine, cosine and angle), and the product of the end latitudes' cosines with the sine of lam."""
-        sine = F.sqrt(F.pow(e["c2"] * F.sin(lam), 2) + F.pow(e["c1"] * e["s2"] - e["s1"] * e["c2"] * F.cos(lam), 2))
-        cosine = e["s1"] * e["s2"] + e["c1"] * e["c2"] * F.cos(lam)
-        return F.struct(sine.alias("ss"), cosine.alias("cs"), F.atan2(sine, cosine).alias("sigma"), (e["c1"] * e["c2"] * F.sin(lam)).alias("m"))
-
-    def course(e: Column, p: Column) -> Column:
-        """Sine of the geodesic's azimuth at the equator, its squared cosine, and the cosine of twice the arc's middle."""
-        sine = F.when(p["ss"] > 0, p["m"] / F.when(p["ss"] > 0, p["ss"])).otherwise(0.0)
-        square = 1 - sine * sine
-        middle = F.when(square > 1e-15, p["cs"] - 2 * e["s1"] * e["s2"] / F.when(square > 1e-15, square)).otherwise(0.0)
-        return F.struct(sine.alias("sa"), square.alias("ca"), middle.alias("cm"))
-
-    def moved(e: Column, p: Column, q: Column) -> Column:
-        c = f / 16 * q["ca"] * (4 + f * (4 - 3 * q["ca"]))
-        return e["l"] + (1 - c) * f * q["sa"] * (p["sigma"] + c * p["ss"] * (q["cm"] + c * p["cs"] * (2 * q["cm"] * q["cm"] - 1)))
+
+    def struct(parts: dict[str, Column]) -> Column:
+        return F.struct(*[v.alias(k) for k, v in parts.items()])
 
     def step(e: Column, lam: Column) -> Column:
-        return _let(arc(e, lam), lambda p: _let(course(e, p), lambda q: moved(e, p, q)))
+        return _let(struct(_arc(e, lam)), lambda p: _let(struct(_course(e, p)), lambda q: _moved(e, p, q)))
 
     def length(e: Column, lam: Column) -> Column:
-        def of(p: Column, q: Column) -> Column:
-            square = q["ca"] * (a * a - b * b) / (b * b)
-            big = 1 + square / 16384 * (4096 + square * (-768 + square * (320 - 175 * square)))
-            small = square / 1024 * (256 + square * (-128 + square * (74 - 47 * square)))
-            twice = 2 * q["cm"] * q["cm"] - 1
-            inner = p["cs"] * twice - small / 6 * q["cm"] * (4 * p["ss"] * p["ss"] - 3) * (4 * q["cm"] * q["cm"] - 3)
-            return b * big * (p["sigma"] - small * p["ss"] * (q["cm"] + small / 4 * inner))
-
-        return _let(arc(e, lam), lambda p: _let(course(e, p), lambda q: of(p, q)))
+        return _let(struct(_arc(e, lam)), lambda p: _let(struct(_course(e, p)), lambda q: _length(p, q)))
 
     def solved(e: Column) -> Column:
         state = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), F.struct(e["l"].alias("lam"), F.lit(10.0).alias("move")), lambda s, _: _let(step(e, s["lam"]), lambda new: F.struct(new.alias("lam"), F.abs(new - s["lam"]).alias("move"))))
-        return _let(state, lambda s: F.when((s["move"] < 1e-11) & (F.abs(s["lam"]) <= math.pi), length(e, s["lam"])))
+        return _let(state, lambda s: F.when(_settled(s["move"], s["lam"]), length(e, s["lam"])))
+
+    return F.coalesce(_let(struct(_ends(lon1, lat1, lon2, lat2)), solved), haversine_km(lon1, lat1, lon2, lat2))
+
 
-    return F.coalesce(_let(ends, solved), haversine_km(lon1, lat1, lon2, lat2))
+def with_geodesic(df: DataFrame, name: str, lon1: Column, lat1: Column, lon2: Column, lat2: Column, rounds: int = 8) -> DataFrame:
+    """df with geodesic_km() of its columns as one more, to the bit, at a fraction of the cost where rows are many.
+
+    The rounds' steps are columns here, which Spark compiles; steps within an expression are interpreted. The distance comes out of a
+    list of one: conditions on it are not moved below it then, where each would have it computed again.
+    """
+    own, ends = df.columns, ["s1", "c1", "s2", "c2", "l"]
+    at = {n: F.col(f"_g_{n}") for n in (*ends, "ss", "cs", "sigma", "sa", "ca", "cm", "lam", "move")}
+
+    def held(df: DataFrame, *names: str, **more: Column) -> DataFrame:
+        return df.select(*own, *[at[n] for n in names], *[v.alias(f"_g_{n}") for n, v in more.items()])
+
+    def turned(df: DataFrame) -> DataFrame:
+        arc = _arc(at, at["lam"])
+        return held(df, *ends, "lam", "move", ss=arc["ss"], cs=arc["cs"], sa=_course(at, arc)["sa"])
+
+    arc = {"ss": at["ss"], "cs": at["cs"], "sigma": F.atan2(at["ss"], at["cs"])}
+    course = _bent(at, arc, at["sa"])
+    out = held(df, **_ends(lon1, lat1, lon2, lat2))
+    out = held(out, *ends, lam=at["l"], move=F.lit(10.0))
+    for _ in range(rounds):
+        new = _moved(at, arc, course)
+        out = held(turned(out), *ends, lam=new, move=F.abs(new - at["lam"]))
+    km = F.coalesce(F.when(_settled(at["move"], at["lam"]), _length(arc, course)), haversine_km(lon1, lat1, lon2, lat2))
+    out = turned(out)
+    return out.select(*own, km.alias("_g_km")).select(*own, F.explode(F.array("_g_km")).alias(name))
 
 
 def nearest_in_box(lon: Column, lat: Column, minx: Column, miny: Column, maxx: Column, maxy: Column) -> tuple[Column, Column]:

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geo import MOST_CURVED, Box, box_around, boxes_meet, geodesic_to_box, km_to_box
+from ..functions.geo import MOST_CURVED, Box, box_around, boxes_meet, geodesic_to_box, km_to_box, nearest_in_box, with_geodesic
 from ..functions.text import contains_json
 from ..sources.shared import written
 from .cells import PAIRS, levels_down_to, met_in_cells
@@ -181,7 +181,7 @@ def scenes_near_casts(
     ends = [F.col(c) for c in (*cast, *box)]
     if ellipsoid:
         near = near.where(_may_reach(km_to_box(*ends), radius_km)).select("cast_ids", "scene_ids", "sensor", "acquisition_date", *cast, *box)
-        near = near.withColumn("distance_km", F.explode(F.array(geodesic_to_box(*ends)))).where(F.col("distance_km") <= radius_km)  # from a list of one, so that the condition doesn't compute it again
+        near = with_geodesic(near, "distance_km", *ends[:2], *nearest_in_box(*ends)).where(F.col("distance_km") <= radius_km)
     else:
         near = near.withColumn("distance_km", _km(ends, radius_km, ellipsoid)).where(F.col("distance_km").isNotNull())
     distance = F.col("distance_km") if digits is None else F.round("distance_km", digits).alias("distance_km")

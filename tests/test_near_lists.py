@@ -4,7 +4,9 @@ import datetime as dt
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
+from brackwater.functions import geo
 from brackwater.operators import catalog
 
 DAY = dt.date(2020, 5, 20)
@@ -44,3 +46,11 @@ def test_long_lists_are_dealt(spark):
     assert Counter((r.k, v) for r in lists for v in r.vs) == Counter(map(tuple, rows.collect()))
     assert max(len(r.vs) for r in lists) <= 100 and sorted(map(str, (v for r in lists if r.k == 2 for v in r.vs))) == ["None", "w"]
 
+
+def test_geodesic_in_columns_equals_the_expression(spark):
+    places = [(-76.0, 38.0, -76.1, 38.1), (0.0, 0.0, 0.0, 0.0), (0.0, 0.0, 179.9, 0.1), (179.95, -10.0, -179.95, -10.2), (10.0, 0.0, 10.3, 0.0), (None, 1.0, 1.0, 1.0), (5.0, 90.0, 7.0, 89.9)]
+    places += [(-77.0 + 0.07 * i, 37.0 + 0.03 * i, -77.0 + 0.071 * i, 37.1 + 0.029 * i) for i in range(40)]
+    df, names = spark.createDataFrame(places, "a double, b double, c double, d double"), [F.col(n) for n in "abcd"]
+    both = geo.with_geodesic(df, "got", *names).withColumn("want", geo.geodesic_km(*names)).collect()
+    assert len(both) == len(places) and all(r.got == r.want for r in both) and sum(r.got is None for r in both) == 1
+    assert geo.with_geodesic(df, "got", *names).where("got < 1").count() == sum(r.want is not None and r.want < 1 for r in both)
