@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.bands import stretch
+from ..functions.bands import clean, stretch
 from ..functions.labels import CLASSES, weight_label
 from ..sources.shared import written
 from .quantiles import percentiles
@@ -95,15 +95,17 @@ def percentile_stretch(pixels: DataFrame, bands: tuple[str, ...], scene: str = "
     """pixels with <band>_8bit: each scene's band stretched from its low to its high percentile (A12, B20, SNK14).
 
     Percentiles are exact with linear interpolation, in bounded memory whatever a scene's size (operators.quantiles);
-    exact=False takes approximate ones in one pass.
+    exact=False takes approximate ones in one pass. Nulls and NaN don't count and become 0. Every pixel stays: those without a scene
+    are a group, and a scene without any value in a band is 0 there.
     """
     if exact:
         found = percentiles(pixels, scene, bands, (low, high))
         cuts = found.groupBy(scene).agg(*[F.array(*[F.max(F.when((F.col("band") == b) & (F.col("share") == p), F.col("value"))) for p in (low, high)]).alias(f"_{b}") for b in bands])
         cuts = written(cuts, "cuts")  # few groups are known to be few then, and pixels stay where they are
     else:
-        cuts = pixels.groupBy(scene).agg(*[F.approx_percentile(b, F.array(F.lit(low), F.lit(high))).alias(f"_{b}") for b in bands])
-    joined = pixels.join(cuts, scene)
+        cuts = pixels.groupBy(scene).agg(*[F.approx_percentile(clean(F.col(b)), F.array(F.lit(low), F.lit(high))).alias(f"_{b}") for b in bands])
+    cuts = cuts.withColumnRenamed(scene, "_group")
+    joined = pixels.join(cuts, F.col(scene).eqNullSafe(F.col("_group")), "left").drop("_group")
     return joined.withColumns({f"{b}_8bit": stretch(F.col(b), F.get(f"_{b}", F.lit(0)), F.get(f"_{b}", F.lit(1))) for b in bands}).drop(*[f"_{b}" for b in bands])
 
 

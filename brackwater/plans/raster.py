@@ -132,14 +132,20 @@ def center_window(spark, d):
     return inside.withColumns(crop).select("scene", "crow", "ccol", "green")
 
 
+RGB = ("red", "green", "blue")
+
+
+def _stretched(band: str) -> str:
+    return f"case when {band}_z <= {band}_a then 0 else trunc(least(greatest(({band} - {band}_a) / ({band}_z - {band}_a), 0.0::double), 1.0::double) * 255.0::double)::int end as {band}_8bit"
+
+
 @query(
-    """with cut as (select sensor, quantile_cont(red, 0.02) as a, quantile_cont(red, 0.98) as z from pixels group by sensor)
-    select scene, row, col, year, case when z <= a then 0 else trunc(least(greatest((red - a) / (z - a), 0.0::double), 1.0::double) * 255.0::double)::int end as red_8bit
-    from pixels join cut using (sensor)""",
+    f"""with cut as (select sensor, {", ".join(f"quantile_cont({b}, 0.02) as {b}_a, quantile_cont({b}, 0.98) as {b}_z" for b in RGB)} from pixels group by sensor)
+    select {KEY_SQL}, {", ".join(map(_stretched, RGB))} from pixels join cut using (sensor)""",
     "pixels",
 )
 def rgb_stretch(spark, d):
-    return metrics.percentile_stretch(t.pixels(spark, d), ("red",), scene="sensor").select(*KEY, "red_8bit")
+    return metrics.percentile_stretch(t.pixels(spark, d), RGB, scene="sensor").select(*KEY, *[f"{n}_8bit" for n in RGB])
 
 
 @query(
