@@ -142,8 +142,8 @@ def unit_scale(value: Column, image_max: Column) -> Column:
 
 def stretch(value: Column, low: Column, high: Column) -> Column:
     """Linear stretch of [low, high] to 0..255, truncated; 0 if the range is empty, or the value null or NaN."""
-    scaled = clip((clean(value) - low) / F.when(high > low, high - low), 0.0, 1.0)
-    return F.when(high <= low, 0).otherwise((F.coalesce(scaled, F.lit(0.0)) * 255.0).cast("int"))
+    scaled = (F.nanvl(value.cast("double"), F.lit(None).cast("double")) - low) / F.when(high > low, high - low)
+    return (F.least(F.greatest(scaled, F.lit(0.0)), F.lit(1.0)) * 255.0).cast("int")  # greatest() passes over a null
 
 
 def argmax(values: Column) -> Column:

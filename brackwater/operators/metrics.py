@@ -98,15 +98,16 @@ def percentile_stretch(pixels: DataFrame, bands: tuple[str, ...], scene: str = "
     exact=False takes approximate ones in one pass. Nulls and NaN don't count and become 0. Every pixel stays: those without a scene
     are a group, and a scene without any value in a band is 0 there.
     """
+    ends = ((low, "low"), (high, "high"))
     if exact:
         found = percentiles(pixels, scene, bands, (low, high))
-        cuts = found.groupBy(scene).agg(*[F.array(*[F.max(F.when((F.col("band") == b) & (F.col("share") == p), F.col("value"))) for p in (low, high)]).alias(f"_{b}") for b in bands])
+        cuts = found.groupBy(scene).agg(*[F.max(F.when((F.col("band") == b) & (F.col("share") == p), F.col("value"))).alias(f"_{b}_{n}") for b in bands for p, n in ends])
         cuts = written(cuts, "cuts")  # few groups are known to be few then, and pixels stay where they are
     else:
-        cuts = pixels.groupBy(scene).agg(*[F.approx_percentile(clean(F.col(b)), F.array(F.lit(low), F.lit(high))).alias(f"_{b}") for b in bands])
+        cuts = pixels.groupBy(scene).agg(*[F.approx_percentile(clean(F.col(b)), F.lit(p)).alias(f"_{b}_{n}") for b in bands for p, n in ends])
     cuts = cuts.withColumnRenamed(scene, "_group")
     joined = pixels.join(cuts, F.col(scene).eqNullSafe(F.col("_group")), "left").drop("_group")
-    return joined.withColumns({f"{b}_8bit": stretch(F.col(b), F.get(f"_{b}", F.lit(0)), F.get(f"_{b}", F.lit(1))) for b in bands}).drop(*[f"_{b}" for b in bands])
+    return joined.withColumns({f"{b}_8bit": stretch(F.col(b), F.col(f"_{b}_low"), F.col(f"_{b}_high")) for b in bands}).drop(*[f"_{b}_{n}" for b in bands for _, n in ends])
 
 
 def best_so_far(log: DataFrame, run: str = "run", epoch: str = "epoch", loss: str = "loss", patience: int = 10) -> DataFrame:

@@ -49,9 +49,10 @@ def percentiles(df: DataFrame, by: str, columns: tuple[str, ...], shares: tuple[
         large = ranks.where(F.col("inside") > limit)
         if large.isEmpty():
             break
-        marked = _marked(held, large, on)
+        sketched = _marked(held, large.select(*on).distinct(), on).groupBy(*on)  # once for all ranks, too
+        sketches = written(sketched.agg(F.approx_percentile("v", F.array(*[F.lit(i / 64) for i in range(65)]), ACCURACY).alias("cuts"), F.min("v").alias("least"), F.max("v").alias("most")), "sketches")
+        ends = _marked(sketches, large, on)
         place = (F.col("rank") - F.col("below")) / F.col("inside")
-        ends = marked.groupBy(*key, "below", "inside").agg(F.approx_percentile("v", F.array(*[F.lit(i / 64) for i in range(65)]), ACCURACY).alias("cuts"), F.min("v").alias("least"), F.max("v").alias("most"))
         # The sketch is off by 1 / ACCURACY of the rows at most, a cut is 1 / 64 of them: one cut more on either side is sure to hold the rank.
         slot = F.floor(place * 64).cast("int")
         low = F.when(slot >= 2, F.get("cuts", F.greatest(slot - 1, F.lit(0)))).otherwise(F.col("least"))
