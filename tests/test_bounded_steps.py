@@ -29,6 +29,13 @@ def test_only_rows_that_decide_a_claim_are_shuffled():
     assert [tuple(r.values()) for r in kept.to_pylist()] == [rows[2], rows[4], rows[6]]
 
 
+def test_only_the_ends_of_a_run_are_shuffled():
+    rows = [("p", 5, "a"), ("q", 7, "b"), ("p", 5, "c"), ("p", 2**60, "d"), ("p", 2**60 - 1, "e"), ("p", 2**60, "f"), (None, 1, "g")]
+    batch = pa.RecordBatch.from_pylist([dict(zip(("product_id", "seq", "status"), r, strict=True)) for r in rows], pa.schema([("product_id", pa.string()), ("seq", pa.int64()), ("status", pa.string())]))
+    (kept, none) = upserts._ends("seq")(iter([batch, batch.slice(0, 0)]))
+    assert [tuple(r.values()) for r in kept.to_pylist()] == [rows[0], rows[1], rows[3]] and none.num_rows == 0
+
+
 def test_stretched_pixels_are_not_shuffled_by_group(spark):
     pixels = spark.range(1000).select(F.when(F.col("id") % 3 != 0, "a").otherwise("b").alias("scene"), F.col("id").alias("red"))
     out = metrics.percentile_stretch(pixels, ("red",))
