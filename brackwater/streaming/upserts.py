@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from typing import Any
 
+import numpy as np
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -148,23 +149,20 @@ def run_changes(log: DataFrame, order: str = "seq") -> DataFrame:
 
 
 def _foremost(batches: Iterator) -> Iterator:
-    """Of each Arrow batch, a run's first request by message_id and its last log row by seq: no other row decides anything in Claims."""
+    """Of each Arrow batch, a run's first request by message_id and its last log row by seq, nulls last: no other row decides anything in Claims."""
     import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def first_of_each_run(batch: pa.RecordBatch, rows: pa.Array, column: str, order: str) -> pa.Array:
+        rows = rows.take(pc.sort_indices(batch.select([column]).take(rows), [(column, order)]))  # a stable sort
+        runs = batch["product_id"].take(rows).dictionary_encode("encode").indices
+        return rows.take(pa.array(np.unique(runs, return_index=True)[1]))
 
     for batch in batches:
-        runs, status, message, seq = (batch.column(c).to_pylist() for c in ("product_id", "status", "message_id", "seq"))
-        asked: dict = {}
-        seen: dict = {}
-        for i, run in enumerate(runs):
-            if status[i] is None:
-                j = asked.setdefault(run, i)
-                if message[i] is not None and (message[j] is None or message[i] < message[j]):
-                    asked[run] = i
-            else:
-                j = seen.setdefault(run, i)
-                if seq[i] is not None and (seq[j] is None or seq[i] > seq[j]):
-                    seen[run] = i
-        yield batch.take(pa.array(sorted([*asked.values(), *seen.values()]), pa.int64()))
+        asks = pc.is_null(batch["status"])
+        asked = first_of_each_run(batch, pc.indices_nonzero(asks), "message_id", "ascending")
+        seen = first_of_each_run(batch, pc.indices_nonzero(pc.invert(asks)), "seq", "descending")
+        yield batch.take(pa.array(np.sort(np.concatenate([asked, seen]))))
 
 
 class Claims(StatefulProcessor):
@@ -174,7 +172,7 @@ class Claims(StatefulProcessor):
         self.state = handle.getValueState("status", "status string, seq bigint")
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        known, seq = self.state.get() or (None, -1)
+        before = known, seq = self.state.get() or (None, -1)
         request = None
         for row in rows:
             if row["status"] is None:
@@ -184,7 +182,7 @@ class Claims(StatefulProcessor):
         if request is not None and known in (None, "failed"):
             known = "claimed"
             yield request
-        if known is not None:
+        if known is not None and (known, seq) != before:
             self.state.update((known, seq))
 
     def close(self) -> None:

@@ -1,10 +1,12 @@
 """Steps that could grow faster than their input: groups of scenes in state, claims before the shuffle, pixels that stay in place."""
 
+import base64
+
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from brackwater.operators import ingest, metrics
-from brackwater.streaming import upserts
+from brackwater.streaming import events, upserts
 
 
 def test_scenes_of_one_group_share_calls_and_state(spark, tmp_path):
@@ -36,6 +38,27 @@ def test_only_the_ends_of_a_run_are_shuffled():
     assert [tuple(r.values()) for r in kept.to_pylist()] == [rows[0], rows[1], rows[3]] and none.num_rows == 0
 
 
+def test_claims_of_null_runs_and_empty_batches():
+    rows = [(None, None, "2", None), ("p", "failed", None, None), (None, None, "1", None), (None, "complete", None, 4), ("p", "complete", "0", None), (None, None, "1", None)]
+    batch = pa.RecordBatch.from_pylist([dict(zip(("product_id", "status", "message_id", "seq"), r, strict=True)) for r in rows], pa.schema([("product_id", pa.string()), ("status", pa.string()), ("message_id", pa.string()), ("seq", pa.int64())]))
+    kept, none = upserts._foremost(iter([batch, batch.slice(0, 0)]))
+    assert [tuple(r.values()) for r in kept.to_pylist()] == [rows[1], rows[2], rows[3]] and none.num_rows == 0
+
+
+def test_envelopes_are_parsed_once_and_where_they_were_dealt(spark):
+    sent = spark.range(8).repartition(3).select(F.struct(F.col("id").cast("string").alias("data"), F.col("id").cast("string").alias("messageId")).alias("message"))
+    plan = events.accepted(sent)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1 and plan.index("Filter") < plan.index("from_json(") < plan.index("Repartition")
+
+
+def test_envelopes_with_nulls_are_rows_still(spark):
+    body = lambda text: base64.b64encode(text.encode()).decode()
+    sent = [None, (None, "1"), ("", "2"), ("***", "3"), (body("{}"), "4"), (body("null"), "5"), (body("[1"), "6"), (body('{"scene_id": "A", "sensor": "LANDSAT-7"}'), None), (body('{"scene_id": "A", "sensor": null}'), "8")] + [(body('{"scene_id": "A", "sensor": "zeppelin"}'), "9")] * 2
+    found = events.parsed(spark.createDataFrame([(m,) for m in sent], "message struct<data:string,messageId:string>")).collect()
+    want = [(None, "envelope"), ("1", "envelope"), ("2", "payload"), ("3", "payload"), ("4", "keys"), ("5", "keys"), ("6", "keys"), (None, None), ("8", "keys"), ("9", "sensor"), ("9", "sensor")]
+    assert [(r.message_id, r.error) for r in found] == want and found[7].sensor == "landsat-7" and found[7].acquisition_date is None
+
+
 def test_stretched_pixels_are_not_shuffled_by_group(spark):
     pixels = spark.range(1000).select(F.when(F.col("id") % 3 != 0, "a").otherwise("b").alias("scene"), F.col("id").alias("red"))
     out = metrics.percentile_stretch(pixels, ("red",))
