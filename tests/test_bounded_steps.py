@@ -59,6 +59,16 @@ def test_envelopes_with_nulls_are_rows_still(spark):
     assert [(r.message_id, r.error) for r in found] == want and found[7].sensor == "landsat-7" and found[7].acquisition_date is None
 
 
+def test_rows_of_a_group_travel_as_lists(monkeypatch):
+    """In their order, whatever the columns hold; tasks hold a bounded number of rows."""
+    monkeypatch.setattr(upserts, "LISTED", 4)
+    rows = [(2, "a", ["x", None], 1), (1, "b", None, 2), (2, None, [], 3), (1, "b", ["y"], None), (3, "c", None, 5), (1, "d", None, 6)]
+    names = ("_group", "scene_id", "file_locations", "seq")
+    table = pa.Table.from_pylist([dict(zip(names, r, strict=True)) for r in rows], pa.schema([("_group", pa.int64()), ("scene_id", pa.string()), ("file_locations", pa.list_(pa.string())), ("seq", pa.int64())]))
+    got = [[tuple(r.values()) for r in b.to_pylist()] for b in upserts._listed(iter([*table.to_batches(max_chunksize=2), *table.slice(0, 0).to_batches()]))]
+    assert got == [[(1, ["b", "b"], [None, ["y"]], [2, None]), (2, ["a", None], [["x", None], []], [1, 3])], [(1, ["d"], [None], [6]), (3, ["c"], [None], [5])]]
+
+
 def test_stretched_pixels_are_not_shuffled_by_group(spark):
     pixels = spark.range(1000).select(F.when(F.col("id") % 3 != 0, "a").otherwise("b").alias("scene"), F.col("id").alias("red"))
     out = metrics.percentile_stretch(pixels, ("red",))

@@ -35,6 +35,24 @@ def test_versions_over_restarts_equal_the_replay(spark, tmp_path):
     assert {r.scene_id: (r.sensor, r.file_hash, r.version_no) for rows in changed for r in sorted(rows, key=lambda r: r.seq)} == want
 
 
+def test_upserts_of_one_order_and_odd_rows(spark, tmp_path):
+    """The first of one order counts, the others are late; nulls, lists and days come out as they went in; rows of no scene or order are left out."""
+    import datetime as dt
+
+    schema = "scene_id string, acquisition_date date, band_count int, minx double, file_locations array<string>, file_hash string, ingest_timestamp timestamp, seq long"
+    day, at = dt.date(2000, 1, 31), dt.datetime(2020, 1, 1, 12)
+    batches = [
+        [("a", day, 6, 1.5, ["x", None], "h", at, 3), ("a", None, 7, None, ["late"], "i", None, 3), ("", None, None, None, None, None, None, -1), (None, day, 6, 1.5, [], "h", at, 1), ("b", day, 6, 1.5, [], "h", at, None)],
+        [("a", None, 8, 2.5, [], None, None, 4), ("", day, 9, 0.0, None, "h", at, -1), ("a", None, 8, 2.5, ["y"], "j", at, 5), ("a", None, 8, 2.5, ["z"], "k", at, 5)],
+    ]
+    changed = drained(spark, tmp_path, batches, schema, upserts.scene_changes)
+    assert [sorted(map(tuple, rows)) for rows in changed] == [
+        [("", None, None, None, None, None, None, "active", 1, -1, 1, 0), ("a", day, 6, 1.5, ["x", None], "h", at, "active", 1, 3, 1, 1)],
+        [("", None, None, None, None, None, None, "active", 1, -1, 0, 1), ("a", day, 6, 1.5, ["y"], "j", at, "active", 1, 5, 2, 1)],
+    ]
+    assert changed[0][0].__fields__ == ["scene_id", "acquisition_date", "band_count", "minx", "file_locations", "file_hash", "ingest_timestamp", "status", "version_no", "seq", "applied", "late"]
+
+
 def test_runs_in_any_order_of_arrival(spark, tmp_path):
     import datetime as dt
 
