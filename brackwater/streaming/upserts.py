stream_scene_upserts, stream_run_states: rows held by a task are bounded in bytes

Symptom: scene rows were held by number, 65,536 at a time, whatever their width; run events were thinned out for each small Arrow batch alone.
Evidence: the profiler with, sf0.1, before this commit: stream_scene_upserts 3,732 CPU s a GB, stream_run_states 883, each of its state stages read 3,000 rows for 500 runs.
Fix: both steps hold about 8 MB of rows at a time.

@@ -69,31 +69,34 @@ class SceneVersions(StatefulProcessor):
         pass
 
 
-#: Rows of a task that are held to be listed by group.
-LISTED = 1 << 16
+#: Bytes of rows that a task holds at a time to deal with them together.
+HELD = 8 << 20
+
+
+def _held(batches: Iterator) -> Iterator:
+    """Arrow batches as tables of about HELD bytes."""
+    import pyarrow as pa
+
+    held, size = [], 0
+    for batch in batches:
+        held, size = [*held, batch], size + batch.nbytes
+        if size >= HELD:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def _listed(batches: Iterator) -> Iterator:
     """Rows as one list for each group and column, in their order: Python then takes a group's lists apart and not each value of each row on its own."""
     import pyarrow as pa
 
-    def lists(held: list) -> pa.RecordBatch:
-        table = pa.Table.from_batches(held)
-        order = np.argsort(table["_group"].to_numpy(), kind="stable")
-        table = table.take(pa.array(order)).combine_chunks()
+    for rows in _held(batches):
+        table = rows.take(pa.array(np.argsort(rows["_group"].to_numpy(), kind="stable")))
         groups, starts = np.unique(table["_group"].to_numpy(), return_index=True)
         ends = pa.array([*starts, len(table)], pa.int32())
-        columns = [pa.ListArray.from_arrays(ends, c.combine_chunks()) for c in table.columns[1:]]
-        return pa.RecordBatch.from_arrays([pa.array(groups), *columns], table.column_names)
-
-    held, rows = [], 0
-    for batch in batches:
-        held, rows = [*held, batch], rows + len(batch)
-        if rows >= LISTED:
-            yield lists(held)
-            held, rows = [], 0
-    if rows:
-        yield lists(held)
+        columns = [pa.ListArray.from_arrays(ends, pa.concat_arrays(c.chunks)) for c in table.columns[1:]]
+        yield pa.RecordBatch.from_arrays([pa.array(groups), *columns], table.column_names)
 
 
 def scene_changes(log: DataFrame, order: str = "seq", groups: int = GROUPS) -> DataFrame:
@@ -148,14 +151,14 @@ class RunStates(StatefulProcessor):
 
 
 def _ends(order: str) -> Callable[[Iterator], Iterator]:
-    """Of each Arrow batch, a run's first and last event; of several of one order, the one that came first. No other row decides anything in RunStates."""
+    """Of the rows held at a time, a run's first and last event; of several of one order, the one that came first. No other row decides anything in RunStates."""
 
     def kept(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        for batch in batches:
-            runs = batch.select(["product_id", order]).to_pandas().groupby("product_id", sort=False)[order]
-            yield batch.take(pa.array(sorted({*runs.idxmin(), *runs.idxmax()}), pa.int64()))
+        for rows in _held(batches):
+            runs = rows.select(["product_id", order]).to_pandas().groupby("product_id", sort=False)[order]
+            yield from rows.take(pa.array(sorted({*runs.idxmin(), *runs.idxmax()}), pa.int64())).to_batches()
 
     return kept
 

@@ -34,8 +34,8 @@ def test_only_rows_that_decide_a_claim_are_shuffled():
 def test_only_the_ends_of_a_run_are_shuffled():
     rows = [("p", 5, "a"), ("q", 7, "b"), ("p", 5, "c"), ("p", 2**60, "d"), ("p", 2**60 - 1, "e"), ("p", 2**60, "f"), (None, 1, "g")]
     batch = pa.RecordBatch.from_pylist([dict(zip(("product_id", "seq", "status"), r, strict=True)) for r in rows], pa.schema([("product_id", pa.string()), ("seq", pa.int64()), ("status", pa.string())]))
-    (kept, none) = upserts._ends("seq")(iter([batch, batch.slice(0, 0)]))
-    assert [tuple(r.values()) for r in kept.to_pylist()] == [rows[0], rows[1], rows[3]] and none.num_rows == 0
+    assert [tuple(r.values()) for kept in upserts._ends("seq")(iter([batch, batch.slice(0, 0), batch])) for r in kept.to_pylist()] == [rows[0], rows[1], rows[3]]
+    assert sum(len(kept) for kept in upserts._ends("seq")(iter([batch.slice(0, 0)]))) == 0
 
 
 def test_claims_of_null_runs_and_empty_batches():
@@ -60,13 +60,17 @@ def test_envelopes_with_nulls_are_rows_still(spark):
 
 
 def test_rows_of_a_group_travel_as_lists(monkeypatch):
-    """In their order, whatever the columns hold; tasks hold a bounded number of rows."""
-    monkeypatch.setattr(upserts, "LISTED", 4)
+    """In their order, whatever the columns hold; tasks hold a bounded number of bytes."""
+    monkeypatch.setattr(upserts, "HELD", 1)
     rows = [(2, "a", ["x", None], 1), (1, "b", None, 2), (2, None, [], 3), (1, "b", ["y"], None), (3, "c", None, 5), (1, "d", None, 6)]
     names = ("_group", "scene_id", "file_locations", "seq")
     table = pa.Table.from_pylist([dict(zip(names, r, strict=True)) for r in rows], pa.schema([("_group", pa.int64()), ("scene_id", pa.string()), ("file_locations", pa.list_(pa.string())), ("seq", pa.int64())]))
-    got = [[tuple(r.values()) for r in b.to_pylist()] for b in upserts._listed(iter([*table.to_batches(max_chunksize=2), *table.slice(0, 0).to_batches()]))]
+    got = [[tuple(r.values()) for r in b.to_pylist()] for b in upserts._listed(iter(table.to_batches(max_chunksize=4)))]
     assert got == [[(1, ["b", "b"], [None, ["y"]], [2, None]), (2, ["a", None], [["x", None], []], [1, 3])], [(1, ["d"], [None], [6]), (3, ["c"], [None], [5])]]
+    monkeypatch.setattr(upserts, "HELD", 1 << 20)
+    assert [b.num_rows for b in upserts._listed(iter(table.to_batches(max_chunksize=2)))] == [3]
+    empty = pa.RecordBatch.from_pylist([], table.schema)
+    assert [b.num_rows for b in upserts._listed(iter([empty]))] in ([], [0])
 
 
 def test_stretched_pixels_are_not_shuffled_by_group(spark):
